@@ -189,7 +189,7 @@ def sustained(
     that no longer meets the condition (or the last sample, if none does).
     """
     labels = list(series.keys)
-    marked = samples.selectExpr(*labels, series.time, *series.ties, f"coalesce({condition}, false) AS __on", f"{value} AS __value")
+    marked = samples.selectExpr(*labels, series.time, *series.ties, f"coalesce({condition}, false) AS __on", f"{value} AS __measure")
     marked = marked.withColumn("__at", F.col(series.time))
     marked = previous(marked, series, ["__on", "__at"], prefix="__prev")
     broken = "NOT coalesce(__prev__on, false)"
@@ -202,7 +202,7 @@ def sustained(
     spans = stretch.agg(
         F.expr("min(CASE WHEN __on THEN __at END)").alias("since"),
         F.expr(f"coalesce({ends}, max(CASE WHEN __on THEN __at END))").alias("until"),
-        F.expr("max(CASE WHEN __on THEN __value END)").alias("peak"),
+        F.expr("max(CASE WHEN __on THEN __measure END)").alias("peak"),
     )
     fires = f"unix_micros(until) - unix_micros(since) >= {hold_seconds * 1_000_000}L AS firing"
     return spans.selectExpr(*labels, "since", "until", "peak", fires)

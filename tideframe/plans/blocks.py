@@ -141,10 +141,16 @@ def block_frame(
     rows += -rows % SEGMENT_ROWS
     carries = [Carry("__before", "count(1)")]
     carries += [last_known(f"__last_{c}", c, series.time) for c in [*fill, *clean]]
-    out = with_carry(df, series, carries, [Carry(START, f"min({series.time})", "min")])
+    # the series starts with its first row, or with the first row on which every cleaned column is known
+    starts = [Carry(f"__known_{c}", f"min(CASE WHEN {c} IS NOT NULL THEN {series.time} END)", "min") for c in clean]
+    starts = starts or [Carry("__known", f"min({series.time})", "min")]
+    out = with_carry(df, series, carries, starts)
+    first = starts[0].name if len(starts) == 1 else f"greatest({', '.join(c.name for c in starts)})"
     kept = [f"{filled_value(c, series)} AS {c}" if c in clean else c for c in df.columns]
     extra = [f"{filled_value(c, series)} AS __ffill_{c}" for c in fill]
-    out = out.selectExpr(*kept, *extra, START, f"__before + row_number() {series.local()} - 1 AS {POSITION}")
+    out = out.selectExpr(
+        *kept, *extra, f"{first} AS {START}", f"__before + row_number() {series.local()} - 1 AS {POSITION}"
+    )
     names = [*df.columns, *[f"__ffill_{c}" for c in fill]]
     if clean:
         known = " AND ".join(f"{c} IS NOT NULL" for c in clean)

@@ -558,8 +558,13 @@ def alerts(spark, folder):
 # streams ---------------------------------------------------------------------------------------
 
 
+def _event_stream(spark, folder):
+    # braces make it a pattern, so that the table may be one file or a folder of files
+    return metrics.event_stream(spark, f"{folder}/{{events.parquet}}")
+
+
 def _log_stream(spark, folder):
-    return request_log(metrics.event_stream(spark, f"{folder}/events.parquet"))
+    return request_log(_event_stream(spark, folder))
 
 
 @query
@@ -578,8 +583,7 @@ def stream_drift_ratio(spark, folder):
     """Value and user of every event scored against the bounds of the first three weeks."""
     past = events(spark, folder).where("ts < TIMESTAMP '2024-01-22 00:00:00'").select("value", "user_id")
     bounds = drift.collect_bounds(drift.drift_bounds(drift.training_stats(past, ["value", "user_id"])))
-    stream = metrics.event_stream(spark, f"{folder}/events.parquet")
-    scored = drift.drift_ratio(stream, bounds, ["value", "user_id", "event_id"])
+    scored = drift.drift_ratio(_event_stream(spark, folder), bounds, ["value", "user_id", "event_id"])
     return metrics.run_to_table(scored.select("event_id", "drift_ratio"))
 
 

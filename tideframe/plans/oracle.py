@@ -490,15 +490,15 @@ oracle(
 def stretches(source: str, key: str, time: str, order: str, on: str, value: str, hold: int, step: int | None) -> str:
     """Gaps and islands: consecutive rows that meet the condition, closed by the next row that does not."""
     gap = f" OR epoch_us({time}) - epoch_us(prev_at) > {step * 1_000_000}" if step else ""
-    until = "max(at) FILTER (is_on)" if step else "coalesce(min(at) FILTER (NOT is_on), max(at) FILTER (is_on))"
+    until = "max(at_ts) FILTER (is_on)" if step else "coalesce(min(at_ts) FILTER (NOT is_on), max(at_ts) FILTER (is_on))"
     return (
         f"(SELECT {key}, since, until, peak, epoch_us(until) - epoch_us(since) >= {hold * 1_000_000} AS firing FROM ("
-        f"SELECT {key}, min(at) FILTER (is_on) AS since, {until} AS until, max(v) FILTER (is_on) AS peak FROM ("
+        f"SELECT {key}, min(at_ts) FILTER (is_on) AS since, {until} AS until, max(v) FILTER (is_on) AS peak FROM ("
         f"SELECT *, sum(starts) OVER (PARTITION BY {key} ORDER BY {order} ROWS UNBOUNDED PRECEDING) AS island FROM ("
         f"SELECT *, CASE WHEN is_on AND (NOT coalesce(prev_on, false){gap}) THEN 1 ELSE 0 END AS starts FROM ("
         f"SELECT *, lag(is_on) OVER (PARTITION BY {key} ORDER BY {order}) AS prev_on,"
         f" lag({time}) OVER (PARTITION BY {key} ORDER BY {order}) AS prev_at FROM ("
-        f"SELECT *, {time} AS at, coalesce({on}, false) AS is_on, {value} AS v FROM {source}))))"
+        f"SELECT *, {time} AS at_ts, coalesce({on}, false) AS is_on, {value} AS v FROM {source}))))"
         f" WHERE island > 0 GROUP BY {key}, island))"
     )
 

@@ -25,7 +25,7 @@ EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type st
 
 
 def event_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Events as a file stream, oldest file first."""
+    """Events as a file stream, oldest file first. ``path`` is a folder or a pattern of files."""
     pin_utc(spark)
     reader = spark.readStream.schema(EVENT_SCHEMA)
     if files_per_trigger:
