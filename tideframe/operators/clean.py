@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideframe.functions.expressions import number
 from tideframe.functions.numeric import is_infinite
 from tideframe.plans.ordered import HOURLY, Series, forward_back_fill, forward_fill
+from tideframe.plans.quantiles import column_facts, exact_quantiles
 from tideframe.sources.tables import BASE_COLUMNS
 
 
@@ -61,15 +63,16 @@ def median_impute(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     First nulls take the median that still counts infinities as numbers. Then infinities become
     nulls and take the median of what the first pass produced.
     """
-    from tideframe.plans.quantiles import exact_quantiles
-
-    columns = list(columns)
-    first = exact_quantiles(df, columns, [0.5])
-    filled = _fill_with(df, {c: first[c][0] for c in columns if c in first})
-    finite = filled.withColumns({c: F.when(~is_infinite(c), F.col(c)) for c in columns})
-    second = exact_quantiles(finite, columns, [0.5])
-    return _fill_with(finite, {c: second[c][0] for c in columns if c in second})
+    facts = column_facts(df, list(columns))
+    gaps = [c for c, f in facts.items() if f["nulls"]]
+    endless = [c for c, f in facts.items() if f["below"] + f["above"]]
+    first = exact_quantiles(df, gaps, [0.5], facts=facts)
+    filled = _fill_with(df, {c: q[0] for c, q in first.items()})
+    # a fill value can itself be infinite, so columns with infinities are looked at again
+    finite = filled.withColumns({c: F.when(~is_infinite(c), F.col(c)) for c in endless}) if endless else filled
+    second = exact_quantiles(finite, endless, [0.5])
+    return _fill_with(finite, {c: q[0] for c, q in second.items()})
 
 
 def _fill_with(df: DataFrame, values: dict[str, float]) -> DataFrame:
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(float(v))) for c, v in values.items()}) if values else df
+    return df.withColumns({c: F.expr(f"coalesce({c}, {number(v)})") for c, v in values.items()}) if values else df

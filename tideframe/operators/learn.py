@@ -6,6 +6,7 @@ import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -14,10 +15,11 @@ from pyspark.sql import functions as F
 
 from tideframe.functions.expressions import ieee_div, number
 from tideframe.functions.numeric import numeric_columns
-from tideframe.operators.clean import ffill_bfill
+from tideframe.operators.clean import ffill_bfill, median_impute
 from tideframe.operators.evaluate import best_model, cv_scores, cv_summary, evaluate_split
 from tideframe.operators.publish import latest_row, time_range
 from tideframe.plans.ordered import HOURLY, Series, ordinal
+from tideframe.plans.quantiles import column_facts
 from tideframe.session import materialize
 
 log = logging.getLogger(__name__)
@@ -59,11 +61,10 @@ class Scaling:
 
     @classmethod
     def fit(cls, df: DataFrame, columns: Sequence[str]) -> "Scaling":
-        aggs = [F.expr(e.format(c)).alias(f"{k}{i}") for i, c in enumerate(columns) for k, e in (("m", "avg({})"), ("s", "stddev_pop({})"))]
-        row = df.agg(*aggs).first()
+        facts = column_facts(df, columns)
         # a constant column is only centred
-        deviation = {c: (row[f"s{i}"] or 1.0) for i, c in enumerate(columns)}
-        return cls({c: row[f"m{i}"] or 0.0 for i, c in enumerate(columns)}, deviation)
+        deviation = {c: f["std_pop"] or 1.0 for c, f in facts.items()}
+        return cls({c: f["mean"] or 0.0 for c, f in facts.items()}, deviation)
 
     def expression(self, c: str) -> str:
         return f"({c} - {number(self.mean[c])}) / {number(self.deviation[c])}"
@@ -133,6 +134,14 @@ def make_estimator(name: str, rows: int, label_deviation: float):
     raise ValueError(f"unknown model {name}")
 
 
+def spread(rows: DataFrame, rows_per_task: int = 500) -> DataFrame:
+    """More partitions for a small stored training set; a large one already has enough."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return rows.repartition(max(1, min(cores, rows.count() // rows_per_task)))
+
+
 def fit_model(name: str, assembled: DataFrame):
     n, deviation = assembled.agg(F.count(F.lit(1)), F.stddev_pop("label")).first()
     if n < FOLDS:
@@ -168,14 +177,12 @@ def train_models(
 
     A model that cannot be fitted is reported and skipped. The assembled rows are written once.
     """
-    from tideframe.operators.clean import median_impute
-
     features = select_features(df, exclude_target)
     prepared = median_impute(df, features)
     stages = scoring_stages(Scaling.fit(prepared, features), features)
     split = assemble(chrono_split(prepared, series), stages)
     rows = materialize(split.select(*series.keys, series.time, "features", "label", "is_test"), "training")
-    train = rows.where("NOT is_test")
+    train = spread(rows.where("NOT is_test")).persist(StorageLevel.MEMORY_AND_DISK)
     models, reports = {}, None
     for position, name in enumerate(names):
         try:
@@ -190,6 +197,7 @@ def train_models(
             continue
         models[name] = PipelineModel(stages=[*stages, model])
         reports = report if reports is None else reports.unionByName(report)
+    train.unpersist()
     if reports is None:
         raise RuntimeError("no model could be trained")
     return Training(models, best_model(reports), features, rows)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideframe.functions.numeric import numeric_columns
-from tideframe.plans.quantiles import average_ranks, exact_quantiles
+from tideframe.plans.quantiles import average_ranks, column_facts, exact_quantiles
 
 STATS_SCHEMA = (
     "column_name string, count bigint, mean double, std double, min double, q25 double, median double, q75 double, max double"
@@ -25,14 +25,12 @@ def describe_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     The result has one row per column, so it is assembled from the fitted numbers.
     """
     columns = list(columns or numeric_columns(df))
-    makers = {"count": "count({})", "mean": "avg({})", "std": "stddev_samp({})", "min": "min({})", "max": "max({})"}
-    row = df.agg(*[F.expr(e.format(c)).alias(f"{k}{i}") for i, c in enumerate(columns) for k, e in makers.items()]).first()
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
+    facts = column_facts(df, columns)
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], facts=facts)
     out = []
-    for i, c in enumerate(columns):
-        number = {k: None if row[f"{k}{i}"] is None else float(row[f"{k}{i}"]) for k in ("mean", "std", "min", "max")}
-        q25, median, q75 = quartiles.get(c, [None] * 3)
-        out.append((c, row[f"count{i}"], number["mean"], number["std"], number["min"], q25, median, q75, number["max"]))
+    for c in (c for c in columns if c in facts):
+        f, (q25, median, q75) = facts[c], quartiles.get(c, [None] * 3)
+        out.append((c, f["count"], f["mean"], f["std"], f["min"], q25, median, q75, f["max"]))
     return df.sparkSession.createDataFrame(out, STATS_SCHEMA)
 
 

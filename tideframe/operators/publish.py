@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tideframe.plans.ordered import HOURLY, Series
@@ -46,15 +46,19 @@ def _edge_row(df: DataFrame, series: Series, pick) -> DataFrame:
     return edge.select(*[F.col(c) if c in series.keys else F.col(f"__row.{c}").alias(c) for c in df.columns])
 
 
-def fingerprint_columns() -> list:
-    return [F.count(F.lit(1)).alias("rows"), F.expr("coalesce(bit_xor(__hash), 0)").alias("row_xor"), F.sum("__spread").alias("row_sum")]
+def fingerprint_columns(columns: list[str]) -> list[Column]:
+    """Row count and two order-free digests. Equal rows cancel out under xor, so a bounded sum is kept as well."""
+    row = f"xxhash64({', '.join(columns)})"
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        F.expr(f"coalesce(bit_xor({row}), 0)").alias("row_xor"),
+        F.expr(f"coalesce(sum(pmod({row}, 1000003)), 0)").alias("row_sum"),
+    ]
 
 
 def table_fingerprint(df: DataFrame) -> DataFrame:
-    """Row count and two order-free digests of all rows; works at any table size."""
-    hashed = df.select(F.xxhash64(*df.columns).alias("__hash"))
-    # equal rows cancel out under xor, so the sum of a bounded remainder is kept as well
-    return hashed.withColumn("__spread", F.expr("pmod(__hash, 1000003)")).agg(*fingerprint_columns())
+    """Fingerprint of a whole table; works at any size and does not depend on row order."""
+    return df.agg(*fingerprint_columns(df.columns))
 
 
 def content_manifest(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
@@ -90,10 +94,11 @@ def publish_dataset(df: DataFrame, base: str, name: str, run_ts: str) -> DataFra
     Works on any file system Spark can write to. The metadata row says whether the copy is whole.
     """
     path = f"{base.rstrip('/')}/processed/{run_ts}_{name}"
-    df.write.mode("error").parquet(path)
+    written = Observation("published")  # taken while the rows are written, so they are derived once
+    df.observe(written, *fingerprint_columns(df.columns)).write.mode("error").parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
-    want, have = table_fingerprint(df).first(), table_fingerprint(stored).first()
-    row = (name, f"processed/{run_ts}_{name}", have["rows"], have["row_xor"], want == have)
+    have = table_fingerprint(stored).first().asDict()
+    row = (name, f"processed/{run_ts}_{name}", have["rows"], have["row_xor"], written.get == have)
     return df.sparkSession.createDataFrame([row], "name string, key string, rows bigint, digest bigint, verified boolean")
 
 

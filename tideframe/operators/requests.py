@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +26,9 @@ LATENCY_LIMIT, ERROR_RATE_LIMIT = 0.5, 0.1
 HOLD_SECONDS = {"HighAPILatency": 300, "DataDriftSpike": 120, "ModelUnhealthy": 60, "HighErrorRate": 300}
 SEVERITY = {"HighAPILatency": "warning", "DataDriftSpike": "warning", "ModelUnhealthy": "critical", "HighErrorRate": "critical"}
 
+KEEP = StorageLevel.MEMORY_AND_DISK
+GRID = Series(keys=("endpoint",), time="window_end", fine="day")
+
 
 def request_counts(log: DataFrame, labels: Sequence[str] = ("endpoint", "status")) -> DataFrame:
     """Number of requests per label set; also valid as a streaming aggregation."""
@@ -191,7 +195,8 @@ def sustained(
     labels = list(series.keys)
     marked = samples.selectExpr(*labels, series.time, *series.ties, f"coalesce({condition}, false) AS __on", f"{value} AS __measure")
     marked = marked.withColumn("__at", F.col(series.time))
-    marked = previous(marked, series, ["__on", "__at"], prefix="__prev")
+    # read four times below: twice by each ordered pass
+    marked = previous(marked.persist(KEEP), series, ["__on", "__at"], prefix="__prev").persist(KEEP)
     broken = "NOT coalesce(__prev__on, false)"
     if step_seconds:
         gap = f"unix_micros({series.time}) - unix_micros(__prev__at) > {step_seconds * 1_000_000}"
@@ -208,7 +213,6 @@ def sustained(
     return spans.selectExpr(*labels, "since", "until", "peak", fires)
 
 
-GRID = Series(keys=("endpoint",), time="window_end", fine="day")
 
 
 def latency_alert(quantiles: DataFrame, quantile: str = "p95", limit: float = LATENCY_LIMIT) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,8 +50,9 @@ def log(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def compact(spark: SparkSession, folder: str) -> DataFrame:
-    """The compact feature set of the hourly series, stored because several passes read it."""
-    return materialize(features.compact_features(hourly(spark, folder), order=None), "features")
+    """The compact feature set of the hourly series, kept because several passes read it."""
+    rows = features.compact_features(hourly(spark, folder), order=None)
+    return rows.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 # sources and sinks ---------------------------------------------------------------------------

@@ -5,15 +5,47 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 SMALL_ROWS = 1_000_000
 BINS = 2048
 
 
+def long_form(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, value) rows. Aggregating these by name stays one small generated loop for any width."""
+    return df.selectExpr(*[f"CAST({c} AS DOUBLE) AS {c}" for c in columns]).unpivot([], list(columns), "column_name", "value")
+
+
+FACTS = {
+    "count": "count(value)",
+    "nulls": "count_if(value IS NULL)",
+    "mean": "avg(value)",
+    "std": "stddev_samp(value)",
+    "std_pop": "stddev_pop(value)",
+    "min": "min(value)",
+    "max": "max(value)",
+    "below": "count_if(value = double('-Infinity'))",
+    "above": "count_if(value = double('Infinity'))",
+    "low": "min(CASE WHEN abs(value) < double('Infinity') THEN value END)",
+    "high": "max(CASE WHEN abs(value) < double('Infinity') THEN value END)",
+}
+
+
+def column_facts(df: DataFrame, columns: Sequence[str]) -> dict[str, Row]:
+    """Counts, moments and range of every column in one map-side combined pass; one row per column comes back."""
+    if not columns:
+        return {}
+    facts = long_form(df, columns).groupBy("column_name").agg(*[F.expr(e).alias(n) for n, e in FACTS.items()])
+    return {r["column_name"]: r for r in facts.collect()}
+
+
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], small_rows: int = SMALL_ROWS
+    df: DataFrame,
+    columns: Sequence[str],
+    probs: Sequence[float],
+    small_rows: int = SMALL_ROWS,
+    facts: dict[str, Row] | None = None,
 ) -> dict[str, list[float]]:
     """Linearly interpolated quantiles per column, nulls ignored; columns without values are left out.
 
@@ -22,42 +54,27 @@ def exact_quantiles(
     holds a statistic into bins, counts them in one map-side combined aggregation and keeps the bin
     with the statistic, until the bin is one single value. Three passes settle about 10^9 values.
     """
-    columns = list(columns)
-    if not columns:
-        return {}
-    aggs = []
-    for i, c in enumerate(columns):
-        finite = f"CASE WHEN abs({c}) < double('Infinity') THEN {c} END"
-        aggs += [
-            f"count({finite}) AS n{i}",
-            f"count_if({c} = double('-Infinity')) AS below{i}",
-            f"count_if({c} = double('Infinity')) AS above{i}",
-            f"CAST(min({finite}) AS DOUBLE) AS lo{i}",
-            f"CAST(max({finite}) AS DOUBLE) AS hi{i}",
-        ]
-    row = df.agg(*[F.expr(a) for a in aggs]).first()
-    sizes = {c: row[f"n{i}"] + row[f"below{i}"] + row[f"above{i}"] for i, c in enumerate(columns)}
-    known = [c for c in columns if sizes[c]]
+    facts = column_facts(df, list(columns)) if facts is None else facts
+    sizes = {c: facts[c]["count"] for c in columns if c in facts and facts[c]["count"]}
+    known = list(sizes)
     if not known:
         return {}
     if max(sizes.values()) <= small_rows:
         wanted = ", ".join(f"{p!r}D" for p in probs)
-        row = df.agg(*[F.expr(f"percentile({c}, array({wanted}))").alias(f"q{i}") for i, c in enumerate(known)]).first()
-        return {c: list(row[f"q{i}"]) for i, c in enumerate(known)}
+        rows = long_form(df, known).groupBy("column_name").agg(F.expr(f"percentile(value, array({wanted}))").alias("q"))
+        return {r["column_name"]: list(r["q"]) for r in rows.collect()}
 
-    place = {c: i for i, c in enumerate(columns)}
     spots = {c: [p * (sizes[c] - 1) for p in probs] for c in known}
     ranks = {(c, r) for c in known for s in spots[c] for r in (math.floor(s), math.ceil(s))}
     found: dict[tuple[str, int], float] = {}
     still_open: dict[tuple[str, int], tuple[float, float, int]] = {}
     for c, r in ranks:
-        i = place[c]
-        if r < row[f"below{i}"]:
+        if r < facts[c]["below"]:
             found[c, r] = -math.inf
-        elif r >= sizes[c] - row[f"above{i}"]:
+        elif r >= sizes[c] - facts[c]["above"]:
             found[c, r] = math.inf
         else:
-            still_open[c, r] = (row[f"lo{i}"], row[f"hi{i}"], r - row[f"below{i}"])
+            still_open[c, r] = (facts[c]["low"], facts[c]["high"], r - facts[c]["below"])
     while still_open:
         for key in [k for k, (lo, hi, _) in still_open.items() if lo == hi]:
             found[key] = still_open.pop(key)[0]
