@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from tideframe.functions.expressions import cyclic, hours_between, ieee_div
+from tideframe.functions.numeric import null_safe_doubles
 from tideframe.plans.blocks import START, Columns, in_blocks
 from tideframe.plans.ordered import HOURLY, Series, previous
 from tideframe.sources.tables import BASE_COLUMNS
@@ -193,6 +194,7 @@ def full_features(raw: DataFrame, series: Series = HOURLY, order: str | None = "
     """
     from tideframe.operators.clean import dedupe_first
 
+    raw = null_safe_doubles(raw)
     rows = dedupe_first(raw, series, order) if order and order in raw.columns else raw
     rows = rows.select(*series.keys, series.time, *BASE_COLUMNS)
     return in_blocks(rows, series, _full, clean=BASE_COLUMNS, drop_incomplete=True, **options)
@@ -202,7 +204,7 @@ def compact_features(raw: DataFrame, series: Series = HOURLY, order: str | None
     """Raw series to the compact feature set: drop incomplete rows, first delivery wins, no filling."""
     from tideframe.operators.clean import clean_series_strict
 
-    rows = clean_series_strict(raw, series, order)
+    rows = clean_series_strict(null_safe_doubles(raw), series, order)
     rows = rows.select(*series.keys, series.time, *BASE_COLUMNS)
     return in_blocks(rows, series, _compact, drop_incomplete=True, **options)
 
