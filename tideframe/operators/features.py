@@ -200,12 +200,17 @@ def full_features(raw: DataFrame, series: Series = HOURLY, order: str | None = "
     return in_blocks(rows, series, _full, clean=BASE_COLUMNS, drop_incomplete=True, **options)
 
 
-def compact_features(raw: DataFrame, series: Series = HOURLY, order: str | None = "ingest_seq", **options) -> DataFrame:
-    """Raw series to the compact feature set: drop incomplete rows, first delivery wins, no filling."""
+def compact_features(
+    raw: DataFrame, series: Series = HOURLY, order: str | None = "ingest_seq", keep: Sequence[str] = (), **options
+) -> DataFrame:
+    """Raw series to the compact feature set: drop incomplete rows, first delivery wins, no filling.
+
+    ``keep`` names further input columns to hand through.
+    """
     from tideframe.operators.clean import clean_series_strict
 
     rows = clean_series_strict(null_safe_doubles(raw), series, order)
-    rows = rows.select(*series.keys, series.time, *BASE_COLUMNS)
+    rows = rows.select(*series.keys, series.time, *BASE_COLUMNS, *keep)
     return in_blocks(rows, series, _compact, drop_incomplete=True, **options)
 
 

@@ -185,4 +185,5 @@ def in_blocks(
         out = out.selectExpr("*", *project(step))
     kept = [c for c in df.columns if c not in outputs]
     out = out.where("__own").selectExpr(*kept, *project(outputs))
-    return out.dropna("any") if drop_incomplete else out
+    # one test per column: a single test over all of them makes later filters and joins very slow to plan
+    return out.where(" AND ".join(f"`{c}` IS NOT NULL" for c in out.columns)) if drop_incomplete else out

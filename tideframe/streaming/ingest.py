@@ -33,7 +33,6 @@ def new_feature_rows(
     history: DataFrame,
     fresh: DataFrame,
     series: Series = HOURLY,
-    build: Callable[..., DataFrame] = compact_features,
     tail_rows: int = 2 * SEGMENT_ROWS,
 ) -> DataFrame:
     """Features of ``fresh`` rows from the last stored rows of each series.
@@ -45,9 +44,7 @@ def new_feature_rows(
     numbered = ordinal(history.select(*columns), series, "__position", "__size")
     tail = numbered.where(f"__position >= __size - {tail_rows}").select(*columns, F.lit(False).alias("__fresh"))
     rows = tail.unionByName(fresh.select(*columns, F.lit(True).alias("__fresh")))
-    features = build(rows.drop("__fresh"), series, None)
-    wanted = fresh.select(*series.keys, series.time)
-    return features.join(wanted, [*series.keys, series.time], "left_semi")
+    return compact_features(rows, series, None, keep=["__fresh"]).where("__fresh").drop("__fresh")
 
 
 def feature_writer(store: str, target: str, keys: Sequence[str] = HOURLY.keys) -> Callable[[DataFrame, int], None]:
