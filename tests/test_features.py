@@ -249,3 +249,9 @@ def test_clean_keeps_first_delivery(spark):
     assert [r["price"] for r in clean.clean_series(frame).collect()] == [2.0]
     with pytest.raises(ValueError):
         clean.dedupe_first(frame.drop("ingest_seq"))
+
+
+def test_filters_on_finished_features_plan_quickly(spark, walk):
+    """A filter above the complete-rows test must not blow up constraint inference."""
+    got = features.full_features(spark.createDataFrame(walk(80, coins=("a",))))
+    assert got.where("timestamp >= TIMESTAMP '2022-01-04'").count() == 8

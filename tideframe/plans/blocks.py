@@ -12,7 +12,6 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tideframe.functions.expressions import finite, project
 from tideframe.plans.ordered import Carry, Series, filled_value, last_known, with_carry
