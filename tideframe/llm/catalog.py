@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tideframe.llm import bpe, chat
+from tideframe.llm import bpe, chat, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -61,3 +62,17 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep_ids=False)
     return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the score of the convolutional classifier."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.classify(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", F.coalesce(~toxicity.learnable(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secrets.secret_digests(secrets.scan_documents(table(spark, sf_dir, "documents").select("doc_id", "text")))

@@ -47,10 +47,11 @@ def _pieces(text: str, limit: int) -> list[str]:
     return [*cuts, text[at:]]
 
 
-def hash_words(texts: list[str | None], lines: bool = False) -> tuple[np.ndarray, ...]:
+def hash_words(texts: list[str | None], lines: bool = False, prefix: int = 0) -> tuple[np.ndarray, ...]:
     """Hashes of all words, and the border of each text: words of text i are ``h[b[i]:b[i + 1]]``.
 
-    With ``lines`` a third array holds the number of line ends before each word within the joined texts.
+    With ``lines`` a third array holds the number of line ends before each word within the joined texts; with
+    ``prefix`` it holds the hash of the first so many bytes of each word.
     """
     parts = [(text or "").lower() for text in texts]
     data = np.frombuffer("\n".join(parts).encode("utf-8", "replace"), dtype=np.uint8)
@@ -62,13 +63,16 @@ def hash_words(texts: list[str | None], lines: bool = False) -> tuple[np.ndarray
     text_ends = np.cumsum(sizes + 1) - 1
     borders = np.concatenate([[0], np.searchsorted(starts, text_ends)]).astype(np.int64)
     if not len(starts):
-        return (np.empty(0, np.uint64), borders, starts) if lines else (np.empty(0, np.uint64), borders)
+        return (np.empty(0, np.uint64), borders, starts.astype(np.uint64))[: 3 if lines or prefix else 2]
     chars = data[is_word]
     offsets = np.cumsum(is_word, dtype=np.int64)[starts] - 1
     lengths = np.diff(np.append(offsets, len(chars)))
     place = np.arange(len(chars), dtype=np.int64) - np.repeat(offsets, lengths)
     powers = _powers(int(lengths.max()))
-    h = mix(np.add.reduceat((chars.astype(np.uint64) + np.uint64(1)) * powers[place], offsets))
+    terms = (chars.astype(np.uint64) + np.uint64(1)) * powers[place]
+    h = mix(np.add.reduceat(terms, offsets))
+    if prefix:
+        return h, borders, mix(np.add.reduceat(np.where(place < prefix, terms, np.uint64(0)), offsets))
     if not lines:
         return h, borders
     ends = np.cumsum(data == 10, dtype=np.int64)
