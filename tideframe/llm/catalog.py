@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideframe.llm import bpe, chat, secrets, toxicity
+from tideframe.llm import bpe, chat, neardup, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -76,3 +76,9 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     return secrets.secret_digests(secrets.scan_documents(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@query
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class of exact and near copies."""
+    return neardup.duplicate_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
