@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideframe.llm import bpe, chat, neardup, secrets, toxicity
+from tideframe.llm import bpe, chat, decontaminate, linededup, neardup, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -82,3 +82,16 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class of exact and near copies."""
     return neardup.duplicate_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the item and the stretch."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines whose templates recur in earlier documents."""
+    kept = linededup.drop_recurring(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.char_length("text").cast("long").alias("kept_chars"), F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
