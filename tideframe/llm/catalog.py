@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideframe.llm import bpe, chat, decontaminate, linededup, neardup, secrets, toxicity
+from tideframe.llm import bpe, chat, decontaminate, fingerprint, html, licenses, linededup, neardup, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -95,3 +95,45 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines whose templates recur in earlier documents."""
     kept = linededup.drop_recurring(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.char_length("text").cast("long").alias("kept_chars"), F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+@query
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and its edited text, with their fingerprints and likenesses."""
+    return fingerprint.fingerprint_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page with its main text."""
+    return html.extract_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+@query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the licenses that it or its lines are."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _canonical_sql(text: str) -> str:
+    plain = f"regexp_replace(lower(regexp_replace({text}, '{licenses.COPYRIGHT}', ' ', 'g')), '[^a-z0-9]+', ' ', 'g')"
+    for found, put in licenses.SPELLINGS:
+        plain = f"replace({plain}, '{found}', '{put}')"
+    return f"md5(trim({plain}))"
+
+
+_KNOWN_ROWS = ", ".join(f"('{name}', '{text}')" for name, text in licenses.KNOWN)
+ORACLE["op2_license_scan"] = f"""
+WITH known AS (
+  SELECT {_canonical_sql("text")} AS digest, min(license) AS license FROM (VALUES {_KNOWN_ROWS}) t(license, text) GROUP BY 1
+), units AS (
+  SELECT doc_id, TRUE AS whole, coalesce(text, '') AS unit FROM documents
+  UNION ALL SELECT doc_id, FALSE, unnest(string_split(coalesce(text, ''), chr(10))) FROM documents
+), found AS (
+  SELECT doc_id, max(license) FILTER (whole) AS text_license,
+         coalesce(string_agg(DISTINCT license, ',' ORDER BY license) FILTER (NOT whole), '') AS licenses, count(*) FILTER (NOT whole) AS n_lines
+  FROM units JOIN known ON {_canonical_sql("unit")} = digest GROUP BY doc_id
+)
+SELECT d.doc_id, text_license, coalesce(licenses, '') AS licenses, coalesce(n_lines, 0) AS n_lines
+FROM documents d LEFT JOIN found USING (doc_id)
+"""
