@@ -7,7 +7,7 @@
 3. Rounds: in every bucket with more than one class, all members are compared with one centre. Verified links
    join classes, and whatever is then of one class needs no further comparison. A bucket of at most
    ``SMALL`` members compares the rest of its members across classes; a larger one goes on without its centre, its
-   members told apart by one more sketch, until every bucket is done. No bucket is cut off and none emits all pairs.
+   members told apart by two more sketches, until every bucket is done. No bucket is cut off and none emits all pairs.
 4. A candidate is a link if banded alignment of the words finds an edit similarity of ``SIMILARITY`` or more:
    1 - distance / longer length. The alignment keeps diagonals within the distance allowed only.
 
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tideframe.llm.tokens import each_text, mix, windows
 from tideframe.session import materialize
 
-K, MINIMA, SKETCHES, SIMILARITY, SMALL = 5, 2, 16, 0.8, 8
+K, MINIMA, SKETCHES, SIMILARITY, SMALL = 5, 2, 16, 0.8, 12
 _RNG = np.random.default_rng(3)
 _MASKS = _RNG.integers(0, 2**63, SKETCHES, dtype=np.uint64)
 _FACTORS = _RNG.integers(0, 2**63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -197,19 +197,20 @@ def verify(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
 
 def connected(links: DataFrame) -> DataFrame:
     """(node, root) of every node in ``links`` (a, b): alternating star contraction until nothing changes."""
-    edges = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "edges")
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
     seen = None
     while True:
         # every node hands its larger neighbours to the least one it knows
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # every node hands its smaller neighbours and itself to the least one
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        edges = materialize(small.filter("u <> v").distinct(), "edges")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen:
+        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        edges = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.countDistinct("u")).first()
+        # as many edges as nodes that are not least: every node has one edge; done once no root is below another
+        if state[0] == state[2] and edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi").isEmpty() or state == seen:
             roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
             return roots.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         seen = state
@@ -219,54 +220,55 @@ def text_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataF
     """(doc_id, node) of every row, and (node, root) of the nodes that are not alone."""
     sketched = materialize(sketch_documents(docs), "sketches")
     nodes = sketched.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("sketches").alias("sketches"))
-    placed = nodes.select("node", "doc_id", "sketches", F.posexplode("sketches").alias("turn", "bucket"))
+    nodes = materialize(nodes, "nodes")
+    placed = nodes.select("node", F.posexplode("sketches").alias("turn", "bucket"))
     filled = placed.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high")
-    members = materialize(placed.join(filled.select("bucket"), "bucket").select("bucket", "turn", "node", "doc_id", "sketches"), "members")
-    wanted = members.select("node", "doc_id").distinct()
+    members = materialize(placed.join(filled.select("bucket"), "bucket"), "members")
+    wanted = members.select("node").distinct().join(nodes, "node").select(F.col("node").alias("n"), "doc_id")
     texts = _texts(docs).withColumnRenamed("doc_id", "id")
-    texts = texts.join(wanted.withColumnRenamed("node", "n"), (F.col("node") == F.col("n")) & F.col("id").eqNullSafe(F.col("doc_id")))
+    texts = texts.join(wanted, (F.col("node") == F.col("n")) & F.col("id").eqNullSafe(F.col("doc_id")))
     words = materialize(_words_of(texts.select("node", "text")), "words")
-    members = members.drop("doc_id")
 
-    roots = None  # (node, root): classes found so far
     links = None
-    turn = 0
+    labels = None  # (node, root): a class seen so far; classes that are one without it being known yet only cost comparisons
+    round_no = 0
     while True:
-        turn += 1
-        if roots is None:
+        round_no += 1
+        if labels is None:
             classed = members.withColumn("root", F.col("node"))
         else:
-            classed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        # a centre for every bucket that still holds several classes; another order of nodes in every round
-        order = F.struct(F.xxhash64("node", F.lit(turn)), F.col("node"), F.col("root"))
+            classed = members.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
         open_buckets = (
             classed.groupBy("bucket")
-            .agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), F.min(order).alias("first"))
+            .agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct("node", "root")).alias("first"))
             .filter("low <> high")
             .select("bucket", "n", F.col("first.node").alias("centre"), F.col("first.root").alias("centre_root"))
         )
         held = materialize(classed.join(open_buckets, "bucket"), "open")
-        spokes = held.filter("root <> centre_root").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-        few = F.lit(turn > 1) & (F.col("n") <= SMALL)
-        if turn > 1:
-            little = held.filter(few).select("bucket", F.col("node").alias("a"), F.col("root").alias("ra"))
-            other = held.filter(few).select("bucket", F.col("node").alias("b"), F.col("root").alias("rb"))
-            spokes = spokes.unionByName(little.join(other, "bucket").filter("a < b AND ra <> rb").select("a", "b"))
-        found = materialize(verify(spokes.distinct(), words, similarity), "links")
-        if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            roots = connected(links)
-        # what goes on: larger buckets without their centre, told apart by one more sketch
-        rest = held.filter(~few & (F.col("node") != F.col("centre")))
-        if turn > 1:
-            further = F.get("sketches", (F.col("turn") + turn - 1) % SKETCHES)
-            rest = rest.withColumn("bucket", F.when(F.lit(turn <= SKETCHES), F.xxhash64("bucket", further)).otherwise(F.col("bucket")))
-        members = rest.select("bucket", "turn", "node", "sketches")
-        if members.isEmpty():
-            break
-    if roots is None:
-        roots = nodes.limit(0).select("node", F.col("node").alias("root"))
-    return sketched.select("doc_id", "node"), roots
+        pairs = held.filter("root <> centre_root").select(F.col("centre").alias("a"), F.col("node").alias("b"))
+        few = F.lit(round_no > 1) & (F.col("n") <= SMALL)
+        if round_no > 1:
+            little = held.filter(few)
+            pairs = pairs.unionByName(
+                little.select("bucket", F.col("node").alias("a"), F.col("root").alias("ra"))
+                .join(little.select("bucket", F.col("node").alias("b"), F.col("root").alias("rb")), "bucket")
+                .filter("a < b AND ra <> rb")
+                .select("a", "b")
+            )
+        found = materialize(verify(pairs.distinct(), words, similarity), "links")
+        links = found if links is None else links.unionByName(found)
+        # what goes on: larger buckets without their centre, told apart by two more sketches from the second round on
+        rest = held.filter(~few & (F.col("node") != F.col("centre"))).select("bucket", "turn", "node")
+        if rest.isEmpty():
+            return sketched.select("doc_id", "node"), connected(links)
+        if 1 < round_no <= SKETCHES // 2:
+            at = F.col("turn") + 2 * round_no - 3
+            keys = F.xxhash64("bucket", F.get("sketches", at % SKETCHES), F.get("sketches", (at + 1) % SKETCHES))
+            rest = rest.join(nodes.select("node", "sketches"), "node").select(keys.alias("bucket"), "turn", "node")
+        members = rest
+        parents = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))
+        above = parents.select(F.col("node").alias("root"), F.col("root").alias("further"))
+        labels = parents.join(above, "root", "left").select("node", F.coalesce("further", "root").alias("root"))
 
 
 def duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
