@@ -196,24 +196,34 @@ def test_missing_source_columns_are_skipped(spark, walk):
     assert "total_volume_lag_1h" not in features.add_lag_features(frame).columns
 
 
-@pytest.mark.parametrize("span", [1, 3, 6, 24])
-def test_ewma_ages_weights_over_nulls(spark, span):
+@pytest.mark.parametrize("span", [1, 1.5, 3, 6, 24, 26, 200])
+@pytest.mark.parametrize("gap", [0, 1700])
+def test_ewma_ages_weights_over_nulls(spark, span, gap):
     rng = np.random.default_rng(1)
-    values = pd.Series(rng.normal(size=1400) * 10 + 100)
-    values[rng.uniform(size=1400) < 0.2] = np.nan
-    hours = pd.date_range("2022-01-01", periods=1400, freq="h")
+    n = 1400 + gap
+    values = pd.Series(rng.normal(size=n) * 10 + 100)
+    values[rng.uniform(size=n) < 0.2] = np.nan
+    values[300 : 300 + gap] = np.nan
+    hours = pd.date_range("2022-01-01", periods=n, freq="h")
     raw = pd.DataFrame({"coin_id": "a", "timestamp": hours, "price": values})
     frame = spark.createDataFrame(raw).selectExpr("coin_id", "timestamp", "nanvl(price, null) price")
     got = features.add_ewma_features(frame, spans=[span], rows=512).toPandas().sort_values("timestamp")
-    want = values.ewm(span=span).mean()
-    if span == 1:  # the decay is zero: the value itself
-        want = values
-    np.testing.assert_allclose(got[f"price_ewma_{span}h"], want, rtol=1e-11)
+    np.testing.assert_allclose(got[f"price_ewma_{str(span).replace('.', '_')}h"], values.ewm(span=span).mean(), rtol=1e-9)
 
 
-def test_long_spans_are_refused(spark):
+def test_spans_below_one_are_refused():
     with pytest.raises(ValueError):
-        Columns(HOURLY, ["price"]).ewma("price", 200)
+        Columns(HOURLY, ["price"]).ewma("price", 0.5)
+
+
+def test_rows_without_key_or_time_stay(spark):
+    rows = [("a", "2022-01-01 00:00:00", 1.0), (None, "2022-01-01 01:00:00", 2.0), (None, "2022-01-02 01:00:00", None), ("a", None, 4.0), (None, None, 5.0)]
+    frame = spark.createDataFrame(rows, "coin_id string, timestamp string, price double").selectExpr("coin_id", "CAST(timestamp AS TIMESTAMP) timestamp", "price")
+    lagged = {(r.coin_id, str(r.timestamp)): r.price_lag_1h for r in features.add_lag_features(frame, columns=["price"], lags=[1]).collect()}
+    assert lagged == {
+        ("a", "2022-01-01 00:00:00"): None, ("a", "None"): 1.0,
+        (None, "2022-01-01 01:00:00"): None, (None, "2022-01-02 01:00:00"): 2.0, (None, "None"): None,
+    }
 
 
 def test_invariants(spark, walk):
@@ -232,7 +242,7 @@ def test_plan_sorts_once_for_all_windows(spark, walk):
     windows = [line for line in plan.splitlines() if "Window [" in line]
     physical = frame._jdf.queryExecution().executedPlan().toString()
     assert len([line for line in physical.splitlines() if "Sort [coin_id" in line and "__block" in line]) == 1
-    assert all("__block" in w or "__bucket" in w for w in windows)
+    assert all(any(n in w for n in ("__block", "__bucket", "__group")) for w in windows)
 
 
 def test_blocks_keep_input_columns(spark, walk):

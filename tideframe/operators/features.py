@@ -94,7 +94,9 @@ def _volume(p: Columns) -> Outputs:
 
 
 def _ewma(p: Columns, column: str, spans: Sequence[int], prefix: str = "ema") -> Outputs:
-    return {f"{prefix}_{span}h": p.ewma(column, span) for span in spans} if column in p.available else {}
+    out = {f"{prefix}_{str(span).replace('.', '_')}h": p.ewma(column, span) for span in spans} if column in p.available else {}
+    p.carried += out
+    return out
 
 
 def _bands(p: Columns, rows: int) -> tuple[str, str, str]:
@@ -178,7 +180,7 @@ def add_technical_indicators(df: DataFrame, series: Series = HOURLY, **options)
 def add_ewma_features(
     df: DataFrame, series: Series = HOURLY, column: str = "price", spans: Sequence[int] = (6, 12, 24), **options
 ) -> DataFrame:
-    """Adjusted exponential means; a missing value ages the weights of the values before it."""
+    """Adjusted exponential means; a missing value ages the weights of the values before it and repeats the last mean."""
     return in_blocks(df, series, lambda p: _ewma(p, column, spans, f"{column}_ewma"), **options)
 
 

@@ -8,20 +8,26 @@ series. Margin copies are dropped at the end. No task ever holds more than one b
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
 from tideframe.functions.expressions import finite, project
-from tideframe.plans.ordered import Carry, Series, filled_value, last_known, with_carry
+from tideframe.plans.ordered import Carry, Series, filled_value, forward_fill, last_known, with_carry
 
 SEGMENT_ROWS = 512
+NEGLIGIBLE = 1e-18
 BLOCK_ROWS = 16 * SEGMENT_ROWS
 
 POSITION, BLOCK, SEGMENT, START = "__position", "__block", "__segment", "__start"
 
 
+def segment_column(rows: int) -> str:
+    return SEGMENT if rows == SEGMENT_ROWS else f"{SEGMENT}{rows}"
+
+
 @dataclass
 class Columns:
     """Feature columns gathered in dependency order, as Spark SQL text.
@@ -36,7 +42,8 @@ class Columns:
     depth: dict[str, int] = field(default_factory=dict)
     steps: list[dict[str, str]] = field(default_factory=list)
     lookback: int = 0
-    segments: bool = False
+    segments: set[int] = field(default_factory=set)
+    carried: list[str] = field(default_factory=list)
 
     def over(self, frame: str = "") -> str:
         return f"OVER (PARTITION BY {', '.join([*self.series.keys, BLOCK])} ORDER BY {SEGMENT}, {POSITION} {frame})"
@@ -97,30 +104,42 @@ class Columns:
         spread = [self.add(f"__s{i}pair{tag}", f"stddev_samp({e}) {frame}", [x, y]) for i, e in enumerate((u, v))]
         return f"CASE WHEN {n} = {rows} THEN try_divide({cov}, {spread[0]} * {spread[1]}) END"
 
-    def ewma(self, c: str, span: int) -> str:
-        """Adjusted exponential mean: decayed sum of values over decayed sum of weights.
+    def ewma(self, c: str, span: float) -> str:
+        """Adjusted exponential mean: decayed sum of values over decayed sum of weights; NULL where ``c`` is.
 
         Inside a segment both sums are plain running sums of ``x / q^i``; the segment before enters
-        as its closing sum times ``q^(i+1)``. What is older than that weighs less than 1e-18.
+        as its closing sum times ``q^(i+1)``. A segment is so long that what is older weighs less than
+        1e-18 of the row's own value. A row without a value repeats the mean of the last row that has one:
+        name the output in ``carried`` to have that filled over gaps of any length.
         """
         q = 1.0 - 2.0 / (span + 1.0)
+        if q < 0:
+            raise ValueError(f"span {span} is below 1")
         if q == 0.0:
             return c
-        if q**SEGMENT_ROWS > 1e-18:
-            raise ValueError(f"span {span} needs segments longer than {SEGMENT_ROWS} rows")
-        self.segments = True
+        needed = math.log(NEGLIGIBLE) / math.log(q)
+        if q ** (SEGMENT_ROWS - 1) < 1e-290:  # decays so fast that a few rows are all of it
+            terms = [(f"coalesce({self.lag(c, k) if k else c}, 0D)", f"CASE WHEN {self.lag(c, k) if k else c} IS NOT NULL THEN 1D ELSE 0D END", q**k) for k in range(math.ceil(needed))]
+            top, low = (" + ".join(f"{w!r}D * {t[i]}" for t in terms for w in [t[2]]) for i in (0, 1))
+            return f"CASE WHEN {c} IS NOT NULL THEN ({top}) / ({low}) END"
+        rows = SEGMENT_ROWS
+        while rows < needed:
+            rows *= 2
+        self.segments.add(rows)
+        segment = segment_column(rows)
         keys = ", ".join([*self.series.keys, BLOCK])
-        inside = f"OVER (PARTITION BY {keys}, {SEGMENT} ORDER BY {POSITION} ROWS UNBOUNDED PRECEDING)"
-        before = f"OVER (PARTITION BY {keys} ORDER BY {SEGMENT} RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING)"
-        offset = f"({POSITION} % {SEGMENT_ROWS})"
+        inside = f"OVER (PARTITION BY {keys}, {segment} ORDER BY {POSITION} ROWS UNBOUNDED PRECEDING)"
+        before = f"OVER (PARTITION BY {keys} ORDER BY {segment} RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING)"
+        offset = f"({POSITION} % {rows})"
         decay = f"pow({q!r}D, {offset})"
+        tag = str(span).replace(".", "_")
         parts = []
         for label, term in (("top", c), ("low", f"CASE WHEN {c} IS NOT NULL THEN 1D END")):
-            local = self.add(f"__{label}{span}_{c}", f"{decay} * coalesce(sum({term} / {decay}) {inside}, 0D)", [c])
-            closing = f"sum(CASE WHEN {offset} = {SEGMENT_ROWS - 1} THEN {local} END) {before}"
+            local = self.add(f"__{label}{tag}_{c}", f"{decay} * coalesce(sum({term} / {decay}) {inside}, 0D)", [c])
+            closing = f"sum(CASE WHEN {offset} = {rows - 1} THEN {local} END) {before}"
             carried = self.add(f"__carried{local}", closing, [local])
             parts.append(f"({local} + {decay} * {q!r}D * coalesce({carried}, 0D))")
-        return f"try_divide({parts[0]}, {parts[1]})"
+        return f"CASE WHEN {c} IS NOT NULL THEN try_divide({parts[0]}, {parts[1]}) END"
 
 
 def block_frame(
@@ -130,14 +149,16 @@ def block_frame(
     rows: int = BLOCK_ROWS,
     fill: Sequence[str] = (),
     clean: Sequence[str] = (),
+    segments: Sequence[int] = (),
 ) -> DataFrame:
-    """Add position, block and segment columns and the margin copies.
+    """Add position, block and segment columns (``segments``: further segment lengths) and the margin copies.
 
     ``fill`` adds ``__ffill_<c>`` columns. ``clean`` instead forward-fills the named columns in place
     and blanks the leading rows that still miss one of them, in the same pass that numbers the rows.
     """
-    rows = max(rows, margin, SEGMENT_ROWS)
-    rows += -rows % SEGMENT_ROWS
+    longest = max([SEGMENT_ROWS, *segments])
+    rows = max(rows, margin, longest)
+    rows += -rows % longest
     carries = [Carry("__before", "count(1)")]
     carries += [last_known(f"__last_{c}", c, series.time) for c in [*fill, *clean]]
     # the series starts with its first row, or with the first row on which every cleaned column is known
@@ -160,7 +181,8 @@ def block_frame(
         out = out.selectExpr(*names, START, POSITION, f"explode({copies}) AS {BLOCK}")
     else:
         out = out.selectExpr(*names, START, POSITION, f"{block} AS {BLOCK}")
-    return out.selectExpr("*", f"{block} = {BLOCK} AS __own", f"{POSITION} div {SEGMENT_ROWS} AS {SEGMENT}")
+    cut = [f"{POSITION} div {n} AS {segment_column(n)}" for n in sorted({SEGMENT_ROWS, *segments})]
+    return out.selectExpr("*", f"{block} = {BLOCK} AS __own", *cut)
 
 
 def in_blocks(
@@ -176,13 +198,15 @@ def in_blocks(
     plan = Columns(series, [*df.columns, *[f"__ffill_{c}" for c in fill]])
     outputs = build(plan)
     # a derived input (a return) reaches one row further back than its own frame
-    margin = SEGMENT_ROWS if plan.segments else 0
-    margin = max(margin, plan.lookback + len(plan.steps) if plan.lookback else 0)
-    margin += -margin % SEGMENT_ROWS if plan.segments else 0
-    out = block_frame(df, series, margin, rows, fill, clean)
+    longest = max(plan.segments, default=0)
+    margin = max(longest, plan.lookback + len(plan.steps) if plan.lookback else 0)
+    margin += -margin % longest if longest else 0
+    out = block_frame(df, series, margin, rows, fill, clean, sorted(plan.segments))
     for step in plan.steps:
         out = out.selectExpr("*", *project(step))
     kept = [c for c in df.columns if c not in outputs]
     out = out.where("__own").selectExpr(*kept, *project(outputs))
+    if plan.carried and not drop_incomplete:
+        out = forward_fill(out, series, [c for c in plan.carried if c in outputs])
     # one test per column: a single test over all of them makes later filters and joins very slow to plan
     return out.where(" AND ".join(f"`{c}` IS NOT NULL" for c in out.columns)) if drop_incomplete else out

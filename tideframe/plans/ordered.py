@@ -18,7 +18,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BUCKET, COARSE = "__bucket", "__coarse"
+BUCKET, COARSE, GROUP = "__bucket", "__coarse", "__group"
 
 
 @dataclass(frozen=True)
@@ -42,7 +42,7 @@ class Series:
 
     def local(self, frame: str = "") -> str:
         """Window text: time order inside one fine bucket."""
-        return f"OVER (PARTITION BY {', '.join([*self.keys, BUCKET])} ORDER BY {self.order} {frame})"
+        return f"OVER (PARTITION BY {GROUP} ORDER BY {self.order} {frame})"
 
     def by(self, *keys: str) -> "Series":
         return replace(self, keys=tuple(keys))
@@ -93,34 +93,37 @@ def _window(keys: Sequence[str], order: str = "", frame: str = "") -> str:
 
 
 def with_carry(df: DataFrame, series: Series, carries: list[Carry], totals: Sequence[Carry] = ()) -> DataFrame:
-    """Add the bucket column, every carry over earlier buckets, and every total over the whole series."""
+    """Add the bucket group, every carry over earlier buckets, and every total over the whole series.
+
+    A group is one struct of keys and bucket: structs are equal where their nulls are, so rows without a key form a
+    series of their own and rows without a time come last in theirs.
+    """
     keys, every = list(series.keys), [*carries, *totals]
     rows = df.selectExpr("*", f"date_trunc('{series.fine}', {series.time}) AS {BUCKET}")
-    fine = rows.groupBy(*keys, BUCKET).agg(*[F.expr(c.aggregate).alias(c.name) for c in every])
+    rows = rows.selectExpr("*", f"struct({', '.join([*keys, BUCKET])}) AS {GROUP}").drop(BUCKET)
+    fine = rows.groupBy(GROUP).agg(*[F.expr(c.aggregate).alias(c.name) for c in every])
+    fine = fine.selectExpr(GROUP, *[f"{GROUP}.{k} AS {k}" for k in [*keys, BUCKET]], *[c.name for c in every])
     whole = [f"{c.combined()} {_window(keys)} AS __all_{c.name}" for c in totals]
     if series.coarse is None:
-        before = _window(keys, BUCKET, EARLIER)
+        before = _window(keys, f"{BUCKET} NULLS LAST", EARLIER)
         carried = [f"{c.start(f'{c.combined()} {before}')} AS __far_{c.name}" for c in carries]
-        table = fine.selectExpr(*keys, BUCKET, *carried, *whole)
+        table = fine.selectExpr(GROUP, *carried, *whole)
     else:
-        fine = fine.selectExpr("*", f"date_trunc('{series.coarse}', {BUCKET}) AS {COARSE}")
-        coarse = fine.groupBy(*keys, COARSE).agg(*[F.expr(c.combined()).alias(c.name) for c in every])
-        far = _window(keys, COARSE, EARLIER)
-        coarse = coarse.selectExpr(
-            *keys, COARSE, *[f"{c.combined()} {far} AS __far_{c.name}" for c in carries], *whole
-        )
-        near = _window([*keys, COARSE], BUCKET, EARLIER)
-        fine = fine.selectExpr(
-            *keys, COARSE, BUCKET, *[f"{c.combined()} {near} AS __near_{c.name}" for c in carries]
-        )
-        table = fine.join(coarse, [*keys, COARSE]).selectExpr(
-            *keys,
-            BUCKET,
+        wide = f"struct({', '.join([*keys, f"date_trunc('{series.coarse}', {BUCKET}) AS {COARSE}"])}) AS __wide"
+        fine = fine.selectExpr("*", wide)
+        coarse = fine.groupBy("__wide").agg(*[F.expr(c.combined()).alias(c.name) for c in every])
+        far = _window([f"__wide.{k}" for k in keys], f"__wide.{COARSE} NULLS LAST", EARLIER)
+        whole = [f"{c.combined()} {_window([f'__wide.{k}' for k in keys])} AS __all_{c.name}" for c in totals]
+        coarse = coarse.selectExpr("__wide", *[f"{c.combined()} {far} AS __far_{c.name}" for c in carries], *whole)
+        near = _window(["__wide"], f"{BUCKET} NULLS LAST", EARLIER)
+        fine = fine.selectExpr("__wide", GROUP, *[f"{c.combined()} {near} AS __near_{c.name}" for c in carries])
+        table = fine.join(coarse, "__wide").selectExpr(
+            GROUP,
             *[f"{c.merge(f'__far_{c.name}', f'__near_{c.name}')} AS __far_{c.name}" for c in carries],
             *[f"__all_{c.name}" for c in totals],
         )
     names = {f"__far_{c.name}": c.name for c in carries} | {f"__all_{c.name}": c.name for c in totals}
-    return rows.join(table.withColumnsRenamed(names), [*keys, BUCKET])
+    return rows.join(table.withColumnsRenamed(names), GROUP)
 
 
 def ordinal(df: DataFrame, series: Series, name: str = "position", size: str | None = None) -> DataFrame:
