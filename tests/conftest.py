@@ -19,20 +19,21 @@ def spark():
 
 @pytest.fixture(scope="session")
 def walk():
-    """Seeded hourly random walk; several series come interleaved and out of order."""
+    """Seeded hourly series with a daily swing; several series come interleaved and out of order."""
 
-    def make(rows=200, coins=("a", "b"), seed=42, gaps=False):
+    def make(rows=200, coins=("a", "b"), seed=11, gaps=False):
         rng, frames = np.random.default_rng(seed), []
         for coin in coins:
             hours = pd.date_range("2022-01-01", periods=rows, freq="h")
+            swing = np.sin(np.arange(rows) * 2 * np.pi / 24)
             frames.append(
                 pd.DataFrame(
                     {
                         "coin_id": coin,
                         "timestamp": hours,
-                        "price": 45000 + np.cumsum(rng.normal(size=rows) * 100),
-                        "market_cap": 9e11 + np.cumsum(rng.normal(size=rows) * 1e9),
-                        "total_volume": 2e10 + rng.uniform(-1e9, 1e9, rows),
+                        "price": 640 + 25 * swing + np.cumsum(rng.normal(size=rows) * 1.5),
+                        "market_cap": 5e7 + 4e4 * swing + np.cumsum(rng.normal(size=rows) * 2e4),
+                        "total_volume": 3e5 * np.exp(rng.normal(size=rows) * 0.1),
                     }
                 )
             )

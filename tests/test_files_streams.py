@@ -12,15 +12,15 @@ from tideframe.sources import files
 from tideframe.sources.tables import events, request_log
 from tideframe.streaming import ingest, metrics
 
-HOUR = 3_600_000
+HOUR, START = 3_600_000, 1_710_504_000_000
 
 
 def payload(spark, tmp_path, **changes):
-    n = 24
+    times = [START + HOUR * i + 977 * i * i for i in range(7)]  # irregular
     doc = {
-        "prices": [[1640995200000 + HOUR * i, 47000 + 100 * i] for i in range(n)],
-        "market_caps": [[1640995200000 + HOUR * i, 9e11 + 1e6 * i] for i in range(n)],
-        "total_volumes": [[1640995200000 + HOUR * i, 2e10 + 1e6 * i] for i in range(n)],
+        "prices": [[t, 3.5 + 2 * i] for i, t in enumerate(times)],
+        "market_caps": [[t, 800.0 - i] for i, t in enumerate(times)],
+        "total_volumes": [[t, 15.25 * i] for i, t in enumerate(times)],
     } | changes
     path = tmp_path / "payload.json"
     path.write_text(json.dumps(doc, indent=1))
@@ -29,27 +29,33 @@ def payload(spark, tmp_path, **changes):
 
 def test_flatten(spark, tmp_path):
     rows = files.flatten_market_chart(payload(spark, tmp_path)).orderBy("timestamp").collect()
-    assert len(rows) == 24 and rows[0]["timestamp"] == dt.datetime(2022, 1, 1)
-    assert (rows[3]["price"], rows[3]["market_cap"], rows[3]["total_volume"]) == (47300.0, 9e11 + 3e6, 2e10 + 3e6)
+    assert len(rows) == 7 and rows[0]["timestamp"] == dt.datetime(2024, 3, 15, 12)
+    assert rows[2]["timestamp"] == dt.datetime(2024, 3, 15, 14, 0, 3, 908000)
+    assert (rows[3]["price"], rows[3]["market_cap"], rows[3]["total_volume"]) == (9.5, 797.0, 45.75)
 
 
 def test_flatten_null_items_ragged_and_empty(spark, tmp_path):
-    holes = [None] * 24
+    holes = [None] * 7
     rows = files.flatten_market_chart(payload(spark, tmp_path, market_caps=holes)).collect()
-    assert all(r["market_cap"] is None for r in rows) and len(rows) == 24
+    assert all(r["market_cap"] is None for r in rows) and len(rows) == 7
+    with pytest.raises(Exception, match="empty item"):
+        files.flatten_market_chart(payload(spark, tmp_path, market_caps=holes), strict=True).collect()
     with pytest.raises(Exception, match="differ in length"):
         files.flatten_market_chart(payload(spark, tmp_path, total_volumes=[[1, 2]])).collect()
     empty = payload(spark, tmp_path, prices=[], market_caps=[], total_volumes=[])
-    with pytest.raises(ValueError, match="No price data found"):
+    with pytest.raises(ValueError, match="no price at all"):
         files.require_prices(empty)
+    assert files.without_prices(empty).count() == 1
 
 
 def test_time_range_and_lookup(spark, walk):
     frame = spark.createDataFrame(walk(72, coins=("a",)))
     assert publish.time_range(frame, end="2022-01-02").count() == 25  # a date is its midnight
     assert publish.time_range(frame, start="2022-01-02", end="2022-01-02 02:00:00").count() == 3
-    with pytest.raises(ValueError):
-        publish.time_range(frame, start="2022-01-02", end="2022-01-02")
+    for start, end in (("2022-01-02", "2022-01-02"), ("2022-01-02 10:00:00", "2022-01-02 9:00:00")):
+        with pytest.raises(ValueError):
+            publish.time_range(frame, start=start, end=end)
+    assert publish.time_range(frame, start="2022-01-02 9:00:00", end="2022-01-02 10:00:00").count() == 2
     with pytest.raises(ValueError):
         publish.at_time(frame, "2030-01-01")
     assert publish.at_time(frame, "2022-01-01 05:00:00").count() == 1
@@ -69,14 +75,28 @@ def test_fingerprint_sees_duplicates_but_not_order(spark, walk):
     frame = spark.createDataFrame(walk(40))
     base = publish.table_fingerprint(frame).first()
     assert publish.table_fingerprint(frame.orderBy("price").repartition(3)).first() == base
-    assert publish.table_fingerprint(frame.union(frame)).first()["row_sum"] != base["row_sum"]
+    assert publish.table_fingerprint(frame.union(frame)).first()["digest"] != base["digest"]
+
+
+def test_fingerprint_sees_where_nulls_are(spark, tmp_path):
+    schema = "a int, b int, `odd name` string"
+    one = spark.createDataFrame([(1, None, ""), (2, 3, None)], schema)
+    other = spark.createDataFrame([(None, 1, ""), (2, 3, None)], schema)
+    moved = spark.createDataFrame([(1, None, None), (2, 3, "")], schema)
+    digests = {publish.table_fingerprint(f).first()["digest"] for f in (one, other, moved)}
+    assert len(digests) == 3
+    row = publish.publish_dataset(one, str(tmp_path), "x", "1").first()
+    assert row["verified"] and row["digest"] == publish.table_fingerprint(one).first()["digest"]
 
 
 def test_manifest_and_report(spark, tmp_path):
-    (tmp_path / "a.bin").write_bytes(b"abc")
-    row = publish.content_manifest(spark, str(tmp_path), "*.bin").first()
-    assert row["md5"] == "900150983cd24fb0d6963f7d28e17f72" and row["size"] == 3
-    assert row["content_key"] == "90/0150983cd24fb0d6963f7d28e17f72"
+    frame = spark.createDataFrame([(i, str(i)) for i in range(20)], "a int, b string")
+    frame.repartitionByRange(3, "a").write.parquet(str(tmp_path / "data"))
+    stored = spark.read.parquet(str(tmp_path / "data"))
+    files_ = publish.content_manifest(stored).collect()
+    assert len(files_) == 3 and sum(r["rows"] for r in files_) == 20
+    whole = [sum(int(r["digest"].split("-")[k]) for r in files_) for k in (0, 1)]
+    assert publish.table_fingerprint(frame).first()["digest"] == f"{whole[0]}-{whole[1]}"
     path = publish.write_report(spark.range(1), str(tmp_path / "report"))
     assert len([f for f in os.listdir(path) if f.endswith(".json")]) == 1
 

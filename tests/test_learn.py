@@ -41,13 +41,13 @@ def test_split_and_folds(spark, n):
     held = int(np.ceil(0.2 * n))
     assert split["is_test"].tolist() == [False] * (n - held) + [True] * held
     folds = learn.cv_folds(frame).toPandas().sort_values("timestamp")["fold"].tolist()
-    if n > 30:
-        size = n // 4
-        want = [0] * (n - 3 * size) + [1] * size + [2] * size + [3] * size
-    else:
-        sizes = [n // 3 + (i < n % 3) for i in range(3)]
-        want = [i + 1 for i, s in enumerate(sizes) for _ in range(s)]
-    assert folds == want
+    size = n // 4
+    assert folds == [0] * (n - 3 * size) + [1] * size + [2] * size + [3] * size
+    folds = learn.cv_folds(frame, scheme="contiguous").toPandas().sort_values("timestamp")["fold"].tolist()
+    sizes = [n // 3 + (i < n % 3) for i in range(3)]
+    assert folds == [i + 1 for i, s in enumerate(sizes) for _ in range(s)]
+    with pytest.raises(ValueError):
+        learn.cv_folds(frame, scheme="other")
 
 
 def test_ridge_equals_the_closed_form(ridge):
@@ -103,7 +103,7 @@ def test_recursive_forecast_moves_three_columns_only(rows, ridge):
         last["timestamp"] += pd.Timedelta(hours=1)
         assert future["timestamp"].iloc[step] == last["timestamp"]
     with pytest.raises(ValueError):
-        learn.predict_future(model, rows, 25, "ridge")
+        learn.predict_future(model, rows, 0, "ridge")
 
 
 def test_metrics_edges(spark):
@@ -124,8 +124,8 @@ def test_best_model_takes_the_first_of_equals(spark):
 
 def test_model_gate(spark):
     schema = "metric string, value double"
-    old = spark.createDataFrame([("rmse", 1053.72), ("mae", 812.34), ("r2", 0.9234)], schema)
-    new = spark.createDataFrame([("rmse", 1021.45), ("mae", 812.35), ("r2", 0.9312)], schema)
+    old = spark.createDataFrame([("rmse", 40.0), ("mae", 25.0), ("r2", 0.5)], schema)
+    new = spark.createDataFrame([("rmse", 38.0), ("mae", 25.5), ("r2", 0.6)], schema)
     got = {r["metric"]: r for r in evaluate.model_gate(old, new).collect()}
-    assert round(got["rmse"]["change_pct"], 2) == -3.06 and round(got["r2"]["change_pct"], 2) == 0.84
+    assert round(got["rmse"]["change_pct"], 2) == -5.0 and round(got["r2"]["change_pct"], 2) == 20.0
     assert [got[m]["passed"] for m in ("rmse", "mae", "r2")] == [True, False, True]

@@ -10,6 +10,7 @@ from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +32,7 @@ NOT_FEATURES = {
 TARGET = "price"
 TEST_SHARE = 0.2
 FOLDS = 3
-TIME_SERIES_CV_ROWS = 30
+TRAIN_PARTITIONS = 16
 SEED = 42
 FOREST = {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 2, "featureSubsetStrategy": "all", "seed": SEED}
 BOOSTING = {"maxIter": 100, "maxDepth": 5, "stepSize": 0.1, "minInstancesPerNode": 2, "seed": SEED}
@@ -84,13 +85,13 @@ def chrono_split(df: DataFrame, series: Series = HOURLY, test_share: float = TES
     return numbered.selectExpr(*df.columns, f"__position >= __size - ceil({test_share}D * __size) AS is_test")
 
 
-def fold_number(position: str, size: str) -> str:
+def fold_number(position: str, size: str, scheme: str = "time_series") -> str:
     """Validation fold (1..3) of a row.
 
-    Above 30 rows: consecutive tail folds of size n div 4, each validated against everything before
-    it; fold 0 only trains. Otherwise three contiguous folds, the first n mod 3 one row longer.
+    ``time_series``: consecutive tail folds of size n div 4, each validated against everything before
+    it; fold 0 only trains. ``contiguous``: three contiguous folds, the first n mod 3 one row longer.
     """
-    n_fold = f"({size} div {FOLDS + 1})"
+    n_fold = f"greatest({size} div {FOLDS + 1}, 1)"
     tail = f"greatest(({position} - ({size} - {FOLDS} * {n_fold})), -1)"
     time_series = f"CASE WHEN {tail} < 0 THEN 0 ELSE {tail} div {n_fold} + 1 END"
     long = f"({size} div {FOLDS} + 1)"
@@ -99,14 +100,16 @@ def fold_number(position: str, size: str) -> str:
         f"CASE WHEN {position} < {longer_rows} THEN {position} div {long} + 1"
         f" ELSE ({position} - {longer_rows}) div greatest({size} div {FOLDS}, 1) + {size} % {FOLDS} + 1 END"
     )
-    return f"CASE WHEN {size} > {TIME_SERIES_CV_ROWS} THEN {time_series} ELSE {contiguous} END"
+    if scheme not in ("time_series", "contiguous"):
+        raise ValueError(f"unknown fold scheme {scheme}")
+    return time_series if scheme == "time_series" else contiguous
 
 
-def cv_folds(df: DataFrame, series: Series = HOURLY) -> DataFrame:
+def cv_folds(df: DataFrame, series: Series = HOURLY, scheme: str = "time_series") -> DataFrame:
     """Add ``fold`` and ``past_only`` (validated against earlier folds only) per series."""
     numbered = ordinal(df, series, "__position", "__size")
-    fold = f"CAST({fold_number('__position', '__size')} AS INT) AS fold"
-    return numbered.selectExpr(*df.columns, fold, f"__size > {TIME_SERIES_CV_ROWS} AS past_only")
+    fold = f"CAST({fold_number('__position', '__size', scheme)} AS INT) AS fold"
+    return numbered.selectExpr(*df.columns, fold, f"{str(scheme == 'time_series').lower()} AS past_only")
 
 
 def scoring_stages(scaling: Scaling, features: Sequence[str]) -> list:
@@ -134,12 +137,13 @@ def make_estimator(name: str, rows: int, label_deviation: float):
     raise ValueError(f"unknown model {name}")
 
 
-def spread(rows: DataFrame, rows_per_task: int = 500) -> DataFrame:
-    """More partitions for a small stored training set; a large one already has enough."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() >= cores:
-        return rows
-    return rows.repartition(max(1, min(cores, rows.count() // rows_per_task)))
+def fixed_layout(rows: DataFrame, series: Series = HOURLY, partitions: int = TRAIN_PARTITIONS) -> DataFrame:
+    """Rows in an order that depends on the data only: bagging follows partitions and places within them.
+
+    ``partitions`` is part of the result for tree models; choose it by the size of the training set.
+    """
+    order = [*series.keys, series.time]
+    return rows.repartition(partitions, *order).sortWithinPartitions(*order)
 
 
 def fit_model(name: str, assembled: DataFrame):
@@ -172,6 +176,7 @@ def train_models(
     names: Sequence[str] = MODELS,
     exclude_target: bool = False,
     cross_validate: bool = False,
+    partitions: int = TRAIN_PARTITIONS,
 ) -> Training:
     """Impute, scale on all rows, split in time order, fit every model and mark the best test error.
 
@@ -182,7 +187,7 @@ def train_models(
     stages = scoring_stages(Scaling.fit(prepared, features), features)
     split = assemble(chrono_split(prepared, series), stages)
     rows = materialize(split.select(*series.keys, series.time, "features", "label", "is_test"), "training")
-    train = spread(rows.where("NOT is_test")).persist(StorageLevel.MEMORY_AND_DISK)
+    train = fixed_layout(rows.where("NOT is_test"), series, partitions).persist(StorageLevel.MEMORY_AND_DISK)
     models, reports = {}, None
     for position, name in enumerate(names):
         try:
@@ -192,7 +197,7 @@ def train_models(
             if cross_validate:
                 summary = cross_validation(name, train, series).first()
                 report = report.withColumns({k: F.lit(v) for k, v in summary.asDict().items()})
-        except Exception as error:  # noqa: BLE001 - one failing model must not stop the others
+        except (ValueError, AnalysisException, IllegalArgumentException) as error:  # one model must not stop the others
             log.warning("training %s failed: %s", name, error)
             continue
         models[name] = PipelineModel(stages=[*stages, model])
@@ -247,7 +252,7 @@ def predict_batch(
     series: Series = HOURLY,
     start: str | None = None,
     end: str | None = None,
-    fill: bool = False,
+    fill: bool = True,
 ) -> DataFrame:
     """Predictions for a closed time range next to the current price. ``fill`` closes feature gaps first."""
     rows = time_range(df, series.time, start, end)
@@ -269,14 +274,14 @@ def predict_batch(
 def predict_future(
     model: PipelineModel, df: DataFrame, hours: int, model_type: str, series: Series = HOURLY, cut_every: int = 6
 ) -> DataFrame:
-    """Recursive forecast of 1..24 hours for every series at once.
+    """Recursive forecast of one hour or more for every series at once.
 
     Each step predicts from the newest row per series, moves it one hour on, sets the predicted price
     and the two one-hour changes, and leaves every other feature as it is. The path so far rides along
     in an array, so there is one chain of steps, cut by a written table every few hours.
     """
-    if not 1 <= hours <= 24:
-        raise ValueError("hours must be between 1 and 24")
+    if hours < 1:
+        raise ValueError("hours must be at least 1")
     frontier = materialize(latest_row(df, series), "frontier")
     columns = frontier.columns
     ahead = frontier.selectExpr("*", "CAST(array() AS array<struct<time:timestamp,price:double>>) AS __path")

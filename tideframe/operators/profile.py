@@ -15,9 +15,6 @@ STATS_SCHEMA = (
     "column_name string, count bigint, mean double, std double, min double, q25 double, median double, q75 double, max double"
 )
 
-# Size limits above which a profile leaves out correlations and random samples.
-MINIMAL_ROWS, MINIMAL_COLUMNS = 10_000, 50
-
 
 def describe_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, range and exact quartiles per numeric column.
@@ -129,8 +126,3 @@ def sample_rows(df: DataFrame, order: Sequence[str], size: int = 10, seed: int =
         drawn = df.orderBy(F.xxhash64(*order, F.lit(seed)), *order).limit(size)
         out = out.unionByName(drawn.withColumn("sample", F.lit("random")))
     return out
-
-
-def is_minimal(rows: int, columns: int) -> bool:
-    """Whether a profile of this size leaves out correlations and random samples."""
-    return rows > MINIMAL_ROWS or columns > MINIMAL_COLUMNS

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tideframe.plans.ordered import HOURLY, Series
@@ -13,8 +15,10 @@ def time_range(df: DataFrame, time: str = "timestamp", start: str | None = None,
 
     A date without a time is its midnight, so an end date covers only its first instant.
     """
-    if start is not None and end is not None and not start < end:
-        raise ValueError("start must be before end")
+    if start is not None and end is not None:
+        first, last = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
+        if not df.sparkSession.range(1).select(F.coalesce(first < last, F.lit(False))).first()[0]:
+            raise ValueError("start must be an instant before end")
     if start is not None:
         df = df.where(F.col(time) >= F.lit(start).cast("timestamp"))
     if end is not None:
@@ -46,33 +50,47 @@ def _edge_row(df: DataFrame, series: Series, pick) -> DataFrame:
     return edge.select(*[F.col(c) if c in series.keys else F.col(f"__row.{c}").alias(c) for c in df.columns])
 
 
-def fingerprint_columns(columns: list[str]) -> list[Column]:
-    """Row count and two order-free digests. Equal rows cancel out under xor, so a bounded sum is kept as well."""
-    row = f"xxhash64({', '.join(columns)})"
+def row_text(df: DataFrame, columns: list[str]) -> str:
+    """SQL text of a row: each value with its length before it, ``n;`` for null; times as microseconds.
+
+    No two different rows have the same text: lengths keep values apart and a null is not an empty text.
+    """
+    kinds = {f.name: f.dataType.typeName() for f in df.schema}
+    parts = []
+    for c in columns:
+        value = f"unix_micros(CAST(`{c}` AS TIMESTAMP))" if kinds[c].startswith("timestamp") else f"`{c}`"
+        text = f"CAST({value} AS STRING)"
+        parts.append(f"CASE WHEN `{c}` IS NULL THEN 'n;' ELSE concat(char_length({text}), ':', {text}, ';') END")
+    return f"concat({', '.join(parts)})"
+
+
+def fingerprint_columns(df: DataFrame, columns: list[str] | None = None) -> list[Column]:
+    """Row count and order-free digest: sums of two 60-bit parts of every row's MD5."""
+    digest = f"md5({row_text(df, columns or df.columns)})"
+    part = "coalesce(sum(CAST(conv(substring({}, {}, 15), 16, 10) AS DECIMAL(38, 0))), 0)"
     return [
         F.count(F.lit(1)).alias("rows"),
-        F.expr(f"coalesce(bit_xor({row}), 0)").alias("row_xor"),
-        F.expr(f"coalesce(sum(pmod({row}, 1000003)), 0)").alias("row_sum"),
+        F.expr(f"concat({part.format(digest, 1)}, '-', {part.format(digest, 16)})").alias("digest"),
     ]
 
 
 def table_fingerprint(df: DataFrame) -> DataFrame:
     """Fingerprint of a whole table; works at any size and does not depend on row order."""
-    return df.agg(*fingerprint_columns(df.columns))
+    return df.agg(*fingerprint_columns(df))
 
 
-def content_manifest(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """MD5, size and content-addressed key of every file under ``path``.
+def content_manifest(rows: DataFrame) -> DataFrame:
+    """Rows, digest and content-addressed key of every file of a stored dataset, just as read from it.
 
-    A file is one row of the binary source, which holds files up to 2 GB; use
-    :func:`table_fingerprint` for larger ones.
+    The rows of a file are digested by the tasks that read them, so files of any size are spread over tasks.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
-    return files.selectExpr("path", "length AS size", "md5(content) AS md5").selectExpr(
-        "substring_index(path, '/', -1) AS file_name",
-        "size",
-        "md5",
-        "concat(substring(md5, 1, 2), '/', substring(md5, 3)) AS content_key",
+    keyed = rows.select("*", F.col("_metadata.file_path").alias("__path"))
+    files = keyed.groupBy("__path").agg(*fingerprint_columns(rows))
+    return files.selectExpr(
+        "substring_index(__path, '/', -1) AS file_name",
+        "rows",
+        "digest",
+        "concat(substring(md5(digest), 1, 2), '/', substring(md5(digest), 3)) AS content_key",
     )
 
 
@@ -95,18 +113,18 @@ def publish_dataset(df: DataFrame, base: str, name: str, run_ts: str) -> DataFra
     """
     path = f"{base.rstrip('/')}/processed/{run_ts}_{name}"
     written = Observation("published")  # taken while the rows are written, so they are derived once
-    df.observe(written, *fingerprint_columns(df.columns)).write.mode("error").parquet(path)
+    df.observe(written, *fingerprint_columns(df)).write.mode("error").parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     have = table_fingerprint(stored).first().asDict()
-    row = (name, f"processed/{run_ts}_{name}", have["rows"], have["row_xor"], written.get == have)
-    return df.sparkSession.createDataFrame([row], "name string, key string, rows bigint, digest bigint, verified boolean")
+    row = (name, f"processed/{run_ts}_{name}", have["rows"], have["digest"], written.get == have)
+    return df.sparkSession.createDataFrame([row], "name string, key string, rows bigint, digest string, verified boolean")
 
 
 def publish_with_fallback(df: DataFrame, base: str, backup: str, name: str, run_ts: str) -> DataFrame:
     """Publish to ``base``; if that fails keep the dataset under ``backup`` instead."""
     try:
         return publish_dataset(df, base, name, run_ts).withColumn("fallback", F.lit(False))
-    except Exception:  # noqa: BLE001 - any storage failure leads to the backup copy
+    except (AnalysisException, Py4JJavaError):  # the path is taken or the storage cannot be written: keep a backup copy
         return publish_dataset(df, backup, name, run_ts).withColumn("fallback", F.lit(True))
 
 

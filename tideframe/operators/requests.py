@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideframe.functions.expressions import number
 from tideframe.operators.drift import ALERT_RATIO
-from tideframe.plans.ordered import EVENT_LOG, Series, previous, running_total
+from tideframe.plans.ordered import EVENT_LOG, GROUP, SO_FAR, Series, grouped, previous, running_total
+from tideframe.session import materialize
 from tideframe.sources.tables import event_order
 
 # Histogram bounds, rule ranges, thresholds and hold times.
@@ -26,7 +26,6 @@ LATENCY_LIMIT, ERROR_RATE_LIMIT = 0.5, 0.1
 HOLD_SECONDS = {"HighAPILatency": 300, "DataDriftSpike": 120, "ModelUnhealthy": 60, "HighErrorRate": 300}
 SEVERITY = {"HighAPILatency": "warning", "DataDriftSpike": "warning", "ModelUnhealthy": "critical", "HighErrorRate": "critical"}
 
-KEEP = StorageLevel.MEMORY_AND_DISK
 GRID = Series(keys=("endpoint",), time="window_end", fine="day")
 
 
@@ -194,19 +193,28 @@ def sustained(
     """
     labels = list(series.keys)
     marked = samples.selectExpr(*labels, series.time, *series.ties, f"coalesce({condition}, false) AS __on", f"{value} AS __measure")
-    marked = marked.withColumn("__at", F.col(series.time))
-    # read four times below: twice by each ordered pass
-    marked = previous(marked.persist(KEEP), series, ["__on", "__at"], prefix="__prev").persist(KEEP)
+    # runs of one state inside a bucket: one sort of the rows; what follows reads one row per change and bucket
+    bucketed = grouped(marked, series).withColumn("__at", F.col(series.time))
+    local = series.local()
+    gap = f"unix_micros(__at) - unix_micros({{}}) > {(step_seconds or 0) * 1_000_000}"
+    changed = f"__was IS NULL OR __was <> __on{f' OR {gap.format("__was_at")}' if step_seconds else ''}"
+    runs = bucketed.selectExpr("*", f"lag(__on) {local} AS __was", f"lag(__at) {local} AS __was_at")
+    runs = runs.selectExpr("*", f"sum(CAST({changed} AS BIGINT)) {series.local(SO_FAR)} AS __run")
+    runs = runs.groupBy(GROUP, "__run").agg(
+        F.first("__on").alias("__on"), F.min("__at").alias("__at"), F.max("__at").alias("__until"), F.max("__measure").alias("__measure")
+    )
+    runs = materialize(runs.selectExpr(*[f"{GROUP}.{k} AS {k}" for k in labels], "__run", "__on", "__at", "__until", "__measure"), "runs")
+    order = Series(series.keys, "__at", ("__run",), series.fine, series.coarse)
+    marked = previous(runs, order, ["__on", "__until"], prefix="__prev")
     broken = "NOT coalesce(__prev__on, false)"
     if step_seconds:
-        gap = f"unix_micros({series.time}) - unix_micros(__prev__at) > {step_seconds * 1_000_000}"
-        broken = f"({broken} OR {gap})"
-    numbered = running_total(marked, series, f"CASE WHEN __on AND {broken} THEN 1L ELSE 0L END", "__island")
+        broken = f"({broken} OR {gap.format('__prev__until')})"
+    numbered = running_total(marked, order, f"CASE WHEN __on AND {broken} THEN 1L ELSE 0L END", "__island")
     stretch = numbered.where("__island > 0").groupBy(*labels, "__island")
     ends = "min(CASE WHEN NOT __on THEN __at END)" if step_seconds is None else "CAST(NULL AS TIMESTAMP)"
     spans = stretch.agg(
         F.expr("min(CASE WHEN __on THEN __at END)").alias("since"),
-        F.expr(f"coalesce({ends}, max(CASE WHEN __on THEN __at END))").alias("until"),
+        F.expr(f"coalesce({ends}, max(CASE WHEN __on THEN __until END))").alias("until"),
         F.expr("max(CASE WHEN __on THEN __measure END)").alias("peak"),
     )
     fires = f"unix_micros(until) - unix_micros(since) >= {hold_seconds * 1_000_000}L AS firing"

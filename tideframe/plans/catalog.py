@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tideframe.functions.numeric import numeric_columns, round_doubles
 from tideframe.operators import clean, drift, evaluate, features, learn, profile, publish, quality, requests
-from tideframe.plans.ordered import EVENT_LOG, HOURLY, Series
+from tideframe.plans.ordered import EVENT_LOG, HOURLY, Series, forward_fill, ordinal, previous, running_total
 from tideframe.session import materialize, new_path
 from tideframe.sources import files
 from tideframe.sources.tables import (
@@ -82,7 +82,8 @@ def latest_version(spark, folder):
 
 @query
 def content_manifest(spark, folder):
-    return publish.content_manifest(spark, folder, "*.parquet")
+    """The files of the event table."""
+    return publish.content_manifest(spark.read.parquet(f"{folder}/events.parquet"))
 
 
 @query
@@ -92,7 +93,8 @@ def table_fingerprint(spark, folder):
 
 @query
 def publish_verify(spark, folder):
-    return publish.publish_dataset(hourly(spark, folder), new_path(spark, "published"), "hourly", "20240131_000000")
+    """The record of a published copy; its digest is checked against the source, its text depends on the engine."""
+    return publish.publish_dataset(hourly(spark, folder), new_path(spark, "published"), "hourly", "20240131_000000").drop("digest")
 
 
 # filters and lookups -------------------------------------------------------------------------
@@ -296,6 +298,7 @@ def correlation_matrix(spark, folder):
 
 @query
 def sample_rows(spark, folder):
+    """First and last rows; the random part depends on the engine's hash and is tested on its own."""
     return profile.sample_rows(hourly(spark, folder), ["timestamp", "coin_id"], random=False)
 
 
@@ -368,6 +371,41 @@ def ts_cv_folds(spark, folder):
     return learn.cv_folds(hourly(spark, folder))
 
 
+@query
+def contiguous_cv_folds(spark, folder):
+    return learn.cv_folds(hourly(spark, folder), scheme="contiguous")
+
+
+def _gappy_log(spark, folder):
+    """Events of which some have no type, some no time, and a long stretch of each type no value."""
+    return events(spark, folder).selectExpr(
+        "event_id",
+        "CASE WHEN event_id % 7 <> 0 THEN event_type END AS kind",
+        "CASE WHEN event_id % 11 <> 0 THEN ts END AS ts",
+        "CASE WHEN event_id % 5 <> 0 THEN value END AS value",
+    )
+
+
+@query
+def ordered_null_keys(spark, folder):
+    """Row number, running count, row before and fill over series of which one has no key and rows without a time."""
+    series = Series(("kind",), "ts", ("event_id",), "day")
+    rows = previous(_gappy_log(spark, folder), series, ["event_id"])
+    rows = ordinal(running_total(rows, series, "1L", "counter"), series, "position", "size")
+    return forward_fill(rows, series, ["value"]).drop("ts")
+
+
+@query
+def ewma_long_gaps(spark, folder):
+    """Exponential means of short and long spans over events whose values are missing for most of January."""
+    rows = events(spark, folder).selectExpr(
+        "event_id", "event_type", "ts", "CASE WHEN ts < TIMESTAMP '2024-01-03' OR ts > TIMESTAMP '2024-01-25' THEN value END AS value"
+    )
+    series = Series(("event_type",), "ts", ("event_id",), "day")
+    out = features.add_ewma_features(rows, series, "value", (6, 24, 200))
+    return out.select("event_id", *[f"value_ewma_{n}h" for n in (6, 24, 200)])
+
+
 @query
 def evaluate_forecast(spark, folder):
     return evaluate.evaluate_forecast(naive_predictions(hourly(spark, folder)), by=["coin_id"])

@@ -522,7 +522,49 @@ _FOLD = (
     " WHEN pos < 2 * (n // 3) + least(n % 3, 2) THEN 2 ELSE 3 END END"
 )
 FOLDED = HOURLY + f", folded AS (SELECT *, CAST({_FOLD} AS INTEGER) AS fold FROM ({NUMBERED}))"
-oracle("ts_cv_folds", FOLDED, f"SELECT {BASE}, fold, n > 30 AS past_only FROM folded")
+oracle("ts_cv_folds", FOLDED, f"SELECT {BASE}, fold, TRUE AS past_only FROM folded")
+oracle(
+    "contiguous_cv_folds",
+    HOURLY,
+    f"SELECT {BASE}, 1 + CAST(pos >= first AS INTEGER) + CAST(pos >= first + second AS INTEGER) AS fold, FALSE AS past_only FROM"
+    " (SELECT *, n // 3 + CAST(n % 3 > 0 AS INTEGER) AS first, n // 3 + CAST(n % 3 > 1 AS INTEGER) AS second FROM"
+    " (SELECT *, row_number() OVER (PARTITION BY coin_id ORDER BY timestamp) - 1 AS pos, count(*) OVER (PARTITION BY coin_id) AS n FROM hourly))",
+)
+_GAPPY = (
+    "gappy AS (SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN event_type END AS kind, CASE WHEN event_id % 11 <> 0 THEN ts END AS ts,"
+    " CASE WHEN event_id % 5 <> 0 THEN value END AS value FROM events)"
+)
+_GAPPY_ORDER = "PARTITION BY kind ORDER BY ts NULLS LAST, event_id"
+oracle(
+    "ordered_null_keys",
+    _GAPPY,
+    f"SELECT event_id, kind, round(last_value(value IGNORE NULLS) OVER ({_GAPPY_ORDER} ROWS UNBOUNDED PRECEDING), 6) AS value,"
+    f" lag(event_id) OVER ({_GAPPY_ORDER}) AS prev_event_id, row_number() OVER ({_GAPPY_ORDER}) AS counter,"
+    f" row_number() OVER ({_GAPPY_ORDER}) - 1 AS position, count(*) OVER (PARTITION BY kind) AS size FROM gappy",
+)
+
+
+def _gap_mean(span: int) -> str:
+    """Mean at the last row with a value: weights count rows, and rows without a value scale both sums alike."""
+    q = f"(1 - 2.0 / ({span} + 1))::DOUBLE"
+    return (
+        f"(SELECT a.event_id, sum(b.value * pow({q}, a.rn - b.rn)) / sum(pow({q}, a.rn - b.rn)) AS m FROM known a JOIN known b"
+        f" ON a.event_type = b.event_type AND b.rn <= a.rn AND pow({q}, a.rn - b.rn) > 1e-30 GROUP BY 1)"
+    )
+
+
+oracle(
+    "ewma_long_gaps",
+    "numbered AS (SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS rn,"
+    " CASE WHEN ts < TIMESTAMP '2024-01-03' OR ts > TIMESTAMP '2024-01-25' THEN value END AS value FROM events),"
+    " known AS (SELECT * FROM numbered WHERE value IS NOT NULL)",
+    "SELECT n.event_id, "
+    + ", ".join(
+        f"round(last_value(m{s}.m IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY rn ROWS UNBOUNDED PRECEDING), 6) AS value_ewma_{s}h" for s in (6, 24, 200)
+    )
+    + " FROM numbered n "
+    + " ".join(f"LEFT JOIN {_gap_mean(s)} m{s} ON n.event_id = m{s}.event_id" for s in (6, 24, 200)),
+)
 NAIVE = HOURLY + f", naive AS (SELECT coin_id, timestamp, price AS a, {lag('price', 1)} AS p FROM hourly)"
 
 
@@ -685,6 +727,27 @@ oracle(
     ),
 )
 
+# digests ---------------------------------------------------------------------------------------
+
+
+def digest(source: str, values: list[str]) -> str:
+    """Rows and digest of a relation: lengths and texts of the values of every row, MD5 in two parts, summed."""
+    text = " || ".join(f"CASE WHEN {v} IS NULL THEN 'n;' ELSE length({v}::VARCHAR) || ':' || {v}::VARCHAR || ';' END" for v in values)
+    parts = [f"coalesce(sum(('0x' || substr(h, {k}, 15))::UBIGINT::HUGEINT), 0)::VARCHAR" for k in (1, 16)]
+    return f"SELECT count(*) AS rows, {parts[0]} || '-' || {parts[1]} AS digest FROM (SELECT md5({text}) AS h FROM {source})"
+
+
+_EVENT_VALUES = ["event_id", "epoch_us(ts)", "user_id", "event_type", "value", "props"]
+ORACLE["table_fingerprint"] = digest("events", _EVENT_VALUES)
+ORACLE["content_manifest"] = (
+    "SELECT 'events.parquet' AS file_name, rows, digest, substr(md5(digest), 1, 2) || '/' || substr(md5(digest), 3) AS content_key"
+    f" FROM ({digest('events', _EVENT_VALUES)})"
+)
+
+ORACLE["publish_verify"] = (
+    f"WITH {HOURLY} SELECT 'hourly' AS name, 'processed/20240131_000000_hourly' AS key, count(*) AS rows, TRUE AS verified FROM hourly"
+)
+
 # streams ---------------------------------------------------------------------------------------
 
 _PAST = "FROM events WHERE ts < TIMESTAMP '2024-01-22'"

@@ -92,15 +92,20 @@ def _window(keys: Sequence[str], order: str = "", frame: str = "") -> str:
     return f"OVER ({' '.join(p for p in parts if p)})"
 
 
-def with_carry(df: DataFrame, series: Series, carries: list[Carry], totals: Sequence[Carry] = ()) -> DataFrame:
-    """Add the bucket group, every carry over earlier buckets, and every total over the whole series.
+def grouped(df: DataFrame, series: Series) -> DataFrame:
+    """Add the group of every row: one struct of its keys and its bucket.
 
-    A group is one struct of keys and bucket: structs are equal where their nulls are, so rows without a key form a
-    series of their own and rows without a time come last in theirs.
+    Structs are equal where their nulls are, so rows without a key form a series of their own and rows without
+    a time come last in theirs.
     """
-    keys, every = list(series.keys), [*carries, *totals]
     rows = df.selectExpr("*", f"date_trunc('{series.fine}', {series.time}) AS {BUCKET}")
-    rows = rows.selectExpr("*", f"struct({', '.join([*keys, BUCKET])}) AS {GROUP}").drop(BUCKET)
+    return rows.selectExpr("*", f"struct({', '.join([*series.keys, BUCKET])}) AS {GROUP}").drop(BUCKET)
+
+
+def with_carry(df: DataFrame, series: Series, carries: list[Carry], totals: Sequence[Carry] = ()) -> DataFrame:
+    """Add the group, every carry over earlier buckets, and every total over the whole series."""
+    keys, every = list(series.keys), [*carries, *totals]
+    rows = grouped(df, series)
     fine = rows.groupBy(GROUP).agg(*[F.expr(c.aggregate).alias(c.name) for c in every])
     fine = fine.selectExpr(GROUP, *[f"{GROUP}.{k} AS {k}" for k in [*keys, BUCKET]], *[c.name for c in every])
     whole = [f"{c.combined()} {_window(keys)} AS __all_{c.name}" for c in totals]

@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 1_000_000
 BINS = 2048
 
 
@@ -41,29 +40,19 @@ def column_facts(df: DataFrame, columns: Sequence[str]) -> dict[str, Row]:
 
 
 def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    small_rows: int = SMALL_ROWS,
-    facts: dict[str, Row] | None = None,
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], facts: dict[str, Row] | None = None
 ) -> dict[str, list[float]]:
     """Linearly interpolated quantiles per column, nulls ignored; columns without values are left out.
 
-    Up to ``small_rows`` values the built-in exact percentile does it in one buffer. Beyond that the
-    wanted order statistics are closed in by repeated counting: every pass splits the interval that
+    The wanted order statistics are closed in by repeated counting: every pass splits the interval that
     holds a statistic into bins, counts them in one map-side combined aggregation and keeps the bin
-    with the statistic, until the bin is one single value. Three passes settle about 10^9 values.
+    with the statistic, until the bin is one single value. Two passes settle thousands of values, three about 10^9.
     """
     facts = column_facts(df, list(columns)) if facts is None else facts
     sizes = {c: facts[c]["count"] for c in columns if c in facts and facts[c]["count"]}
     known = list(sizes)
     if not known:
         return {}
-    if max(sizes.values()) <= small_rows:
-        wanted = ", ".join(f"{p!r}D" for p in probs)
-        rows = long_form(df, known).groupBy("column_name").agg(F.expr(f"percentile(value, array({wanted}))").alias("q"))
-        return {r["column_name"]: list(r["q"]) for r in rows.collect()}
-
     spots = {c: [p * (sizes[c] - 1) for p in probs] for c in known}
     ranks = {(c, r) for c in known for s in spots[c] for r in (math.floor(s), math.ceil(s))}
     found: dict[tuple[str, int], float] = {}
@@ -88,21 +77,30 @@ def _between(found: dict, c: str, spot: float) -> float:
     return low if low == high else low + (high - low) * (spot - math.floor(spot))
 
 
+def _bin(c: str, lo: float, hi: float) -> str:
+    """Number of the equal part of [lo, hi] that holds the value; two parts where the interval is too narrow to divide."""
+    width = hi / 2 - lo / 2
+    if width == 0 or math.isinf(1 / width):
+        return f"CASE WHEN {c} > {lo!r}D THEN 1 ELSE 0 END"
+    return f"least({BINS - 1}, CAST(({c} / 2 - {lo / 2!r}D) / {width!r}D * {BINS} AS INT))"
+
+
 def _narrow(df: DataFrame, still_open: dict) -> dict:
     """One counting pass over all open intervals; returns the bin that holds each statistic."""
     intervals = sorted({(c, lo, hi) for (c, _), (lo, hi, _) in still_open.items()})
     number = {interval: i for i, interval in enumerate(intervals)}
-    cells = []
+    by_column: dict[str, list[tuple[float, float, int]]] = {}
     for (c, lo, hi), i in number.items():
-        share = f"({c} / 2 - {lo / 2!r}D) / {hi / 2 - lo / 2!r}D"
-        inside = f"{c} BETWEEN {lo!r}D AND {hi!r}D"
-        cells.append(
-            f"struct({i} AS id, CASE WHEN {inside} THEN least({BINS - 1}, CAST({share} * {BINS} AS INT)) END AS bin,"
-            f" CAST({c} AS DOUBLE) AS v)"
-        )
+        by_column.setdefault(c, []).append((lo, hi, i))
+    # intervals of a column are bins of one earlier pass, so they share no value: one cell per column is enough
+    cells = []
+    for c, own in by_column.items():
+        inside = [(f"{c} BETWEEN {lo!r}D AND {hi!r}D", _bin(c, lo, hi), i) for lo, hi, i in own]
+        ids = " ".join(f"WHEN {test} THEN {i}" for test, _, i in inside)
+        bins = " ".join(f"WHEN {test} THEN {share}" for test, share, _ in inside)
+        cells.append(f"struct(CASE {ids} END AS id, CASE {bins} END AS bin, CAST({c} AS DOUBLE) AS v)")
     counted = (
-        df.selectExpr(f"inline(array({', '.join(cells)}))")
-        .where("bin IS NOT NULL")
+        df.selectExpr(f"inline(filter(array({', '.join(cells)}), x -> x.id IS NOT NULL))")
         .groupBy("id", "bin")
         .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     )

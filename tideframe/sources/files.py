@@ -31,7 +31,9 @@ def flatten_market_chart(payload: DataFrame, strict: bool = False) -> DataFrame:
         " ELSE raise_error('payload lists differ in length') END AS z",
     )
     points = checked.selectExpr(*keys, "inline(z)")
-    value = "element_at({}, 2)" if strict else "get({}, 1)"
+    value = "get({0}, 1)"
+    if strict:
+        value = "CASE WHEN {0} IS NULL OR {0}[1] IS NULL THEN raise_error('payload list has an empty item') ELSE {0}[1] END"
     rows = points.selectExpr(
         *keys,
         "timestamp_millis(CAST(prices[0] AS BIGINT)) AS timestamp",
@@ -43,12 +45,20 @@ def flatten_market_chart(payload: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def require_prices(payload: DataFrame) -> DataFrame:
-    """The payload itself, or an error if no document carries a price."""
+    """The payload itself, or an error if no document carries a price.
+
+    Documents without prices beside others are no error; :func:`without_prices` finds them.
+    """
     if payload.where("size(prices) > 0").isEmpty():
-        raise ValueError("No price data found in the payload")
+        raise ValueError("the payload holds no price at all")
     return payload
 
 
+def without_prices(payload: DataFrame) -> DataFrame:
+    """Documents that :func:`flatten_market_chart` makes no row of."""
+    return payload.where("coalesce(size(prices), 0) <= 0")
+
+
 def to_market_chart(hourly: DataFrame) -> DataFrame:
     """Payload documents, one per series and day, so a document never grows with the series."""
     item = "array(CAST(unix_millis(timestamp) AS DOUBLE), {})"
