@@ -52,9 +52,12 @@ def language_table() -> np.ndarray:
 
 
 def word_ids(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Embedding rows (word, prefix) with padding after each text, where texts start, and the guessed languages."""
+    """Embedding rows (word, prefix) with padding after each text, where texts start, and the guessed languages.
+
+    The padding is as long as the widest filter, so a text without words still has one place for each filter.
+    """
     words, borders, starts = hash_words(texts, prefix=PREFIX)
-    n, pad = len(texts), max(WIDTHS) - 1
+    n, pad = len(texts), max(WIDTHS)
     rows = (words % np.uint64(BUCKETS)).astype(np.int32)
     which = np.repeat(np.arange(n), np.diff(borders))
     place = np.arange(len(rows)) + pad * which
@@ -84,7 +87,7 @@ class ConvModel:
     slope: float = 1.0
 
     def pooled(self, vectors: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Filter values at all places; before activation, (places, filters)."""
+        """Filter values at all places, (places, filters); minus infinity where a filter would reach into the next text."""
         values = np.empty((len(vectors), FILTERS * len(WIDTHS)), dtype=np.float32)
         for k, width in enumerate(WIDTHS):
             block = vectors @ self.kernels[k][0]
@@ -92,6 +95,9 @@ class ConvModel:
                 block[:-j] += vectors[j:] @ self.kernels[k][j]
             values[:, k * FILTERS : (k + 1) * FILTERS] = block
         values += self.shift
+        ends = np.append(starts[1:], len(vectors))
+        for j in range(1, max(WIDTHS)):
+            values[ends - j] = -np.inf
         return values
 
     def logits(self, by_word: np.ndarray, by_start: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -105,7 +111,7 @@ class ConvModel:
             by_word, by_start, starts, language = word_ids(texts[a:b])
             z = self.slope * (self.logits(by_word, by_start, starts) - self.thresholds[language])
             scores[a:b] = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        return scores
+        return scores.round(6)  # sums of floats differ in the last digits with the texts beside
 
 
 def _start(by_word: np.ndarray, by_start: np.ndarray, starts: np.ndarray, labels: np.ndarray, rng: np.random.Generator) -> ConvModel:
