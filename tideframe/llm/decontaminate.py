@@ -114,8 +114,8 @@ def best_stretch(doc: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int,
     equal = doc[first + diagonal : last + diagonal] == item[first:last]
     sums = np.append(0, np.cumsum(np.where(equal, 1, -MISMATCH)))
     gain = sums - np.minimum.accumulate(sums)
-    end = int(gain.argmax())
-    start = int(np.flatnonzero(sums[: end + 1] == sums[: end + 1].min())[-1])
+    end = len(gain) - 1 - int(gain[::-1].argmax())  # of equal stretches the longest
+    start = int(sums[: end + 1].argmin())
     return first + diagonal + start, end - start, int(equal[start:end].sum())
 
 
