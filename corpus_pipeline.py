@@ -2,7 +2,7 @@
 
 Every stage takes (spark, docs, sf_dir) and hands on the columns of ``docs`` as they were, whatever they are called; the last
 one adds the tokens. Decisions take effect: rejected documents go, dropped lines leave the text (and
-``n_chars`` follows), one document of each class of copies stays, documents that hold a benchmark item go.
+``n_chars`` follows; a document of dropped lines only goes), one document of each class of copies stays, documents that hold a benchmark item go.
 
 Defined cases are those of the operators; in all stages null texts count as empty, repeated rows are judged
 each by the same rule, and an empty table stays empty.
@@ -30,8 +30,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that recur in documents of lower id."""
-    left = linededup.drop_recurring(_packed(docs))
+    """Documents without the lines that recur in documents of lower id; one that has no line left goes."""
+    left = linededup.drop_recurring(_packed(docs)).filter("n_dropped = 0 OR trim(text) <> ''")
     new = {"text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
     return left.select(*[new.get(c, F.col(f"document.`{c}`")).alias(c) for c in docs.columns])
 

@@ -1,7 +1,7 @@
 """Line deduplication with a log-template tree.
 
 A line goes down a tree of fixed depth: number of words, then its first ``DEPTH`` words, where a word with a digit
-is a variable. At the leaf it has one template of all its words and, if ``FIELDS`` * 2 or more words are left, one per
+is a variable. A line of which more than half are such words is all constant: rows of numbers differ by their numbers. At the leaf it has one template of all its words and, if ``FIELDS`` * 2 or more words are left and it is not such a row, one per
 field: the rest of the line is cut into ``FIELDS`` fields, and the template leaves one of them open. Lines that
 differ in variables and in one field so meet in a template, without comparing lines in a leaf with one another.
 A template recurs if ``LEAST_DOCS`` documents have it. The document of least id keeps its line; the others lose theirs.
@@ -27,6 +27,8 @@ from tideframe.llm.tokens import SLICE_CHARS, _powers, hash_words, mix, sliced
 from tideframe.session import materialize
 
 DEPTH, FIELDS, LEAST_LINE, LEAST_DOCS = 3, 3, 5, 2
+#: Stands for every variable word.
+VARIABLE = np.uint64(0x5851F42D4C957F2D)
 _COUNT = np.uint64(0xD6E8FEB86659FD93)
 _FIELDS = np.arange(1, FIELDS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)  # one per open field
 
@@ -50,7 +52,7 @@ def line_templates(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.
         whole = b - a == 1 and len(texts[a] or "") > 4 * SLICE_CHARS
         before = 0
         for part in ([[block] for block in _blocks(texts[a])] if whole else [texts[a:b]]):
-            h, _, line = hash_words(part, lines=True)
+            h, _, line, digits = hash_words(part, lines=True)
             counts = np.array([(t or "").count("\n") + 1 for t in part])
             text_of_line = np.repeat(np.arange(len(part)), counts)
             first_line = np.append(0, np.cumsum(counts)[:-1])
@@ -59,6 +61,9 @@ def line_templates(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.
                 starts = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
                 size = np.diff(np.append(starts, len(h)))
                 place = np.arange(len(h)) - np.repeat(starts, size)
+                constant = size - np.add.reduceat(digits.astype(np.int64), starts)
+                worded = 2 * constant >= size
+                h = np.where(digits & np.repeat(worded, size), VARIABLE, h)
                 terms = h * _powers(int(size.max()) + 1)[1:][place]
                 total = np.add.reduceat(terms, starts) + size.astype(np.uint64) * _COUNT
                 rest = np.repeat(np.maximum(size - DEPTH, 1), size)
@@ -72,7 +77,7 @@ def line_templates(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.
                 ids.append(text_of_line[own] + a)
                 numbers.append(own - first_line[text_of_line[own]] + before)
                 made.append(np.stack(templates, axis=1)[long])
-                there.append(np.stack([size >= 0] + [size >= DEPTH + 2 * FIELDS] * FIELDS, axis=1)[long])
+                there.append(np.stack([size >= 0] + [worded & (size >= DEPTH + 2 * FIELDS)] * FIELDS, axis=1)[long])
             before += int(counts.sum()) if whole else 0
     if not ids:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, 1 + FIELDS), np.uint64), np.empty((0, 1 + FIELDS), bool)

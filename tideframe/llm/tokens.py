@@ -47,15 +47,11 @@ def _pieces(text: str, limit: int) -> list[str]:
     return [*cuts, text[at:]]
 
 
-#: Stands for every word with a digit where such words are taken as variable.
-VARIABLE = np.uint64(0x5851F42D4C957F2D)
-
-
 def hash_words(texts: list[str | None], lines: bool = False, prefix: int = 0) -> tuple[np.ndarray, ...]:
     """Hashes of all words, and the border of each text: words of text i are ``h[b[i]:b[i + 1]]``.
 
-    With ``lines`` a third array holds the number of line ends before each word within the joined texts, and words with
-    a digit all have the hash ``VARIABLE``; with ``prefix`` it holds the hash of the first so many bytes of each word.
+    With ``lines`` there follow the number of line ends before each word within the joined texts, and whether the word
+    has a digit; with ``prefix`` the hash of the first so many bytes of each word.
     """
     parts = [(text or "").lower() for text in texts]
     data = np.frombuffer("\n".join(parts).encode("utf-8", "replace"), dtype=np.uint8)
@@ -67,7 +63,8 @@ def hash_words(texts: list[str | None], lines: bool = False, prefix: int = 0) ->
     text_ends = np.cumsum(sizes + 1) - 1
     borders = np.concatenate([[0], np.searchsorted(starts, text_ends)]).astype(np.int64)
     if not len(starts):
-        return (np.empty(0, np.uint64), borders, starts.astype(np.uint64))[: 3 if lines or prefix else 2]
+        none = np.empty(0, np.uint64)
+        return (none, borders, none, none)[: 4 if lines else 3 if prefix else 2]
     chars = data[is_word]
     offsets = np.cumsum(is_word, dtype=np.int64)[starts] - 1
     lengths = np.diff(np.append(offsets, len(chars)))
@@ -79,9 +76,8 @@ def hash_words(texts: list[str | None], lines: bool = False, prefix: int = 0) ->
         return h, borders, mix(np.add.reduceat(np.where(place < prefix, terms, np.uint64(0)), offsets))
     if not lines:
         return h, borders
-    h[np.add.reduceat(((chars >= 48) & (chars <= 57)).astype(np.int32), offsets) > 0] = VARIABLE
     ends = np.cumsum(data == 10, dtype=np.int64)
-    return h, borders, ends[starts]
+    return h, borders, ends[starts], np.add.reduceat(((chars >= 48) & (chars <= 57)).astype(np.int32), offsets) > 0
 
 
 def sliced(texts: list[str | None], limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
