@@ -116,17 +116,15 @@ def _in_time_order(spark, folder, path, parts=6):
         os.utime(f"{path}/{i}.parquet", (1_700_000_000 + i, 1_700_000_000 + i))
 
 
-def test_streams_equal_batch_for_closed_windows(spark, tmp_path):
+def test_streams_equal_batch(spark, tmp_path):
     folder = "/root/testdata/sf0.001"
     _in_time_order(spark, folder, tmp_path)
     log = request_log(metrics.event_stream(spark, str(tmp_path), files_per_trigger=1))
     batch_log = request_log(events(spark, folder))
-    closed = f"window_end <= TIMESTAMP '{batch_log.agg({'ts': 'max'}).first()[0]}' - INTERVAL 10 MINUTES"
-    rates = metrics.run_to_table(metrics.rate_windows(log)).toPandas()
-    assert difference(rates, requests.counter_rate(batch_log).where(closed).toPandas()) is None
-    buckets = metrics.run_to_table(metrics.histogram_windows(log))
-    got = requests.quantiles_of(buckets, ["endpoint"]).toPandas()
-    assert difference(got, requests.latency_quantiles(batch_log).where(closed).toPandas(), atol=1e-12) is None
+    rates = metrics.counter_rate(log, batch_log).toPandas()
+    assert difference(rates, requests.counter_rate(batch_log).toPandas()) is None
+    got = requests.quantiles_of(metrics.histogram_ranges(log, batch_log), ["endpoint"]).toPandas()
+    assert difference(got, requests.latency_quantiles(batch_log).toPandas(), atol=1e-12) is None
 
 
 def test_request_counts_run_on_a_stream(spark, tmp_path):

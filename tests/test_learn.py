@@ -78,6 +78,32 @@ def test_models_are_stored_with_scaler_and_columns(spark, rows, ridge):
     assert len(learn.predict_batch(again, rows, "ridge", start="2022-01-03", end="2022-01-03 05:00:00").collect()) == 6
 
 
+def test_runs_are_found_again(spark, rows, ridge, tmp_path):
+    base = str(tmp_path / "runs")
+    learn.save_run(ridge, base, "20240101_000000", rows)
+    learn.save_run(ridge, base, "20240102_000000", rows)
+    model, kind, names = learn.load_model(spark, base)
+    assert kind == "ridge" and names == ridge.features
+    assert learn.load_model(spark, base, "ridge", "20240101_000000")[1] == "ridge"
+    assert [r["model_type"] for r in learn.model_types(spark, base).collect()] == ["ridge"]
+    with pytest.raises(ValueError):
+        learn.load_model(spark, base, "random_forest")
+    one = learn.predict_single(model, rows, kind, at="2022-01-03 05:00:00").first()
+    batch = learn.predict_batch(ridge.models["ridge"], rows, "ridge", start="2022-01-03 04:00:00", end="2022-01-03 05:00:00")
+    assert one == batch.where("timestamp = TIMESTAMP '2022-01-03 05:00:00'").first()
+
+
+@pytest.mark.parametrize("row", ["latest", "first"])
+def test_scoring_row(rows, ridge, row):
+    bounds = {"price": (0.0, 1.0), "total_volume": (0.0, 1e12)}
+    scored = learn.score_row(ridge.models["ridge"], rows, "ridge", bounds, ["price", "total_volume", "market_cap"], row).first()
+    moments = rows.toPandas()["timestamp"]
+    assert scored["timestamp"] == (moments.max() if row == "latest" else moments.min())
+    assert scored["drift_ratio"] == pytest.approx(1 / 3)
+    with pytest.raises(ValueError):
+        learn.score_row(ridge.models["ridge"], rows, "ridge", bounds, ["price"], "middle")
+
+
 def test_trees(spark, rows):
     run = learn.train_models(rows, names=["random_forest", "no_such_model"])
     assert list(run.models) == ["random_forest"]

@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from tideframe.functions.expressions import ieee_div, number
 from tideframe.functions.numeric import numeric_columns
 from tideframe.operators.clean import ffill_bfill, median_impute
-from tideframe.operators.evaluate import best_model, cv_scores, cv_summary, evaluate_split
-from tideframe.operators.publish import latest_row, time_range
+from tideframe.operators.drift import drift_ratio
+from tideframe.operators.evaluate import best_model, cv_scores, cv_summary, evaluate_forecast, evaluate_split
+from tideframe.operators.publish import at_time, first_row, latest_row, time_range
 from tideframe.plans.ordered import HOURLY, Series, ordinal
 from tideframe.plans.quantiles import column_facts
 from tideframe.session import materialize
@@ -37,6 +38,9 @@ SEED = 42
 FOREST = {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 2, "featureSubsetStrategy": "all", "seed": SEED}
 BOOSTING = {"maxIter": 100, "maxDepth": 5, "stepSize": 0.1, "minInstancesPerNode": 2, "seed": SEED}
 RIDGE_ALPHA = 1.0
+RUNS_SCHEMA = "run_ts string, name string, path string, features array<string>, is_best boolean"
+#: What follows the run in a stored name; a run may hold underscores, so it is cut off by its length.
+MODEL_TYPE = "substring(name, char_length(run_ts) + 2)"
 MODELS = ("random_forest", "gradient_boosting", "ridge")
 
 
@@ -245,6 +249,64 @@ def feature_importance(model: PipelineModel, features: Sequence[str], df: DataFr
     return table.limit(top) if top else table
 
 
+def save_run(run: Training, base: str, run_ts: str, df: DataFrame) -> DataFrame:
+    """Store every model of a run under ``<base>/<run_ts>_<model>`` and record it in ``<base>/runs``; returns the records.
+
+    ``df`` only lends its session.
+    """
+    base = base.rstrip("/")
+    rows = []
+    for name, model in run.models.items():
+        path = f"{base}/{run_ts}_{name}"
+        model.write().save(path)
+        rows.append((run_ts, f"{run_ts}_{name}", path, run.features, name == run.best))
+    records = df.sparkSession.createDataFrame(rows, RUNS_SCHEMA)
+    records.write.mode("append").parquet(f"{base}/runs")
+    return records
+
+
+def load_model(spark, base: str, model_type: str | None = None, run_ts: str | None = None) -> tuple[PipelineModel, str, list[str]]:
+    """(model, type, features) of a stored run: the newest one unless named, its best model unless a type is asked for."""
+    runs = spark.read.schema(RUNS_SCHEMA).parquet(f"{base.rstrip('/')}/runs").withColumn("model_type", F.expr(MODEL_TYPE))
+    wanted = runs.where("is_best") if model_type is None else runs.where(F.col("model_type") == model_type)
+    if run_ts is not None:
+        wanted = wanted.where(F.col("run_ts") == run_ts)
+    found = wanted.orderBy(F.desc("run_ts")).first()
+    if found is None:
+        raise ValueError(f"no stored model of type {model_type or 'any'} and run {run_ts or 'any'}")
+    return PipelineModel.load(found["path"]), found["model_type"], found["features"]
+
+
+def model_types(spark, base: str) -> DataFrame:
+    """Distinct model types among the stored runs."""
+    return spark.read.schema(RUNS_SCHEMA).parquet(f"{base.rstrip('/')}/runs").selectExpr(f"{MODEL_TYPE} AS model_type").distinct()
+
+
+def predict_single(model: PipelineModel, df: DataFrame, model_type: str, at: str | None = None, series: Series = HOURLY) -> DataFrame:
+    """Prediction for one instant, or for the newest row of every series, with its change against the current price."""
+    rows = latest_row(df, series) if at is None else at_time(df, at, series.time)
+    return predict_batch(model, rows, model_type, series, fill=False)
+
+
+def score_row(
+    model: PipelineModel, df: DataFrame, model_type: str, bounds: dict, features: Sequence[str], row: str = "latest", series: Series = HOURLY
+) -> DataFrame:
+    """Drift ratio and prediction of one row per series: the latest, or the first of the given rows."""
+    if row not in ("latest", "first"):
+        raise ValueError(f"unknown row choice {row}")
+    rows = latest_row(df, series) if row == "latest" else first_row(df, series)
+    scored = predict_batch(model, rows, model_type, series, fill=False)
+    ratios = drift_ratio(rows, bounds, features).select(*series.keys, series.time, "drift_ratio")
+    return scored.join(ratios, [*series.keys, series.time])
+
+
+def predict_job(model: PipelineModel, df: DataFrame, model_type: str, path: str, series: Series = HOURLY, **options) -> DataFrame:
+    """Batch predictions stored under ``path``, and their evaluation per series against the price."""
+    predict_batch(model, df, model_type, series, **options).write.parquet(path)
+    stored = df.sparkSession.read.parquet(path)
+    return evaluate_forecast(stored, "current_price", "predicted_price", by=list(series.keys))
+
+
 def predict_batch(
     model: PipelineModel,
     df: DataFrame,

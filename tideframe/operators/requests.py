@@ -74,7 +74,18 @@ def over_ranges(
 
     The range [end - seconds, end) is labelled by ``window_end``. Ranges without events give no row.
     """
-    slots = log.groupBy(*labels, F.expr(_slot(time, step)).alias("__slot")).agg(*[F.expr(e).alias(n) for n, e in measures.items()])
+    return ranges_of(slot_measures(log, labels, measures, time, step), labels, list(measures), seconds, step)
+
+
+def slot_measures(log: DataFrame, labels: Sequence[str], measures: dict[str, str], time: str = "ts", step: int = STEP_SECONDS) -> DataFrame:
+    """Measures per slot of ``step`` seconds; ``__slot`` is its start."""
+    return log.groupBy(*labels, F.expr(_slot(time, step)).alias("__slot")).agg(*[F.expr(e).alias(n) for n, e in measures.items()])
+
+
+def ranges_of(
+    slots: DataFrame, labels: Sequence[str], measures: Sequence[str], seconds: int = RATE_SECONDS, step: int = STEP_SECONDS
+) -> DataFrame:
+    """Slots added up to ranges."""
     ends = f"explode(sequence(__slot + INTERVAL {step} SECOND, __slot + INTERVAL {seconds} SECOND, INTERVAL {step} SECOND))"
     spread = slots.selectExpr(*labels, *measures, f"{ends} AS window_end")
     return spread.groupBy(*labels, "window_end").agg(*[F.sum(n).alias(n) for n in measures])

@@ -488,6 +488,49 @@ def forecast_recursive(spark, folder):
     return learn.predict_future(run.models["ridge"], rows, 24, "ridge")
 
 
+def _two_features(spark, folder):
+    """A ridge over two features of the hourly series, whose closed form SQL can solve, and its rows."""
+    rows = hourly(spark, folder)
+    return learn.train_models(rows, names=["ridge"], exclude_target=True), rows
+
+
+def _four_digits(rows):
+    """Solvers of two engines agree to about ten digits of the result."""
+    return rows.select(*[F.round(c, 4).alias(c) if t == "double" else c for c, t in rows.dtypes])
+
+
+@query
+def ridge_two_features(spark, folder):
+    run, _ = _two_features(spark, folder)
+    return _four_digits(run.metrics.select("model", "train_rmse", "test_rmse", "train_mae", "test_mae", "is_best"))
+
+
+@query
+def predict_single(spark, folder):
+    run, rows = _two_features(spark, folder)
+    return _four_digits(learn.predict_single(run.models["ridge"], rows, "ridge"))
+
+
+@query
+def scoring_pipeline(spark, folder):
+    """Drift against the training part and prediction of the newest row of every series."""
+    run, rows = _two_features(spark, folder)
+    names = ["market_cap", "total_volume"]
+    past = learn.chrono_split(rows).where("NOT is_test")
+    bounds = drift.collect_bounds(drift.drift_bounds(drift.training_stats(past, names)))
+    return _four_digits(learn.score_row(run.models["ridge"], rows, "ridge", bounds, names))
+
+
+@query
+def predict_job(spark, folder):
+    """Stored run, loaded again by its type, predictions stored and evaluated per series."""
+    run, rows = _two_features(spark, folder)
+    base = new_path(spark, "runs")
+    learn.save_run(run, base, "20240131_000000", rows)
+    model, kind, _ = learn.load_model(spark, base)
+    return _four_digits(learn.predict_job(model, rows, kind, new_path(spark, "predictions")).select("coin_id", "rmse", "mae", "sample_count"))
+
+
 @query
 def run_summary(spark, folder):
     raw = hourly(spark, folder)
@@ -609,13 +652,12 @@ def _log_stream(spark, folder):
 
 @query
 def stream_counter_rate(spark, folder):
-    return metrics.run_to_table(metrics.rate_windows(_log_stream(spark, folder)))
+    return metrics.counter_rate(_log_stream(spark, folder), log(spark, folder))
 
 
 @query
 def stream_latency_quantiles(spark, folder):
-    stored = metrics.run_to_table(metrics.histogram_windows(_log_stream(spark, folder)))
-    return requests.quantiles_of(stored, ["endpoint"])
+    return requests.quantiles_of(metrics.histogram_ranges(_log_stream(spark, folder), log(spark, folder)), ["endpoint"])
 
 
 @query

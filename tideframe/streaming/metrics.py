@@ -17,6 +17,8 @@ from tideframe.operators.requests import (
     REQUEST_BUCKETS,
     STEP_SECONDS,
     cumulative_counts,
+    ranges_of,
+    slot_measures,
 )
 from tideframe.session import new_path, pin_utc
 
@@ -33,32 +35,52 @@ def event_stream(spark: SparkSession, path: str, files_per_trigger: int | None =
     return reader.parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def windowed(
-    log: DataFrame,
-    labels: Sequence[str],
-    measures: dict[str, str],
-    seconds: int = RATE_SECONDS,
-    step: int = STEP_SECONDS,
-    watermark: str = WATERMARK,
+def slot_stream(
+    log: DataFrame, labels: Sequence[str], measures: dict[str, str], step: int = STEP_SECONDS, watermark: str = WATERMARK
 ) -> DataFrame:
-    """Measures per sliding event-time window; a window is final once the watermark has passed its end."""
-    window = F.window("ts", f"{seconds} seconds", f"{step} seconds").alias("w")
-    counted = log.withWatermark("ts", watermark).groupBy(*labels, window)
+    """Measures per tumbling slot of event time; a slot is final once the watermark has passed its end.
+
+    Ranges that slide over slots are added up from the stored slots, so the state holds every event once.
+    """
+    counted = log.withWatermark("ts", watermark).groupBy(*labels, F.window("ts", f"{step} seconds").alias("w"))
     counted = counted.agg(*[F.expr(e).alias(n) for n, e in measures.items()])
-    return counted.select(*labels, F.col("w.end").alias("window_end"), *measures)
+    return counted.select(*labels, F.col("w.start").alias("__slot"), *measures)
 
 
-def rate_windows(log: DataFrame, labels: Sequence[str] = ("endpoint", "status")) -> DataFrame:
-    """Events per second over five minutes as an append-only stream of closed windows."""
-    counts = windowed(log, labels, {"n": "count(1)"})
-    return counts.selectExpr(*labels, "window_end", f"n / {float(RATE_SECONDS)!r}D AS rate")
+def slots_to_the_end(
+    stream_log: DataFrame, log: DataFrame, labels: Sequence[str], measures: dict[str, str], step: int = STEP_SECONDS
+) -> DataFrame:
+    """All slots of a finite input: those the stream has closed, and the ones still open when it ends.
+
+    ``log`` is the same input as a batch; only its rows behind the last watermark are counted there.
+    """
+    spark = log.sparkSession
+    path, stream = new_path(spark, "slots"), slot_stream(stream_log, labels, measures, step)
+    query = append_to(stream, path)
+    query.awaitTermination()
+    reached = [p["eventTime"]["watermark"] for p in query.recentProgress if "watermark" in (p["eventTime"] or {})]
+    closed = spark.read.schema(stream.schema).parquet(path)
+    behind = F.lit(max(reached, default="1970-01-01T00:00:00.000Z")).cast("timestamp")
+    tail = slot_measures(log.where(F.col("ts") > behind - F.expr(f"INTERVAL {step} SECOND")), labels, measures, step=step)
+    return closed.unionByName(tail.where(F.col("__slot") + F.expr(f"INTERVAL {step} SECOND") > behind))
 
 
-def histogram_windows(
-    log: DataFrame, labels: Sequence[str] = ("endpoint",), value: str = "latency_s", buckets: Sequence[float] = REQUEST_BUCKETS
+def counter_rate(stream_log: DataFrame, log: DataFrame, labels: Sequence[str] = ("endpoint", "status")) -> DataFrame:
+    """Events per second over five minutes, from the slots of a stream."""
+    slots = slots_to_the_end(stream_log, log, labels, {"n": "count(1)"})
+    return ranges_of(slots, labels, ["n"]).selectExpr(*labels, "window_end", f"n / {float(RATE_SECONDS)!r}D AS rate")
+
+
+def histogram_ranges(
+    stream_log: DataFrame,
+    log: DataFrame,
+    labels: Sequence[str] = ("endpoint",),
+    value: str = "latency_s",
+    buckets: Sequence[float] = REQUEST_BUCKETS,
 ) -> DataFrame:
-    """Bucket counts per closed window; ``quantiles_of`` turns them into quantiles."""
-    return windowed(log, labels, cumulative_counts(value, buckets) | {"total": "count(1)"})
+    """Bucket counts per range, from the slots of a stream; ``quantiles_of`` turns them into quantiles."""
+    measures = cumulative_counts(value, buckets) | {"total": "count(1)"}
+    return ranges_of(slots_to_the_end(stream_log, log, labels, measures), labels, list(measures))
 
 
 def append_to(stream: DataFrame, path: str, checkpoint: str | None = None) -> StreamingQuery:
