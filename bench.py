@@ -33,8 +33,11 @@ HEADLINE = [
     "counter_rate",
     "latency_quantiles",
     "alert_for_duration",
+    "alerts",
+    "correlation_matrix",
     "active_requests",
     "train_ridge",
+    "train_random_forest",
     "forecast_recursive",
     "stream_counter_rate",
 ]
