@@ -77,32 +77,25 @@ def _between(found: dict, c: str, spot: float) -> float:
     return low if low == high else low + (high - low) * (spot - math.floor(spot))
 
 
-def _bin(c: str, lo: float, hi: float) -> str:
-    """Number of the equal part of [lo, hi] that holds the value; two parts where the interval is too narrow to divide."""
+def _width(lo: float, hi: float) -> float:
+    """Half the width of an interval, or 0 where it is too narrow to divide by."""
     width = hi / 2 - lo / 2
-    if width == 0 or math.isinf(1 / width):
-        return f"CASE WHEN {c} > {lo!r}D THEN 1 ELSE 0 END"
-    return f"least({BINS - 1}, CAST(({c} / 2 - {lo / 2!r}D) / {width!r}D * {BINS} AS INT))"
+    return 0.0 if width == 0 or math.isinf(1 / width) else width
 
 
 def _narrow(df: DataFrame, still_open: dict) -> dict:
     """One counting pass over all open intervals; returns the bin that holds each statistic."""
     intervals = sorted({(c, lo, hi) for (c, _), (lo, hi, _) in still_open.items()})
     number = {interval: i for i, interval in enumerate(intervals)}
-    by_column: dict[str, list[tuple[float, float, int]]] = {}
-    for (c, lo, hi), i in number.items():
-        by_column.setdefault(c, []).append((lo, hi, i))
-    # intervals of a column are bins of one earlier pass, so they share no value: one cell per column is enough
-    cells = []
-    for c, own in by_column.items():
-        inside = [(f"{c} BETWEEN {lo!r}D AND {hi!r}D", _bin(c, lo, hi), i) for lo, hi, i in own]
-        ids = " ".join(f"WHEN {test} THEN {i}" for test, _, i in inside)
-        bins = " ".join(f"WHEN {test} THEN {share}" for test, share, _ in inside)
-        cells.append(f"struct(CASE {ids} END AS id, CASE {bins} END AS bin, CAST({c} AS DOUBLE) AS v)")
+    rows = [(i, c, lo, hi, _width(lo, hi)) for (c, lo, hi), i in number.items()]
+    table = df.sparkSession.createDataFrame(rows, "id int, column_name string, from double, to double, width double")
+    # a value meets the few open intervals of its column; the table has at most six rows per column
+    inside = long_form(df, sorted({c for c, _, _ in intervals})).join(F.broadcast(table), "column_name").where("value BETWEEN from AND to")
+    part = f"CASE WHEN width = 0 THEN CAST(value > from AS INT) ELSE least({BINS - 1}, CAST((value / 2 - from / 2) / width * {BINS} AS INT)) END AS bin"
     counted = (
-        df.selectExpr(f"inline(filter(array({', '.join(cells)}), x -> x.id IS NOT NULL))")
+        inside.selectExpr("id", part, "value")
         .groupBy("id", "bin")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
     )
     # at most BINS rows per interval, and as many intervals as open statistics
     before = Window.partitionBy("id").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
