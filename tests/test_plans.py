@@ -101,7 +101,7 @@ def test_exact_quantiles(spark):
 def test_average_ranks(spark):
     rng = np.random.default_rng(6)
     values = pd.Series(np.where(rng.uniform(size=2000) < 0.35, 3.0, rng.normal(size=2000).round(2)))
-    got = average_ranks(spark.createDataFrame(values.to_frame("v")), "v", buckets=16).toPandas()
+    got = average_ranks(spark.createDataFrame(values.to_frame("v")), "v", range_values=20).toPandas()
     want = values.to_frame("v").assign(rank=values.rank()).drop_duplicates()
     both = got.merge(want, on="v")
     assert len(both) == len(got) == len(want)

@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 
 from tideframe.functions.numeric import null_safe_doubles
-from tideframe.operators import drift, quality
+from tideframe.operators import drift, profile, publish, quality
 
 
 @pytest.fixture()
@@ -87,3 +87,24 @@ def test_training_stats_skip_empty_and_absent_features(spark):
     stats = drift.training_stats(frame, ["a", "empty", "gone"]).collect()
     assert [(r["feature"], r["mean"], r["median"], r["q25"]) for r in stats] == [("a", 2.0, 2.0, 1.5)]
     assert drift.drift_features(frame) == ["a", "empty"]
+
+
+def test_check_file(spark, walk, tmp_path):
+    rows = walk(48, coins=("a",)).sort_values("timestamp")[["timestamp", "price", "market_cap", "total_volume"]]
+    publish.write_csv(spark.createDataFrame(rows).coalesce(1), str(tmp_path / "good"))
+    row = quality.check_file(spark, str(tmp_path / "good"), as_of="2022-01-02 23:00:00").first()
+    assert row["overall_status"] == "PASSED" and row["rows"] == 48
+    rows.loc[rows.index[:5], "price"] = None
+    publish.write_csv(spark.createDataFrame(rows).selectExpr("timestamp", "nanvl(price, NULL) AS price", "market_cap", "total_volume"), str(tmp_path / "bad"))
+    with pytest.raises(quality.DataQualityError):
+        quality.check_file(spark, str(tmp_path / "bad"))
+    with pytest.raises(Exception):
+        quality.check_file(spark, str(tmp_path / "none"))
+
+
+def test_profile_report_has_all_parts(spark, walk):
+    frame = spark.createDataFrame(walk(30).drop(columns="ingest_seq"))
+    report = profile.profile_report(frame, ["timestamp", "coin_id"], ["price", "market_cap"], size=3)
+    assert {n: f.count() for n, f in report.items()} == {
+        "summary": 1, "statistics": 2, "missing": 0, "correlations": 1, "duplicates": 0, "samples": 9,
+    }

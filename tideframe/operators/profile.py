@@ -117,6 +117,19 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return pearson.join(spearman_matrix(df, columns).withColumnRenamed("r", "spearman"), ["column_a", "column_b"])
 
 
+def profile_report(df: DataFrame, order: Sequence[str], columns: Sequence[str] | None = None, size: int = 10) -> dict[str, DataFrame]:
+    """All parts of a profile: summary, statistics, missing cells, correlations, duplicates and samples."""
+    columns = list(columns or numeric_columns(df))
+    return {
+        "summary": profile_summary(df),
+        "statistics": describe_stats(df, columns),
+        "missing": missing_by_column(df),
+        "correlations": correlation_matrix(df, columns),
+        "duplicates": top_duplicates(df, size),
+        "samples": sample_rows(df, order, size),
+    }
+
+
 def sample_rows(df: DataFrame, order: Sequence[str], size: int = 10, seed: int = 42, random: bool = True) -> DataFrame:
     """First rows, last rows and a repeatable random sample, each a top-k that keeps ``size`` rows per task."""
     head = df.orderBy(*order).limit(size).withColumn("sample", F.lit("head"))

@@ -169,6 +169,15 @@ def enforce_quality(df: DataFrame, expected: Sequence[str] = BASE_COLUMNS, max_n
         raise DataQualityError(f"missing required columns: {missing}")
 
 
+def check_file(spark, path: str, max_null_percentage: float = MAX_NULL_PERCENTAGE, **options) -> DataFrame:
+    """Report of one stored CSV series; raises for the two critical checks, and if there is no file."""
+    from tideframe.sources.files import read_series_csv
+
+    rows = read_series_csv(spark, path)
+    enforce_quality(rows, BASE_COLUMNS, max_null_percentage)
+    return quality_report(rows, Series(keys=()), max_null_percentage=max_null_percentage, **options)
+
+
 def quality_gate(df: DataFrame, columns: Sequence[str] = BASE_COLUMNS, min_rows: int = MIN_ROWS) -> DataFrame:
     """The mandatory gate as rows (check, column, value, passed); the gate passes if every row does."""
     structs = []

@@ -34,6 +34,11 @@ def request_counts(log: DataFrame, labels: Sequence[str] = ("endpoint", "status"
     return log.groupBy(*labels).agg(F.count(F.lit(1)).alias("requests"))
 
 
+def with_status(log: DataFrame, code: str = "status_code") -> DataFrame:
+    """Add ``status`` from the response code: success below 400, error otherwise and without a response."""
+    return log.withColumn("status", F.expr(f"CASE WHEN {code} < 400 THEN 'success' ELSE 'error' END"))
+
+
 def endpoint_summary(log: DataFrame, labels: Sequence[str] = ("endpoint", "status")) -> DataFrame:
     """Requests and mean response time per endpoint and status."""
     return log.groupBy(*labels).agg(F.count(F.lit(1)).alias("requests"), F.avg("latency_s").alias("mean_latency_s"))
@@ -72,7 +77,8 @@ def over_ranges(
 ) -> DataFrame:
     """Additive measures over ranges of ``seconds`` that end at every ``step``.
 
-    The range [end - seconds, end) is labelled by ``window_end``. Ranges without events give no row.
+    The range [end - seconds, end) is labelled by ``window_end``. Ranges without events give no row;
+    :func:`fill_ranges` adds them.
     """
     return ranges_of(slot_measures(log, labels, measures, time, step), labels, list(measures), seconds, step)
 
@@ -91,6 +97,18 @@ def ranges_of(
     return spread.groupBy(*labels, "window_end").agg(*[F.sum(n).alias(n) for n in measures])
 
 
+def fill_ranges(ranges: DataFrame, labels: Sequence[str], measures: Sequence[str], step: int = STEP_SECONDS) -> DataFrame:
+    """Every range between the first and the last one of a label set; those without events have zeros."""
+    spans = ranges.groupBy(*labels).agg(F.min("window_end").alias("__first"), F.max("window_end").alias("__last"))
+    grid = spans.selectExpr(*labels, f"explode(sequence(__first, __last, INTERVAL {step} SECOND)) AS window_end")
+    same = F.lit(True)
+    left, right = grid.alias("g"), ranges.alias("r")
+    for c in [*labels, "window_end"]:
+        same = same & F.col(f"g.{c}").eqNullSafe(F.col(f"r.{c}"))
+    zero = [f"coalesce(r.{m}, 0) AS {m}" for m in measures]
+    return left.join(right, same, "left").selectExpr(*[f"g.{c}" for c in labels], "g.window_end", *zero)
+
+
 def counter_rate(log: DataFrame, labels: Sequence[str] = ("endpoint", "status")) -> DataFrame:
     """Events per second over the last five minutes, every 30 seconds. Ranges are not extrapolated."""
     counts = over_ranges(log, labels, {"n": "count(1)"})

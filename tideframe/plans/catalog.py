@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -278,7 +279,7 @@ def profile_summary(spark, folder):
 
 @query
 def quality_score(spark, folder):
-    return profile.profile_summary(events(spark, folder).drop("event_id", "ts")).select("data_quality_score")
+    return profile.profile_summary(_deliveries(spark, folder)).select("data_quality_score")
 
 
 @query
@@ -567,6 +568,20 @@ def latency_histogram(spark, folder):
     return requests.latency_histogram(log(spark, folder))
 
 
+@query
+def request_counts_by_method(spark, folder):
+    """Counter with all three labels; the status follows from the response code."""
+    return requests.request_counts(requests.with_status(log(spark, folder)), ["method", "endpoint", "status"])
+
+
+@query
+def counter_rate_filled(spark, folder):
+    """Rates with zeros where a counter stands still."""
+    ranges = requests.over_ranges(log(spark, folder), ["endpoint", "status"], {"n": "count(1)"})
+    filled = requests.fill_ranges(ranges, ["endpoint", "status"], ["n"])
+    return filled.selectExpr("endpoint", "status", "window_end", "n / 300D AS rate")
+
+
 @query
 def prediction_histogram(spark, folder):
     return requests.latency_histogram(log(spark, folder), ["model_type"], buckets=requests.PREDICTION_BUCKETS)
@@ -671,10 +686,12 @@ def stream_drift_ratio(spark, folder):
 
 @query
 def incremental_merge(spark, folder):
-    """Three overlapping pulls of the same history, ingested in two runs."""
+    """Three overlapping pulls of the same history, from its first to its last hour, ingested in two runs."""
     base, rows = new_path(spark, "pulls"), hourly(spark, folder)
-    for number, (start, end) in enumerate([("2024-01-01", "2024-01-15"), ("2024-01-05", "2024-01-25"), ("2024-01-20", "2024-02-01")]):
-        pull = publish.time_range(rows, "timestamp", start, end)
+    day = dt.timedelta(days=1)
+    first, last = rows.agg(F.min("timestamp"), F.max("timestamp")).first()
+    for number, (start, end) in enumerate([(first, first + 14 * day), (first + 4 * day, first + 24 * day), (first + 19 * day, last)]):
+        pull = rows.where(F.col("timestamp").between(F.lit(start), F.lit(end)))
         pull = pull.withColumn("price", F.col("price") + number).withColumn("ingest_seq", F.lit(number).cast("bigint"))
         pull.write.mode("append").parquet(f"{base}/landing")
         if number != 1:

@@ -417,9 +417,9 @@ oracle(
 )
 oracle(
     "quality_score",
-    "plain AS (SELECT user_id, event_type, value, props FROM events)",
-    f"SELECT round({_SCORE}, 6) AS data_quality_score FROM (SELECT *, missing_cells * 100.0::DOUBLE / (dataset_rows * 4) AS"
-    f" missing_percentage FROM {profile('plain', ['user_id', 'event_type', 'value', 'props'])})",
+    DELIVERIES,
+    f"SELECT round({_SCORE}, 6) AS data_quality_score FROM (SELECT *, missing_cells * 100.0::DOUBLE / (dataset_rows * 5) AS"
+    f" missing_percentage FROM {profile('deliveries', ['coin_id', 'timestamp', *BASE_COLUMNS])})",
 )
 oracle(
     "missing_by_column",
@@ -711,6 +711,19 @@ def ranges(labels: str, source: str, time: str, seconds: int, step: int, measure
 _RATE = ranges("endpoint, status", "log", "ts", 300, 30, "round(count(*) / 300.0, 6) AS rate")
 oracle("counter_rate", LOG, f"SELECT * FROM {_RATE}")
 oracle("stream_counter_rate", LOG, f"SELECT * FROM {_RATE}")
+oracle(
+    "counter_rate_filled",
+    LOG + f", rates AS (SELECT * FROM {_RATE})",
+    "SELECT g.endpoint, g.status, g.window_end, coalesce(r.rate, 0) AS rate FROM (SELECT endpoint, status,"
+    " unnest(generate_series(min(window_end), max(window_end), INTERVAL 30 SECOND)) AS window_end FROM rates GROUP BY 1, 2) g"
+    " LEFT JOIN rates r USING (endpoint, status, window_end)",
+)
+oracle(
+    "request_counts_by_method",
+    LOG,
+    "SELECT CASE WHEN endpoint IN ('purchase', 'signup') THEN 'POST' ELSE 'GET' END AS method, endpoint,"
+    " CASE WHEN endpoint = 'error' THEN 'error' ELSE 'success' END AS status, count(*) AS requests FROM log GROUP BY 1, 2, 3",
+)
 oracle(
     "sampled_counter_rate",
     LOG
@@ -804,7 +817,7 @@ oracle(
 oracle(
     "incremental_merge",
     HOURLY,
-    "SELECT coin_id, timestamp, round(price + CASE WHEN timestamp <= TIMESTAMP '2024-01-15' THEN 0 WHEN timestamp <="
-    " TIMESTAMP '2024-01-25' THEN 1 ELSE 2 END, 6) AS price, round(market_cap, 6) AS market_cap,"
-    " round(total_volume, 6) AS total_volume FROM hourly",
+    "SELECT coin_id, timestamp, round(price + CASE WHEN timestamp <= first + INTERVAL 14 DAY THEN 0 WHEN timestamp <="
+    " first + INTERVAL 24 DAY THEN 1 ELSE 2 END, 6) AS price, round(market_cap, 6) AS market_cap,"
+    " round(total_volume, 6) AS total_volume FROM hourly, (SELECT min(timestamp) AS first FROM hourly)",
 )

@@ -113,15 +113,20 @@ def _narrow(df: DataFrame, still_open: dict) -> dict:
     return out
 
 
-def average_ranks(values: DataFrame, column: str, buckets: int = 200) -> DataFrame:
+#: Distinct values that one task sorts when ranks are taken.
+RANGE_VALUES = 100_000
+
+
+def average_ranks(values: DataFrame, column: str, range_values: int = RANGE_VALUES) -> DataFrame:
     """Distinct values of ``column`` with their average rank (ties share the mean of their places).
 
     Equal values are counted before anything is sorted; the distinct values are cut into ranges of
-    similar size, so that each task sorts one range and earlier ranges enter as one total.
+    about ``range_values``, so that each task sorts one range and earlier ranges enter as one total.
     """
     counted = values.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
+    buckets = -(-counted.count() // range_values)
     shares = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
-    cuts = counted.agg(F.expr(f"percentile_approx({column}, array({shares}), 10000)").alias("cuts")).first()["cuts"]
+    cuts = counted.agg(F.expr(f"percentile_approx({column}, array({shares}), 10000)").alias("cuts")).first()["cuts"] if shares else []
     known = ", ".join(f"{float(v)!r}D" for v in sorted(set(cuts or [])))
     bucket = f"size(filter(array({known}), x -> x < {column}))" if known else "0"
     counted = counted.selectExpr("*", f"{bucket} AS __range")

@@ -76,11 +76,13 @@ def read_series_csv(spark: SparkSession, path: str, schema: str = SERIES_SCHEMA)
 
 
 def latest_version(spark: SparkSession, base: str, prefix: str = "processed_") -> DataFrame:
-    """The dataset below ``base`` whose folder name ``<prefix>...`` sorts last."""
-    rows = spark.read.parquet(f"{base.rstrip('/')}/{prefix}*")
-    version = F.regexp_extract("_metadata.file_path", f"/({prefix}[^/]*)/[^/]*$", 1)
-    newest = rows.select(version.alias("v")).agg(F.max("v")).first()[0]
-    return rows.where(version == newest)
+    """The dataset below ``base`` whose folder name ``<prefix>...`` sorts last; only names are listed, one folder is read."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{prefix}*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    names = [f.getPath().toString() for f in found or [] if f.isDirectory()]
+    if not names:
+        raise FileNotFoundError(f"no {prefix}* below {base}")
+    return spark.read.parquet(max(names))
 
 
 def read_stats(spark: SparkSession, path: str) -> DataFrame:

@@ -82,6 +82,8 @@ def request_log(events_df: DataFrame) -> DataFrame:
         "ts",
         F.col("event_type").alias("endpoint"),
         F.when(F.col("event_type") == "error", "error").otherwise("success").alias("status"),
+        F.when(F.col("event_type").isin("purchase", "signup"), "POST").otherwise("GET").alias("method"),
+        F.when(F.col("event_type") == "error", 500).otherwise(200).alias("status_code"),
         latency.alias("latency_s"),
         F.concat(F.lit("m"), (F.col("user_id") % 3).cast("string")).alias("model_type"),
         F.timestamp_micros(F.unix_micros("ts") + F.round(F.col("value") * 10000).cast("bigint")).alias("end_ts"),
