@@ -40,7 +40,8 @@ def test_held_out_accuracy(spark):
 
 def test_score_reads_only_the_text():
     texts, labels = planted(300)
-    model = toxicity.train(texts, np.array(labels), np.arange(300) % 5 == 0)
+    sample = toxicity.Sample(*toxicity.word_ids(texts), np.array(labels, dtype=float), np.arange(300) % 5 == 0)
+    model = toxicity.train(sample)
     again = model.score([texts[0], "", None, texts[0]])
     assert again[0] == again[3] and again[1] == again[2] and 0 <= again[1] < 0.5
     whole = model.score(["word " * 300_000 + "awful"])

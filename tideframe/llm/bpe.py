@@ -23,6 +23,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideframe.llm.batches import in_batches
+
 #: Words whose ids a task keeps; the table starts anew beyond it.
 KEPT_WORDS = 200_000
 #: Characters whose new words are merged together.
@@ -191,4 +193,4 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: b
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     types = ["ids array<int>"] * keep_ids + ["n_tokens bigint", "ids_sha256 string", "decoded_sha256 string"]
-    return packed.mapInArrow(encode, f"row {row_type}, {', '.join(types)}").select("row.*", *added)
+    return in_batches(packed).mapInArrow(encode, f"row {row_type}, {', '.join(types)}").select("row.*", *added)

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideframe.llm.batches import in_batches
 from tideframe.llm.tokens import SLICE_CHARS, _powers, each_text, hash_words, mix, sliced
 from tideframe.session import materialize
 
@@ -66,7 +67,7 @@ def item_seeds(items: DataFrame) -> DataFrame:
             )
 
     id_type = items.schema["item_id"].dataType.simpleString()
-    return items.select("item_id", "text").mapInArrow(cut, f"item_id {id_type}, words array<bigint>")
+    return in_batches(items.select("item_id", "text")).mapInArrow(cut, f"item_id {id_type}, words array<bigint>")
 
 
 def _seed_rows(words: DataFrame) -> DataFrame:
@@ -86,7 +87,7 @@ def _seed_rows(words: DataFrame) -> DataFrame:
                 names=["item", "seed", "place"],
             )
 
-    return words.select("item", "words").mapInArrow(cut, "item string, seed bigint, place int")
+    return in_batches(words.select("item", "words")).mapInArrow(cut, "item string, seed bigint, place int")
 
 
 def bitmap_of(seeds: DataFrame) -> np.ndarray:
@@ -99,7 +100,7 @@ def bitmap_of(seeds: DataFrame) -> np.ndarray:
                 [pa.array(found >> 6), pa.array(np.left_shift(np.uint64(1), (found & 63).astype(np.uint64)).view(np.int64))], names=["slot", "bits"]
             )
 
-    parts = seeds.select("seed").mapInArrow(places, "slot bigint, bits bigint").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
+    parts = in_batches(seeds.select("seed")).mapInArrow(places, "slot bigint, bits bigint").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
     bitmap = np.zeros(BITS // 64, dtype=np.uint64)
     bitmap[parts["slot"].to_numpy()] = parts["bits"].to_numpy().astype(np.int64).view(np.uint64)
     return np.unpackbits(bitmap.view(np.uint8), bitorder="little").astype(bool) if len(parts) else np.zeros(BITS, dtype=bool)
@@ -158,7 +159,7 @@ def document_hits(docs: DataFrame, bitmap: np.ndarray, short: list[int]) -> Data
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     types = f"doc_id {id_type}, words array<bigint>, seeds array<bigint>, places array<int>"
-    return docs.select("doc_id", "text").mapInArrow(search, types)
+    return in_batches(docs.select("doc_id", "text")).mapInArrow(search, types)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -198,7 +199,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*taken.columns, *columns], names=["doc_id", "item", "first_word", "n_words", "n_equal"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    leaks = full.mapInArrow(check, f"doc_id {id_type}, item string, first_word bigint, n_words bigint, n_equal bigint")
+    leaks = in_batches(full).mapInArrow(check, f"doc_id {id_type}, item string, first_word bigint, n_words bigint, n_equal bigint")
     return leaks.join(named.select("item", "item_id"), "item").select("doc_id", "item_id", "first_word", "n_words", "n_equal")
 
 

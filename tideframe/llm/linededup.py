@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideframe.llm.batches import in_batches
 from tideframe.llm.tokens import SLICE_CHARS, _powers, hash_words, mix, sliced
 from tideframe.session import materialize
 
@@ -99,7 +100,7 @@ def template_rows(docs: DataFrame) -> DataFrame:
                 )
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(cut, f"template bigint, line bigint, doc_id {id_type}")
+    return in_batches(docs.select("doc_id", "text")).mapInArrow(cut, f"template bigint, line bigint, doc_id {id_type}")
 
 
 def recurring_lines(docs: DataFrame) -> DataFrame:
@@ -144,6 +145,6 @@ def drop_recurring(docs: DataFrame) -> DataFrame:
             )
 
     row_type = packed.schema["row"].dataType.simpleString()
-    rebuilt = joined.mapInArrow(rebuild, f"row {row_type}, text string, n_lines bigint, n_dropped bigint")
+    rebuilt = in_batches(joined).mapInArrow(rebuild, f"row {row_type}, text string, n_lines bigint, n_dropped bigint")
     columns = [F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in kept]
     return rebuilt.select(*columns, *added)

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideframe.llm.batches import in_batches
 from tideframe.llm.tokens import each_text, mix, windows
 from tideframe.session import materialize
 
@@ -158,7 +159,7 @@ def sketch_documents(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), sketches], names=["doc_id", "node", "sketches"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return _texts(docs).mapInArrow(sketch, f"doc_id {id_type}, node binary, sketches array<bigint>")
+    return in_batches(_texts(docs)).mapInArrow(sketch, f"doc_id {id_type}, node binary, sketches array<bigint>")
 
 
 def _words_of(texts: DataFrame) -> DataFrame:
@@ -173,7 +174,7 @@ def _words_of(texts: DataFrame) -> DataFrame:
                 values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
                 yield pa.RecordBatch.from_arrays([part.column(0), values], names=["node", "words"])
 
-    return texts.select("node", "text").mapInArrow(words, "node binary, words array<int>")
+    return in_batches(texts.select("node", "text")).mapInArrow(words, "node binary, words array<int>")
 
 
 def _list_item(column: pa.ListArray, i: int) -> np.ndarray:
@@ -192,7 +193,7 @@ def verify(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
     left = words.select(F.col("node").alias("a"), F.col("words").alias("words_a"))
     right = words.select(F.col("node").alias("b"), F.col("words").alias("words_b"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "words_a", "words_b")
-    return joined.mapInArrow(check, "a binary, b binary")
+    return in_batches(joined).mapInArrow(check, "a binary, b binary")
 
 
 def connected(links: DataFrame) -> DataFrame:

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideframe.llm.batches import in_batches
+
 KINDS = ("assign", "access", "hex", "literal", "constant")
 # The three base patterns. Lengths of 16 and 32 are asked for here, which finds the same maximal runs.
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -133,7 +135,7 @@ def scan_documents(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(span))], names=["row", "secrets"])
 
     row_type = packed.schema["row"].dataType.simpleString()
-    return packed.mapInArrow(scan, f"row {row_type}, secrets array<struct<kind:string,start:bigint,end:bigint>>").select("row.*", "secrets")
+    return in_batches(packed).mapInArrow(scan, f"row {row_type}, secrets array<struct<kind:string,start:bigint,end:bigint>>").select("row.*", "secrets")
 
 
 def joined(spans: Column) -> Column:

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideframe.llm.batches import hand_back, in_batches
 from tideframe.llm.tokens import hash_words, sliced
 
 #: Bounds of the training sample: rows with label 1, rows with label 0, words of a row.
@@ -202,33 +203,63 @@ def best_threshold(z: np.ndarray, labels: np.ndarray) -> float:
     return float((z[order][k] + low) / 2)
 
 
-def train(texts: list[str | None], labels: np.ndarray, kept_out: np.ndarray, epochs: int = 4, seed: int = 7) -> ConvModel | None:
-    """Fit on the rows that are not ``kept_out``, calibrate on the others; None without both classes."""
-    labels = labels.astype(np.float64)
-    fit = ~kept_out
-    if fit.sum() < 2 or labels[fit].min() == labels[fit].max():
-        fit = np.ones(len(labels), dtype=bool)
-        if not len(labels) or labels.min() == labels.max():
-            return None
+@dataclass
+class Sample:
+    """Labelled texts as embedding rows, one after the other."""
+
+    by_word: np.ndarray
+    by_start: np.ndarray
+    starts: np.ndarray
+    language: np.ndarray
+    labels: np.ndarray
+    kept_out: np.ndarray
+
+    def where(self, chosen: np.ndarray) -> "Sample":
+        ends = np.append(self.starts[1:], len(self.by_word))
+        sizes = (ends - self.starts)[chosen]
+        words = np.repeat(chosen, ends - self.starts)
+        starts = np.append(0, np.cumsum(sizes)[:-1])[: len(sizes)]
+        return Sample(self.by_word[words], self.by_start[words], starts, self.language[chosen], self.labels[chosen], self.kept_out[chosen])
+
+
+def _both(labels: np.ndarray, least: int = 1) -> bool:
+    return min(labels.sum(), (1 - labels).sum()) >= least
+
+
+def train(sample: Sample, epochs: int = 4, seed: int = 7) -> ConvModel | None:
+    """Fit on the rows that are not kept out, calibrate on the others; None without both classes."""
+    if not _both(sample.labels):
+        return None
+    fit = sample.where(~sample.kept_out)
+    if not _both(fit.labels):
+        fit = sample
     rng = np.random.default_rng(seed)
-    by_word, by_start, starts, _ = word_ids([t for t, f in zip(texts, fit, strict=True) if f])
-    model = _start(by_word, by_start, starts, labels[fit], rng)
-    _fit(model, by_word, by_start, starts, labels[fit], rng, epochs)
-    enough = min(labels[~fit].sum(), (1 - labels[~fit]).sum()) >= LEAST_CLASS
-    check = ~fit if enough else np.ones(len(labels), dtype=bool)
-    by_word, by_start, starts, language = word_ids([t for t, c in zip(texts, check, strict=True) if c])
-    z, y = model.logits(by_word, by_start, starts), labels[check]
-    general = best_threshold(z, y)
-    model.thresholds[:] = general
+    model = _start(fit.by_word, fit.by_start, fit.starts, fit.labels, rng)
+    _fit(model, fit.by_word, fit.by_start, fit.starts, fit.labels, rng, epochs)
+    check = sample.where(sample.kept_out)
+    if not _both(check.labels, LEAST_CLASS):
+        check = sample
+    y, language = check.labels, check.language
+    z = np.concatenate([model.logits(*part) for part in _parts(check)])
+    model.thresholds[:] = best_threshold(z, y)
     for k in range(len(FREQUENT)):
         own = language == k
-        if min(y[own].sum(), (1 - y[own]).sum()) >= LEAST_CLASS:
+        if _both(y[own], LEAST_CLASS):
             model.thresholds[k] = best_threshold(z[own], y[own])
     spread = np.median(np.abs(z - model.thresholds[language]))
     model.slope = float(2 / max(spread, 1e-3))
     return model
 
 
+def _parts(sample: Sample, texts: int = 500) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The sample in runs of texts, which bounds the filter values held at once."""
+    ends = np.append(sample.starts[1:], len(sample.by_word))
+    for a in range(0, len(sample.starts), texts):
+        starts = sample.starts[a : a + texts]
+        words = slice(starts[0], ends[min(a + texts, len(ends)) - 1])
+        yield sample.by_word[words], sample.by_start[words], starts - starts[0]
+
+
 def learnable(doc_id: Column) -> Column:
     """Rows whose labels may be learnt: crc32 of the id as text leaves a remainder by 5."""
     return F.crc32(doc_id.cast("string")) % 5 != 0
@@ -241,16 +272,40 @@ def fit_from(docs: DataFrame, labels: DataFrame) -> ConvModel | None:
     chosen = (
         known.filter("toxic = 1").orderBy(*order).limit(SAMPLE_TOXIC).unionByName(known.filter("toxic <> 1").orderBy(*order).limit(SAMPLE_CLEAN))
     )
-    rows = (
-        docs.select("doc_id", "text")
-        .join(chosen, "doc_id")
-        .filter(F.size(F.split(F.coalesce("text", F.lit("")), " ")) <= SAMPLE_WORDS)
-        .toArrow()
-        .to_pylist()
+    texts = docs.select("doc_id", "text").join(chosen, "doc_id").filter(F.size(F.split(F.coalesce("text", F.lit("")), " ")) <= SAMPLE_WORDS)
+
+    def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(2).to_pylist()
+            for a, b in sliced(column):
+                by_word, by_start, starts, language = word_ids(column[a:b])
+                offsets = pa.array(np.append(starts, len(by_word)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(offsets, pa.array(rows)) for rows in (by_word, by_start)]
+                part = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(language.astype(np.int32)), *lists], names=["doc_id", "toxic", "language", "by_word", "by_start"]
+                )
+
+    types = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, toxic int, language int, by_word array<int>, by_start array<int>"
+    # to the driver: at most SAMPLE_TOXIC + SAMPLE_CLEAN rows of two integers a word
+    found = in_batches(texts.select("doc_id", F.col("toxic").cast("int").alias("toxic"), "text")).mapInArrow(ids, types).toArrow().combine_chunks()
+    model = train(_sample(found)) if found.num_rows else None
+    del found
+    hand_back()
+    return model
+
+
+def _sample(found: pa.Table) -> Sample:
+    found = found.sort_by("doc_id").combine_chunks()
+    lists = [found[c].chunk(0) for c in ("by_word", "by_start")]
+    sizes = np.diff(lists[0].offsets.to_numpy())
+    return Sample(
+        *[column.flatten().to_numpy() for column in lists],
+        np.append(0, np.cumsum(sizes)[:-1]),
+        found["language"].to_numpy(),
+        (found["toxic"].to_numpy() == 1).astype(np.float64),
+        np.array([zlib.crc32(str(i).encode()) // 5 % 5 == 0 for i in found["doc_id"].to_pylist()], dtype=bool),
     )
-    rows.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
-    kept_out = np.array([zlib.crc32(str(r["doc_id"]).encode()) // 5 % 5 == 0 for r in rows], dtype=bool)
-    return train([r["text"] for r in rows], np.array([float(r["toxic"] == 1) for r in rows]), kept_out)
 
 
 def score_documents(docs: DataFrame, model: ConvModel | None) -> DataFrame:
@@ -265,7 +320,7 @@ def score_documents(docs: DataFrame, model: ConvModel | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["row", "score"])
 
     row_type = packed.schema["row"].dataType.simpleString()
-    scored = packed.mapInArrow(score, f"row {row_type}, score double")
+    scored = in_batches(packed).mapInArrow(score, f"row {row_type}, score double")
     return scored.select("row.*", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
