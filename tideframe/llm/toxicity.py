@@ -119,13 +119,17 @@ def _start(by_word: np.ndarray, by_start: np.ndarray, starts: np.ndarray, labels
     """First weights: two embedding columns hold how much more often a row's texts are toxic, the rest is random."""
     embedding = rng.normal(0, 0.05, (2 * BUCKETS + 1, SIZE)).astype(np.float32)
     embedding[:, :2] = 0
-    text = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(by_word))))
     base = labels.mean()
-    for column, ids in enumerate((by_word, by_start)):
-        pairs = np.unique(ids.astype(np.int64) * len(starts) + text)
-        row, of = pairs // len(starts), pairs % len(starts)
-        n = np.bincount(row, minlength=len(embedding))
-        toxic = np.bincount(row, weights=labels[of], minlength=len(embedding))
+    seen = np.zeros((2, 2, len(embedding)))  # texts with the row: all, toxic; for words and for their starts
+    for first in range(0, len(starts), 500):
+        own = labels[first : first + 500]
+        begin, end = starts[first], starts[first + 500] if first + 500 < len(starts) else len(by_word)
+        text = np.repeat(np.arange(len(own)), np.diff(np.append(starts[first : first + 500], end)))
+        for column, ids in enumerate((by_word, by_start)):
+            pairs = np.unique(ids[begin:end].astype(np.int64) * len(own) + text)
+            row, toxic = pairs // len(own), own[pairs % len(own)]
+            seen[column] += np.bincount(row, minlength=len(embedding)), np.bincount(row, weights=toxic, minlength=len(embedding))
+    for column, (n, toxic) in enumerate(seen):
         gain = np.log((toxic + 5 * base) / (n + 5)) - np.log(base)
         embedding[:, column] = np.where(n >= LEAST_TEXTS, np.maximum(gain, -0.5), 0)
     embedding[PAD] = 0
@@ -296,6 +300,7 @@ def fit_from(docs: DataFrame, labels: DataFrame) -> ConvModel | None:
 
 
 def _sample(found: pa.Table) -> Sample:
+    """Rows by id; ids of one text stand together, so the order of arrival does not matter."""
     found = found.sort_by("doc_id").combine_chunks()
     lists = [found[c].chunk(0) for c in ("by_word", "by_start")]
     sizes = np.diff(lists[0].offsets.to_numpy())
