@@ -33,7 +33,7 @@ NOT_FEATURES = {
 TARGET = "price"
 TEST_SHARE = 0.2
 FOLDS = 3
-TRAIN_PARTITIONS = 16
+LEAST_PARTITIONS, PARTITION_ROWS = 4, 200_000
 SEED = 42
 FOREST = {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 2, "featureSubsetStrategy": "all", "seed": SEED}
 BOOSTING = {"maxIter": 100, "maxDepth": 5, "stepSize": 0.1, "minInstancesPerNode": 2, "seed": SEED}
@@ -141,12 +141,14 @@ def make_estimator(name: str, rows: int, label_deviation: float):
     raise ValueError(f"unknown model {name}")
 
 
-def fixed_layout(rows: DataFrame, series: Series = HOURLY, partitions: int = TRAIN_PARTITIONS) -> DataFrame:
+def fixed_layout(rows: DataFrame, series: Series = HOURLY, partitions: int | None = None) -> DataFrame:
     """Rows in an order that depends on the data only: bagging follows partitions and places within them.
 
-    ``partitions`` is part of the result for tree models; choose it by the size of the training set.
+    The number of partitions is part of the result for tree models. Unless given it follows from the rows:
+    one for every ``PARTITION_ROWS``, ``LEAST_PARTITIONS`` at least.
     """
     order = [*series.keys, series.time]
+    partitions = partitions or max(LEAST_PARTITIONS, -(-rows.count() // PARTITION_ROWS))
     return rows.repartition(partitions, *order).sortWithinPartitions(*order)
 
 
@@ -180,7 +182,7 @@ def train_models(
     names: Sequence[str] = MODELS,
     exclude_target: bool = False,
     cross_validate: bool = False,
-    partitions: int = TRAIN_PARTITIONS,
+    partitions: int | None = None,
 ) -> Training:
     """Impute, scale on all rows, split in time order, fit every model and mark the best test error.
 
