@@ -116,3 +116,25 @@ def test_sketches_follow_order_and_occurrence():
     assert (neardup.order_sketches(a) == neardup.order_sketches(a.copy())).all()
     assert len(neardup.order_sketches(swapped)) == neardup.SKETCHES
     assert len(neardup.order_sketches(a[:0])) == 0
+
+
+def edited(rng, words, edits):
+    """The text with so many scattered words replaced."""
+    out = list(words)
+    for place in rng.choice(len(out), edits, replace=False):
+        out[place] = "z%d" % rng.integers(10**9)
+    return out
+
+
+def test_blocks_compare_whole_buckets(spark, monkeypatch):
+    """A bucket that no centre settles: pairs of classes of their own, met through one shared passage."""
+    monkeypatch.setattr(neardup, "SMALL", 2)
+    monkeypatch.setattr(neardup, "BLOCK", 7)
+    monkeypatch.setattr(neardup, "order_sketches", lambda words, similarity: np.arange(1, dtype=np.int64))
+    rng = np.random.default_rng(8)
+    texts = []
+    for i in range(40):
+        base = [f"q{i}w{j}" for j in range(rng.integers(20, 90))]
+        texts += [" ".join(base), " ".join(edited(rng, base, int(0.2 * len(base))))]
+    found = classes_of(spark, docs_frame(spark, texts))
+    assert found == {k: k - k % 2 for k in range(len(texts))}

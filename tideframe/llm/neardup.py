@@ -1,13 +1,14 @@
 """Near-duplicate classes by order MinHash and banded alignment.
 
-1. One pass over the texts: words, five-word k-mers numbered by occurrence, and ``SKETCHES`` order sketches. A sketch takes
-   the ``MINIMA`` k-mers of least hash under its own permutation and hashes them in text order, so it agrees for texts of
-   small edit distance rather than for texts of equal word sets.
+1. One pass over the texts: words, k-mers numbered by occurrence, and ``SKETCHES`` order sketches. A sketch takes
+   the k-mers of least hash under its own permutation and hashes them in text order, so it agrees for texts of
+   small edit distance rather than for texts of equal word sets. Their lengths are in ``TIERS``.
 2. Equal texts become one node. Nodes with an equal sketch share a bucket.
-3. Rounds: in every bucket with more than one class, all members are compared with one centre. Verified links
-   join classes, and whatever is then of one class needs no further comparison. A bucket of at most
-   ``SMALL`` members compares the rest of its members across classes; a larger one goes on without its centre, its
-   members told apart by two more sketches, until every bucket is done. No bucket is cut off and none emits all pairs.
+3. Rounds: in every bucket with more than one class, all members are compared with one centre, the member that shares
+   most buckets with others. Verified links join classes, and whatever is then of one class needs no further comparison.
+   A bucket of at most ``SMALL`` members compares the rest of its members across classes. A larger one goes on
+   without its centre; after ``STARS`` rounds its members are compared across classes too, in blocks: two texts are a
+   candidate unless their lengths or the agreement of their signatures rule out a link. No bucket is cut off or split.
 4. A candidate is a link if banded alignment of the words finds an edit similarity of ``SIMILARITY`` or more:
    1 - distance / longer length. The alignment keeps diagonals within the distance allowed only.
 
@@ -32,11 +33,17 @@ from tideframe.llm.batches import in_batches
 from tideframe.llm.tokens import each_text, mix, windows
 from tideframe.session import materialize
 
-K, MINIMA, SKETCHES, SIMILARITY, SMALL = 5, 2, 16, 0.8, 12
+SKETCHES, SIMILARITY, SMALL, STARS = 16, 0.8, 12, 3
+#: Most words of a text, words of a k-mer and minima of a sketch, from short texts to long ones.
+TIERS = ((None, 5, 2),)
+#: Bytes of a signature (a minimum over the numbered words each), members of a block.
+SIGNS, BLOCK = 64, 500
 _RNG = np.random.default_rng(3)
 _MASKS = _RNG.integers(0, 2**63, SKETCHES, dtype=np.uint64)
 _FACTORS = _RNG.integers(0, 2**63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_PLACES = _RNG.integers(0, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_PLACES = _RNG.integers(0, 2**63, max(t[2] for t in TIERS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SIGN_MASKS = _RNG.integers(0, 2**63, SIGNS, dtype=np.uint64)
+_SIGN_FACTORS = _RNG.integers(0, 2**63, SIGNS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def number_occurrences(kmers: np.ndarray) -> np.ndarray:
@@ -53,12 +60,22 @@ def number_occurrences(kmers: np.ndarray) -> np.ndarray:
     return np.where(occurrence > 0, mix(kmers + occurrence), kmers)
 
 
-def order_sketches(words: np.ndarray) -> np.ndarray:
-    """The sketches of one text, as signed integers; none for a text without words."""
+def order_sketches(words: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """The sketches of one text, as signed integers; none for a text without words, those of two tiers near a border."""
     if not len(words):
         return np.empty(0, dtype=np.int64)
-    kmers = number_occurrences(windows(words, min(K, len(words))))
-    taken = min(MINIMA, len(kmers))
+    found, least = [], 0
+    for number, (most, k, minima) in enumerate(TIERS):
+        # a text of up to ``most`` words may be similar to one of up to ``most / similarity``
+        if len(words) > least and (most is None or len(words) * similarity <= most + 1e-9):
+            found.append(_tier_sketches(words, k, minima, number))
+        least = most
+    return np.concatenate(found)
+
+
+def _tier_sketches(words: np.ndarray, k: int, minima: int, tier: int) -> np.ndarray:
+    kmers = number_occurrences(windows(words, min(k, len(words))))
+    taken = min(minima, len(kmers))
     out = np.empty(SKETCHES, dtype=np.uint64)
     step = max(1, 400_000 // len(kmers))
     for a in range(0, SKETCHES, step):
@@ -70,10 +87,30 @@ def order_sketches(words: np.ndarray) -> np.ndarray:
             least[:, j] = values.argmin(axis=1)
             values[rows, least[:, j]] = np.uint64(2**64 - 1)
         least.sort(axis=1)  # text order
-        out[a:b] = (kmers[least] * _PLACES[:taken]).sum(axis=1, dtype=np.uint64) + np.arange(a, b, dtype=np.uint64)
+        turns = np.arange(a, b, dtype=np.uint64) + np.uint64(tier * SKETCHES)
+        out[a:b] = (kmers[least] * _PLACES[:taken]).sum(axis=1, dtype=np.uint64) + turns
     return mix(out).view(np.int64)
 
 
+def signature(words: np.ndarray) -> bytes:
+    """One byte of each of ``SIGNS`` minima over the words numbered by occurrence."""
+    if not len(words):
+        return bytes(SIGNS)
+    kmers = number_occurrences(windows(words, 1))
+    out = np.empty(SIGNS, dtype=np.uint64)
+    step = max(1, 400_000 // len(kmers))
+    for a in range(0, SIGNS, step):
+        b = min(a + step, SIGNS)
+        out[a:b] = ((kmers[None, :] ^ _SIGN_MASKS[a:b, None]) * _SIGN_FACTORS[a:b, None]).min(axis=1)
+    return (mix(out) & np.uint64(255)).astype(np.uint8).tobytes()
+
+
+def least_signs(similarity: float) -> int:
+    """Equal signature bytes of a link, but for five deviations: of links, similarity / (2 - similarity) of the words agree."""
+    share = max(0.0, similarity / (2 - similarity))
+    return int(SIGNS * share - 5 * (SIGNS * share * (1 - share)) ** 0.5)
+
+
 def edit_distance_within(a: np.ndarray, b: np.ndarray, limit: int) -> int:
     """Edit distance of two word sequences, or ``limit + 1`` if it is larger.
 
@@ -92,7 +129,7 @@ def edit_distance_within(a: np.ndarray, b: np.ndarray, limit: int) -> int:
         return limit + 1
     if not n or not m:
         return max(n, m)
-    if limit > 64:
+    if limit > 8:
         values, which = np.unique(np.concatenate([a, b]), return_inverse=True)
         surplus = np.bincount(which[:n], minlength=len(values)) - np.bincount(which[n:], minlength=len(values))
         if max(surplus[surplus > 0].sum(), -surplus[surplus < 0].sum()) > limit:
@@ -147,19 +184,24 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.unhex(F.md5(text)).alias("node"), text.alias("text"))
 
 
-def sketch_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, node (digest of the text), sketches."""
+def sketch_documents(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, node (digest of the text), sketches, number of words, signature."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [order_sketches(h) for _, h in each_text(batch.column(2).to_pylist())]
+            found, sizes, signs = [], [], []
+            for _, h in each_text(batch.column(2).to_pylist()):
+                found.append(order_sketches(h, similarity))
+                sizes.append(len(h))
+                signs.append(signature(h))
             offsets = np.append(0, np.cumsum([len(s) for s in found])).astype(np.int32)
             values = np.concatenate(found) if found else np.empty(0, np.int64)
             sketches = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), sketches], names=["doc_id", "node", "sketches"])
+            columns = [batch.column(0), batch.column(1), sketches, pa.array(sizes, pa.int64()), pa.array(signs, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "sketches", "n_words", "signs"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return in_batches(_texts(docs)).mapInArrow(sketch, f"doc_id {id_type}, node binary, sketches array<bigint>")
+    return in_batches(_texts(docs)).mapInArrow(sketch, f"doc_id {id_type}, node binary, sketches array<bigint>, n_words bigint, signs binary")
 
 
 def _words_of(texts: DataFrame) -> DataFrame:
@@ -196,6 +238,51 @@ def verify(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
     return in_batches(joined).mapInArrow(check, "a binary, b binary")
 
 
+def block_pairs(held: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of all members of a bucket in different classes that length and signature do not rule out.
+
+    ``held``: bucket, node, root. Members meet in blocks, so a pair of blocks is a row of a join and not a pair of texts.
+    Lengths are cut into classes; a link is within a class or between neighbouring ones.
+    """
+    width = -float(np.log(similarity)) if 0 < similarity < 1 else None
+    size = (F.floor(F.log(F.greatest(F.col("n_words"), F.lit(1))) / F.lit(width)) if width else F.lit(0)).cast("int").alias("size")
+    rows = held.select("bucket", "node", "root").join(nodes.select("node", "n_words", "signs"), "node")
+    rows = materialize(rows.select("bucket", "node", "root", "n_words", "signs", size), "unsettled")
+    counts = rows.groupBy("bucket", "size").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("n_blocks"))
+    dealt = rows.join(counts, ["bucket", "size"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")))
+    member = F.struct("node", "root", "n_words", "signs")
+    blocks = materialize(dealt.groupBy("bucket", "size", "block").agg(F.collect_list(member).alias("members")), "blocks")
+    left = blocks.select("bucket", F.col("size").alias("size_a"), F.col("block").alias("block_a"), F.col("members").alias("left"))
+    right = blocks.select("bucket", F.col("size").alias("size_b"), F.col("block").alias("block_b"), F.col("members").alias("right"))
+    near = "size_b = size_a + 1 OR (size_b = size_a AND block_b >= block_a)"
+    met = left.join(right, "bucket").filter(near).select("left", "right")
+    enough = least_signs(similarity)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one, other = (batch.column(c)[i].values for c in (0, 1))
+                (na, ra, la, sa), (nb, rb, lb, sb) = ([part.field(f) for f in range(4)] for part in (one, other))
+                signs_a, signs_b = (np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(-1, SIGNS) for x in (sa, sb))
+                roots, numbers = {}, []
+                for x in (ra, rb):
+                    numbers.append(np.array([roots.setdefault(r, len(roots)) for r in x.to_pylist()]))
+                names_a, names_b = np.array(na.to_pylist(), dtype=object), np.array(nb.to_pylist(), dtype=object)
+                sizes_a, sizes_b = (x.to_numpy(zero_copy_only=False) for x in (la, lb))
+                for k in range(len(signs_a)):
+                    longer = np.maximum(sizes_a[k], sizes_b)
+                    apart = np.abs(sizes_a[k] - sizes_b)
+                    fits = (numbers[1] != numbers[0][k]) & (apart <= (1 - similarity) * longer + 1e-9)
+                    at = np.flatnonzero(fits)
+                    at = at[(signs_b[at] == signs_a[k]).sum(axis=1) >= enough]
+                    if len(at):
+                        pairs = [sorted((names_a[k], b)) for b in names_b[at]]
+                        columns = [pa.array([p[c] for p in pairs], pa.binary()) for c in (0, 1)]
+                        yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+    return in_batches(met).mapInArrow(compare, "a binary, b binary")
+
+
 def connected(links: DataFrame) -> DataFrame:
     """(node, root) of every node in ``links`` (a, b): alternating star contraction until nothing changes."""
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
@@ -219,12 +306,16 @@ def connected(links: DataFrame) -> DataFrame:
 
 def text_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(doc_id, node) of every row, and (node, root) of the nodes that are not alone."""
-    sketched = materialize(sketch_documents(docs), "sketches")
-    nodes = sketched.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("sketches").alias("sketches"))
+    sketched = materialize(sketch_documents(docs, similarity), "sketches")
+    once = [F.first(c).alias(c) for c in ("sketches", "n_words", "signs")]
+    nodes = sketched.groupBy("node").agg(F.min("doc_id").alias("doc_id"), *once)
     nodes = materialize(nodes, "nodes")
-    placed = nodes.select("node", F.posexplode("sketches").alias("turn", "bucket"))
-    filled = placed.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high")
-    members = materialize(placed.join(filled.select("bucket"), "bucket"), "members")
+    placed = nodes.select("node", F.explode("sketches").alias("bucket"))
+    filled = placed.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n")).filter("low <> high")
+    members = materialize(placed.join(filled.select("bucket", "n"), "bucket"), "members")
+    # the original of many copies shares its buckets with most of them, a copy with few
+    met = members.groupBy("node").agg(F.sum("n").alias("met"))
+    members = materialize(members.select("bucket", "node").join(met, "node"), "ranked")
     wanted = members.select("node").distinct().join(nodes, "node").select(F.col("node").alias("n"), "doc_id")
     texts = _texts(docs).withColumnRenamed("doc_id", "id")
     texts = texts.join(wanted, (F.col("node") == F.col("n")) & F.col("id").eqNullSafe(F.col("doc_id")))
@@ -241,32 +332,30 @@ def text_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataF
             classed = members.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
         open_buckets = (
             classed.groupBy("bucket")
-            .agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct("node", "root")).alias("first"))
+            .agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct(-F.col("met"), "node", "root")).alias("first"))
             .filter("low <> high")
             .select("bucket", "n", F.col("first.node").alias("centre"), F.col("first.root").alias("centre_root"))
         )
         held = materialize(classed.join(open_buckets, "bucket"), "open")
         pairs = held.filter("root <> centre_root").select(F.col("centre").alias("a"), F.col("node").alias("b"))
         few = F.lit(round_no > 1) & (F.col("n") <= SMALL)
+        last = round_no > STARS
         if round_no > 1:
             little = held.filter(few)
             pairs = pairs.unionByName(
-                little.select("bucket", F.col("node").alias("a"), F.col("root").alias("ra"))
-                .join(little.select("bucket", F.col("node").alias("b"), F.col("root").alias("rb")), "bucket")
-                .filter("a < b AND ra <> rb")
+                little.select("bucket", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("met").alias("met_a"))
+                .join(little.select("bucket", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("met").alias("met_b")), "bucket")
+                .filter("(met_a > met_b OR (met_a = met_b AND a < b)) AND ra <> rb")  # the order in which members become centres
                 .select("a", "b")
             )
+        if last:
+            pairs = pairs.unionByName(block_pairs(held.filter(~few), nodes, similarity))
         found = materialize(verify(pairs.distinct(), words, similarity), "links")
         links = found if links is None else links.unionByName(found)
-        # what goes on: larger buckets without their centre, told apart by two more sketches from the second round on
-        rest = held.filter(~few & (F.col("node") != F.col("centre"))).select("bucket", "turn", "node")
-        if rest.isEmpty():
+        # what goes on: larger buckets without their centre
+        members = held.filter(~few & (F.col("node") != F.col("centre"))).select("bucket", "node", "met")
+        if last or members.isEmpty():
             return sketched.select("doc_id", "node"), connected(links)
-        if 1 < round_no <= SKETCHES // 2:
-            at = F.col("turn") + 2 * round_no - 3
-            keys = F.xxhash64("bucket", F.get("sketches", at % SKETCHES), F.get("sketches", (at + 1) % SKETCHES))
-            rest = rest.join(nodes.select("node", "sketches"), "node").select(keys.alias("bucket"), "turn", "node")
-        members = rest
         parents = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))
         above = parents.select(F.col("node").alias("root"), F.col("root").alias("further"))
         labels = parents.join(above, "root", "left").select("node", F.coalesce("further", "root").alias("root"))
