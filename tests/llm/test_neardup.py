@@ -126,6 +126,34 @@ def edited(rng, words, edits):
     return out
 
 
+def test_recall_does_not_depend_on_the_size_of_a_group(spark):
+    """Copies with 14% of scattered words replaced are links to their original, not to each other."""
+    rng = np.random.default_rng(6)
+    texts, sizes = [], (10, 100, 1000)
+    for g, n in enumerate(sizes):
+        base = [f"g{g}w{i}" for i in range(120)]
+        texts += [" ".join(base)] + [" ".join(edited(rng, base, 17)) for _ in range(n)]
+    found = classes_of(spark, docs_frame(spark, texts))
+    at = 0
+    for n in sizes:
+        assert sum(found[i] == at for i in range(at + 1, at + n + 1)) >= 0.99 * n
+        at += n + 1
+
+
+@pytest.mark.parametrize("low, high, shares", [(6, 15, None), (30, 60, (0.1, 0.2)), (100, 300, (0.1, 0.2))])
+def test_recall_near_the_threshold(spark, low, high, shares):
+    """Pairs of a similarity of 0.80 to 0.90; short texts with one to three words replaced."""
+    rng = np.random.default_rng(7)
+    texts = []
+    for i in range(300):
+        base = [f"p{i}w{j}" for j in range(rng.integers(low, high))]
+        most = int(0.2 * len(base) + 1e-9)
+        edits = int(rng.integers(1, most + 1)) if shares is None else min(most, int(np.ceil(rng.uniform(*shares) * len(base))))
+        texts += [" ".join(base), " ".join(edited(rng, base, edits))]
+    found = classes_of(spark, docs_frame(spark, texts))
+    assert np.mean([found[k] == found[k + 1] for k in range(0, len(texts), 2)]) >= 0.98
+
+
 def test_blocks_compare_whole_buckets(spark, monkeypatch):
     """A bucket that no centre settles: pairs of classes of their own, met through one shared passage."""
     monkeypatch.setattr(neardup, "SMALL", 2)

@@ -2,7 +2,8 @@
 
 1. One pass over the texts: words, k-mers numbered by occurrence, and ``SKETCHES`` order sketches. A sketch takes
    the k-mers of least hash under its own permutation and hashes them in text order, so it agrees for texts of
-   small edit distance rather than for texts of equal word sets. Their lengths are in ``TIERS``.
+   small edit distance rather than for texts of equal word sets. k-mers are the shorter, the fewer words a text has
+   (``TIERS``); texts near a border are sketched on both sides of it, so any two texts of similar length share a tier.
 2. Equal texts become one node. Nodes with an equal sketch share a bucket.
 3. Rounds: in every bucket with more than one class, all members are compared with one centre, the member that shares
    most buckets with others. Verified links join classes, and whatever is then of one class needs no further comparison.
@@ -33,9 +34,9 @@ from tideframe.llm.batches import in_batches
 from tideframe.llm.tokens import each_text, mix, windows
 from tideframe.session import materialize
 
-SKETCHES, SIMILARITY, SMALL, STARS = 16, 0.8, 12, 3
+SKETCHES, SIMILARITY, SMALL, STARS = 48, 0.8, 12, 3
 #: Most words of a text, words of a k-mer and minima of a sketch, from short texts to long ones.
-TIERS = ((None, 5, 2),)
+TIERS = ((16, 1, 3), (64, 2, 2), (None, 3, 2))
 #: Bytes of a signature (a minimum over the numbered words each), members of a block.
 SIGNS, BLOCK = 64, 500
 _RNG = np.random.default_rng(3)
