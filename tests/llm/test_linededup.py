@@ -83,3 +83,9 @@ def test_long_text_in_blocks(monkeypatch):
     parts = ld.line_templates([text, "x"])
     for a, b in zip(whole, parts, strict=True):
         assert (a == b).all()
+
+
+def test_short_lines_that_recur_often(spark):
+    texts = [f"All rights reserved\nTwice only\na line of its own {w} here" for w in ("alpha", "beta")] + ["All rights reserved\nmore", "all rights reserved"]
+    found = {r.doc_id: r.text for r in ld.drop_recurring(docs_frame(spark, texts)).collect()}
+    assert found == {0: texts[0], 1: "Twice only\na line of its own beta here", 2: "more", 3: ""}

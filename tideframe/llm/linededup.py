@@ -4,12 +4,12 @@ A line goes down a tree of fixed depth: number of words, then its first ``DEPTH`
 is a variable. A line of which more than half are such words is all constant: rows of numbers differ by their numbers. At the leaf it has one template of all its words and, if ``FIELDS`` * 2 or more words are left and it is not such a row, one per
 field: the rest of the line is cut into ``FIELDS`` fields, and the template leaves one of them open. Lines that
 differ in variables and in one field so meet in a template, without comparing lines in a leaf with one another.
-A template recurs if ``LEAST_DOCS`` documents have it. The document of least id keeps its line; the others lose theirs.
+A template recurs if ``LEAST_DOCS`` documents have it, that of a line of fewer than ``LEAST_LINE`` words if ``SHORT_DOCS`` have it. The document of least id keeps its line; the others lose theirs.
 
 Templates are counted with partial aggregation and the lines of recurring ones are found by a join that can split hot
 templates, so no task gathers a leaf or a template.
 
-Defined cases: null and empty texts have no lines to lose; lines of fewer than ``LEAST_LINE`` words are never dropped;
+Defined cases: null and empty texts have no lines to lose; lines without a word are never dropped;
 repeats within one document stay; rows of one id count as one document, as do all rows without an id; blank lines
 stay; a text that loses every line becomes empty; columns of any other name are handed through.
 """
@@ -27,7 +27,7 @@ from tideframe.llm.batches import in_batches
 from tideframe.llm.tokens import SLICE_CHARS, _powers, hash_words, mix, sliced
 from tideframe.session import materialize
 
-DEPTH, FIELDS, LEAST_LINE, LEAST_DOCS = 3, 3, 5, 2
+DEPTH, FIELDS, LEAST_LINE, LEAST_DOCS, SHORT_DOCS = 3, 3, 5, 2, 3
 #: Stands for every variable word.
 VARIABLE = np.uint64(0x5851F42D4C957F2D)
 _COUNT = np.uint64(0xD6E8FEB86659FD93)
@@ -43,12 +43,13 @@ def _blocks(text: str) -> Iterator[str]:
     yield text[at:]
 
 
-def line_templates(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of every line with enough words: text number, line number in it, and templates, the exact one first.
+def line_templates(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of every line with a word: text number, line number in it, and templates, the exact one first.
 
-    The last array has 1 + FIELDS columns and a mask of those that exist is returned as the fourth value.
+    The third array has 1 + FIELDS columns and a mask of those that exist is returned as the fourth value; the last one
+    tells lines of fewer than ``LEAST_LINE`` words.
     """
-    ids, numbers, made, there = [], [], [], []
+    ids, numbers, made, there, short = [], [], [], [], []
     for a, b in sliced(texts):
         whole = b - a == 1 and len(texts[a] or "") > 4 * SLICE_CHARS
         before = 0
@@ -73,46 +74,50 @@ def line_templates(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.
                 for f in range(FIELDS):
                     open_field = np.add.reduceat(np.where(field == f, terms, np.uint64(0)), starts)
                     templates.append(mix(total - open_field + _FIELDS[f]))
-                long = size >= LEAST_LINE
-                own = line[starts][long]
+                own = line[starts]
                 ids.append(text_of_line[own] + a)
                 numbers.append(own - first_line[text_of_line[own]] + before)
-                made.append(np.stack(templates, axis=1)[long])
-                there.append(np.stack([size >= 0] + [worded & (size >= DEPTH + 2 * FIELDS)] * FIELDS, axis=1)[long])
+                made.append(np.stack(templates, axis=1))
+                there.append(np.stack([size >= 0] + [worded & (size >= DEPTH + 2 * FIELDS)] * FIELDS, axis=1))
+                short.append(size < LEAST_LINE)
             before += int(counts.sum()) if whole else 0
     if not ids:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, 1 + FIELDS), np.uint64), np.empty((0, 1 + FIELDS), bool)
-    return np.concatenate(ids), np.concatenate(numbers), np.concatenate(made), np.concatenate(there)
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, 1 + FIELDS), np.uint64), np.empty((0, 1 + FIELDS), bool), np.empty(0, bool)
+    return np.concatenate(ids), np.concatenate(numbers), np.concatenate(made), np.concatenate(there), np.concatenate(short)
 
 
 def template_rows(docs: DataFrame) -> DataFrame:
-    """template, line (its exact template), doc_id: every template of every line."""
+    """template, line (its exact template), doc_id, short (a line of few words): every template of every line."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 1000):
                 part = batch.slice(a, 1000)
-                ids, _, made, there = line_templates(part.column(1).to_pylist())
+                ids, _, made, there, short = line_templates(part.column(1).to_pylist())
                 row, column = np.nonzero(there)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(made[row, column].view(np.int64)), pa.array(made[row, 0].view(np.int64)), part.column(0).take(pa.array(ids[row], pa.int64()))],
-                    names=["template", "line", "doc_id"],
+                    [pa.array(made[row, column].view(np.int64)), pa.array(made[row, 0].view(np.int64)), part.column(0).take(pa.array(ids[row], pa.int64())), pa.array(short[row])],
+                    names=["template", "line", "doc_id", "short"],
                 )
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return in_batches(docs.select("doc_id", "text")).mapInArrow(cut, f"template bigint, line bigint, doc_id {id_type}")
+    return in_batches(docs.select("doc_id", "text")).mapInArrow(cut, f"template bigint, line bigint, doc_id {id_type}, short boolean")
 
 
 def recurring_lines(docs: DataFrame) -> DataFrame:
     """doc_id, lines: the exact templates of the lines that a document loses."""
-    rows = template_rows(docs)
+    every = template_rows(docs)
+    rows = every.filter("NOT short")
     # different ids at least 2 <=> least and greatest differ; more are counted on (template, id)
     if LEAST_DOCS == 2:
         recurring = rows.groupBy("template").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"), F.count("doc_id").alias("n"), F.count("*").alias("all_n"))
         recurring = recurring.filter("first_id <> last_id OR (n > 0 AND all_n > n)")
     else:
         recurring = rows.select("template", "doc_id").distinct().groupBy("template").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).filter(F.col("n") >= LEAST_DOCS)
-    lost = rows.join(recurring.select("template", "first_id"), "template").filter("NOT doc_id <=> first_id")
+    # on (template, id) rows without an id are one document
+    few = every.filter("short").select("template", "doc_id").distinct().groupBy("template").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
+    recurring = recurring.select("template", "first_id").unionByName(few.filter(F.col("n") >= SHORT_DOCS).select("template", "first_id"))
+    lost = every.join(recurring, "template").filter("NOT doc_id <=> first_id")
     return lost.groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
 
 
@@ -132,7 +137,7 @@ def drop_recurring(docs: DataFrame) -> DataFrame:
             touched = [i for i in range(len(texts)) if lines[i].is_valid and texts[i]]
             for a in range(0, len(touched), 500):
                 some = touched[a : a + 500]
-                ids, numbers, made, _ = line_templates([texts[i] for i in some])
+                ids, numbers, made, _, _ = line_templates([texts[i] for i in some])
                 for k, i in enumerate(some):
                     low, high = np.searchsorted(ids, [k, k + 1])
                     lost_here = lines[i].values.to_numpy(zero_copy_only=False)
