@@ -71,3 +71,27 @@ def test_calibration_by_language():
     assert toxicity.best_threshold(np.zeros(4), np.array([1, 0, 0, 0])) < 0
     guessed = toxicity.word_ids(["the cat and the dog", "der Hund und die Katze", "le chat et les chiens", "el gato y los perros", ""])[3]
     assert guessed.tolist() == [0, 1, 2, 3, 0]
+
+
+def test_thresholds_cover_all_labelled_rows(spark, monkeypatch):
+    """Counts stand for every learnable row, long ones too; a capped sample does not change their shares."""
+    texts, labels = planted(400)
+    texts = [t + " plain" * 100 if i % 10 == 1 else t for i, t in enumerate(texts)]
+    monkeypatch.setattr(toxicity, "SAMPLE_WORDS", 130)
+    monkeypatch.setattr(toxicity, "SAMPLE_CLEAN", 60)
+    seen = []
+    real = toxicity.calibrate
+    monkeypatch.setattr(toxicity, "calibrate", lambda model, counts: (seen.append(counts), real(model, counts)))
+    frame = spark.createDataFrame([(i, 1, y) for i, y in enumerate(labels)], LABELS)
+    docs = docs_frame(spark, texts)
+    toxicity.fit_from(docs, frame)
+    counts = seen[0].to_pandas()
+    learnable = docs.filter(toxicity.learnable(F.col("doc_id"))).count()
+    assert counts.n.sum() == learnable and counts[counts.long == 1].n.sum() > 20
+    assert counts[(counts.used == 1) & (counts.toxic == 0)].n.sum() <= 60 and not counts[(counts.long == 1) & (counts.used == 1)].n.sum()
+
+
+def test_threshold_of_weighted_values():
+    z, y = np.array([3.0, 2.0, 1.0, 0.0]), np.array([1.0, 0.0, 1.0, 0.0])
+    assert toxicity.best_threshold(z, y) == 0.5
+    assert toxicity.best_threshold(z, y, np.array([1.0, 9.0, 1.0, 9.0])) == 2.5

@@ -3,7 +3,8 @@
 A word is the sum of two embedding rows, one for its hash and one for the hash of its first bytes. Filters of widths
 1 to 3 run over the words, their maxima over the text go through one logistic unit. Training (numpy, Adagrad) uses a
 bounded sample of labelled rows; scoring runs in the tasks that read the texts, over whole texts and without a shuffle.
-Thresholds are calibrated per language on labelled rows kept out of the fit and are folded into the score, so that
+Thresholds are calibrated per language on all labelled rows that the fit did not use, whole texts of any length, counted
+in tasks and weighted to the shares of all labelled rows; they are folded into the score, so that
 0.5 is the border for every text. The language is guessed from the words of the text; columns other than the
 text never enter a score.
 
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideframe.llm.batches import hand_back, in_batches
+from tideframe.llm.decontaminate import small
 from tideframe.llm.tokens import hash_words, sliced
 
 #: Bounds of the training sample: rows with label 1, rows with label 0, words of a row.
@@ -196,11 +198,12 @@ def _fit(model: ConvModel, by_word: np.ndarray, by_start: np.ndarray, starts: np
     model.bias = float(bias[0])
 
 
-def best_threshold(z: np.ndarray, labels: np.ndarray) -> float:
-    """Logit with the best F1, in the middle of the gap it falls into."""
+def best_threshold(z: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None) -> float:
+    """Logit with the best F1, in the middle of the gap it falls into; every value counts ``weights`` times."""
+    weights = np.ones(len(z)) if weights is None else weights
     order = np.argsort(-z, kind="stable")
-    hits = np.cumsum(labels[order])
-    f1 = 2 * hits / (np.arange(1, len(z) + 1) + labels.sum())
+    hits = np.cumsum((weights * labels)[order])
+    f1 = 2 * hits / (np.cumsum(weights[order]) + (weights * labels).sum())
     f1[:-1][z[order][:-1] == z[order][1:]] = -1  # no border between equal values
     k = int(f1.argmax())
     low = z[order][k + 1] if k + 1 < len(z) else z[order][k] - 1
@@ -269,8 +272,62 @@ def learnable(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string")) % 5 != 0
 
 
+def kept_out(doc_id: Column) -> Column:
+    """Learnable rows that the fit leaves to calibration."""
+    return F.floor(F.crc32(doc_id.cast("string")) / 5) % 5 == 0
+
+
+def calibrate(model: ConvModel, counts: pa.Table) -> None:
+    """Thresholds and slope from counts ``n`` of (language, z, toxic, long, used).
+
+    Rows the fit used are left out where the others suffice; the others weigh as much as all rows of their class and kind
+    of length, so the shares are those of all labelled rows, whatever part of them the fit took.
+    """
+    language, z, y, long, used, n = (counts[c].to_numpy() for c in ("language", "z", "toxic", "long", "used", "n"))
+    y = (y == 1).astype(np.float64)
+    group = y.astype(np.int64) * 2 + long
+    chosen = used == 0
+    if min(n[chosen & (y == 1)].sum(), n[chosen & (y == 0)].sum()) < LEAST_CLASS:
+        chosen = np.ones(len(n), dtype=bool)
+    share = np.bincount(group, n, 4) / np.maximum(np.bincount(group[chosen], n[chosen], 4), 1)
+    weights = (n * share[group])[chosen]
+    language, z, y, n = language[chosen], z[chosen], y[chosen], n[chosen]
+    model.thresholds[:] = best_threshold(z, y, weights)
+    for k in range(len(FREQUENT)):
+        own = language == k
+        if min(n[own & (y == 1)].sum(), n[own & (y == 0)].sum()) >= LEAST_CLASS:
+            model.thresholds[k] = best_threshold(z[own], y[own], weights[own])
+    far = np.abs(z - model.thresholds[language])
+    order = np.argsort(far)
+    reached = np.cumsum(weights[order])
+    model.slope = float(2 / max(far[order][np.searchsorted(reached, reached[-1] / 2)], 1e-3))
+
+
+def calibration_counts(docs: DataFrame, known: DataFrame, chosen: DataFrame, model: ConvModel) -> pa.Table:
+    """Counts of all labelled rows by (language, rounded logit, toxic, longer than a sample row, used by the fit)."""
+    long = F.size(F.split(F.coalesce("text", F.lit("")), " ")) > SAMPLE_WORDS
+    ids = chosen.select("doc_id", F.lit(1).alias("drawn"))
+    marked = known.join(ids, "doc_id", "left").select("doc_id", "toxic", (F.col("drawn").isNotNull() & ~kept_out(F.col("doc_id"))).alias("fitted"))
+    rows = docs.select("doc_id", "text").join(small(marked), "doc_id")
+    rows = rows.select("text", F.col("toxic").cast("int").alias("toxic"), long.cast("int").alias("long"), (F.col("fitted") & ~long).cast("int").alias("used"))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def logits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            z, language = np.zeros(len(texts)), np.zeros(len(texts), dtype=np.int32)
+            for a, b in sliced(texts):
+                *part, language[a:b] = word_ids(texts[a:b])
+                z[a:b] = shared.value.logits(*part)
+            columns = [pa.array(language), pa.array(z.round(3)), *[batch.column(k) for k in (1, 2, 3)]]
+            yield pa.RecordBatch.from_arrays(columns, names=["language", "z", "toxic", "long", "used"])
+
+    found = in_batches(rows).mapInArrow(logits, "language int, z double, toxic int, long int, used int")
+    return found.groupBy("language", "z", "toxic", "long", "used").agg(F.count("*").alias("n")).orderBy("z", "language", "toxic", "long", "used").toArrow()
+
+
 def fit_from(docs: DataFrame, labels: DataFrame) -> ConvModel | None:
-    """Model from a bounded sample of the labelled rows; the sample is the rows with the least hash of their id."""
+    """Model from a bounded sample of the labelled rows, those with the least hash of their id; thresholds from all others."""
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     known = labels.filter(F.col("toxic").isNotNull() & learnable(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = (
@@ -295,6 +352,8 @@ def fit_from(docs: DataFrame, labels: DataFrame) -> ConvModel | None:
     found = in_batches(texts.select("doc_id", F.col("toxic").cast("int").alias("toxic"), "text")).mapInArrow(ids, types).toArrow().combine_chunks()
     model = train(_sample(found)) if found.num_rows else None
     del found
+    if model is not None:
+        calibrate(model, calibration_counts(docs, known, chosen, model))
     hand_back()
     return model
 
