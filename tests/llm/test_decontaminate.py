@@ -71,3 +71,20 @@ def test_full_bitmap_still_exact(spark, monkeypatch):
     monkeypatch.setattr(dc, "bitmap_of", lambda seeds: np.ones(dc.BITS, dtype=bool))
     docs = docs_frame(spark, ["only clean words in here " * 5, "a b c d e f g h i j k l m n"])
     assert leaks(spark, docs, items_frame(spark, ["a b c d e f g h i j k l m n", "q r s t u v w x y z aa bb cc"])) == {(1, 0)}
+
+
+def test_substitutions_at_every_place(spark):
+    """Items of 5 to 25 words with up to three words replaced, anywhere, are leaks at 0.8 of their words; not below."""
+    rng = np.random.default_rng(9)
+    sizes = [5, 7, 9, 10, 11, 13, 15, 18, 20, 25]
+    items, texts, want = [[f"i{k}w{j}" for j in range(n)] for k, n in enumerate(sizes)], [], set()
+    for k, item in enumerate(items):
+        n = len(item)
+        sets = [(p,) for p in range(n)] + [tuple(rng.choice(n, s, replace=False)) for s in (2, 3) for _ in range(25)] + [tuple(range(2, n, n // 3))]
+        for places in sets:
+            if n - len(places) >= dc.IDENTITY * n - 1e-9:
+                want.add((len(texts), k))
+            elif n > 10:
+                continue  # a stretch of 13 words may be left
+            texts.append(" ".join(["before"] * 6 + ["other" if j in places else w for j, w in enumerate(item)] + ["after"] * 6))
+    assert leaks(spark, docs_frame(spark, texts), items_frame(spark, [" ".join(i) for i in items])) == want

@@ -4,12 +4,13 @@ A seed is the hash of the words of a window at the places that a fixed mask keep
 so a hit survives substitutions there. Seeds of the items and of the documents are joined. For every hit, document
 and item are compared word by word along the hit's diagonal, and the best stretch counts, with a mismatch costing as much as
 ``MISMATCH`` matches. A document leaks an item if that stretch has ``IDENTITY`` equal words and covers ``LEAST_WORDS`` words,
-or the whole item where it is shorter.
+or the whole item where it is shorter; or if ``IDENTITY`` of the item's words stand on the diagonal, wherever the others are.
+Items of up to ``SHORT`` words have seeds of few words besides, so that one is left whatever words are replaced.
 
 Documents are read once; what leaves that pass are documents with a seed in a bitmap of the items' seeds. The bitmap has
 a fixed size (``BITS``), whatever the tables hold: more items only let more documents through to the exact join.
 
-Defined cases: null and empty texts and items leak nothing; items shorter than a mask are found through windows of
+Defined cases: null and empty texts and items leak nothing; items below five words are found through windows of
 their whole length; items that differ in case or punctuation only are equal; repeated rows are reported each; with several
 stretches, the longest one is reported, the first of equal ones; other columns are ignored or kept.
 """
@@ -32,9 +33,22 @@ MASKS = ("11101100111", "11011010111", "11100111011")
 SPAN = len(MASKS[0])
 LEAST_WORDS, IDENTITY, MISMATCH = 13, 0.8, 3
 BITS = 1 << 23
+SHORT = 25
 _FACTORS = _powers(SPAN + 1)[1:]
 
 
+def masks_for(n: int) -> list[str]:
+    """Masks of an item of ``n`` words; up to ``SHORT`` words, one of its seeds outlasts any substitutions that leave a leak."""
+    lost = n - int(np.ceil(IDENTITY * n - 1e-9))
+    if not lost:
+        return ["1" * n]
+    if n < 10:  # of three parts two are kept: one substitution leaves two whole
+        parts = [3 * p // n for p in range(n)]
+        return ["".join("0" if part == left_out else "1" for part in parts) for left_out in range(3)]
+    run = -(-(n - lost) // (lost + 1))  # the longest run left is no shorter
+    return [*(MASKS if n >= SPAN else ()), *(["1" * run] if n <= SHORT else ())]
+
+
 def seeds_of(h: np.ndarray, mask: str) -> np.ndarray:
     """One seed per window of the mask's length."""
     n = len(h) - len(mask) + 1
@@ -76,7 +90,7 @@ def _seed_rows(words: DataFrame) -> DataFrame:
             keys, seeds, places = [], [], []
             for i in range(batch.num_rows):
                 h = batch.column(1)[i].values.to_numpy(zero_copy_only=False).view(np.uint64)
-                for mask in MASKS if len(h) >= SPAN else ["1" * len(h)]:
+                for mask in masks_for(len(h)):
                     found = seeds_of(h, mask)
                     keys.append(np.full(len(found), i))
                     seeds.append(found.view(np.int64))
@@ -120,10 +134,18 @@ def best_stretch(doc: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int,
     return first + diagonal + start, end - start, int(equal[start:end].sum())
 
 
-def document_hits(docs: DataFrame, bitmap: np.ndarray, short: list[int]) -> DataFrame:
-    """doc_id, words, seeds, places of every document with a seed in the bitmap; ``short``: lengths of items below the span."""
+def whole_overlap(doc: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int, int, int]:
+    """(first place in the document, length, equal words) of all of the item that lies inside the document."""
+    first, last = max(0, -diagonal), min(len(item), len(doc) - diagonal)
+    if last <= first:
+        return 0, 0, 0
+    return first + diagonal, last - first, int((doc[first + diagonal : last + diagonal] == item[first:last]).sum())
+
+
+def document_hits(docs: DataFrame, bitmap: np.ndarray, short: list[str]) -> DataFrame:
+    """doc_id, words, seeds, places of every document with a seed in the bitmap; ``short``: masks of short items."""
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bitmap, bitorder="little"))
-    masks = [*MASKS, *["1" * n for n in short]]
+    masks = [*MASKS, *short]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(shared.value, bitorder="little").view(bool)
@@ -168,7 +190,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     named = materialize(cut, "items")
     items = named.select("item", "words").dropDuplicates(["item"])
     seeds = materialize(_seed_rows(items), "seeds")
-    short = [r[0] for r in named.select(F.size("words").alias("n")).filter(F.col("n") < SPAN).distinct().collect()]  # ten lengths at most
+    short = [r[0] for r in named.select(F.size("words").alias("n")).filter(F.col("n") <= SHORT).distinct().collect()]  # SHORT lengths at most
+    short = {m for n in short for m in masks_for(n)} - set(MASKS)
     hits = document_hits(docs, bitmap_of(seeds), sorted(short)).withColumn("key", F.monotonically_increasing_id())
     hits = materialize(hits, "hits")  # keys stay as written
     pairs = (
@@ -189,11 +212,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             rows, found = [], []
             for i in range(batch.num_rows):
                 doc, item = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in (3, 4))
-                stretches = [best_stretch(doc, item, d) for d in sorted(batch.column(2)[i].as_py())]
-                first, length, equal = max(stretches, key=lambda s: (s[1], -s[0]))
-                if length and equal >= IDENTITY * length and length >= min(LEAST_WORDS, len(item)):
+                diagonals = sorted(batch.column(2)[i].as_py())
+                stretches = [s for s in (best_stretch(doc, item, d) for d in diagonals) if s[1] >= min(LEAST_WORDS, len(item)) and s[2] >= IDENTITY * s[1]]
+                if not stretches:
+                    stretches = [s for s in (whole_overlap(doc, item, d) for d in diagonals) if s[2] and s[2] >= IDENTITY * len(item) - 1e-9]
+                if stretches:
                     rows.append(i)
-                    found.append((first, length, equal))
+                    found.append(max(stretches, key=lambda s: (s[1], -s[0])))
             columns = [pa.array([f[k] for f in found], pa.int64()) for k in range(3)]
             taken = batch.select([0, 1]).take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays([*taken.columns, *columns], names=["doc_id", "item", "first_word", "n_words", "n_equal"])
