@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideframe.llm import bpe, chat, decontaminate, fingerprint, html, licenses, linededup, neardup, secrets, toxicity
+from tideframe.llm import bpe, chat, decontaminate, exactdedup, fingerprint, html, licenses, linededup, neardup, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -137,3 +137,20 @@ WITH known AS (
 SELECT d.doc_id, text_license, coalesce(licenses, '') AS licenses, coalesce(n_lines, 0) AS n_lines
 FROM documents d LEFT JOIN found USING (doc_id)
 """
+
+
+@query
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the row that stays of its group of equal texts."""
+    found = exactdedup.duplicate_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), every_digest=True)
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+ORACLE["op12_exact_dedup"] = """
+WITH digested AS (
+  SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents
+), grouped AS (
+  SELECT *, max(doc_id) OVER (PARTITION BY text_sha256) AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size FROM digested
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM grouped
+"""
