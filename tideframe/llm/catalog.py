@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideframe.llm import bpe, chat, decontaminate, exactdedup, fingerprint, html, licenses, linededup, neardup, secrets, toxicity
+from tideframe.llm import bpe, chat, collocations, decontaminate, exactdedup, fingerprint, html, licenses, linededup, neardup, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -154,3 +154,40 @@ WITH digested AS (
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM grouped
 """
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of every language whose words keep together most."""
+    return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+ORACLE["op13_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), cut AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), placed AS (
+  SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM cut, (VALUES (1), (2), (3), (4), (5)) s(k)
+), f AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a FROM placed GROUP BY ALL HAVING count(*) >= 100
+), sizes AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM cut GROUP BY lang
+), cuts AS (
+  SELECT c.lang, c.phrase, c.k, c.a, n, x.cut, h.a AS l, t.a AS r, ((1000::HUGEINT * c.a * n) // (h.a::HUGEINT * t.a))::BIGINT AS score
+  FROM f c JOIN sizes USING (lang) JOIN (VALUES (1), (2), (3), (4)) x(cut) ON x.cut < c.k
+  JOIN f h ON h.lang = c.lang AND h.phrase = array_to_string(string_split(c.phrase, ' ')[1:x.cut], ' ')
+  JOIN f t ON t.lang = c.lang AND t.phrase = array_to_string(string_split(c.phrase, ' ')[x.cut + 1:], ' ')
+), least AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), kept AS (
+  SELECT * FROM least c WHERE NOT EXISTS (
+    SELECT 1 FROM f b WHERE b.lang = c.lang AND b.k > c.k AND 100 * b.a >= 100 * c.a
+      AND contains(' ' || b.phrase || ' ', ' ' || c.phrase || ' '))
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
