@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideframe.llm import bpe, chat, collocations, decontaminate, exactdedup, fingerprint, html, licenses, linededup, neardup, secrets, toxicity
+from tideframe.llm import alignment, bpe, chat, collocations, decontaminate, exactdedup, fingerprint, html, licenses, linededup, neardup, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -139,6 +139,14 @@ FROM documents d LEFT JOIN found USING (doc_id)
 """
 
 
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the groups and links of two public tokenizers."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align_documents(docs, *paths).drop("text")
+
+
 @query
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the row that stays of its group of equal texts."""
