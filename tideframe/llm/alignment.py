@@ -35,11 +35,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideframe.llm.batches import in_batches
+from tideframe.llm.batches import hand_back, in_batches
 from tideframe.session import materialize
 
 #: Bytes of a lane, characters encoded together, id pairs of a slice, links of a document above which groups are taken by ranges of ids.
-LANE_BYTES, BATCH_CHARS, SLICE_LINKS, MANY_LINKS = 4096, 1_000_000, 2_000_000, 2_000_000
+LANE_BYTES, BATCH_CHARS, SLICE_LINKS, MANY_LINKS = 1024, 400_000, 500_000, 1_000_000
 #: White characters in a row above which the slower of two equal libraries encodes a text.
 LONG_SPACE = 20_000
 _LONG_SPACE = re.compile(rf"\s{{{LONG_SPACE}}}")
@@ -333,6 +333,7 @@ def slice_documents(packed: DataFrame, vocabularies: tuple[str, str, str]) -> Da
                             number += 1
                             yield held.batch(number, kind)
                             held = _Slice()
+                            hand_back()
                 at = end
         if held.rows:
             yield held.batch(number + 1, kind)
@@ -385,6 +386,7 @@ def align_documents(docs: DataFrame, path_a: str, pattern: str, path_b: str, tex
                     best[filled] = np.add.reduceat(top_at[places] * links, first)
                 columns = [entries.field(k) for k in range(entries.type.num_fields - 1)]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(best), pa.array(sums)], names=schema.names)
+            hand_back()
 
     found = in_batches(rows).mapInArrow(add_up, schema)
     if not slices.filter("parted").isEmpty():  # documents in parts: their parts are added up
