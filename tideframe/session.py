@@ -54,3 +54,11 @@ def materialize(df, label: str = "stage"):
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*stored) -> None:
+    """Empty the tables behind frames of :func:`materialize` that nothing reads any more."""
+    for frame in stored:
+        files = frame.inputFiles()
+        if files:
+            frame.sparkSession.createDataFrame([], "gone boolean").write.mode("overwrite").parquet(files[0].rsplit("/", 1)[0])
