@@ -2,12 +2,13 @@
 
 1. Texts of one language are gathered into shards of about ``SHARD_CHARS`` characters: a table of the shard's words and the
    sequence of word numbers, with a border between pieces. Words are counted over all shards.
-2. Every shard learns which of its words are frequent in the corpus (a join on the word); the others become borders. It
-   then builds the bidirectional index of what is left and stores its two transforms.
+2. Every shard learns which of its words are frequent in the corpus; the others become borders. An
+   index of what is left counts pairs of words. Pairs that are not frequent in the corpus become borders too, and the
+   bidirectional index of what is left then, two transforms of a fraction of the words, is stored.
 3. Depth by depth, every shard extends the intervals of its frequent phrases by one word on both sides at once and hands out the
-   counts of phrases whose first and last part are both frequent. Counts are summed across shards; the phrases that
-   reach ``least`` get a number, which is handed back to the shards that hold them. A phrase is named by the numbers of its first
-   part and its last part, so its key is two numbers at every depth.
+   counts of phrases whose first and last part are both frequent. Counts meet once under their phrase, with at most one row of each
+   shard, and are summed; the rows of phrases that reach ``least`` get its number and go back to their shards. A phrase
+   is named by the numbers of its first part and its last part, so its key is two numbers at every depth.
 4. The table of frequent phrases holds the counts of all heads and tails, so cuts are scored row by row; a phrase within a longer one of the same
    count is within one that is one word longer, so two joins find the phrases to drop.
 
@@ -32,12 +33,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideframe.llm.batches import in_batches
+from tideframe.llm.batches import hand_back, in_batches
 from tideframe.llm.fmindex import BidirectionalIndex, transform
-from tideframe.session import materialize
+from tideframe.session import discard, materialize
 
 #: Characters of a shard. All texts a task waits with, of any language, are at most twice as many.
-SHARD_CHARS = 6_000_000
+SHARD_CHARS = 5_000_000
 MOST_WORDS, LEAST, TOP = 5, 100, 2000
 NO_LANGUAGE = "und"
 
@@ -47,10 +48,45 @@ _BETWEEN = _BORDER.copy()
 _BETWEEN[[32, 9]] = True
 _WORD = re.compile(r"[^ \t.,;:!?\n\x0b\x0c\r]+")
 
-_SHARDS = "shard bigint, lang string, sign int, words array<string>, counts array<bigint>, sequence binary"
-_INDEXES = "shard bigint, forward binary, reverse binary, grams array<struct<first:bigint,last:bigint,low:int,back:int,size:int>>"
-_GRAMS = "shard bigint, grams array<struct<first:bigint,last:bigint,low:int,back:int,size:int>>"
-_GRAM_FIELDS = [pa.field("first", pa.int64()), pa.field("last", pa.int64()), *[pa.field(n, pa.int32()) for n in ("low", "back", "size")]]
+#: Numbers of shards that hold overlaps, whose counts are taken off, are negative.
+#: One row per shard with its sequence and one per word of it; one with the numbers of its frequent words and the sequence of
+#: these and one per pair of words; one with its transforms and one per phrase.
+_SHARDS = "shard bigint, lang string, sequence binary, word string, place int, n bigint"
+_PAIRS = "shard bigint, ids array<bigint>, sequence binary, first bigint, last bigint, size int"
+_INDEXES = "shard bigint, forward binary, reverse binary, first bigint, last bigint, low int, back int, size int"
+_GRAMS = "shard bigint, first bigint, last bigint, low int, back int, size int"
+#: Rows of a batch that a task hands out.
+ROWS = 50_000
+
+
+_ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64())}
+_TYPES = {schema: [(n, _ARROW[t]) for n, t in map(str.split, schema.split(", "))] for schema in (_SHARDS, _PAIRS, _INDEXES, _GRAMS)}
+
+
+def _batch(schema: str, rows: int, *values) -> pa.RecordBatch:
+    """So many rows from columns; a single value stands in every row."""
+    columns = []
+    for value, (_, kind) in zip(values, _TYPES[schema], strict=True):
+        if isinstance(value, (np.ndarray, pa.Array)):
+            columns.append(pa.array(value).cast(kind))
+        else:
+            columns.append(pa.repeat(pa.scalar(value, kind), rows))
+    return pa.RecordBatch.from_arrays(columns, names=[n for n, _ in _TYPES[schema]])
+
+
+def _packed(symbols: np.ndarray) -> bytes:
+    data = symbols.astype("<i4").tobytes()
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _unpacked(data: pa.Scalar) -> np.ndarray:
+    stored = data.as_buffer()
+    return np.frombuffer(pa.decompress(stored.slice(8), int.from_bytes(stored.slice(0, 8).to_pybytes(), "little"), codec="zstd"), dtype="<i4")
+
+
+def _closed(sequence: np.ndarray) -> np.ndarray:
+    """The sequence with one border where several follow one another, and one at the end of the circle."""
+    return np.append(sequence[np.append(True, (sequence[1:] > 0) | (sequence[:-1] > 0))], np.int32(0)) if len(sequence) else np.zeros(1, np.int32)
 
 
 def cut_text(text: str, limit: int, overlap: int) -> Iterator[tuple[str, int]]:
@@ -99,19 +135,22 @@ def number_words(texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
 
 def shard_documents(docs: DataFrame, text: str, lang: str, most: int) -> DataFrame:
-    """One row per shard: its words, their counts, and the sequence of their numbers."""
+    """Of every shard: the sequence of its word numbers (from 1), and every word with its number less one and its count."""
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, chars, made = {}, {}, TaskContext.get().partitionId() << 33
 
-        def row(key: tuple[str, int]) -> pa.RecordBatch:
+        def rows(key: tuple[str, int]) -> Iterator[pa.RecordBatch]:
             nonlocal made
             made += 1
+            shard, lang = made * key[1], key[0]
             words, counts, sequence = number_words(waiting.pop(key))
             chars.pop(key)
-            values = [[made], [key[0]], [key[1]], [words], [counts], [sequence.tobytes()]]
-            types = [pa.int64(), pa.string(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types, strict=True)], names=["shard", "lang", "sign", "words", "counts", "sequence"])
+            yield _batch(_SHARDS, 1, shard, lang, _packed(sequence), None, None, None)
+            for at in range(0, len(words), ROWS):
+                some = words[at : at + ROWS]
+                yield _batch(_SHARDS, len(some), shard, lang, None, some, np.arange(at, at + len(some), dtype=np.int32), counts[at : at + ROWS])
+            hand_back()
 
         for batch in batches:
             for content, language in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -120,61 +159,104 @@ def shard_documents(docs: DataFrame, text: str, lang: str, most: int) -> DataFra
                     waiting.setdefault(key, []).append(part)
                     chars[key] = chars.get(key, 0) + len(part)
                     if chars[key] >= SHARD_CHARS:
-                        yield row(key)
+                        yield from rows(key)
             while sum(chars.values()) > 2 * SHARD_CHARS:
-                yield row(max(chars, key=chars.get))
+                yield from rows(max(chars, key=chars.get))
         for key in list(waiting):
-            yield row(key)
+            yield from rows(key)
 
-    rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(F.col(lang), F.lit(NO_LANGUAGE)).alias("lang"))
-    return in_batches(rows.filter("text <> ''")).mapInArrow(shard, _SHARDS)
+    read = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(F.col(lang), F.lit(NO_LANGUAGE)).alias("lang"))
+    return in_batches(read.filter("text <> ''")).mapInArrow(shard, _SHARDS)
 
 
-def _gram_rows(shard: int, columns: list[np.ndarray]) -> list[pa.Array]:
-    grams = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _GRAM_FIELDS, strict=True)], fields=_GRAM_FIELDS)
-    return [pa.array([shard], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(grams)], pa.int32()), grams)]
+def _rows(schema: str, shard: int, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows of a shard; columns that belong to its one other row are null."""
+    others = [None] * (len(_TYPES[schema]) - 1 - len(columns))
+    for at in range(0, len(columns[0]), ROWS):
+        some = [c[at : at + ROWS] for c in columns]
+        yield _batch(schema, len(some[0]), shard, *others, *some)
 
 
-def index_shards(shards: DataFrame, frequent: DataFrame, most: int) -> DataFrame:
-    """The two transforms of every shard over its frequent words, and its phrases of two words.
+def frequent_rows(rows: DataFrame, keys: list[str], count: str, least: int) -> DataFrame:
+    """The rows of keys with ``least`` occurrences over all shards, with these as ``a`` and a number of the key as ``id``."""
+    same = Window.partitionBy(*keys)
+    tagged = rows.withColumn("tag", F.monotonically_increasing_id())
+    summed = tagged.withColumns({"a": F.sum(F.col(count) * F.signum("shard").cast("int")).over(same), "id": F.min("tag").over(same)})
+    return materialize(summed.filter(F.col("a") >= least).drop("tag"), "frequent")
 
-    ``frequent``: lang, word, id.
-    """
-    held = shards.select("shard", "lang", F.posexplode("words").alias("place", "word")).join(frequent.select("lang", "word", "id"), ["lang", "word"])
+
+def count_pairs(shards: DataFrame, held: DataFrame) -> DataFrame:
+    """Of every shard: its frequent words (``held``: shard, place, id) and their sequence, and the occurrences of every pair of them."""
     known = held.groupBy("shard").agg(F.collect_list(F.struct("place", "id")).alias("known"))
-    rows = shards.select("shard", "sequence", F.size("words").alias("n")).join(known, "shard").select("shard", "n", "sequence", "known.place", "known.id")
+    rows = shards.filter("sequence IS NOT NULL").select("shard", "sequence").join(known, "shard").select("shard", "sequence", "known.place", "known.id")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                shard, sequence = batch.column(0)[i].as_py(), _unpacked(batch.column(1)[i])
+                place, ids = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in (2, 3))
+                order = np.argsort(ids)
+                symbol = np.zeros(int(sequence.max()) + 1, dtype=np.int32)
+                symbol[place[order] + 1] = np.arange(1, len(place) + 1)
+                ids, sequence = ids[order], _closed(symbol[sequence])
+                both = BidirectionalIndex.of(sequence, 2)
+                first, last, _, _, size = both.extend(*both.symbols(np.arange(1, len(ids) + 1)))
+                yield _batch(_PAIRS, 1, shard, pa.array([ids], pa.list_(pa.int64())), _packed(sequence), None, None, None)
+                yield from _rows(_PAIRS, shard, ids[first], ids[last], size)
+                hand_back()
+
+    return in_batches(rows).mapInArrow(count, _PAIRS)
+
+
+def index_shards(sequences: DataFrame, held: DataFrame, most: int) -> DataFrame:
+    """The transforms of every shard over its frequent pairs (``held``: shard, first, last, id), and its phrases of three words."""
+    known = held.groupBy("shard").agg(F.collect_list(F.struct("first", "last", "id")).alias("known"))
+    rows = sequences.join(known, "shard").select("shard", "ids", "sequence", "known.first", "known.last", "known.id")
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                place, ids = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in (3, 4))
-                symbol = np.zeros(batch.column(1)[i].as_py() + 1, dtype=np.int32)
-                symbol[place + 1] = np.arange(1, len(place) + 1)
-                sequence = symbol[np.frombuffer(batch.column(2)[i].as_buffer(), dtype=np.int32)]
-                # borders next to one another are one; the last symbol of the circle is a border
-                sequence = np.append(sequence[np.append(True, (sequence[1:] > 0) | (sequence[:-1] > 0))], np.int32(0))
-                forward, reverse = transform(sequence, most), transform(sequence[::-1], most)
+                shard, sequence = batch.column(0)[i].as_py(), _unpacked(batch.column(2)[i]).astype(np.int64)
+                ids, left, right, number = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in (1, 3, 4, 5))
+                width = len(ids) + 1
+                key = (np.searchsorted(ids, left) + 1) * width + np.searchsorted(ids, right) + 1
+                order = np.argsort(key)
+                key, number = key[order], number[order]
+                met = sequence[:-1] * width + sequence[1:]
+                there = key[np.minimum(np.searchsorted(key, met), len(key) - 1)] == met
+                # a border wherever a pair is not frequent; words without a frequent pair go
+                used = np.append(there, False) | np.append(False, there)
+                place = np.flatnonzero(used)
+                after = np.append(there, False)[place]
+                at = np.arange(len(place)) + np.append(0, np.cumsum(~after)[:-1])
+                words, word = np.unique(sequence[place], return_inverse=True)
+                kept = np.zeros(len(place) + int((~after).sum()), dtype=np.int32)
+                kept[at] = word + 1
+                forward, reverse = transform(kept, most), transform(kept[::-1], most)
                 both = BidirectionalIndex(forward, reverse)
-                first, last, low, back, size = both.extend(*both.symbols(np.arange(1, len(place) + 1)))
-                shard, grams = _gram_rows(batch.column(0)[i].as_py(), [ids[first], ids[last], low, back, size])
-                yield pa.RecordBatch.from_arrays([shard, pa.array([forward.tobytes()]), pa.array([reverse.tobytes()]), grams], names=["shard", "forward", "reverse", "grams"])
+                first, last, low, back, size = both.extend(*both.symbols(np.arange(1, len(words) + 1)))
+                name = number[np.searchsorted(key, words[first] * width + words[last])]
+                first, last, low, back, size = both.extend(low, back, size)
+                yield _batch(_INDEXES, 1, shard, _packed(forward), _packed(reverse), None, None, None, None, None)
+                yield from _rows(_INDEXES, shard, name[first], name[last], low, back, size)
+                hand_back()
 
     return in_batches(rows).mapInArrow(index, _INDEXES)
 
 
-def extend_shards(indexes: DataFrame, grams: DataFrame, frequent: DataFrame) -> DataFrame:
-    """The phrases of every shard that are one word longer than the ``frequent`` ones (first, last, id) among its ``grams``."""
-    held = grams.select("shard", F.inline("grams")).join(frequent.select("first", "last", "id"), ["first", "last"])
+def extend_shards(indexes: DataFrame, held: DataFrame) -> DataFrame:
+    """The phrases of every shard that are one word longer than its frequent ones (``held``: shard, id, low, back, size)."""
     known = held.groupBy("shard").agg(F.collect_list(F.struct("id", "low", "back", "size")).alias("known"))
-    rows = indexes.select("shard", "forward", "reverse").join(known, "shard").select("shard", "forward", "reverse", "known.id", "known.low", "known.back", "known.size")
+    rows = indexes.join(known, "shard").select("shard", "forward", "reverse", "known.id", "known.low", "known.back", "known.size")
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                both = BidirectionalIndex(*(np.frombuffer(batch.column(c)[i].as_buffer(), dtype=np.int32) for c in (1, 2)))
+                both = BidirectionalIndex(*(_unpacked(batch.column(c)[i]) for c in (1, 2)))
                 ids, low, back, size = (batch.column(c)[i].values.to_numpy(zero_copy_only=False).astype(np.int64) for c in (3, 4, 5, 6))
                 first, last, low, back, size = both.extend(low, back, size)
-                yield pa.RecordBatch.from_arrays(_gram_rows(batch.column(0)[i].as_py(), [ids[first], ids[last], low, back, size]), names=["shard", "grams"])
+                yield from _rows(_GRAMS, batch.column(0)[i].as_py(), ids[first], ids[last], low, back, size)
+                hand_back()
 
     return in_batches(rows).mapInArrow(extend, _GRAMS)
 
@@ -185,34 +267,38 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, most: int = MOST_WORDS
     phrases: lang, id, first, last (ids of the parts one word shorter, null for words), words, phrase, a, heads, tails (counts of the first and last 1, 2, ... words).
     """
     shards = materialize(shard_documents(docs, text, lang, most), "shards")
-    counted = shards.select("lang", "sign", F.explode(F.arrays_zip("words", "counts")).alias("w"))
-    counted = counted.groupBy("lang", F.col("w.words").alias("word")).agg(F.sum(F.col("w.counts") * F.col("sign")).alias("a"))
-    counted = materialize(counted, "words")
-    sizes = counted.groupBy("lang").agg(F.sum("a").alias("n"))
-    words = counted.filter(F.col("a") >= least).withColumn("id", F.monotonically_increasing_id())
-    words = materialize(words, "frequent")
+    words = shards.filter("word IS NOT NULL").select("shard", "lang", "word", "place", "n")
+    sizes = materialize(words.groupBy("lang").agg(F.sum(F.col("n") * F.signum("shard").cast("int")).alias("n")), "sizes")
+    held = frequent_rows(words, ["lang", "word"], "n", least)
     none = F.lit(None).cast("long")
-    level = words.select(
+    level = held.groupBy("id").agg(*[F.first(c).alias(c) for c in ("lang", "word", "a")]).select(
         "lang", "id", none.alias("first"), none.alias("last"), F.lit(1).alias("words"), F.col("word").alias("phrase"), F.col("word").alias("last_word"),
         "a", F.array("a").alias("heads"), F.array("a").alias("tails"),
     )
-    levels, signs = [level], shards.select("shard", "sign")
-    indexes = grams = None
+    level = materialize(level, "phrases")
+    levels = [level]
     for size in range(2, most + 1):
-        if indexes is None:
-            indexes = materialize(index_shards(shards, words, most), "indexes")
-            grams = indexes.select("shard", "grams")
+        if size == 2:
+            stored = materialize(count_pairs(shards, held), "pairs")
+            discard(shards, held)
+            sequences, grams = stored.filter("sequence IS NOT NULL").select("shard", "ids", "sequence"), stored.filter("first IS NOT NULL").select("shard", "first", "last", "size")
+        elif size == 3:
+            indexed = materialize(index_shards(sequences, held, most), "indexes")
+            discard(stored, held)
+            indexes = indexed.filter("forward IS NOT NULL").select("shard", "forward", "reverse")
+            grams = indexed.filter("first IS NOT NULL").select("shard", "first", "last", "low", "back", "size")
         else:
-            grams = materialize(extend_shards(indexes, grams, level), "grams")
-        summed = grams.select("shard", F.inline("grams")).join(signs, "shard").groupBy("first", "last").agg(F.sum(F.col("size") * F.col("sign")).alias("a"))
-        summed = summed.filter(F.col("a") >= least)
+            grams = materialize(extend_shards(indexes, held), "grams")
+            discard(held)
+        held = frequent_rows(grams, ["first", "last"], "size", least)
+        summed = held.groupBy("id").agg(*[F.first(c).alias(c) for c in ("first", "last", "a")])
         first = level.select(F.col("id").alias("first"), "lang", F.col("phrase").alias("head"), "heads")
         last = level.select(F.col("id").alias("last"), "last_word", "tails")
-        joined = materialize(summed.join(first, "first").join(last, "last").withColumn("id", F.monotonically_increasing_id()), "phrases")
-        level = joined.select(
+        level = summed.join(first, "first").join(last, "last").select(
             "lang", "id", "first", "last", F.lit(size).alias("words"), F.concat_ws(" ", "head", "last_word").alias("phrase"), "last_word",
             "a", F.concat("heads", F.array("a")).alias("heads"), F.concat("tails", F.array("a")).alias("tails"),
         )
+        level = materialize(level, "phrases")
         levels.append(level)
     phrases = levels[0]
     for level in levels[1:]:

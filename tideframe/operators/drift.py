@@ -34,6 +34,16 @@ def drift_bounds(stats: DataFrame) -> DataFrame:
     return stats.selectExpr("feature", f"{low} AS low", f"{high} AS high")
 
 
+def observed_bounds(df: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
+    """The bounds that :func:`drift_bounds` takes from training statistics, from one wide aggregation: ranges need no quartiles."""
+    features = [c for c in (features or drift_features(df)) if c in df.columns]
+    if not features:
+        return df.sparkSession.createDataFrame([], "feature string, low double, high double")
+    names = [F.lit(c).alias("feature") for c in features]
+    ranges = [F.struct(n, F.min(F.col(f"`{c}`").cast("double")).alias("low"), F.max(F.col(f"`{c}`").cast("double")).alias("high")) for n, c in zip(names, features, strict=True)]
+    return df.agg(F.array(*ranges).alias("bounds")).select(F.inline("bounds")).where("low IS NOT NULL")
+
+
 def drift_flags(df: DataFrame, bounds: DataFrame, features: Sequence[str], keys: Sequence[str]) -> DataFrame:
     """One row per scored row and feature. A feature without bounds, or without a value, never drifts.
 

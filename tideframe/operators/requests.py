@@ -7,13 +7,14 @@ slots up to ranges, so an event is never copied once per overlapping range.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideframe.functions.expressions import number
 from tideframe.operators.drift import ALERT_RATIO
-from tideframe.plans.ordered import EVENT_LOG, GROUP, SO_FAR, Series, grouped, previous, running_total
+from tideframe.plans.ordered import EVENT_LOG, Carry, GROUP, SO_FAR, Series, bucket_path, grouped, previous, running_total, with_carry
 from tideframe.session import materialize
 from tideframe.sources.tables import event_order
 
@@ -200,6 +201,56 @@ def gauge_last(samples: DataFrame, labels: Sequence[str], value: str, time: str
     return samples.groupBy(*labels).agg(F.max_by(value, event_order(time, event_id)).alias(value))
 
 
+def gauge_on_grid(
+    samples: DataFrame,
+    labels: Sequence[str],
+    value: str,
+    time: str = "ts",
+    event_id: str = "event_id",
+    step: int = STEP_SECONDS,
+    look_back: int = RATE_SECONDS,
+) -> DataFrame:
+    """(labels, instant, value): the gauge at every evaluation instant, as long as its last sample is younger than ``look_back`` seconds.
+
+    A sample counts at the instant it is set. Only the last sample of a step can be seen on the grid, so samples are
+    reduced to one per step first, and that one is handed to the instants it may be seen at; the youngest wins, a null
+    value like any other. Samples without a time are never seen.
+    """
+    end = f"CAST(ceil(unix_micros({time}) / {step}e6D) AS BIGINT) * {step}L"
+    youngest = F.max_by(F.struct(F.col(value).alias("v"), F.col(time).alias("t")), event_order(time, event_id)).alias("__last")
+    seen = samples.where(f"{time} IS NOT NULL").withColumn("__end", F.expr(end)).groupBy(*labels, "__end").agg(youngest)
+    # an instant e sees samples of (e - look_back, e]
+    instants = f"filter(sequence(__end, __end + {look_back}L, {step}L), e -> e * 1000000L - unix_micros(__last.t) < {look_back * 1_000_000}L)"
+    copies = seen.selectExpr(*labels, "__end", "__last", f"explode({instants}) AS __at")
+    found = copies.groupBy(*labels, "__at").agg(F.max_by("__last", "__end").alias("__last"))
+    return found.selectExpr(*labels, "timestamp_seconds(__at) AS instant", f"__last.v AS {value}")
+
+
+def grid_alert(grid: DataFrame, labels: Sequence[str], condition: str, hold_seconds: int, value: str, step: int = STEP_SECONDS) -> DataFrame:
+    """Stretches of evaluation instants at which the condition held; an instant without a value ends a stretch."""
+    return sustained(grid, Series(tuple(labels), "instant", (), "day"), condition, hold_seconds, value, step)
+
+
+def as_of_join(events: DataFrame, settings: DataFrame, series: Series, values: Sequence[str]) -> DataFrame:
+    """Every event with the ``values`` set last at or before it, per keys of the series.
+
+    Both frames have the keys, the time and the tie breakers of the series. Settings of the event's own instant count; of settings of one instant
+    the one of the highest tie breakers does. A value set to null replaces the one before. Events before any setting, and events without a
+    time, get nulls; events without a key meet settings without that key. Rows of both flow through one ordered pass, bucket by bucket.
+    """
+    keys, order = list(series.keys), [series.time, *series.ties]
+    event = events.select(*keys, *order, F.lit(1).alias("__kind"), F.struct(*[F.col(f"`{c}`") for c in events.columns]).alias("__event"))
+    chosen = settings.where(F.col(series.time).isNotNull()).select(*keys, *order, F.lit(0).alias("__kind"), F.struct(*values).alias("__set"))
+    both = event.unionByName(chosen, allowMissingColumns=True)
+    both = both.withColumn("__order", F.expr(f"struct({', '.join([series.time, '__kind', *series.ties])})"))
+    by_kind = replace(series, ties=("__kind", *series.ties))
+    latest = Carry("__earlier", "max(CASE WHEN __kind = 0 THEN struct(__order, __set AS v) END)", "max")
+    known = with_carry(both, by_kind, [latest])
+    here = f"last(CASE WHEN __kind = 0 THEN struct(__set AS v) END, true) {by_kind.local(SO_FAR)}"
+    known = known.selectExpr("__kind", "__event", series.time, f"coalesce({here}.v, __earlier.v) AS __v").where("__kind = 1")
+    return known.selectExpr("__event.*", *[f"CASE WHEN {series.time} IS NOT NULL THEN __v.{v} END AS {v}" for v in values])
+
+
 def prediction_metrics(log: DataFrame) -> DataFrame:
     """Predictions per model and series with their mean response time."""
     labels = [F.col("model_type"), F.col("endpoint").alias("coin_id")]
@@ -221,7 +272,8 @@ def sustained(
     that no longer meets the condition (or the last sample, if none does).
     """
     labels = list(series.keys)
-    marked = samples.selectExpr(*labels, series.time, *series.ties, f"coalesce({condition}, false) AS __on", f"{value} AS __measure")
+    path = bucket_path(series)
+    marked = samples.selectExpr(*labels, series.time, *series.ties, *path, f"coalesce({condition}, false) AS __on", f"{value} AS __measure")
     # runs of one state inside a bucket: one sort of the rows; what follows reads one row per change and bucket
     bucketed = grouped(marked, series).withColumn("__at", F.col(series.time))
     local = series.local()
@@ -232,8 +284,9 @@ def sustained(
     runs = runs.groupBy(GROUP, "__run").agg(
         F.first("__on").alias("__on"), F.min("__at").alias("__at"), F.max("__at").alias("__until"), F.max("__measure").alias("__measure")
     )
-    runs = materialize(runs.selectExpr(*[f"{GROUP}.{k} AS {k}" for k in labels], "__run", "__on", "__at", "__until", "__measure"), "runs")
-    order = Series(series.keys, "__at", ("__run",), series.fine, series.coarse)
+    runs = materialize(runs.selectExpr(*[f"{GROUP}.{k} AS {k}" for k in [*labels, *path]], "__run", "__on", "__at", "__until", "__measure"), "runs")
+    # runs of one bucket are few beside its rows, but a cut bucket's runs come in the order of its parts
+    order = Series(series.keys, "__at", (*path, "__run"), series.fine, series.coarse)
     marked = previous(runs, order, ["__on", "__until"], prefix="__prev")
     broken = "NOT coalesce(__prev__on, false)"
     if step_seconds:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tideframe.functions.numeric import numeric_columns, round_doubles
 from tideframe.operators import clean, drift, evaluate, features, learn, profile, publish, quality, requests
+from tideframe.plans.adaptive import PATH, cut_full_buckets
 from tideframe.plans.ordered import EVENT_LOG, HOURLY, Series, forward_fill, ordinal, previous, running_total
 from tideframe.session import materialize, new_path
 from tideframe.sources import files
@@ -313,7 +314,7 @@ def _parts(spark, folder):
 
 
 def _bounds(train):
-    return drift.drift_bounds(drift.training_stats(train))
+    return drift.observed_bounds(train)
 
 
 @query
@@ -635,6 +636,62 @@ def model_health_alert(spark, folder):
     return requests.health_alert(_health(spark, folder), EVENT_LOG.by("model_type"))
 
 
+def burst(spark, folder):
+    """The event table with nine tenths of its rows in one second of one series."""
+    in_burst = "pmod(event_id, 10) < 9"
+    second = "timestamp_micros(unix_micros(TIMESTAMP '2024-01-15 12:00:00') + pmod(event_id * 7919, 1000) * 1000)"
+    return events(spark, folder).selectExpr(
+        "event_id", f"CASE WHEN {in_burst} THEN {second} ELSE ts END AS ts", f"CASE WHEN {in_burst} THEN 'view' ELSE event_type END AS endpoint", "CASE WHEN pmod(event_id, 7) < 3 THEN value END AS value"
+    )
+
+
+BURST = EVENT_LOG.by("endpoint")
+
+
+@query
+def burst_running_count(spark, folder):
+    """Counter values while one second of one endpoint holds almost all events."""
+    rows, series = cut_full_buckets(burst(spark, folder), BURST, 500)
+    return running_total(rows, series, "1L", "counter").select("endpoint", "ts", "event_id", "counter")
+
+
+@query
+def burst_forward_fill(spark, folder):
+    rows, series = cut_full_buckets(burst(spark, folder), BURST, 500)
+    return forward_fill(rows, series, ["value"]).drop(PATH)
+
+
+@query
+def burst_alert(spark, folder):
+    """Stretches of high values, which start and end within the burst."""
+    rows, series = cut_full_buckets(burst(spark, folder), BURST, 500)
+    return requests.sustained(rows, series, "value > 50", 0, "value")
+
+
+@query
+def gauge_on_grid(spark, folder):
+    return requests.gauge_on_grid(_health(spark, folder), ["model_type"], "health")
+
+
+@query
+def model_health_alert_on_grid(spark, folder):
+    """Unhealthy models as the rule sees them: every 30 seconds, values of the last five minutes only."""
+    grid = requests.gauge_on_grid(_health(spark, folder), ["model_type"], "health")
+    return requests.grid_alert(grid, ["model_type"], "health = 0", requests.HOLD_SECONDS["ModelUnhealthy"], "health")
+
+
+@query
+def prediction_drift(spark, folder):
+    """Every prediction with the drift ratio its model had set last for the series.
+
+    The models take turns: each hour one of them scores the hour before and sets its ratio.
+    """
+    keys = ("model_type", "coin_id")
+    ratios = _ratios(spark, folder).selectExpr("concat('m', hour(timestamp) % 3) AS model_type", "coin_id", "timestamp + INTERVAL 1 HOUR AS ts", "0L AS event_id", "drift_ratio")
+    served = log(spark, folder).select("model_type", F.col("endpoint").alias("coin_id"), "ts", "event_id", "latency_s")
+    return requests.as_of_join(served, materialize(ratios, "ratios"), Series(keys, "ts", ("event_id",), "day"), ["drift_ratio"])
+
+
 @query
 def alert_for_duration(spark, folder):
     return requests.latency_alert(requests.latency_quantiles(log(spark, folder)))

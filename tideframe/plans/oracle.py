@@ -759,6 +759,38 @@ oracle(
 )
 _HEALTH = stretches("health", "model_type", "ts", "ts, event_id", "health = 0", "health", 60, None)
 oracle("model_health_alert", LOG + HEALTH, f"SELECT * REPLACE (CAST(peak AS INTEGER) AS peak) FROM {_HEALTH}")
+BURST = """
+burst AS (
+  SELECT event_id, CASE WHEN event_id % 10 < 9 THEN TIMESTAMP '2024-01-15 12:00:00' + to_microseconds(event_id * 7919 % 1000 * 1000) ELSE ts END AS ts,
+         CASE WHEN event_id % 10 < 9 THEN 'view' ELSE event_type END AS endpoint, CASE WHEN event_id % 7 < 3 THEN value END AS value
+  FROM events)"""
+oracle(
+    "burst_running_count",
+    BURST,
+    "SELECT endpoint, ts, event_id, count(*) OVER (PARTITION BY endpoint ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS counter FROM burst",
+)
+oracle(
+    "burst_forward_fill",
+    BURST,
+    "SELECT event_id, ts, endpoint, round(last_value(value IGNORE NULLS) OVER (PARTITION BY endpoint ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING), 6) AS value FROM burst",
+)
+oracle("burst_alert", BURST, f"SELECT * FROM {stretches('burst', 'endpoint', 'ts', 'ts, event_id', 'value > 50', 'value', 0, None)}")
+_GRID = """, grid AS (
+  SELECT model_type, to_timestamp(e)::TIMESTAMP AS instant, CAST(last(health ORDER BY ts, event_id) AS INTEGER) AS health
+  FROM (SELECT *, unnest(range(CAST(ceil(epoch_us(ts) / 30e6) AS BIGINT) * 30, CAST(ceil(epoch_us(ts) / 30e6) AS BIGINT) * 30 + 301, 30)) AS e FROM health)
+  WHERE e * 1000000 - epoch_us(ts) < 300000000 GROUP BY 1, 2)"""
+oracle("gauge_on_grid", LOG + HEALTH + _GRID, "SELECT * FROM grid")
+oracle(
+    "model_health_alert_on_grid",
+    LOG + HEALTH + _GRID,
+    f"SELECT * REPLACE (CAST(peak AS INTEGER) AS peak) FROM {stretches('grid', 'model_type', 'instant', 'instant', 'health = 0', 'health', 60, 30)}",
+)
+oracle(
+    "prediction_drift",
+    RATIOS + "," + LOG + ", settings AS (SELECT 'm' || (hour(timestamp) % 3) AS model_type, coin_id, timestamp + INTERVAL 1 HOUR AS at, drift_ratio FROM ratios)",
+    "SELECT l.model_type, l.endpoint AS coin_id, l.ts, event_id, round(latency_s, 6) AS latency_s, round(drift_ratio, 6) + 0 AS drift_ratio"
+    " FROM log l ASOF LEFT JOIN settings s ON l.model_type = s.model_type AND l.endpoint = s.coin_id AND l.ts >= s.at",
+)
 _SLOW = stretches("quantiles", "endpoint", "window_end", "window_end", "p95 > 0.5", "p95", 300, 30)
 oracle("alert_for_duration", LOG + f", quantiles AS ({_QUANTILES})", f"SELECT * FROM {_SLOW}")
 _ERRORS = stretches("error_rates", "endpoint", "window_end", "window_end", "rate > 0.1", "rate", 300, 30)

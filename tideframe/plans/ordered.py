@@ -27,7 +27,8 @@ class Series:
 
     ``fine`` should hold at most a few hundred thousand rows of one series: ``month`` suits hourly
     series, ``second`` suits raw event logs. ``coarse`` is for series with more than about a
-    million fine buckets.
+    million fine buckets. ``path`` names the column of :mod:`tideframe.plans.adaptive` by which full
+    buckets are cut again.
     """
 
     keys: tuple[str, ...] = ("coin_id",)
@@ -35,6 +36,7 @@ class Series:
     ties: tuple[str, ...] = ()
     fine: str = "month"
     coarse: str | None = None
+    path: str | None = None
 
     @property
     def order(self) -> str:
@@ -78,13 +80,13 @@ class Carry:
         return f"{'least' if self.how == 'min' else 'greatest'}({a}, {b})"
 
 
-def last_known(name: str, column: str, time: str) -> Carry:
-    """Carry of the latest non-null value of ``column`` as struct (t, v)."""
-    return Carry(name, f"max(CASE WHEN {column} IS NOT NULL THEN struct({time} AS t, {column} AS v) END)", "max")
+def last_known(name: str, column: str, order: str) -> Carry:
+    """Carry of the latest non-null value of ``column`` as struct (columns of the order, v)."""
+    return Carry(name, f"max(CASE WHEN {column} IS NOT NULL THEN struct({order}, {column} AS v) END)", "max")
 
 
-def first_known(name: str, column: str, time: str) -> Carry:
-    return Carry(name, f"min(CASE WHEN {column} IS NOT NULL THEN struct({time} AS t, {column} AS v) END)", "min")
+def first_known(name: str, column: str, order: str) -> Carry:
+    return Carry(name, f"min(CASE WHEN {column} IS NOT NULL THEN struct({order}, {column} AS v) END)", "min")
 
 
 def _window(keys: Sequence[str], order: str = "", frame: str = "") -> str:
@@ -99,7 +101,11 @@ def grouped(df: DataFrame, series: Series) -> DataFrame:
     a time come last in theirs.
     """
     rows = df.selectExpr("*", f"date_trunc('{series.fine}', {series.time}) AS {BUCKET}")
-    return rows.selectExpr("*", f"struct({', '.join([*series.keys, BUCKET])}) AS {GROUP}").drop(BUCKET)
+    return rows.selectExpr("*", f"struct({', '.join([*series.keys, BUCKET, *bucket_path(series)])}) AS {GROUP}").drop(BUCKET)
+
+
+def bucket_path(series: Series) -> list[str]:
+    return [series.path] if series.path else []
 
 
 def with_carry(df: DataFrame, series: Series, carries: list[Carry], totals: Sequence[Carry] = ()) -> DataFrame:
@@ -107,10 +113,11 @@ def with_carry(df: DataFrame, series: Series, carries: list[Carry], totals: Sequ
     keys, every = list(series.keys), [*carries, *totals]
     rows = grouped(df, series)
     fine = rows.groupBy(GROUP).agg(*[F.expr(c.aggregate).alias(c.name) for c in every])
-    fine = fine.selectExpr(GROUP, *[f"{GROUP}.{k} AS {k}" for k in [*keys, BUCKET]], *[c.name for c in every])
+    fine = fine.selectExpr(GROUP, *[f"{GROUP}.{k} AS {k}" for k in [*keys, BUCKET, *bucket_path(series)]], *[c.name for c in every])
     whole = [f"{c.combined()} {_window(keys)} AS __all_{c.name}" for c in totals]
+    in_order = ", ".join([f"{BUCKET} NULLS LAST", *bucket_path(series)])
     if series.coarse is None:
-        before = _window(keys, f"{BUCKET} NULLS LAST", EARLIER)
+        before = _window(keys, in_order, EARLIER)
         carried = [f"{c.start(f'{c.combined()} {before}')} AS __far_{c.name}" for c in carries]
         table = fine.selectExpr(GROUP, *carried, *whole)
     else:
@@ -120,7 +127,7 @@ def with_carry(df: DataFrame, series: Series, carries: list[Carry], totals: Sequ
         far = _window([f"__wide.{k}" for k in keys], f"__wide.{COARSE} NULLS LAST", EARLIER)
         whole = [f"{c.combined()} {_window([f'__wide.{k}' for k in keys])} AS __all_{c.name}" for c in totals]
         coarse = coarse.selectExpr("__wide", *[f"{c.combined()} {far} AS __far_{c.name}" for c in carries], *whole)
-        near = _window(["__wide"], f"{BUCKET} NULLS LAST", EARLIER)
+        near = _window(["__wide"], in_order, EARLIER)
         fine = fine.selectExpr("__wide", GROUP, *[f"{c.combined()} {near} AS __near_{c.name}" for c in carries])
         table = fine.join(coarse, "__wide").selectExpr(
             GROUP,
@@ -164,13 +171,13 @@ def filled_value(c: str, series: Series) -> str:
 
 def forward_fill(df: DataFrame, series: Series, columns: Sequence[str]) -> DataFrame:
     """Replace nulls with the latest earlier value; leading nulls stay."""
-    out = with_carry(df, series, [last_known(f"__last_{c}", c, series.time) for c in columns])
+    out = with_carry(df, series, [last_known(f"__last_{c}", c, series.order) for c in columns])
     return out.selectExpr(*[f"{filled_value(c, series)} AS {c}" if c in columns else c for c in df.columns])
 
 
 def forward_back_fill(df: DataFrame, series: Series, columns: Sequence[str]) -> DataFrame:
     """Forward fill, then give leading nulls the first value the series ever has."""
-    carries = [last_known(f"__last_{c}", c, series.time) for c in columns]
-    out = with_carry(df, series, carries, [first_known(f"__first_{c}", c, series.time) for c in columns])
+    carries = [last_known(f"__last_{c}", c, series.order) for c in columns]
+    out = with_carry(df, series, carries, [first_known(f"__first_{c}", c, series.order) for c in columns])
     filled = {c: f"coalesce({filled_value(c, series)}, __first_{c}.v) AS {c}" for c in columns}
     return out.selectExpr(*[filled.get(c, c) for c in df.columns])
