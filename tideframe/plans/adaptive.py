@@ -78,7 +78,10 @@ def full_buckets(rows: DataFrame, series: Series, names: list[str], most: int) -
         return None
     inside = grouped(rows, series).join(full, GROUP).selectExpr(GROUP, f"{_slot(names)} AS __slot")
     # at most SLOTS rows per bucket
-    before = f"sum(__n) OVER (PARTITION BY {GROUP} ORDER BY __slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    parts = inside.groupBy(GROUP, "__slot").agg(F.count(F.lit(1)).alias("__n"))
-    parts = parts.selectExpr(GROUP, "__slot", f"coalesce({before}, 0L) DIV {max(1, most // 2)} AS __part")
+    half = max(1, most // 2)
+    before = f"OVER (PARTITION BY {GROUP} ORDER BY __slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    parts = inside.groupBy(GROUP, "__slot").agg(F.count(F.lit(1)).alias("__n")).withColumn("__big", F.expr(f"CAST(__n > {half} AS INT)"))
+    # a slot above half the bound is a part of its own, so every round narrows the range of what is still too full
+    part = f"coalesce(sum(__n) {before}, 0L) DIV {half} + 2 * coalesce(sum(__big) {before}, 0L) + __big"
+    parts = parts.selectExpr(GROUP, "__slot", f"{part} AS __part")
     return full, materialize(parts, "parts")
