@@ -6,10 +6,13 @@
    (``TIERS``); texts near a border are sketched on both sides of it, so any two texts of similar length share a tier.
 2. Equal texts become one node. Nodes with an equal sketch share a bucket.
 3. Rounds: in every bucket with more than one class, all members are compared with one centre, the member that shares
-   most buckets with others. Verified links join classes, and whatever is then of one class needs no further comparison.
+   most buckets with others. Verified links join classes, which are contracted after every round, and whatever is then of one class
+   needs no further comparison; a first round over the buckets of ``FIRST`` sketches joins most copies for the rounds over all buckets.
    A bucket of at most ``SMALL`` members compares the rest of its members across classes. A larger one goes on
    without its centre; after ``STARS`` rounds its members are compared across classes too, in blocks: two texts are a
-   candidate unless their lengths or the agreement of their signatures rule out a link. No bucket is cut off or split.
+   candidate unless their lengths or the agreement of their signatures rule out a link. ``NEAREST`` rounds compare every
+   member with its likeliest candidate of a block only; the last one compares all candidates that are not of one class by then,
+   each in one of the buckets they share. No bucket is cut off or split.
 4. A candidate is a link if banded alignment of the words finds an edit similarity of ``SIMILARITY`` or more:
    1 - distance / longer length. The alignment keeps diagonals within the distance allowed only.
 
@@ -35,6 +38,8 @@ from tideframe.llm.tokens import each_text, mix, windows
 from tideframe.session import materialize
 
 SKETCHES, SIMILARITY, SMALL, STARS = 48, 0.8, 12, 3
+#: Sketches of the first round, rounds of likeliest candidates.
+FIRST, NEAREST = 6, 2
 #: Most words of a text, words of a k-mer and minima of a sketch, from short texts to long ones.
 TIERS = ((16, 1, 3), (64, 2, 2), (None, 3, 2))
 #: Bytes of a signature (a minimum over the numbered words each), members of a block.
@@ -239,47 +244,60 @@ def verify(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
     return in_batches(joined).mapInArrow(check, "a binary, b binary")
 
 
-def block_pairs(held: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of all members of a bucket in different classes that length and signature do not rule out.
+def block_pairs(held: DataFrame, nodes: DataFrame, similarity: float, nearest: bool = False) -> DataFrame:
+    """Pairs (a, b) of members of a bucket in different classes that length and signature do not rule out.
 
     ``held``: bucket, node, root. Members meet in blocks, so a pair of blocks is a row of a join and not a pair of texts.
-    Lengths are cut into classes; a link is within a class or between neighbouring ones.
+    Lengths are cut into classes; a link is within a class or between neighbouring ones. All such pairs, each from the least
+    bucket that holds both; or with ``nearest`` for every member of a pair of blocks the one with most equal signature bytes.
     """
     width = -float(np.log(similarity)) if 0 < similarity < 1 else None
     size = (F.floor(F.log(F.greatest(F.col("n_words"), F.lit(1))) / F.lit(width)) if width else F.lit(0)).cast("int").alias("size")
-    rows = held.select("bucket", "node", "root").join(nodes.select("node", "n_words", "signs"), "node")
-    rows = materialize(rows.select("bucket", "node", "root", "n_words", "signs", size), "unsettled")
+    shared = held.groupBy("node", "root").agg(F.collect_list("bucket").alias("buckets")).join(nodes.select("node", "n_words", "signs"), "node")
+    rows = shared.select(F.explode("buckets").alias("bucket"), "node", "root", "n_words", "signs", "buckets", size)
+    rows = materialize(rows, "unsettled")
     counts = rows.groupBy("bucket", "size").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("n_blocks"))
     dealt = rows.join(counts, ["bucket", "size"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")))
-    member = F.struct("node", "root", "n_words", "signs")
+    member = F.struct("node", "root", "n_words", "signs", "buckets")
     blocks = materialize(dealt.groupBy("bucket", "size", "block").agg(F.collect_list(member).alias("members")), "blocks")
     left = blocks.select("bucket", F.col("size").alias("size_a"), F.col("block").alias("block_a"), F.col("members").alias("left"))
     right = blocks.select("bucket", F.col("size").alias("size_b"), F.col("block").alias("block_b"), F.col("members").alias("right"))
     near = "size_b = size_a + 1 OR (size_b = size_a AND block_b >= block_a)"
-    met = left.join(right, "bucket").filter(near).select("left", "right")
+    met = left.join(right, "bucket").filter(near).select("left", "right", "bucket")
     enough = least_signs(similarity)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 one, other = (batch.column(c)[i].values for c in (0, 1))
-                (na, ra, la, sa), (nb, rb, lb, sb) = ([part.field(f) for f in range(4)] for part in (one, other))
+                bucket = batch.column(2)[i].as_py()
+                (na, ra, la, sa, ba), (nb, rb, lb, sb, bb) = ([part.field(f) for f in range(5)] for part in (one, other))
                 signs_a, signs_b = (np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(-1, SIGNS) for x in (sa, sb))
                 roots, numbers = {}, []
                 for x in (ra, rb):
                     numbers.append(np.array([roots.setdefault(r, len(roots)) for r in x.to_pylist()]))
+                if len(roots) == 1:
+                    continue
                 names_a, names_b = np.array(na.to_pylist(), dtype=object), np.array(nb.to_pylist(), dtype=object)
                 sizes_a, sizes_b = (x.to_numpy(zero_copy_only=False) for x in (la, lb))
+                buckets_a, buckets_b = ([set(x) for x in y.to_pylist()] for y in (ba, bb))
+                pairs = []
                 for k in range(len(signs_a)):
                     longer = np.maximum(sizes_a[k], sizes_b)
                     apart = np.abs(sizes_a[k] - sizes_b)
                     fits = (numbers[1] != numbers[0][k]) & (apart <= (1 - similarity) * longer + 1e-9)
                     at = np.flatnonzero(fits)
-                    at = at[(signs_b[at] == signs_a[k]).sum(axis=1) >= enough]
-                    if len(at):
-                        pairs = [sorted((names_a[k], b)) for b in names_b[at]]
-                        columns = [pa.array([p[c] for p in pairs], pa.binary()) for c in (0, 1)]
-                        yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+                    agree = (signs_b[at] == signs_a[k]).sum(axis=1)
+                    if nearest:
+                        at = at[[int(agree.argmax())]] if len(at) and agree.max() >= enough else at[:0]
+                    else:
+                        at = [j for j in at[agree >= enough] if min(buckets_a[k] & buckets_b[j]) == bucket]
+                    pairs += [sorted((names_a[k], names_b[j])) for j in at]
+                if one.equals(other):  # a block with itself meets every pair twice
+                    pairs = sorted(set(map(tuple, pairs)))
+                for at in range(0, len(pairs), 10_000):
+                    columns = [pa.array([p[c] for p in pairs[at : at + 10_000]], pa.binary()) for c in (0, 1)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
     return in_batches(met).mapInArrow(compare, "a binary, b binary")
 
@@ -305,32 +323,47 @@ def connected(links: DataFrame) -> DataFrame:
         seen = state
 
 
+def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, root) of all nodes in classes after the ``links`` (a, b) have joined the classes of ``labels``."""
+    if labels is None:
+        return materialize(connected(links), "labels")
+    by_end = [labels.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")) for end in ("a", "b")]
+    ends = links.join(by_end[0], "a", "left").join(by_end[1], "b", "left")
+    ends = ends.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")).filter("a <> b")
+    moved = materialize(connected(ends), "moved")
+    further = moved.select(F.col("node").alias("root"), F.col("root").alias("new_root"))
+    known = labels.join(further, "root", "left").select("node", F.coalesce("new_root", "root").alias("root"))
+    return materialize(known.unionByName(moved.join(labels.select("node"), "node", "left_anti")), "labels")
+
+
 def text_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(doc_id, node) of every row, and (node, root) of the nodes that are not alone."""
     sketched = materialize(sketch_documents(docs, similarity), "sketches")
     once = [F.first(c).alias(c) for c in ("sketches", "n_words", "signs")]
     nodes = sketched.groupBy("node").agg(F.min("doc_id").alias("doc_id"), *once)
     nodes = materialize(nodes, "nodes")
-    placed = nodes.select("node", F.explode("sketches").alias("bucket"))
+    placed = nodes.select("node", F.posexplode("sketches").alias("turn", "bucket")).withColumn("early", F.expr(f"turn % {SKETCHES} < {FIRST}")).drop("turn")
     filled = placed.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n")).filter("low <> high")
     members = materialize(placed.join(filled.select("bucket", "n"), "bucket"), "members")
     # the original of many copies shares its buckets with most of them, a copy with few
     met = members.groupBy("node").agg(F.sum("n").alias("met"))
-    members = materialize(members.select("bucket", "node").join(met, "node"), "ranked")
+    members = materialize(members.select("bucket", "node", "early").join(met, "node"), "ranked")
     wanted = members.select("node").distinct().join(nodes, "node").select(F.col("node").alias("n"), "doc_id")
     texts = _texts(docs).withColumnRenamed("doc_id", "id")
     texts = texts.join(wanted, (F.col("node") == F.col("n")) & F.col("id").eqNullSafe(F.col("doc_id")))
     words = materialize(_words_of(texts.select("node", "text")), "words")
 
-    links = None
-    labels = None  # (node, root): a class seen so far; classes that are one without it being known yet only cost comparisons
-    round_no = 0
-    while True:
-        round_no += 1
+    labels = None
+    settled = False
+    for step in range(STARS + NEAREST + 2):  # the first sketches, stars, likeliest candidates, all candidates
+        stars, last = step <= STARS, step == STARS + NEAREST + 1
+        if settled and not last:
+            continue
+        classed = members.filter("early") if step == 0 else members
         if labels is None:
-            classed = members.withColumn("root", F.col("node"))
+            classed = classed.withColumn("root", F.col("node"))
         else:
-            classed = members.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            classed = classed.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
         open_buckets = (
             classed.groupBy("bucket")
             .agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct(-F.col("met"), "node", "root")).alias("first"))
@@ -338,10 +371,14 @@ def text_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataF
             .select("bucket", "n", F.col("first.node").alias("centre"), F.col("first.root").alias("centre_root"))
         )
         held = materialize(classed.join(open_buckets, "bucket"), "open")
-        pairs = held.filter("root <> centre_root").select(F.col("centre").alias("a"), F.col("node").alias("b"))
-        few = F.lit(round_no > 1) & (F.col("n") <= SMALL)
-        last = round_no > STARS
-        if round_no > 1:
+        if step > 0 and held.isEmpty():
+            break
+        few = F.lit(1 < step <= STARS) & (F.col("n") <= SMALL)
+        if stars:
+            pairs = held.filter("root <> centre_root").select(F.col("centre").alias("a"), F.col("node").alias("b"))
+        else:
+            pairs = block_pairs(held, nodes, similarity, nearest=not last)
+        if 1 < step <= STARS:
             little = held.filter(few)
             pairs = pairs.unionByName(
                 little.select("bucket", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("met").alias("met_a"))
@@ -349,17 +386,13 @@ def text_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataF
                 .filter("(met_a > met_b OR (met_a = met_b AND a < b)) AND ra <> rb")  # the order in which members become centres
                 .select("a", "b")
             )
-        if last:
-            pairs = pairs.unionByName(block_pairs(held.filter(~few), nodes, similarity))
-        found = materialize(verify(pairs.distinct(), words, similarity), "links")
-        links = found if links is None else links.unionByName(found)
-        # what goes on: larger buckets without their centre
-        members = held.filter(~few & (F.col("node") != F.col("centre"))).select("bucket", "node", "met")
-        if last or members.isEmpty():
-            return sketched.select("doc_id", "node"), connected(links)
-        parents = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))
-        above = parents.select(F.col("node").alias("root"), F.col("root").alias("further"))
-        labels = parents.join(above, "root", "left").select("node", F.coalesce("further", "root").alias("root"))
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        found = materialize(verify(pairs, words, similarity), "links")
+        settled = not stars and found.isEmpty()  # a further round of likeliest candidates would compare the same ones
+        labels = merged(labels, found)
+        if stars and step > 0:  # what goes on: larger buckets without their centre
+            members = held.filter(~few & (F.col("node") != F.col("centre"))).select("bucket", "node", "early", "met")
+    return sketched.select("doc_id", "node"), labels
 
 
 def duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
