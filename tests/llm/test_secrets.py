@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import pytest
 from helpers import docs_frame, with_odd_columns
@@ -28,6 +29,18 @@ TEXTS = [
 ]
 
 
+def test_long_line_is_read_once():
+    """A megabyte of name characters on one line, and names of any length and with digits before them."""
+    start = time.perf_counter()
+    long = "x = 1; " + "aB3d" * 250_000
+    assert [s for s in secrets.find_spans(long) if s[0] > 2] == []
+    assert time.perf_counter() - start < 2
+    value = "q9Zr7Lp2Xw4Kt8Vb"
+    for name in ("dbPassword", "9db_password", '"' + "n" * 200 + '_password"'):
+        text = f"{name} := '{value}'"
+        assert (3, text.index(value), text.index(value) + 16) in secrets.find_spans(text)
+
+
 def test_base_spans(spark):
     docs = with_odd_columns(docs_frame(spark, [*TEXTS, TEXTS[0]]), "row", "secrets", "spans")
     for r in secrets.secret_digests(secrets.scan_documents(docs)).collect():

@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideframe.llm.batches import in_batches
+from tideframe.llm.batches import column, in_batches, packed_row, row_schema
 
 #: Words whose ids a task keeps; the table starts anew beyond it.
 KEPT_WORDS = 200_000
@@ -172,8 +172,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: b
     """
     added = ["ids"] * keep_ids + ["n_tokens", "ids_sha256", "decoded_sha256"]
     kept = [c for c in docs.columns if c not in added]
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(text).alias("text"))
-    row_type = packed.schema["row"].dataType.simpleString()
+    packed = docs.select(packed_row(kept), column(text).alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, known = merge_table(vocabulary, pattern), {}
@@ -193,4 +192,4 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: b
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     types = ["ids array<int>"] * keep_ids + ["n_tokens bigint", "ids_sha256 string", "decoded_sha256 string"]
-    return in_batches(packed).mapInArrow(encode, f"row {row_type}, {', '.join(types)}").select("row.*", *added)
+    return in_batches(packed).mapInArrow(encode, row_schema(packed, ", ".join(types))).select("row.*", *added)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideframe.llm.batches import in_batches
+from tideframe.llm.batches import column, in_batches, packed_row, row_schema
 from tideframe.llm.tokens import SLICE_CHARS, _powers, hash_words, mix, sliced
 from tideframe.session import materialize
 
@@ -126,7 +126,7 @@ def drop_recurring(docs: DataFrame) -> DataFrame:
     added = ("n_lines", "n_dropped")
     lost = materialize(recurring_lines(docs), "lines").withColumnRenamed("doc_id", "id")
     kept = [c for c in docs.columns if c not in added]
-    packed = docs.select(F.col("doc_id").alias("key"), F.struct(*[F.col(f"`{c}`") for c in kept if c != "text"]).alias("row"), F.col("text").alias("text"))
+    packed = docs.select(F.col("doc_id").alias("key"), packed_row([c for c in kept if c != "text"]), F.col("text").alias("text"))
     joined = packed.join(lost, F.col("key").eqNullSafe(F.col("id")), "left").select("row", "text", "lines")
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +149,6 @@ def drop_recurring(docs: DataFrame) -> DataFrame:
                 names=["row", "text", *added],
             )
 
-    row_type = packed.schema["row"].dataType.simpleString()
-    rebuilt = in_batches(joined).mapInArrow(rebuild, f"row {row_type}, text string, n_lines bigint, n_dropped bigint")
-    columns = [F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in kept]
+    rebuilt = in_batches(joined).mapInArrow(rebuild, row_schema(packed, "text string, n_lines bigint, n_dropped bigint"))
+    columns = [F.col("text") if c == "text" else column(c, "row.") for c in kept]
     return rebuilt.select(*columns, *added)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideframe.llm.batches import in_batches
+from tideframe.llm.batches import in_batches, packed_row, row_schema
 
 KINDS = ("assign", "access", "hex", "literal", "constant")
 # The three base patterns. Lengths of 16 and 32 are asked for here, which finds the same maximal runs.
@@ -31,9 +31,10 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 LEAST_VALUE = 8
 
 _QUOTED = r"""(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)"""
-_NAME = r"[A-Za-z_$][A-Za-z0-9_.$-]*"
+_NAME = r"[A-Za-z_$][A-Za-z0-9_.$-]*+"
+# a bare name starts a run of name characters (after its digits), so a run is read once, however long it is
 PAIR = re.compile(
-    rf"""(?:(?P<bare>{_NAME})|["'](?P<quoted>[A-Za-z_$][^"'\n]{{0,80}})["'])(?:\[["'](?P<item>[^"'\]\n]+)["']\])?"""
+    rf"""(?:(?<![A-Za-z0-9_.$-])[0-9.-]*+(?P<bare>{_NAME})|["'](?P<quoted>[A-Za-z_$][^"'\n]*+)["'])(?:\[["'](?P<item>[^"'\]\n]+)["']\])?"""
     rf"""[ \t]*(?::=|=>|[:=])(?![:=/])[ \t]*(?P<value>(?:{_QUOTED}|{_NAME})(?:[ \t]*\+[ \t]*(?:{_QUOTED}|{_NAME}))+|{_QUOTED}|[^\s"'`,;(){{}}\[\]<>]+)"""
 )
 TERM = re.compile(rf"{_QUOTED}|{_NAME}")
@@ -126,7 +127,7 @@ def find_spans(text: str | None) -> list[tuple[int, int, int]]:
 def scan_documents(docs: DataFrame) -> DataFrame:
     """Adds ``secrets``, an array of (kind, start, end) by start and kind; a column of that name is replaced."""
     kept = [c for c in docs.columns if c != "secrets"]
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col("text").alias("text"))
+    packed = docs.select(packed_row(kept), F.col("text").alias("text"))
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,8 +135,8 @@ def scan_documents(docs: DataFrame) -> DataFrame:
             found = [[{"kind": KINDS[k], "start": a, "end": b} for k, a, b in find_spans(t.as_py())] for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(span))], names=["row", "secrets"])
 
-    row_type = packed.schema["row"].dataType.simpleString()
-    return in_batches(packed).mapInArrow(scan, f"row {row_type}, secrets array<struct<kind:string,start:bigint,end:bigint>>").select("row.*", "secrets")
+    schema = row_schema(packed, "secrets array<struct<kind:string,start:bigint,end:bigint>>")
+    return in_batches(packed).mapInArrow(scan, schema).select("row.*", "secrets")
 
 
 def joined(spans: Column) -> Column:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideframe.llm.batches import hand_back, in_batches
+from tideframe.llm.batches import hand_back, in_batches, packed_row, row_schema
 from tideframe.llm.decontaminate import small
 from tideframe.llm.tokens import hash_words, sliced
 
@@ -375,7 +375,7 @@ def _sample(found: pa.Table) -> Sample:
 def score_documents(docs: DataFrame, model: ConvModel | None) -> DataFrame:
     """Adds ``score`` and ``predicted`` to every row; a column with the name of an added one is replaced."""
     kept = [c for c in docs.columns if c not in ("score", "predicted")]
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col("text").alias("text"))
+    packed = docs.select(packed_row(kept), F.col("text").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -383,8 +383,7 @@ def score_documents(docs: DataFrame, model: ConvModel | None) -> DataFrame:
             scores = shared.value.score(batch.column(1).to_pylist()) if shared.value else np.zeros(batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["row", "score"])
 
-    row_type = packed.schema["row"].dataType.simpleString()
-    scored = in_batches(packed).mapInArrow(score, f"row {row_type}, score double")
+    scored = in_batches(packed).mapInArrow(score, row_schema(packed, "score double"))
     return scored.select("row.*", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
