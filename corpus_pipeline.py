@@ -15,12 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideframe.llm import bpe, decontaminate, linededup, neardup, toxicity
+from tideframe.llm.batches import column, packed_row
 from tideframe.session import materialize
 
 
 def _packed(docs: DataFrame) -> DataFrame:
     """The row as one struct beside what operators read, so that their columns meet no others."""
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"), "doc_id", "text")
+    return docs.select(packed_row(docs.columns).alias("document"), "doc_id", "text")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +34,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that recur in documents of lower id; one that has no line left goes."""
     left = linededup.drop_recurring(_packed(docs)).filter("n_dropped = 0 OR trim(text) <> ''")
     new = {"text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
-    return left.select(*[new.get(c, F.col(f"document.`{c}`")).alias(c) for c in docs.columns])
+    return left.select(*[new.get(c, column(c, "document.")).alias(c) for c in docs.columns])
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
