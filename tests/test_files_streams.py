@@ -10,7 +10,7 @@ from tideframe.operators import features, publish, requests
 from tideframe.session import new_path
 from tideframe.sources import files
 from tideframe.sources.tables import events, request_log
-from tideframe.streaming import ingest, metrics
+from tideframe.streaming import alerts, ingest, metrics
 
 HOUR, START = 3_600_000, 1_710_504_000_000
 
@@ -127,6 +127,18 @@ def test_streams_equal_batch(spark, tmp_path):
     assert difference(got, requests.latency_quantiles(batch_log).toPandas(), atol=1e-12) is None
 
 
+def test_stream_alerts_equal_batch(spark, tmp_path):
+    """Files in time order, several batches; the last stretch is open when the input ends."""
+    _in_time_order(spark, "/root/testdata/sf0.001", tmp_path, 3)
+    log = request_log(metrics.event_stream(spark, str(tmp_path), files_per_trigger=1))
+    rates = requests.counter_rate(request_log(events(spark, "/root/testdata/sf0.001")))
+    got = alerts.drain(log, lambda rows: alerts.error_rate_alert(rows, 0.003), {"status": "'error'"}).toPandas()
+    want = requests.error_rate_alert(rates, 0.003).toPandas()
+    assert len(want) > 20 and difference(got, want) is None
+    last = rates.where("status = 'error'").toPandas()["window_end"].max()
+    assert last in set(got["until"])
+
+
 def test_request_counts_run_on_a_stream(spark, tmp_path):
     _in_time_order(spark, "/root/testdata/sf0.001", tmp_path, 3)
     counts = requests.request_counts(request_log(metrics.event_stream(spark, str(tmp_path), 1)))

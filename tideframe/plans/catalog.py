@@ -24,6 +24,7 @@ from tideframe.sources.tables import (
     request_log,
     table,
 )
+from tideframe.streaming import alerts as stream_alerts
 from tideframe.streaming import ingest, metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -621,9 +622,12 @@ def latency_quantiles(spark, folder):
     return requests.latency_quantiles(log(spark, folder))
 
 
+def _health_of(rows):
+    return rows.select("event_id", "ts", "model_type", F.when(F.col("status") == "error", 0).otherwise(1).alias("health"))
+
+
 def _health(spark, folder):
-    health = F.when(F.col("status") == "error", 0).otherwise(1).alias("health")
-    return log(spark, folder).select("event_id", "ts", "model_type", health)
+    return _health_of(log(spark, folder))
 
 
 @query
@@ -732,6 +736,18 @@ def stream_latency_quantiles(spark, folder):
     return requests.quantiles_of(metrics.histogram_ranges(_log_stream(spark, folder), log(spark, folder)), ["endpoint"])
 
 
+@query
+def stream_health_alert(spark, folder):
+    """Unhealthy models as the rule sees them, from a stream."""
+    return stream_alerts.drain(_health_of(_log_stream(spark, folder)), stream_alerts.health_alert, {})
+
+
+@query
+def stream_error_rate_alert(spark, folder):
+    """Stretches with two errors or more in five minutes, from a stream."""
+    return stream_alerts.drain(_log_stream(spark, folder), lambda rows: stream_alerts.error_rate_alert(rows, 0.005), {"status": "'error'"})
+
+
 @query
 def stream_drift_ratio(spark, folder):
     """Value and user of every event scored against the bounds of the first three weeks."""

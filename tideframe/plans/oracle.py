@@ -785,6 +785,11 @@ oracle(
     LOG + HEALTH + _GRID,
     f"SELECT * REPLACE (CAST(peak AS INTEGER) AS peak) FROM {stretches('grid', 'model_type', 'instant', 'instant', 'health = 0', 'health', 60, 30)}",
 )
+oracle(
+    "stream_health_alert",
+    LOG + HEALTH + _GRID,
+    f"SELECT * REPLACE (CAST(peak AS INTEGER) AS peak) FROM {stretches('grid', 'model_type', 'instant', 'instant', 'health = 0', 'health', 60, 30)}",
+)
 oracle(
     "prediction_drift",
     RATIOS + "," + LOG + ", settings AS (SELECT 'm' || (hour(timestamp) % 3) AS model_type, coin_id, timestamp + INTERVAL 1 HOUR AS at, drift_ratio FROM ratios)",
@@ -794,6 +799,11 @@ oracle(
 _SLOW = stretches("quantiles", "endpoint", "window_end", "window_end", "p95 > 0.5", "p95", 300, 30)
 oracle("alert_for_duration", LOG + f", quantiles AS ({_QUANTILES})", f"SELECT * FROM {_SLOW}")
 _ERRORS = stretches("error_rates", "endpoint", "window_end", "window_end", "rate > 0.1", "rate", 300, 30)
+oracle(
+    "stream_error_rate_alert",
+    LOG + f", error_rates AS (SELECT * FROM {_RATE} WHERE status = 'error')",
+    f"SELECT * FROM {stretches('error_rates', 'endpoint', 'window_end', 'window_end', 'rate > 0.005', 'rate', 300, 30)}",
+)
 
 
 def fired(alert: str, severity: str, label: str, source: str) -> str:
