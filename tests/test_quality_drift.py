@@ -26,6 +26,13 @@ def test_stale_or_incomplete_series_still_passes(good):
     assert report["overall_status"] == "PASSED"
 
 
+def test_columns_of_any_name(spark):
+    names = ["my col", "a.b", "a:b", "tick`mark", "it's", "back\\slash"]
+    frame = spark.createDataFrame([(1, None, 2, None, 3, 4), (None, None, 1, 1, 1, 1)], ", ".join(f"`{n.replace('`', '``')}` int" for n in names))
+    assert {r.column_name: r.null_count for r in quality.null_check(frame).collect()} == dict(zip(names, [1, 2, 0, 1, 0, 0]))
+    assert {r.column_name: r.status for r in quality.schema_check(frame, names[:2] + ["gone"]).collect()} == dict.fromkeys(names[2:], "extra") | dict.fromkeys(names[:2], "present") | {"gone": "missing"}
+
+
 def test_nulls_fail_before_schema(good):
     holes = good.selectExpr("*").withColumn("price", good["price"]).selectExpr(
         "coin_id", "timestamp", "CASE WHEN timestamp >= TIMESTAMP '2022-01-01 06:00:00' THEN price END AS price", "market_cap"

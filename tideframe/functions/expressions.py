@@ -14,6 +14,16 @@ def number(x: float) -> str:
     return f"double('{'-' if x < 0 else ''}Infinity')" if math.isinf(x) else f"{float(x)!r}D"
 
 
+def quoted(name: str) -> str:
+    """A column of exactly this name, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(text: str) -> str:
+    """A string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def ieee_div(a: str, b: str) -> str:
     """``a / b`` where x/0 is signed infinity and 0/0 is NULL."""
     by_zero = f"CASE WHEN ({a}) > 0 THEN double('Infinity') WHEN ({a}) < 0 THEN double('-Infinity') END"

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideframe.functions.expressions import hours_between, ieee_div
+from tideframe.functions.expressions import hours_between, ieee_div, literal, quoted
 from tideframe.functions.numeric import NUMERIC
 from tideframe.plans.blocks import in_blocks
 from tideframe.plans.ordered import HOURLY, Series
@@ -26,7 +26,7 @@ class DataQualityError(ValueError):
 
 
 def _null_count(c: str) -> str:
-    return f"count_if({c} IS NULL)"
+    return f"count_if({quoted(c)} IS NULL)"
 
 
 def _percentage(part: str, whole: str = "count(1)") -> str:
@@ -45,7 +45,7 @@ def null_check(
     return _rows(
         df,
         [
-            f"struct('{c}' AS column_name, {_null_count(c)} AS null_count, {_percentage(_null_count(c))} AS null_percentage,"
+            f"struct({literal(c)} AS column_name, {_null_count(c)} AS null_count, {_percentage(_null_count(c))} AS null_percentage,"
             f" count(1) AS total_rows, {_percentage(_null_count(c))} > {max_null_percentage}D AS failed)"
             for c in (columns or df.columns)
         ],
@@ -57,7 +57,7 @@ def schema_check(df: DataFrame, expected: Sequence[str] = BASE_COLUMNS) -> DataF
     actual = set(df.columns)
     names = sorted(actual | set(expected))
     status = {c: "missing" if c not in actual else "present" if c in expected else "extra" for c in names}
-    return _rows(df, [f"struct('{c}' AS column_name, '{status[c]}' AS status, count(1) AS rows)" for c in names])
+    return _rows(df, [f"struct({literal(c)} AS column_name, '{status[c]}' AS status, count(1) AS rows)" for c in names])
 
 
 def type_check(df: DataFrame, numeric: Sequence[str] = BASE_COLUMNS, time: str = "timestamp") -> DataFrame:
@@ -141,7 +141,7 @@ def quality_report(
         **{f"__null_{c}": _percentage(_null_count(c)) for c in columns},
     }
     one = _with_change(df, series, **options).groupBy(*series.keys).agg(*[F.expr(e).alias(n) for n, e in measures.items()])
-    failed = ", ".join(f"CASE WHEN __null_{c} > {max_null_percentage}D THEN '{c}' END" for c in columns)
+    failed = ", ".join(f"CASE WHEN {quoted(f'__null_{c}')} > {max_null_percentage}D THEN {literal(c)} END" for c in columns)
     one = one.selectExpr(
         *series.keys,
         "rows",
