@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressor, LinearRegression, LinearRegressionModel, RandomForestRegressor
 from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +21,7 @@ from tideframe.functions.numeric import numeric_columns
 from tideframe.operators.clean import ffill_bfill, median_impute
 from tideframe.operators.drift import drift_ratio
 from tideframe.operators.evaluate import best_model, cv_scores, cv_summary, evaluate_forecast, evaluate_split
+from tideframe.operators.gram import ridge_cv_values
 from tideframe.operators.publish import at_time, first_row, latest_row, time_range
 from tideframe.plans.ordered import HOURLY, Series, ordinal
 from tideframe.plans.quantiles import column_facts
@@ -227,8 +230,16 @@ def _report(name: str, position: int, scored: DataFrame) -> DataFrame:
 
 
 def cross_validation(name: str, train: DataFrame, series: Series = HOURLY) -> DataFrame:
-    """Fit and score every fold; returns the one-row summary."""
-    folded = materialize(cv_folds(train, series), "folds")
+    """Score every fold; returns the one-row summary. A ridge is solved from sums per fold, other models are fitted fold by fold."""
+    folds = cv_folds(train, series)
+    if name == "ridge":
+        width = len(train.select("features").first()[0])
+        values = F.array_append(vector_to_array("features"), F.col("label"))
+        scores = ridge_cv_values(folds, values, width + 1, alpha=RIDGE_ALPHA).select("fold", "mse")
+        if scores.isEmpty():
+            raise ValueError("too few rows for cross-validation")
+        return cv_summary(scores)
+    folded = materialize(folds, "folds")
     scores = None
     for fold in range(1, FOLDS + 1):
         fit_on = folded.where(f"CASE WHEN past_only THEN fold < {fold} ELSE fold <> {fold} END")
@@ -335,20 +346,61 @@ def predict_batch(
     )
 
 
+def line_slopes(model: PipelineModel) -> dict[str, float] | None:
+    """What one unit of every column adds to the prediction of a linear model; None for other models."""
+    line = model.stages[-1]
+    if not isinstance(line, LinearRegressionModel):
+        return None
+    scaled = re.findall(r"\((\w+) - \S+\) / (\S+)D AS __z(\d+)", model.stages[0].getStatement())
+    return {c: float(line.coefficients[int(i)]) / float(deviation) for c, deviation, i in scaled}
+
+
 def predict_future(
     model: PipelineModel, df: DataFrame, hours: int, model_type: str, series: Series = HOURLY, cut_every: int = 6
 ) -> DataFrame:
     """Recursive forecast of one hour or more for every series at once.
 
     Each step predicts from the newest row per series, moves it one hour on, sets the predicted price
-    and the two one-hour changes, and leaves every other feature as it is. The path so far rides along
-    in an array, so there is one chain of steps, cut by a written table every few hours.
+    and the two one-hour changes, and leaves every other feature as it is. For a linear model everything that does not
+    move is one number per series, and all steps are one fold over an array. Other models are a chain of steps, cut by a
+    written table every few hours, in which the path so far rides along in an array.
     """
     if hours < 1:
         raise ValueError("hours must be at least 1")
-    frontier = materialize(latest_row(df, series), "frontier")
+    slopes = line_slopes(model)
+    if slopes is not None:
+        ahead = _folded_path(model, latest_row(df, series), hours, slopes, series)
+    else:
+        ahead = _chained_path(model, latest_row(df, series), hours, series, cut_every)
+    rows = ahead.selectExpr(*series.keys, "__now", "posexplode(__path) AS (__hour, __price)")
+    return rows.selectExpr(
+        *series.keys,
+        f"__now + (__hour + 1) * INTERVAL 1 HOUR AS {series.time}",
+        "__price AS predicted_price",
+        "__hour + 1 AS hours_ahead",
+        f"'{model_type}' AS model_type",
+    )
+
+
+def _folded_path(model: PipelineModel, frontier: DataFrame, hours: int, slopes: dict[str, float], series: Series) -> DataFrame:
+    """keys, __now, __path: the state of the fold is the three columns that move and the prices so far."""
+    moving = {c: f for c, f in ((TARGET, "price"), ("price_change_1h", "change"), ("price_pct_change_1h", "share")) if c in slopes}
+    start = model.transform(frontier)
+    still = " - ".join(["prediction", *[f"{number(slopes[c])} * {c}" for c in moving]])
+    rows = start.selectExpr(*series.keys, f"{series.time} AS __now", f"{still} AS __still", f"CAST({TARGET} AS DOUBLE) AS __price", *[c for c in moving if c != TARGET])
+    first = ", ".join(f"'{f}', CAST({c if c in moving else 'NULL'} AS DOUBLE)" for c, f in (("price_change_1h", "change"), ("price_pct_change_1h", "share")))
+    state = f"named_struct('price', __price, {first}, 'path', CAST(array() AS array<double>))"
+    price = " + ".join(["__still", *[f"{number(slopes[c])} * s.{f}" for c, f in moving.items()]])
+    step = f"p -> named_struct('price', p, 'change', p - s.price, 'share', {ieee_div('p - s.price', 's.price')}, 'path', concat(s.path, array(p)))"
+    fold = f"aggregate(sequence(1, {hours}), {state}, (s, h) -> transform(array({price}), {step})[0], s -> s.path)"
+    return rows.selectExpr(*series.keys, "__now", f"{fold} AS __path")
+
+
+def _chained_path(model: PipelineModel, frontier: DataFrame, hours: int, series: Series, cut_every: int) -> DataFrame:
+    """keys, __now, __path for any model."""
+    frontier = materialize(frontier, "frontier")
     columns = frontier.columns
-    ahead = frontier.selectExpr("*", "CAST(array() AS array<struct<time:timestamp,price:double>>) AS __path")
+    ahead = frontier.selectExpr("*", f"{series.time} AS __now", "CAST(array() AS array<double>) AS __path")
     moves = {
         series.time: f"{series.time} + INTERVAL 1 HOUR",
         TARGET: "prediction",
@@ -356,16 +408,8 @@ def predict_future(
         "price_pct_change_1h": ieee_div(f"prediction - {TARGET}", TARGET),
     }
     step = [f"{moves[c]} AS {c}" if c in moves else c for c in columns]
-    grown = f"concat(__path, array(named_struct('time', {moves[series.time]}, 'price', prediction))) AS __path"
     for hour in range(1, hours + 1):
-        ahead = model.transform(ahead).selectExpr(*step, grown)
+        ahead = model.transform(ahead).selectExpr(*step, "__now", "concat(__path, array(prediction)) AS __path")
         if hour % cut_every == 0 and hour < hours:
             ahead = materialize(ahead, "frontier")
-    rows = ahead.selectExpr(*series.keys, "posexplode(__path) AS (__hour, __point)")
-    return rows.selectExpr(
-        *series.keys,
-        f"__point.time AS {series.time}",
-        "__point.price AS predicted_price",
-        "__hour + 1 AS hours_ahead",
-        f"'{model_type}' AS model_type",
-    )
+    return ahead

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideframe.functions.numeric import numeric_columns, round_doubles
-from tideframe.operators import clean, drift, evaluate, features, learn, profile, publish, quality, requests
+from tideframe.operators import clean, drift, evaluate, features, gram, learn, profile, publish, quality, requests
 from tideframe.plans.adaptive import PATH, cut_full_buckets
 from tideframe.plans.ordered import EVENT_LOG, HOURLY, Series, forward_fill, ordinal, previous, running_total
 from tideframe.session import materialize, new_path
@@ -508,6 +508,35 @@ def ridge_two_features(spark, folder):
     return _four_digits(run.metrics.select("model", "train_rmse", "test_rmse", "train_mae", "test_mae", "is_best"))
 
 
+_PAIR = ["market_cap", "total_volume"]
+
+
+@query
+def ridge_cv(spark, folder):
+    """Every fold of a ridge over two scaled features, from one pass of sums over the training part."""
+    rows = learn.chrono_split(learn.standard_scale(hourly(spark, folder), _PAIR)).where("NOT is_test")
+    scores = gram.ridge_cv(learn.cv_folds(rows), _PAIR)
+    return _four_digits(scores.selectExpr("fold", "train_rows", "valid_rows", "sqrt(mse) AS rmse"))
+
+
+@query
+def ridge_per_series(spark, folder):
+    """One ridge per series from one pass of sums over the training parts, and its errors on either part."""
+    rows = learn.chrono_split(hourly(spark, folder)).persist(StorageLevel.MEMORY_AND_DISK)
+    models = gram.ridge_per_group(rows.where("NOT is_test"), _PAIR, ["coin_id"])
+    scored = evaluate.evaluate_split(gram.predict_per_group(rows, models, _PAIR, ["coin_id"]), ["coin_id", "is_test"], "price")
+    return _four_digits(scored.select("coin_id", "is_test", "rmse", "mae", "sample_count"))
+
+
+@query
+def forecast_linear(spark, folder):
+    """Recursive forecast of a ridge over the price and its last change, both of which move."""
+    rows = features.previous_row(hourly(spark, folder), ["price"]).where("prev_price IS NOT NULL")
+    rows = rows.selectExpr("coin_id", "timestamp", "price", "price - prev_price AS price_change_1h")
+    run = learn.train_models(rows, names=["ridge"])
+    return _four_digits(learn.predict_future(run.models["ridge"], rows, 24, "ridge"))
+
+
 @query
 def predict_single(spark, folder):
     run, rows = _two_features(spark, folder)

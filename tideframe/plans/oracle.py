@@ -596,6 +596,59 @@ oracle(
     )
     + " FROM predicted",
 )
+
+
+def _two_by_two(source: str, by: str = "") -> str:
+    """Terms of the normal equations of a ridge over z1 and z2 with penalty 1."""
+    return (
+        f"SELECT {by}{', ' if by else ''}count(*) AS train_rows, avg(z1) AS m1, avg(z2) AS m2, avg(price) AS my, var_pop(z1) * count(*) + 1 AS a,"
+        " covar_pop(z1, z2) * count(*) AS b, var_pop(z2) * count(*) + 1 AS d, covar_pop(z1, price) * count(*) AS e,"
+        f" covar_pop(z2, price) * count(*) AS f FROM {source}{' GROUP BY ' + by if by else ''}"
+    )
+
+
+_SOLVE = "SELECT *, (e * d - b * f) / (a * d - b * b) AS w1, (a * f - b * e) / (a * d - b * b) AS w2 FROM m"
+oracle(
+    "ridge_cv",
+    RIDGE[: RIDGE.index(",\nm AS")]
+    + f""",
+hourly_train AS (SELECT * FROM z WHERE NOT is_test),
+folded AS (SELECT *, {_FOLD} AS fold FROM ({NUMBERED.replace('FROM hourly', 'FROM hourly_train')})),
+each AS (SELECT k, folded.* FROM folded, (SELECT unnest([1, 2, 3]) AS k) WHERE fold < k),
+m AS ({_two_by_two('each', 'k')}), w AS ({_SOLVE})""",
+    "SELECT fold, train_rows, count(*) AS valid_rows, round(sqrt(avg(pow(price - (my + w1 * (z1 - m1) + w2 * (z2 - m2)), 2))), 4) AS rmse"
+    " FROM folded JOIN w ON fold = k GROUP BY fold, train_rows",
+)
+oracle(
+    "ridge_per_series",
+    HOURLY
+    + f""",
+two AS (SELECT *, {_SPLIT} AS is_test FROM hourly),
+s AS (SELECT coin_id, avg(market_cap) AS mc, stddev_pop(market_cap) AS sc, avg(total_volume) AS mv, stddev_pop(total_volume) AS sv
+  FROM two WHERE NOT is_test GROUP BY 1),
+z AS (SELECT two.*, (market_cap - mc) / sc AS z1, (total_volume - mv) / sv AS z2 FROM two JOIN s USING (coin_id)),
+m AS ({_two_by_two('z WHERE NOT is_test', 'coin_id')}), w AS ({_SOLVE}),
+predicted AS (SELECT z.*, my + w1 * (z1 - m1) + w2 * (z2 - m2) AS p FROM z JOIN w USING (coin_id))""",
+    "SELECT coin_id, is_test, round(sqrt(avg(pow(price - p, 2))), 4) AS rmse, round(avg(abs(price - p)), 4) AS mae, count(*) AS sample_count"
+    " FROM predicted GROUP BY 1, 2",
+)
+oracle(
+    "forecast_linear",
+    "RECURSIVE "
+    + HOURLY.strip()
+    + f""",
+changed AS (SELECT * FROM (SELECT *, price - {lag('price', 1)} AS change FROM hourly) WHERE change IS NOT NULL),
+two AS (SELECT *, {_SPLIT} AS is_test FROM changed),
+s AS (SELECT avg(price) AS mp, stddev_pop(price) AS sp, avg(change) AS mc, stddev_pop(change) AS sc FROM two),
+z AS (SELECT two.*, (price - mp) / sp AS z1, (change - mc) / sc AS z2 FROM two, s),
+m AS ({_two_by_two('z WHERE NOT is_test')}), w AS (SELECT * FROM ({_SOLVE}), s),
+steps AS (
+  SELECT coin_id, timestamp, price, change, 0 AS h FROM (SELECT * FROM two QUALIFY row_number() OVER (PARTITION BY coin_id ORDER BY timestamp DESC) = 1)
+  UNION ALL
+  SELECT coin_id, timestamp + INTERVAL 1 HOUR, p, p - price, h + 1
+  FROM (SELECT steps.*, my + w1 * ((price - mp) / sp - m1) + w2 * ((change - mc) / sc - m2) AS p FROM steps, w) WHERE h < 24)""",
+    "SELECT coin_id, timestamp, round(price, 4) AS predicted_price, h AS hours_ahead, 'ridge' AS model_type FROM steps WHERE h > 0",
+)
 oracle("predict_single", RIDGE, f"SELECT {_PREDICTED} {_NEWEST}")
 oracle(
     "scoring_pipeline",
