@@ -148,22 +148,55 @@ def test_request_counts_run_on_a_stream(spark, tmp_path):
     assert difference(spark.table("counts").toPandas(), want) is None
 
 
-def test_incremental_features_equal_a_full_run(spark, walk):
-    raw = walk(1500).drop(columns="ingest_seq")
-    cut = pd.Timestamp("2022-02-20")
-    history = spark.createDataFrame(raw[raw["timestamp"] < cut])
-    fresh = spark.createDataFrame(raw[raw["timestamp"] >= cut])
-    got = ingest.new_feature_rows(history, fresh).toPandas()
-    want = features.compact_features(spark.createDataFrame(raw), order=None).where(f"timestamp >= TIMESTAMP '{cut}'").toPandas()
+@pytest.mark.parametrize("late", ["2022-01-20", "2022-01-01"])
+def test_late_rows_correct_features(spark, walk, tmp_path, late):
+    raw = walk(1500)
+    raw["ingest_seq"] = range(len(raw))
+    window = raw["timestamp"].between(late, pd.Timestamp(late) + pd.Timedelta(hours=30)) & (raw["coin_id"] == "a")
+    cut = raw["timestamp"] < "2022-02-20"
+    again = raw[cut & ~window].head(50).assign(price=1.0, ingest_seq=10_000)  # later deliveries of known hours lose
+    hole = raw[window].assign(price=None, ingest_seq=-1)  # incomplete rows never count
+    write = ingest.correcting_writer(str(tmp_path / "history"), str(tmp_path / "features"))
+    parts = [pd.concat([raw[cut & ~window], hole]), pd.concat([raw[~cut], again]), raw[window]]
+    for number, part in [*enumerate(parts), (2, parts[2])]:  # the last one is replayed
+        write(spark.createDataFrame(part), number)
+    got = spark.read.parquet(str(tmp_path / "features")).drop("month", "slot").toPandas()
+    want = features.compact_features(spark.createDataFrame(raw)).toPandas()
     assert difference(got.round(5), want.round(5), atol=1e-4) is None
 
 
-def test_feature_writer_replaces_a_replayed_batch(spark, walk, tmp_path):
-    raw = walk(120).drop(columns="ingest_seq")
-    store, target = new_path(spark, "store"), str(tmp_path / "features")
-    spark.createDataFrame(raw).write.parquet(store)
-    batch = spark.createDataFrame(raw[raw["timestamp"] >= "2022-01-05"])
-    write = ingest.feature_writer(store, target)
-    write(batch, 0)
-    write(batch, 0)
-    assert spark.read.parquet(target).count() == batch.count()
+def test_only_rows_near_a_change_are_computed_again(spark, walk):
+    raw = spark.createDataFrame(walk(3000, coins=("a", "b"))).selectExpr("*", "coin_id = 'a' AND timestamp = TIMESTAMP '2022-03-01 05:00:00' AS new")
+    near = ingest.affected_places(raw, "new", reach=100).toPandas()
+    changed = 59 * 24 + 5
+    assert set(near["coin_id"]) == {"a"}
+    hours = ((near["timestamp"] - pd.Timestamp("2022-01-01")).dt.total_seconds() // 3600).astype(int)
+    block = changed // 100
+    assert sorted(hours) == list(range((block - 1) * 100, (block + 2) * 100))
+    assert sorted(hours[near["__again"]]) == list(range(block * 100, (block + 2) * 100))
+
+
+def test_a_batch_without_new_rows_changes_nothing(spark, walk, tmp_path):
+    raw = walk(60)
+    write = ingest.correcting_writer(str(tmp_path / "history"), str(tmp_path / "features"))
+    write(spark.createDataFrame(raw), 0)
+    before = spark.read.parquet(str(tmp_path / "features")).toPandas()
+    write(spark.createDataFrame(raw).where("false"), 1)
+    assert difference(spark.read.parquet(str(tmp_path / "features")).toPandas(), before) is None
+
+
+def test_a_version_is_visible_once_its_manifest_is(spark, tmp_path):
+    base = str(tmp_path / "published")
+    rows = spark.createDataFrame([(1, "x"), (2, None)], "`my col` int, b string")
+    publish.stage_version(rows, base, "t", "1")
+    assert publish.newest_version(spark, base, "t") is None
+    with pytest.raises(FileNotFoundError):
+        publish.read_version(spark, base, "t")
+    first = publish.publish_version(rows, base, "t", "1").first()
+    publish.publish_version(rows.limit(0), base, "t", "2")
+    publish.stage_version(rows, base, "t", "3")
+    assert publish.publish_version(rows, base, "t", "1").first() == first
+    assert publish.newest_version(spark, base, "t") == "2" and publish.read_version(spark, base, "t").count() == 0
+    assert sorted(publish.read_version(spark, base, "t", "1").collect(), key=str) == sorted(rows.collect(), key=str)
+    with pytest.raises(ValueError):
+        publish.publish_version(rows.limit(1), base, "t", "1")

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideframe.plans.ordered import HOURLY, Series
 
@@ -120,6 +124,71 @@ def publish_dataset(df: DataFrame, base: str, name: str, run_ts: str) -> DataFra
     return df.sparkSession.createDataFrame([row], "name string, key string, rows bigint, digest string, verified boolean")
 
 
+MANIFEST_SCHEMA = "name string, version string, path string, columns string, rows bigint, digest string"
+
+
+def stage_version(df: DataFrame, base: str, name: str, version: str) -> tuple[str, dict]:
+    """Write a dataset into a staging folder of its own; no reader sees it. Returns its path below ``base`` and its fingerprint."""
+    path = f"staged/{name}/{version}-{uuid.uuid4().hex}"
+    written = Observation("staged")
+    df.observe(written, *fingerprint_columns(df)).write.mode("error").parquet(f"{base.rstrip('/')}/{path}")
+    stored = df.sparkSession.read.schema(df.schema).parquet(f"{base.rstrip('/')}/{path}")
+    have = table_fingerprint(stored).first().asDict()
+    if written.get != have:
+        raise RuntimeError(f"{path} holds other rows than were written")
+    return path, have
+
+
+def publish_version(df: DataFrame, base: str, name: str, version: str) -> DataFrame:
+    """Publish in two phases: stage and verify the rows, then write the manifest that makes them visible.
+
+    A run that stops before the manifest leaves nothing that readers see. Publishing the same rows under the same version again keeps
+    the first copy; other rows under a published version are an error.
+    """
+    spark = df.sparkSession
+    known = _manifest(spark, base, name, version)
+    if known is not None:
+        have = table_fingerprint(df).first().asDict()
+        if (known["rows"], known["digest"]) != (have["rows"], have["digest"]):
+            raise ValueError(f"version {version} of {name} is published with other rows")
+        return spark.createDataFrame([known], MANIFEST_SCHEMA)
+    path, have = stage_version(df, base, name, version)
+    record = spark.createDataFrame([(name, version, path, df.schema.json(), have["rows"], have["digest"])], MANIFEST_SCHEMA)
+    record.coalesce(1).write.mode("error").json(f"{base.rstrip('/')}/manifests/{name}/{version}")
+    return record
+
+
+def versions(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """The manifests of all published versions; a manifest folder without its row is not published yet."""
+    try:
+        return spark.read.schema(MANIFEST_SCHEMA).json(f"{base.rstrip('/')}/manifests/{name}/*")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+
+
+def _manifest(spark: SparkSession, base: str, name: str, version: str | None = None) -> Row | None:
+    found = versions(spark, base, name)
+    found = found if version is None else found.where(F.col("version") == version)
+    return found.orderBy(F.desc("version")).first()
+
+
+def newest_version(spark: SparkSession, base: str, name: str) -> str | None:
+    """The published version that sorts last."""
+    found = _manifest(spark, base, name)
+    return found and found["version"]
+
+
+def read_version(spark: SparkSession, base: str, name: str, version: str | None = None) -> DataFrame:
+    """A published version, the newest unless named; only manifests say what there is."""
+    found = _manifest(spark, base, name, version)
+    if found is None:
+        raise FileNotFoundError(f"no published version {version or ''} of {name}")
+    schema = T.StructType.fromJson(json.loads(found["columns"]))
+    return spark.read.schema(schema).parquet(f"{base.rstrip('/')}/{found['path']}")
+
+
 def publish_with_fallback(df: DataFrame, base: str, backup: str, name: str, run_ts: str) -> DataFrame:
     """Publish to ``base``; if that fails keep the dataset under ``backup`` instead."""
     try:

@@ -799,3 +799,24 @@ def incremental_merge(spark, folder):
         if number != 1:
             ingest.ingest_pulls(spark, f"{base}/landing", f"{base}/history", f"{base}/state")
     return ingest.merged_history(spark, f"{base}/history")
+
+
+@query
+def incremental_features(spark, folder):
+    """Compact features of a series that arrives in three batches, the last of which holds hours from the middle."""
+    base, rows = new_path(spark, "growing"), hourly(spark, folder).withColumn("ingest_seq", F.lit(0).cast("bigint"))
+    write = ingest.correcting_writer(f"{base}/history", f"{base}/features")
+    late = "day(timestamp) BETWEEN 9 AND 11"
+    for number, part in enumerate([f"day(timestamp) < 18 AND NOT {late}", f"day(timestamp) >= 18 AND NOT {late}", late]):
+        write(rows.where(part), number)
+    return spark.read.parquet(f"{base}/features").drop("month", "slot")
+
+
+@query
+def staged_versions(spark, folder):
+    """The version that readers see: of two published ones, one of them published twice, the newer; a third was never finished."""
+    base, rows = new_path(spark, "staged"), hourly(spark, folder)
+    for version, end in (("20240110", "2024-01-10"), ("20240131", "2024-02-01"), ("20240110", "2024-01-10")):
+        publish.publish_version(rows.where(F.col("timestamp") < F.lit(end).cast("timestamp")), base, "hourly", version)
+    publish.stage_version(rows, base, "hourly", "20240201")
+    return publish.read_version(spark, base, "hourly").withColumn("version", F.lit(publish.newest_version(spark, base, "hourly")))

@@ -916,3 +916,5 @@ oracle(
     " first + INTERVAL 24 DAY THEN 1 ELSE 2 END, 6) AS price, round(market_cap, 6) AS market_cap,"
     " round(total_volume, 6) AS total_volume FROM hourly, (SELECT min(timestamp) AS first FROM hourly)",
 )
+oracle("incremental_features", *featured(HOURLY, "hourly", COMPACT, complete=True, ewma=(6, 12)))
+oracle("staged_versions", HOURLY, "SELECT coin_id, timestamp, price, market_cap, total_volume, '20240131' AS version FROM hourly WHERE timestamp < TIMESTAMP '2024-02-01'")
