@@ -18,6 +18,8 @@ def templates(line):
         out.append((n, *words))
         if worded and n >= ld.DEPTH + 2 * ld.FIELDS:
             field = [-1 if p < ld.DEPTH else (p - ld.DEPTH) * ld.FIELDS // (n - ld.DEPTH) for p in range(n)]
+            starts = [min(p for p in range(n) if field[p] == f) for f in range(ld.FIELDS)]
+            field = [f if f >= 0 and p - starts[f] < ld.OPEN_WORDS else -1 for p, f in enumerate(field)]
             out += [(n, f, *[w for w, g in zip(words, field, strict=True) if g != f]) for f in range(ld.FIELDS)]
     return out
 
@@ -89,3 +91,15 @@ def test_short_lines_that_recur_often(spark):
     texts = [f"All rights reserved\nTwice only\na line of its own {w} here" for w in ("alpha", "beta")] + ["All rights reserved\nmore", "all rights reserved"]
     found = {r.doc_id: r.text for r in ld.drop_recurring(docs_frame(spark, texts)).collect()}
     assert found == {0: texts[0], 1: "Twice only\na line of its own beta here", 2: "more", 3: ""}
+
+
+def _long_line(changed, words=150):
+    return " ".join("changed" + chr(97 + p % 26) * 3 if p in changed else f"word{chr(97 + p % 26)}{chr(97 + p // 26)}" for p in range(words))
+
+
+def test_a_long_passage_is_no_variable_field(spark):
+    from_start = 3 + 49  # the second part of the rest begins here
+    texts = [_long_line(()), _long_line(range(from_start, from_start + 8)), _long_line(range(from_start, from_start + 9)), _long_line(range(101, 150))]
+    assert brute(list(enumerate(texts))) == {0: texts[0], 1: "", 2: texts[2], 3: texts[3]}
+    found = {r.doc_id: r.text for r in ld.drop_recurring(docs_frame(spark, texts)).collect()}
+    assert found == {0: texts[0], 1: "", 2: texts[2], 3: texts[3]}

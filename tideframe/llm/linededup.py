@@ -2,7 +2,8 @@
 
 A line goes down a tree of fixed depth: number of words, then its first ``DEPTH`` words, where a word with a digit
 is a variable. A line of which more than half are such words is all constant: rows of numbers differ by their numbers. At the leaf it has one template of all its words and, if ``FIELDS`` * 2 or more words are left and it is not such a row, one per
-field: the rest of the line is cut into ``FIELDS`` fields, and the template leaves one of them open. Lines that
+field: the rest of the line is cut into ``FIELDS`` parts, the first ``OPEN_WORDS`` words of a part (or all) are its field, and the
+template leaves one field open, so a line never loses more than ``OPEN_WORDS`` words of its own. Lines that
 differ in variables and in one field so meet in a template, without comparing lines in a leaf with one another.
 A template recurs if ``LEAST_DOCS`` documents have it, that of a line of fewer than ``LEAST_LINE`` words if ``SHORT_DOCS`` have it. The document of least id keeps its line; the others lose theirs.
 
@@ -27,7 +28,7 @@ from tideframe.llm.batches import column, in_batches, packed_row, row_schema
 from tideframe.llm.tokens import SLICE_CHARS, _powers, hash_words, mix, sliced
 from tideframe.session import materialize
 
-DEPTH, FIELDS, LEAST_LINE, LEAST_DOCS, SHORT_DOCS = 3, 3, 5, 2, 3
+DEPTH, FIELDS, OPEN_WORDS, LEAST_LINE, LEAST_DOCS, SHORT_DOCS = 3, 3, 8, 5, 2, 3
 #: Stands for every variable word.
 VARIABLE = np.uint64(0x5851F42D4C957F2D)
 _COUNT = np.uint64(0xD6E8FEB86659FD93)
@@ -69,7 +70,9 @@ def line_templates(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.
                 terms = h * _powers(int(size.max()) + 1)[1:][place]
                 total = np.add.reduceat(terms, starts) + size.astype(np.uint64) * _COUNT
                 rest = np.repeat(np.maximum(size - DEPTH, 1), size)
-                field = np.where(place < DEPTH, -1, (place - DEPTH) * FIELDS // rest)
+                part_of = (place - DEPTH) * FIELDS // rest
+                opened = (place >= DEPTH) & (place - DEPTH + part_of * rest // -FIELDS < OPEN_WORDS)
+                field = np.where(opened, part_of, -1)
                 templates = [mix(total)]
                 for f in range(FIELDS):
                     open_field = np.add.reduceat(np.where(field == f, terms, np.uint64(0)), starts)
