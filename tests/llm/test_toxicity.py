@@ -95,3 +95,17 @@ def test_threshold_of_weighted_values():
     z, y = np.array([3.0, 2.0, 1.0, 0.0]), np.array([1.0, 0.0, 1.0, 0.0])
     assert toxicity.best_threshold(z, y) == 0.5
     assert toxicity.best_threshold(z, y, np.array([1.0, 9.0, 1.0, 9.0])) == 2.5
+
+
+def test_words_of_a_sample_row_are_those_of_the_tokenizer(spark, monkeypatch):
+    texts = ["a\nb\tc,d", "", None, "one two", "x " * 30]
+    by_word, _, starts, _ = toxicity.word_ids(texts)
+    assert toxicity.word_counts(by_word, starts).tolist() == [4, 0, 0, 2, 30]
+    monkeypatch.setattr(toxicity, "SAMPLE_WORDS", 3)
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda sample: seen.append(sample))
+    ids = [i for i in range(200) if toxicity.zlib.crc32(str(i).encode()) % 5][:4]
+    docs = spark.createDataFrame(list(zip(ids, ["a\nb\tc\nd", "one two", "bad", None], strict=True)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, toxic int")
+    assert toxicity.fit_from(docs, labels) is None
+    assert len(seen[0].starts) == 3  # four words between line ends and tabs are too many

@@ -74,6 +74,11 @@ def word_ids(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return by_word, by_start, borders[:-1] + pad * np.arange(n), votes.argmax(axis=1)
 
 
+def word_counts(by_word: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Words of each text, without the padding of :func:`word_ids`."""
+    return np.diff(np.append(starts, len(by_word))) - max(WIDTHS)
+
+
 _LANGUAGES = language_table()
 
 
@@ -305,21 +310,22 @@ def calibrate(model: ConvModel, counts: pa.Table) -> None:
 
 def calibration_counts(docs: DataFrame, known: DataFrame, chosen: DataFrame, model: ConvModel) -> pa.Table:
     """Counts of all labelled rows by (language, rounded logit, toxic, longer than a sample row, used by the fit)."""
-    long = F.size(F.split(F.coalesce("text", F.lit("")), " ")) > SAMPLE_WORDS
     ids = chosen.select("doc_id", F.lit(1).alias("drawn"))
     marked = known.join(ids, "doc_id", "left").select("doc_id", "toxic", (F.col("drawn").isNotNull() & ~kept_out(F.col("doc_id"))).alias("fitted"))
     rows = docs.select("doc_id", "text").join(small(marked), "doc_id")
-    rows = rows.select("text", F.col("toxic").cast("int").alias("toxic"), long.cast("int").alias("long"), (F.col("fitted") & ~long).cast("int").alias("used"))
+    rows = rows.select("text", F.col("toxic").cast("int").alias("toxic"), F.col("fitted").cast("int").alias("fitted"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def logits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(0).to_pylist()
-            z, language = np.zeros(len(texts)), np.zeros(len(texts), dtype=np.int32)
+            z, language, long = np.zeros(len(texts)), np.zeros(len(texts), dtype=np.int32), np.zeros(len(texts), dtype=np.int32)
             for a, b in sliced(texts):
                 *part, language[a:b] = word_ids(texts[a:b])
                 z[a:b] = shared.value.logits(*part)
-            columns = [pa.array(language), pa.array(z.round(3)), *[batch.column(k) for k in (1, 2, 3)]]
+                long[a:b] = word_counts(part[0], part[2]) > SAMPLE_WORDS
+            used = np.where(long == 1, 0, batch.column(2).to_numpy())
+            columns = [pa.array(language), pa.array(z.round(3)), batch.column(1), pa.array(long), pa.array(used)]
             yield pa.RecordBatch.from_arrays(columns, names=["language", "z", "toxic", "long", "used"])
 
     found = in_batches(rows).mapInArrow(logits, "language int, z double, toxic int, long int, used int")
@@ -333,7 +339,7 @@ def fit_from(docs: DataFrame, labels: DataFrame) -> ConvModel | None:
     chosen = (
         known.filter("toxic = 1").orderBy(*order).limit(SAMPLE_TOXIC).unionByName(known.filter("toxic <> 1").orderBy(*order).limit(SAMPLE_CLEAN))
     )
-    texts = docs.select("doc_id", "text").join(chosen, "doc_id").filter(F.size(F.split(F.coalesce("text", F.lit("")), " ")) <= SAMPLE_WORDS)
+    texts = docs.select("doc_id", "text").join(chosen, "doc_id")
 
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -343,9 +349,10 @@ def fit_from(docs: DataFrame, labels: DataFrame) -> ConvModel | None:
                 offsets = pa.array(np.append(starts, len(by_word)).astype(np.int32))
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(rows)) for rows in (by_word, by_start)]
                 part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays(
+                rows = pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(language.astype(np.int32)), *lists], names=["doc_id", "toxic", "language", "by_word", "by_start"]
                 )
+                yield rows.filter(pa.array(word_counts(by_word, starts) <= SAMPLE_WORDS))
 
     types = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, toxic int, language int, by_word array<int>, by_start array<int>"
     # to the driver: at most SAMPLE_TOXIC + SAMPLE_CLEAN rows of two integers a word
