@@ -103,3 +103,9 @@ def test_a_long_passage_is_no_variable_field(spark):
     assert brute(list(enumerate(texts))) == {0: texts[0], 1: "", 2: texts[2], 3: texts[3]}
     found = {r.doc_id: r.text for r in ld.drop_recurring(docs_frame(spark, texts)).collect()}
     assert found == {0: texts[0], 1: "", 2: texts[2], 3: texts[3]}
+
+
+def test_lines_are_cut_once(spark):
+    lost = ld.recurring_lines(docs_frame(spark, TEXTS))
+    assert "MapInArrow" not in lost._jdf.queryExecution().toString()
+    assert {r.doc_id: len(r.lines) for r in lost.collect()} == {1: 1, 3: 1, 6: 1}

@@ -7,8 +7,8 @@ template leaves one field open, so a line never loses more than ``OPEN_WORDS`` w
 differ in variables and in one field so meet in a template, without comparing lines in a leaf with one another.
 A template recurs if ``LEAST_DOCS`` documents have it, that of a line of fewer than ``LEAST_LINE`` words if ``SHORT_DOCS`` have it. The document of least id keeps its line; the others lose theirs.
 
-Templates are counted with partial aggregation and the lines of recurring ones are found by a join that can split hot
-templates, so no task gathers a leaf or a template.
+Lines are cut into templates once and the rows stored. Templates are counted with partial aggregation and the lines of recurring
+ones are found by a join that can split hot templates, so no task gathers a leaf or a template.
 
 Defined cases: null and empty texts have no lines to lose; lines without a word are never dropped;
 repeats within one document stay; rows of one id count as one document, as do all rows without an id; blank lines
@@ -109,7 +109,7 @@ def template_rows(docs: DataFrame) -> DataFrame:
 
 def recurring_lines(docs: DataFrame) -> DataFrame:
     """doc_id, lines: the exact templates of the lines that a document loses."""
-    every = template_rows(docs)
+    every = materialize(template_rows(docs), "templates")  # read three times
     rows = every.filter("NOT short")
     # different ids at least 2 <=> least and greatest differ; more are counted on (template, id)
     if LEAST_DOCS == 2:
