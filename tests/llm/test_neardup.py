@@ -166,3 +166,34 @@ def test_blocks_compare_whole_buckets(spark, monkeypatch):
         texts += [" ".join(base), " ".join(edited(rng, base, int(0.2 * len(base))))]
     found = classes_of(spark, docs_frame(spark, texts))
     assert found == {k: k - k % 2 for k in range(len(texts))}
+
+
+def test_parities_of_links(spark):
+    rng = np.random.default_rng(11)
+    for n in (1, 5, 40, 900, 3000):
+        a = rng.integers(0, max(2, n // 2), n).astype(np.uint64)
+        b = a.copy()
+        for _ in range(n // 5):
+            turn, at = rng.random(), rng.integers(len(b))
+            b = np.delete(b, at) if turn < 0.3 else np.insert(b, at, 2**31) if turn < 0.6 else np.append(np.delete(b, at), np.uint64(2**32 - 1 - at))
+        longer, apart = max(len(a), len(b)), abs(len(a) - len(b))
+        bits = [np.unpackbits(np.frombuffer(neardup.parity(x), np.uint8)) for x in (a, b)]
+        assert len(bits[0]) == neardup.PARITY and (bits[0] != bits[1]).sum() <= 2 * neardup.edit_distance_within(a, b, longer) - apart
+
+
+@pytest.mark.parametrize("nearest", [False, True])
+def test_alike_but_no_links_make_no_pairs(spark, nearest):
+    """30 texts that share three quarters of their words, and a link among them."""
+    common = [f"common{i}" for i in range(240)]
+    words = [[w for p in range(80) for w in (*common[3 * p : 3 * p + 3], f"own{i}x{p}")] for i in range(30)]
+    words.append([*words[7][:-20], *[f"other{p}" for p in range(20)]])
+    texts = [" ".join(w) for w in words]
+    docs = docs_frame(spark, texts)
+    hashed = neardup._words_of(neardup._texts(docs).select("node", "text"))
+    nodes = neardup.sketch_documents(docs).join(hashed.select("node", "parity"), "node").persist()
+    held = nodes.selectExpr("1L AS bucket", "node", "node AS root")
+    found = {frozenset((r.a, r.b)) for r in neardup.block_pairs(held, nodes, neardup.SIMILARITY, nearest).collect()}
+    ids = {r.doc_id: r.node for r in nodes.collect()}
+    assert found == {frozenset((ids[7], ids[30]))}
+    rows = neardup.duplicate_classes(docs).collect()
+    assert {r.doc_id: r.class_id for r in rows} == {i: i for i in range(30)} | {30: 7}

@@ -10,7 +10,7 @@
    needs no further comparison; a first round over the buckets of ``FIRST`` sketches joins most copies for the rounds over all buckets.
    A bucket of at most ``SMALL`` members compares the rest of its members across classes. A larger one goes on
    without its centre; after ``STARS`` rounds its members are compared across classes too, in blocks: two texts are a
-   candidate unless their lengths or the agreement of their signatures rule out a link. ``NEAREST`` rounds compare every
+   candidate unless their lengths, the agreement of their signatures or their parities rule out a link. ``NEAREST`` rounds compare every
    member with its likeliest candidate of a block only; the last one compares all candidates that are not of one class by then,
    each in one of the buckets they share. No bucket is cut off or split.
 4. A candidate is a link if banded alignment of the words finds an edit similarity of ``SIMILARITY`` or more:
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tideframe.llm.batches import in_batches
 from tideframe.llm.tokens import each_text, mix, windows
-from tideframe.session import materialize
+from tideframe.session import discard, materialize
 
 SKETCHES, SIMILARITY, SMALL, STARS = 48, 0.8, 12, 3
 #: Sketches of the first round, rounds of likeliest candidates.
@@ -44,6 +44,8 @@ FIRST, NEAREST = 6, 2
 TIERS = ((16, 1, 3), (64, 2, 2), (None, 3, 2))
 #: Bytes of a signature (a minimum over the numbered words each), members of a block.
 SIGNS, BLOCK = 64, 500
+#: Bits of a parity; a power of two.
+PARITY = 4096
 _RNG = np.random.default_rng(3)
 _MASKS = _RNG.integers(0, 2**63, SKETCHES, dtype=np.uint64)
 _FACTORS = _RNG.integers(0, 2**63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -111,6 +113,12 @@ def signature(words: np.ndarray) -> bytes:
     return (mix(out) & np.uint64(255)).astype(np.uint8).tobytes()
 
 
+def parity(words: np.ndarray) -> bytes:
+    """Whether the numbered words of each hash value are odd in number: texts that differ in n of them differ in n bits at most."""
+    at = mix(number_occurrences(words)) & np.uint64(PARITY - 1)
+    return np.packbits((np.bincount(at.astype(np.int64), minlength=PARITY) & 1).astype(np.uint8)).tobytes()
+
+
 def least_signs(similarity: float) -> int:
     """Equal signature bytes of a link, but for five deviations: of links, similarity / (2 - similarity) of the words agree."""
     share = max(0.0, similarity / (2 - similarity))
@@ -211,18 +219,19 @@ def sketch_documents(docs: DataFrame, similarity: float = SIMILARITY) -> DataFra
 
 
 def _words_of(texts: DataFrame) -> DataFrame:
-    """node, words (32 bits of each word's hash)."""
+    """node, words (32 bits of each word's hash), their parity."""
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 500):
                 part = batch.slice(a, 500)
-                found = [(h >> np.uint64(32)).astype(np.uint32).view(np.int32) for _, h in each_text(part.column(1).to_pylist())]
+                found = [(h >> np.uint64(32)).astype(np.uint32) for _, h in each_text(part.column(1).to_pylist())]
+                parities = pa.array([parity(h.astype(np.uint64)) for h in found], pa.binary())
                 offsets = np.append(0, np.cumsum([len(s) for s in found])).astype(np.int32)
-                values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
-                yield pa.RecordBatch.from_arrays([part.column(0), values], names=["node", "words"])
+                values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found).view(np.int32)))
+                yield pa.RecordBatch.from_arrays([part.column(0), values, parities], names=["node", "words", "parity"])
 
-    return in_batches(texts.select("node", "text")).mapInArrow(words, "node binary, words array<int>")
+    return in_batches(texts.select("node", "text")).mapInArrow(words, "node binary, words array<int>, parity binary")
 
 
 def _list_item(column: pa.ListArray, i: int) -> np.ndarray:
@@ -245,20 +254,21 @@ def verify(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
 
 
 def block_pairs(held: DataFrame, nodes: DataFrame, similarity: float, nearest: bool = False) -> DataFrame:
-    """Pairs (a, b) of members of a bucket in different classes that length and signature do not rule out.
+    """Pairs (a, b) of members of a bucket in different classes that length, signature and parity do not rule out.
 
-    ``held``: bucket, node, root. Members meet in blocks, so a pair of blocks is a row of a join and not a pair of texts.
+    ``held``: bucket, node, root; ``nodes``: node, n_words, signs, parity. A link has words apart for its edits only, two each at most, so
+    parities with more bits apart are none. Members meet in blocks, so a pair of blocks is a row of a join and not a pair of texts.
     Lengths are cut into classes; a link is within a class or between neighbouring ones. All such pairs, each from the least
     bucket that holds both; or with ``nearest`` for every member of a pair of blocks the one with most equal signature bytes.
     """
     width = -float(np.log(similarity)) if 0 < similarity < 1 else None
     size = (F.floor(F.log(F.greatest(F.col("n_words"), F.lit(1))) / F.lit(width)) if width else F.lit(0)).cast("int").alias("size")
-    shared = held.groupBy("node", "root").agg(F.collect_list("bucket").alias("buckets")).join(nodes.select("node", "n_words", "signs"), "node")
-    rows = shared.select(F.explode("buckets").alias("bucket"), "node", "root", "n_words", "signs", "buckets", size)
+    shared = held.groupBy("node", "root").agg(F.collect_list("bucket").alias("buckets")).join(nodes.select("node", "n_words", "signs", "parity"), "node")
+    rows = shared.select(F.explode("buckets").alias("bucket"), "node", "root", "n_words", "signs", "buckets", "parity", size)
     rows = materialize(rows, "unsettled")
     counts = rows.groupBy("bucket", "size").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("n_blocks"))
     dealt = rows.join(counts, ["bucket", "size"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")))
-    member = F.struct("node", "root", "n_words", "signs", "buckets")
+    member = F.struct("node", "root", "n_words", "signs", "buckets", "parity")
     blocks = materialize(dealt.groupBy("bucket", "size", "block").agg(F.collect_list(member).alias("members")), "blocks")
     left = blocks.select("bucket", F.col("size").alias("size_a"), F.col("block").alias("block_a"), F.col("members").alias("left"))
     right = blocks.select("bucket", F.col("size").alias("size_b"), F.col("block").alias("block_b"), F.col("members").alias("right"))
@@ -271,8 +281,9 @@ def block_pairs(held: DataFrame, nodes: DataFrame, similarity: float, nearest: b
             for i in range(batch.num_rows):
                 one, other = (batch.column(c)[i].values for c in (0, 1))
                 bucket = batch.column(2)[i].as_py()
-                (na, ra, la, sa, ba), (nb, rb, lb, sb, bb) = ([part.field(f) for f in range(5)] for part in (one, other))
+                (na, ra, la, sa, ba, pa_), (nb, rb, lb, sb, bb, pb) = ([part.field(f) for f in range(6)] for part in (one, other))
                 signs_a, signs_b = (np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(-1, SIGNS) for x in (sa, sb))
+                bits_a, bits_b = (np.frombuffer(b"".join(x.to_pylist()), np.uint64).reshape(-1, PARITY // 64) for x in (pa_, pb))
                 roots, numbers = {}, []
                 for x in (ra, rb):
                     numbers.append(np.array([roots.setdefault(r, len(roots)) for r in x.to_pylist()]))
@@ -288,10 +299,14 @@ def block_pairs(held: DataFrame, nodes: DataFrame, similarity: float, nearest: b
                     fits = (numbers[1] != numbers[0][k]) & (apart <= (1 - similarity) * longer + 1e-9)
                     at = np.flatnonzero(fits)
                     agree = (signs_b[at] == signs_a[k]).sum(axis=1)
+                    at, agree = at[agree >= enough], agree[agree >= enough]
+                    edits = ((1 - similarity) * longer[at] + 1e-9).astype(np.int64)
+                    close = np.bitwise_count(bits_b[at] ^ bits_a[k]).sum(axis=1, dtype=np.int64) <= 2 * edits - apart[at]
+                    at, agree = at[close], agree[close]
                     if nearest:
-                        at = at[[int(agree.argmax())]] if len(at) and agree.max() >= enough else at[:0]
+                        at = at[[int(agree.argmax())]] if len(at) else at
                     else:
-                        at = [j for j in at[agree >= enough] if min(buckets_a[k] & buckets_b[j]) == bucket]
+                        at = [j for j in at if min(buckets_a[k] & buckets_b[j]) == bucket]
                     pairs += [sorted((names_a[k], names_b[j])) for j in at]
                 if one.equals(other):  # a block with itself meets every pair twice
                     pairs = sorted(set(map(tuple, pairs)))
@@ -299,7 +314,9 @@ def block_pairs(held: DataFrame, nodes: DataFrame, similarity: float, nearest: b
                     columns = [pa.array([p[c] for p in pairs[at : at + 10_000]], pa.binary()) for c in (0, 1)]
                     yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
-    return in_batches(met).mapInArrow(compare, "a binary, b binary")
+    pairs = materialize(in_batches(met).mapInArrow(compare, "a binary, b binary"), "pairs")
+    discard(rows, blocks)
+    return pairs
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -342,6 +359,8 @@ def text_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataF
     once = [F.first(c).alias(c) for c in ("sketches", "n_words", "signs")]
     nodes = sketched.groupBy("node").agg(F.min("doc_id").alias("doc_id"), *once)
     nodes = materialize(nodes, "nodes")
+    rows = materialize(sketched.select("doc_id", "node"), "rows")
+    discard(sketched)
     placed = nodes.select("node", F.posexplode("sketches").alias("turn", "bucket")).withColumn("early", F.expr(f"turn % {SKETCHES} < {FIRST}")).drop("turn")
     filled = placed.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n")).filter("low <> high")
     members = materialize(placed.join(filled.select("bucket", "n"), "bucket"), "members")
@@ -353,7 +372,7 @@ def text_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataF
     texts = texts.join(wanted, (F.col("node") == F.col("n")) & F.col("id").eqNullSafe(F.col("doc_id")))
     words = materialize(_words_of(texts.select("node", "text")), "words")
 
-    labels = None
+    labels = marks = None
     settled = False
     for step in range(STARS + NEAREST + 2):  # the first sketches, stars, likeliest candidates, all candidates
         stars, last = step <= STARS, step == STARS + NEAREST + 1
@@ -377,7 +396,10 @@ def text_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataF
         if stars:
             pairs = held.filter("root <> centre_root").select(F.col("centre").alias("a"), F.col("node").alias("b"))
         else:
-            pairs = block_pairs(held, nodes, similarity, nearest=not last)
+            if marks is None:  # later rounds hold some of these nodes
+                marked = held.select("node").distinct().join(nodes.select("node", "n_words", "signs"), "node")
+                marks = materialize(marked.join(words.select("node", "parity").dropDuplicates(["node"]), "node"), "marks")
+            pairs = block_pairs(held, marks, similarity, nearest=not last)
         if 1 < step <= STARS:
             little = held.filter(few)
             pairs = pairs.unionByName(
@@ -392,7 +414,7 @@ def text_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataF
         labels = merged(labels, found)
         if stars and step > 0:  # what goes on: larger buckets without their centre
             members = held.filter(~few & (F.col("node") != F.col("centre"))).select("bucket", "node", "early", "met")
-    return sketched.select("doc_id", "node"), labels
+    return rows, labels
 
 
 def duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
