@@ -197,3 +197,65 @@ def test_alike_but_no_links_make_no_pairs(spark, nearest):
     assert found == {frozenset((ids[7], ids[30]))}
     rows = neardup.duplicate_classes(docs).collect()
     assert {r.doc_id: r.class_id for r in rows} == {i: i for i in range(30)} | {30: 7}
+
+
+@pytest.mark.parametrize("many", [0, 12])
+def test_distance_of_many_edits(monkeypatch, many):
+    monkeypatch.setattr(neardup, "MANY_EDITS", many)
+    rng = np.random.default_rng(12)
+    for n in (20, 70, 200):
+        for share in (0.1, 0.3, 0.6):
+            a = rng.integers(0, 3 * n, n)
+            b = np.delete(np.where(rng.random(n) < share, rng.integers(0, 3 * n, n), a), rng.integers(0, n, rng.integers(0, n // 8)))
+            true = distance(a, b)
+            for limit in (9, n // 5, n // 2, n):
+                assert neardup.edit_distance_within(a, b, limit) == min(true, limit + 1)
+
+
+def crowd(spark, size=60):
+    """Texts of one original, all candidates of each other and few of them links, in three buckets."""
+    rng = np.random.default_rng(13)
+    base = [f"c{i % 90}" for i in range(200)]
+    texts = []
+    for _ in range(size):
+        order = base.copy()
+        for _ in range(28):
+            i, j = rng.integers(0, len(base), 2)
+            order[i], order[j] = order[j], order[i]
+        texts.append(order)
+    docs = docs_frame(spark, [" ".join(t) for t in texts])
+    hashed = neardup._words_of(neardup._texts(docs).select("node", "text"))
+    nodes = neardup.sketch_documents(docs).join(hashed.select("node", "parity"), "node").persist()
+    return nodes.selectExpr("explode(array(1L, 2L, 3L)) AS bucket", "node", "node AS root"), nodes
+
+
+@pytest.mark.parametrize("block", [500, 20])
+def test_candidates_meet_once_and_crowds_are_told(spark, monkeypatch, block):
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    held, nodes = crowd(spark)
+    rows = neardup.block_pairs(held, nodes, neardup.SIMILARITY, nearest=True).collect()
+    assert len(rows) == 60 * 59 // 2 and not any(r.crowded for r in rows)  # all in one round, each from one bucket
+    monkeypatch.setattr(neardup, "CROWD", 2)
+    held, nodes = crowd(spark)
+    rows = neardup.block_pairs(held, nodes, neardup.SIMILARITY, nearest=True).collect()
+    assert all(r.crowded for r in rows) and len({(r.a, r.b) for r in rows}) < 60 * 59 // 2
+    assert len(neardup.block_pairs(held, nodes, neardup.SIMILARITY).collect()) == 60 * 59 // 2
+
+
+@pytest.mark.parametrize("few", [0, 20_000])
+def test_contraction_of_few_and_of_many_links(spark, monkeypatch, few):
+    monkeypatch.setattr(neardup, "FEW_LINKS", few)
+    rng = np.random.default_rng(14)
+    names = [bytes([k // 256, k % 256]) for k in range(300)]
+    roots, links = dict(zip(names, names, strict=True)), []
+    for a, b in rng.integers(0, 300, (180, 2)):
+        links.append((names[a], names[b]))
+        low, high = sorted((roots[names[a]], roots[names[b]]))
+        roots = {k: low if r == high else r for k, r in roots.items()}
+    linked = {x for a, b in links if a != b for x in (a, b)}
+    half = len(links) // 2
+    labels = None
+    for some in (links[:half], links[half:], links[:1]):
+        labels = neardup.merged(labels, spark.createDataFrame(some, "a binary, b binary"))
+    rows = labels.collect()
+    assert len(rows) == len(linked) and {bytes(r.node): bytes(r.root) for r in rows} == {k: roots[k] for k in linked}

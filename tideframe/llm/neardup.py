@@ -9,10 +9,10 @@
    most buckets with others. Verified links join classes, which are contracted after every round, and whatever is then of one class
    needs no further comparison; a first round over the buckets of ``FIRST`` sketches joins most copies for the rounds over all buckets.
    A bucket of at most ``SMALL`` members compares the rest of its members across classes. A larger one goes on
-   without its centre; after ``STARS`` rounds its members are compared across classes too, in blocks: two texts are a
-   candidate unless their lengths, the agreement of their signatures or their parities rule out a link. ``NEAREST`` rounds compare every
-   member with its likeliest candidate of a block only; the last one compares all candidates that are not of one class by then,
-   each in one of the buckets they share. No bucket is cut off or split.
+   without its centre; after ``STARS`` rounds, or fewer if they settle little, its members are compared across classes too, in blocks: two
+   texts are a candidate unless their lengths, the agreement of their signatures or their parities rule out a link. All candidates that are
+   not of one class are compared, each in one of the buckets they share. Only where two blocks have more than ``CROWD`` for each member,
+   ``NEAREST`` rounds come before that, which compare every member with its likeliest one. No bucket is cut off or split.
 4. A candidate is a link if banded alignment of the words finds an edit similarity of ``SIMILARITY`` or more:
    1 - distance / longer length. The alignment keeps diagonals within the distance allowed only.
 
@@ -38,14 +38,18 @@ from tideframe.llm.tokens import each_text, mix, windows
 from tideframe.session import discard, materialize
 
 SKETCHES, SIMILARITY, SMALL, STARS = 48, 0.8, 12, 3
-#: Sketches of the first round, rounds of likeliest candidates.
-FIRST, NEAREST = 6, 2
+#: Sketches of the first round, rounds of likeliest candidates at most, candidates for each member of two blocks that are compared at once.
+FIRST, NEAREST, CROWD = 6, 2, 20
+#: Links that one task contracts by itself; a star round whose links are a smaller share of the rows in open buckets is the last.
+FEW_LINKS, SETTLING = 20_000, 0.01
 #: Most words of a text, words of a k-mer and minima of a sketch, from short texts to long ones.
 TIERS = ((16, 1, 3), (64, 2, 2), (None, 3, 2))
 #: Bytes of a signature (a minimum over the numbered words each), members of a block.
 SIGNS, BLOCK = 64, 500
 #: Bits of a parity; a power of two.
 PARITY = 4096
+#: Edits from which bits of whole columns are quicker than the places reached on diagonals.
+MANY_EDITS = 12
 _RNG = np.random.default_rng(3)
 _MASKS = _RNG.integers(0, 2**63, SKETCHES, dtype=np.uint64)
 _FACTORS = _RNG.integers(0, 2**63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -125,10 +129,31 @@ def least_signs(similarity: float) -> int:
     return int(SIGNS * share - 5 * (SIGNS * share * (1 - share)) ** 0.5)
 
 
+def _bit_distance(a: list[int], b: list[int], limit: int) -> int:
+    """Edit distance of two sequences, or ``limit + 1`` if it is larger, from the rises and falls along the rows of a column, a bit each (Myers)."""
+    places: dict[int, int] = {}
+    for i, x in enumerate(a):
+        places[x] = places.get(x, 0) | 1 << i
+    whole, last, distance = (1 << len(a)) - 1, 1 << len(a) - 1, len(a)
+    up, down, left = whole, 0, len(b)
+    for y in b:
+        equal = places.get(y, 0)
+        across = (((equal & up) + up) ^ up) | equal
+        rise, fall = down | (whole & ~(across | up)), up & across
+        distance += 1 if rise & last else -1 if fall & last else 0
+        left -= 1
+        if distance - left > limit:
+            return limit + 1
+        rise, fall, equal = rise << 1 | 1, fall << 1, equal | down
+        up, down = (fall | ~(equal | rise)) & whole, rise & equal & whole
+    return min(distance, limit + 1)
+
+
 def edit_distance_within(a: np.ndarray, b: np.ndarray, limit: int) -> int:
     """Edit distance of two word sequences, or ``limit + 1`` if it is larger.
 
-    For every number of edits, the furthest place reached on each diagonal of the band is kept.
+    For every number of edits, the furthest place reached on each diagonal of the band is kept. Texts whose words alone tell of
+    more than ``MANY_EDITS`` are compared column by column.
     """
     shared = min(len(a), len(b))
     other = np.flatnonzero(a[:shared] != b[:shared])
@@ -146,8 +171,11 @@ def edit_distance_within(a: np.ndarray, b: np.ndarray, limit: int) -> int:
     if limit > 8:
         values, which = np.unique(np.concatenate([a, b]), return_inverse=True)
         surplus = np.bincount(which[:n], minlength=len(values)) - np.bincount(which[n:], minlength=len(values))
-        if max(surplus[surplus > 0].sum(), -surplus[surplus < 0].sum()) > limit:
+        least = max(surplus[surplus > 0].sum(), -surplus[surplus < 0].sum())
+        if least > limit:
             return limit + 1
+        if least > MANY_EDITS:
+            return _bit_distance(a.tolist(), b.tolist(), limit)
     a, b = np.append(a, -1), np.append(b, -2)  # borders that never match
     goal, nowhere = m - n, -(1 << 40)
     reach = np.full(2 * limit + 5, nowhere)
@@ -253,74 +281,117 @@ def verify(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
     return in_batches(joined).mapInArrow(check, "a binary, b binary")
 
 
+def _alike(one: pa.StructArray, other: pa.StructArray, same: bool, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Members of two blocks (places in one and in the other, equal signature bytes) that length, signature and parity let be links."""
+    roots, numbers = {}, []
+    for x in (one, other):
+        numbers.append(np.array([roots.setdefault(r, len(roots)) for r in x.field(1).to_pylist()]))
+    found = [(np.empty(0, np.int64),) * 3]
+    if len(roots) == 1:
+        return found[0]
+    sizes_a, sizes_b = (x.field(2).to_numpy(zero_copy_only=False) for x in (one, other))
+    signs_a, signs_b = (np.frombuffer(b"".join(x.field(3).to_pylist()), np.uint8).reshape(-1, SIGNS) for x in (one, other))
+    bits_a, bits_b = (np.frombuffer(b"".join(x.field(5).to_pylist()), np.uint64).reshape(-1, PARITY // 64) for x in (one, other))
+    enough, step = least_signs(similarity), max(1, 50_000 // len(other))
+    for start in range(0, len(one), step):
+        some = slice(start, start + step)
+        longer = np.maximum(sizes_a[some, None], sizes_b[None, :])
+        apart = np.abs(sizes_a[some, None] - sizes_b[None, :])
+        fits = (numbers[0][some, None] != numbers[1][None, :]) & (apart <= (1 - similarity) * longer + 1e-9)
+        if same:  # a block with itself: every pair once
+            fits &= np.arange(len(one))[some, None] < np.arange(len(other))[None, :]
+        i, j = np.nonzero(fits)
+        agree = np.count_nonzero(signs_a[some][i] == signs_b[j], axis=1)
+        i, j, agree = (x[agree >= enough] for x in (i, j, agree))
+        edits = ((1 - similarity) * longer[i, j] + 1e-9).astype(np.int64)
+        close = np.bitwise_count(bits_a[some][i] ^ bits_b[j]).sum(axis=1, dtype=np.int64) <= 2 * edits - apart[i, j]
+        found.append((i[close] + start, j[close], agree[close]))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _likeliest(at: np.ndarray, agree: np.ndarray) -> np.ndarray:
+    """Of every member ``at`` the candidate with most equal signature bytes."""
+    order = np.lexsort((-agree, at))
+    return order[np.unique(at[order], return_index=True)[1]]
+
+
 def block_pairs(held: DataFrame, nodes: DataFrame, similarity: float, nearest: bool = False) -> DataFrame:
     """Pairs (a, b) of members of a bucket in different classes that length, signature and parity do not rule out.
 
     ``held``: bucket, node, root; ``nodes``: node, n_words, signs, parity. A link has words apart for its edits only, two each at most, so
     parities with more bits apart are none. Members meet in blocks, so a pair of blocks is a row of a join and not a pair of texts.
     Lengths are cut into classes; a link is within a class or between neighbouring ones. All such pairs, each from the least
-    bucket that holds both; or with ``nearest`` for every member of a pair of blocks the one with most equal signature bytes.
+    bucket that holds both; but with ``nearest``, where two blocks have more than ``CROWD`` for each member, for every member the one with
+    most equal signature bytes. ``crowded`` tells the latter pairs.
     """
     width = -float(np.log(similarity)) if 0 < similarity < 1 else None
     size = (F.floor(F.log(F.greatest(F.col("n_words"), F.lit(1))) / F.lit(width)) if width else F.lit(0)).cast("int").alias("size")
-    shared = held.groupBy("node", "root").agg(F.collect_list("bucket").alias("buckets")).join(nodes.select("node", "n_words", "signs", "parity"), "node")
-    rows = shared.select(F.explode("buckets").alias("bucket"), "node", "root", "n_words", "signs", "buckets", "parity", size)
-    rows = materialize(rows, "unsettled")
-    counts = rows.groupBy("bucket", "size").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("n_blocks"))
-    dealt = rows.join(counts, ["bucket", "size"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")))
+    # marks travel once with each node until its blocks are known
+    placed = held.select("bucket", "node", "root").join(nodes.select("node", size), "node")
+    counts = placed.groupBy("bucket", "size").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("n_blocks"))
+    dealt = placed.join(counts, ["bucket", "size"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")))
+    shared = dealt.groupBy("node", "root", "size").agg(F.collect_list(F.struct("bucket", "block")).alias("places"))
+    shared = shared.join(nodes.select("node", "n_words", "signs", "parity"), "node").withColumn("buckets", F.col("places.bucket"))
     member = F.struct("node", "root", "n_words", "signs", "buckets", "parity")
-    blocks = materialize(dealt.groupBy("bucket", "size", "block").agg(F.collect_list(member).alias("members")), "blocks")
-    left = blocks.select("bucket", F.col("size").alias("size_a"), F.col("block").alias("block_a"), F.col("members").alias("left"))
-    right = blocks.select("bucket", F.col("size").alias("size_b"), F.col("block").alias("block_b"), F.col("members").alias("right"))
-    near = "size_b = size_a + 1 OR (size_b = size_a AND block_b >= block_a)"
-    met = left.join(right, "bucket").filter(near).select("left", "right", "bucket")
-    enough = least_signs(similarity)
+    rows = shared.select(F.explode("places").alias("place"), "size", member.alias("member")).select("place.bucket", "size", "place.block", "member")
+    blocks = materialize(rows.groupBy("bucket", "size", "block").agg(F.collect_list("member").alias("members")), "blocks")
+    # a block meets those of its own length class and the next one
+    reached = F.explode(F.array(F.col("size"), F.col("size") + 1)).alias("size")
+    left = blocks.select("bucket", reached, F.col("size").alias("size_a"), F.col("block").alias("block_a"), F.col("members").alias("left"))
+    right = blocks.select("bucket", "size", F.col("block").alias("block_b"), F.col("members").alias("right"))
+    # dealt by key: split further for their bytes, each part of a bucket would read all it meets again
+    met = left.repartition("bucket", "size").join(right.repartition("bucket", "size"), ["bucket", "size"]).filter("size > size_a OR block_b >= block_a")
+    met = met.selectExpr("left", "right", "bucket", "size = size_a AND block_a = block_b AS same")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                one, other = (batch.column(c)[i].values for c in (0, 1))
-                bucket = batch.column(2)[i].as_py()
-                (na, ra, la, sa, ba, pa_), (nb, rb, lb, sb, bb, pb) = ([part.field(f) for f in range(6)] for part in (one, other))
-                signs_a, signs_b = (np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(-1, SIGNS) for x in (sa, sb))
-                bits_a, bits_b = (np.frombuffer(b"".join(x.to_pylist()), np.uint64).reshape(-1, PARITY // 64) for x in (pa_, pb))
-                roots, numbers = {}, []
-                for x in (ra, rb):
-                    numbers.append(np.array([roots.setdefault(r, len(roots)) for r in x.to_pylist()]))
-                if len(roots) == 1:
+            for row in range(batch.num_rows):
+                one, other = (batch.column(c)[row].values for c in (0, 1))
+                bucket, same = batch.column(2)[row].as_py(), batch.column(3)[row].as_py()
+                i, j, agree = _alike(one, other, same, similarity)
+                if not len(i):
                     continue
-                names_a, names_b = np.array(na.to_pylist(), dtype=object), np.array(nb.to_pylist(), dtype=object)
-                sizes_a, sizes_b = (x.to_numpy(zero_copy_only=False) for x in (la, lb))
-                buckets_a, buckets_b = ([set(x) for x in y.to_pylist()] for y in (ba, bb))
-                pairs = []
-                for k in range(len(signs_a)):
-                    longer = np.maximum(sizes_a[k], sizes_b)
-                    apart = np.abs(sizes_a[k] - sizes_b)
-                    fits = (numbers[1] != numbers[0][k]) & (apart <= (1 - similarity) * longer + 1e-9)
-                    at = np.flatnonzero(fits)
-                    agree = (signs_b[at] == signs_a[k]).sum(axis=1)
-                    at, agree = at[agree >= enough], agree[agree >= enough]
-                    edits = ((1 - similarity) * longer[at] + 1e-9).astype(np.int64)
-                    close = np.bitwise_count(bits_b[at] ^ bits_a[k]).sum(axis=1, dtype=np.int64) <= 2 * edits - apart[at]
-                    at, agree = at[close], agree[close]
-                    if nearest:
-                        at = at[[int(agree.argmax())]] if len(at) else at
-                    else:
-                        at = [j for j in at if min(buckets_a[k] & buckets_b[j]) == bucket]
-                    pairs += [sorted((names_a[k], names_b[j])) for j in at]
-                if one.equals(other):  # a block with itself meets every pair twice
-                    pairs = sorted(set(map(tuple, pairs)))
-                for at in range(0, len(pairs), 10_000):
-                    columns = [pa.array([p[c] for p in pairs[at : at + 10_000]], pa.binary()) for c in (0, 1)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
-
-    pairs = materialize(in_batches(met).mapInArrow(compare, "a binary, b binary"), "pairs")
-    discard(rows, blocks)
+                crowded = nearest and len(i) > CROWD * (len(one) + len(other))
+                if crowded:
+                    chosen = np.union1d(_likeliest(i, agree), _likeliest(j, agree))
+                else:
+                    held_a, held_b = ({k: set(x.field(4)[k].as_py()) for k in set(at.tolist())} for x, at in ((one, i), (other, j)))
+                    chosen = np.flatnonzero([min(held_a[k] & held_b[m]) == bucket for k, m in zip(i.tolist(), j.tolist(), strict=True)])
+                names = [x.field(0).take(pa.array(at[chosen])) for x, at in ((one, i), (other, j))]
+                for start in range(0, len(chosen), 10_000):
+                    some = [x.slice(start, 10_000) for x in names]
+                    yield pa.RecordBatch.from_arrays([*some, pa.repeat(pa.scalar(crowded), len(some[0]))], names=["a", "b", "crowded"])
+
+    found = in_batches(met).mapInArrow(compare, "a binary, b binary, crowded boolean")
+    ends = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    pairs = materialize(found.select(*ends, "crowded"), "pairs")
+    discard(blocks)
     return pairs
 
 
-def connected(links: DataFrame) -> DataFrame:
-    """(node, root) of every node in ``links`` (a, b): alternating star contraction until nothing changes."""
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, root) of every node in the links (a, b) of one task."""
+    above: dict[bytes, bytes] = {}
+
+    def top(node: bytes) -> bytes:
+        while (up := above.setdefault(node, node)) != node:
+            above[node] = above[up]
+            node = up
+        return node
+
+    for batch in batches:
+        for a, b in zip(*(batch.column(c).to_pylist() for c in (0, 1)), strict=True):
+            low, high = sorted((top(a), top(b)))
+            above[high] = low
+    names = list(above)
+    if names:
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array([top(n) for n in names], pa.binary())], names=["node", "root"])
+
+
+def connected(links: DataFrame, few: bool = False) -> DataFrame:
+    """(node, root) of every node in ``links`` (a, b): alternating star contraction until nothing changes; by one task if they are ``few``."""
+    if few:
+        return links.select("a", "b").filter("a <> b").repartition(1).mapInArrow(_contract, "node binary, root binary")
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
     seen = None
     while True:
@@ -342,12 +413,13 @@ def connected(links: DataFrame) -> DataFrame:
 
 def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     """(node, root) of all nodes in classes after the ``links`` (a, b) have joined the classes of ``labels``."""
+    few = links.count() <= FEW_LINKS
     if labels is None:
-        return materialize(connected(links), "labels")
+        return materialize(connected(links, few), "labels")
     by_end = [labels.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")) for end in ("a", "b")]
     ends = links.join(by_end[0], "a", "left").join(by_end[1], "b", "left")
     ends = ends.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")).filter("a <> b")
-    moved = materialize(connected(ends), "moved")
+    moved = materialize(connected(ends, few), "moved")
     further = moved.select(F.col("node").alias("root"), F.col("root").alias("new_root"))
     known = labels.join(further, "root", "left").select("node", F.coalesce("new_root", "root").alias("root"))
     return materialize(known.unionByName(moved.join(labels.select("node"), "node", "left_anti")), "labels")
@@ -373,11 +445,9 @@ def text_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataF
     words = materialize(_words_of(texts.select("node", "text")), "words")
 
     labels = marks = None
-    settled = False
-    for step in range(STARS + NEAREST + 2):  # the first sketches, stars, likeliest candidates, all candidates
-        stars, last = step <= STARS, step == STARS + NEAREST + 1
-        if settled and not last:
-            continue
+    step, end = 0, STARS + NEAREST + 1  # the first sketches, stars, candidates in blocks, all that are left
+    while step <= end:
+        stars = step <= STARS
         classed = members.filter("early") if step == 0 else members
         if labels is None:
             classed = classed.withColumn("root", F.col("node"))
@@ -399,7 +469,7 @@ def text_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataF
             if marks is None:  # later rounds hold some of these nodes
                 marked = held.select("node").distinct().join(nodes.select("node", "n_words", "signs"), "node")
                 marks = materialize(marked.join(words.select("node", "parity").dropDuplicates(["node"]), "node"), "marks")
-            pairs = block_pairs(held, marks, similarity, nearest=not last)
+            pairs = block_pairs(held, marks, similarity, nearest=step < end)
         if 1 < step <= STARS:
             little = held.filter(few)
             pairs = pairs.unionByName(
@@ -408,12 +478,19 @@ def text_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataF
                 .filter("(met_a > met_b OR (met_a = met_b AND a < b)) AND ra <> rb")  # the order in which members become centres
                 .select("a", "b")
             )
+        crowded = not stars and not pairs.filter("crowded").isEmpty()
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         found = materialize(verify(pairs, words, similarity), "links")
-        settled = not stars and found.isEmpty()  # a further round of likeliest candidates would compare the same ones
         labels = merged(labels, found)
+        if not stars and not crowded:  # all candidates are compared
+            break
         if stars and step > 0:  # what goes on: larger buckets without their centre
             members = held.filter(~few & (F.col("node") != F.col("centre"))).select("bucket", "node", "early", "met")
+        if 1 < step <= STARS and found.count() < SETTLING * held.count():
+            step = STARS
+        elif not stars and found.isEmpty():  # a further round of likeliest candidates would compare the same ones
+            step = end - 1
+        step += 1
     return rows, labels
 
 
