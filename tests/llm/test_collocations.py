@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import docs_frame
 from hypothesis import given, settings
@@ -101,3 +102,40 @@ def test_columns_and_empty_table(spark):
     docs = docs_frame(spark, ["a b a b a b"]).selectExpr("*", "1 AS words", "2 AS `my col`", "3 AS shard", "4 AS phrase")
     assert [r.phrase for r in collocations.collocations(docs, least=2).collect()] != []
     assert collocations.collocations(docs.limit(0), least=2).count() == 0
+
+
+def test_phrases_travel_packed(spark):
+    """A shard hands out one block per part, however many phrases it has; what comes back is what is frequent over all shards."""
+    rng = np.random.default_rng(3)
+    made, want = [], Counter()
+    for shard in (1, 2, -3):
+        pairs = np.unique(rng.integers(0, 90, (3000, 2)) * [1, 20_000_000], axis=0)
+        size, low = rng.integers(1, 5, len(pairs)), rng.integers(0, 1 << 31, len(pairs))
+        made.append(collocations._blocks(collocations._GRAMS, shard, 7, pairs[:, 0], pairs[:, 1], size, low))
+        for (first, last), n in zip(pairs.tolist(), size.tolist(), strict=True):
+            want[first, last] += n if shard > 0 else -n
+        held = collocations._all_columns(pa.scalar(made[-1]["block"].to_pylist(), pa.list_(pa.binary())), 3)
+        again = sorted(zip(*held.tolist(), strict=True))
+        assert again == [(f << 32 | t, n, x) for (f, t), n, x in zip(pairs.tolist(), size.tolist(), low.tolist(), strict=True)]
+        assert made[-1].num_rows == 7
+        assert made[-1].nbytes < 11 * len(pairs)  # three numbers of 8 bytes, one of them at random
+    blocks = spark.createDataFrame([tuple(r.values()) for b in made for r in b.to_pylist()], collocations._GRAMS)
+    found = collocations.frequent_blocks(blocks, 3, 7, 4).collect()
+    named = {(r["first"], r["last"]): r for r in found if r["block"] is None}
+    assert {p: r["a"] for p, r in named.items()} == {p: a for p, a in want.items() if a >= 4}
+    assert len({r["id"] for r in named.values()}) == len(named)
+    back = Counter()
+    for r in (r for r in found if r["block"] is not None):
+        for key, n, _, number in collocations._columns(pa.scalar(bytes(r["block"]), pa.binary()), 4).T.tolist():
+            assert named[key >> 32, key & 0xFFFFFFFF]["id"] == number
+            back[key >> 32, key & 0xFFFFFFFF] += n if r["shard"] > 0 else -n
+    assert back == {p: r["a"] for p, r in named.items()}
+
+
+def test_words_are_numbered_small(spark):
+    rows = [(s, "en" if w % 2 else "de", f"w{w}", w, 1 + w % 3) for s in (1, 2, 3, -4) for w in range(400)]
+    words = spark.createDataFrame(rows, "shard long, lang string, word string, place int, n long").repartition(9)
+    held = collocations.frequent_words(words, 2, 4).collect()
+    ids = {(r["lang"], r["word"]): r["id"] for r in held}
+    assert {r["word"]: r["a"] for r in held} == {f"w{w}": 2 * (1 + w % 3) for w in range(400) if w % 3}
+    assert len(held) == 4 * len(ids) and len(set(ids.values())) == len(ids) and max(ids.values()) < 16 * 2 * collocations.BUCKETS

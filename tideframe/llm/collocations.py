@@ -6,9 +6,10 @@
    index of what is left counts pairs of words. Pairs that are not frequent in the corpus become borders too, and the
    bidirectional index of what is left then, two transforms of a fraction of the words, is stored.
 3. Depth by depth, every shard extends the intervals of its frequent phrases by one word on both sides at once and hands out the
-   counts of phrases whose first and last part are both frequent. Counts meet once under their phrase, with at most one row of each
-   shard, and are summed; the rows of phrases that reach ``least`` get its number and go back to their shards. A phrase
-   is named by the numbers of its first part and its last part, so its key is two numbers at every depth.
+   counts of phrases whose first and last part are both frequent. A phrase is named by the numbers of its first part and its last
+   part, so its key is two numbers at every depth, and a hash of the key deals phrases to parts of the corpus's phrases. A shard hands out
+   one packed block of sorted keys and counts for each part. The blocks of a part meet once and are summed; the phrases that reach
+   ``least`` get a number, and every shard gets back what its block holds of them.
 4. The table of frequent phrases holds the counts of all heads and tails, so cuts are scored row by row; a phrase within a longer one of the same
    count is within one that is one word longer, so two joins find the phrases to drop.
 
@@ -18,7 +19,7 @@ shard knows its own words and phrases only, and frequent words and phrases are t
 Defined cases: null texts count as empty and texts without a word add nothing; a null language is ``und``; repeated rows and rows without an id
 count each; texts longer than a shard are cut between words with an overlap of one word less than the longest phrase,
 whose counts are taken off again; ties in the score are broken by count, then by the bytes of the phrase; an empty table has no
-phrases; columns other than text and language are ignored.
+phrases; columns other than text and language are ignored. Numbers of phrases of one length stay below 2**31.
 """
 
 from __future__ import annotations
@@ -39,6 +40,10 @@ from tideframe.session import discard, materialize
 
 #: Characters of a shard. All texts a task waits with, of any language, are at most twice as many.
 SHARD_CHARS = 5_000_000
+#: Words of the corpus for each part of its phrases; a part has at most one phrase of each length for each of them.
+PART_WORDS = 4_000_000
+#: Buckets of words for each part; words are numbered within buckets.
+BUCKETS = 64
 MOST_WORDS, LEAST, TOP = 5, 100, 2000
 NO_LANGUAGE = "und"
 
@@ -50,17 +55,19 @@ _WORD = re.compile(r"[^ \t.,;:!?\n\x0b\x0c\r]+")
 
 #: Numbers of shards that hold overlaps, whose counts are taken off, are negative.
 #: One row per shard with its sequence and one per word of it; one with the numbers of its frequent words and the sequence of
-#: these and one per pair of words; one with its transforms and one per phrase.
+#: these and one per block of pairs; one with its transforms and one per block of phrases.
 _SHARDS = "shard bigint, lang string, sequence binary, word string, place int, n bigint"
-_PAIRS = "shard bigint, ids array<bigint>, sequence binary, first bigint, last bigint, size int"
-_INDEXES = "shard bigint, forward binary, reverse binary, first bigint, last bigint, low int, back int, size int"
-_GRAMS = "shard bigint, first bigint, last bigint, low int, back int, size int"
+_PAIRS = "shard bigint, ids array<bigint>, sequence binary, part bigint, block binary"
+_INDEXES = "shard bigint, forward binary, reverse binary, part bigint, block binary"
+_GRAMS = "shard bigint, part bigint, block binary"
+#: One row per block that goes back to its shard and one per frequent phrase.
+_FREQUENT = "shard bigint, block binary, first bigint, last bigint, a bigint, id bigint"
 #: Rows of a batch that a task hands out.
 ROWS = 50_000
 
 
 _ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64())}
-_TYPES = {schema: [(n, _ARROW[t]) for n, t in map(str.split, schema.split(", "))] for schema in (_SHARDS, _PAIRS, _INDEXES, _GRAMS)}
+_TYPES = {schema: [(n, _ARROW[t]) for n, t in map(str.split, schema.split(", "))] for schema in (_SHARDS, _PAIRS, _INDEXES, _GRAMS, _FREQUENT)}
 
 
 def _batch(schema: str, rows: int, *values) -> pa.RecordBatch:
@@ -84,6 +91,27 @@ def _unpacked(data: pa.Scalar) -> np.ndarray:
     return np.frombuffer(pa.decompress(stored.slice(8), int.from_bytes(stored.slice(0, 8).to_pybytes(), "little"), codec="zstd"), dtype="<i4")
 
 
+def _block(*columns: np.ndarray) -> bytes:
+    """Columns of numbers, the first of them rising: its steps and the others byte by byte, compressed."""
+    table = np.array(columns, dtype="<i8")
+    table[0, 1:] = np.diff(table[0])
+    data = table.view(np.uint8).reshape(len(columns), -1, 8).transpose(0, 2, 1).tobytes()
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _columns(block: pa.Scalar, columns: int) -> np.ndarray:
+    """The so many columns of a block."""
+    stored = block.as_buffer()
+    data = pa.decompress(stored.slice(8), int.from_bytes(stored.slice(0, 8).to_pybytes(), "little"), codec="zstd")
+    table = np.frombuffer(data, dtype=np.uint8).reshape(columns, 8, -1).transpose(0, 2, 1).copy().view("<i8")[:, :, 0]
+    table[0] = np.cumsum(table[0])
+    return table
+
+
+def _all_columns(blocks: pa.ListScalar, columns: int) -> np.ndarray:
+    return np.concatenate([_columns(b, columns) for b in blocks.values], axis=1)
+
+
 def _closed(sequence: np.ndarray) -> np.ndarray:
     """The sequence with one border where several follow one another, and one at the end of the circle."""
     return np.append(sequence[np.append(True, (sequence[1:] > 0) | (sequence[:-1] > 0))], np.int32(0)) if len(sequence) else np.zeros(1, np.int32)
@@ -169,23 +197,56 @@ def shard_documents(docs: DataFrame, text: str, lang: str, most: int) -> DataFra
     return in_batches(read.filter("text <> ''")).mapInArrow(shard, _SHARDS)
 
 
-def _rows(schema: str, shard: int, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows of a shard; columns that belong to its one other row are null."""
-    others = [None] * (len(_TYPES[schema]) - 1 - len(columns))
-    for at in range(0, len(columns[0]), ROWS):
-        some = [c[at : at + ROWS] for c in columns]
-        yield _batch(schema, len(some[0]), shard, *others, *some)
-
-
-def frequent_rows(rows: DataFrame, keys: list[str], count: str, least: int) -> DataFrame:
-    """The rows of keys with ``least`` occurrences over all shards, with these as ``a`` and a number of the key as ``id``."""
-    same = Window.partitionBy(*keys)
-    tagged = rows.withColumn("tag", F.monotonically_increasing_id())
-    summed = tagged.withColumns({"a": F.sum(F.col(count) * F.signum("shard").cast("int")).over(same), "id": F.min("tag").over(same)})
-    return materialize(summed.filter(F.col("a") >= least).drop("tag"), "frequent")
-
-
-def count_pairs(shards: DataFrame, held: DataFrame) -> DataFrame:
+def _blocks(schema: str, shard: int, parts: int, first: np.ndarray, last: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+    """Phrases of a shard, a block of keys and columns for each part; columns that belong to the shard's one other row are null."""
+    key = first << 32 | last
+    part = (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % parts
+    order = np.lexsort((key, part))
+    part, columns = part[order], [c[order] for c in (key, *columns)]
+    starts = np.flatnonzero(np.diff(part, prepend=-1))
+    blocks = [_block(*[c[at:end] for c in columns]) for at, end in zip(starts, np.append(starts, len(part))[1:], strict=True)]
+    others = [None] * (len(_TYPES[schema]) - 3)
+    return _batch(schema, len(starts), shard, *others, part[starts], pa.array(blocks, pa.binary()))
+
+
+def frequent_words(words: DataFrame, parts: int, least: int) -> DataFrame:
+    """The rows of words with ``least`` occurrences over all shards, with these as ``a`` and a small number of the word as ``id``."""
+    buckets = BUCKETS * parts
+    dealt = words.withColumn("bucket", F.pmod(F.xxhash64("lang", "word"), F.lit(buckets)).cast("int")).repartition("bucket")
+    occurrences = F.sum(F.col("n") * F.signum("shard").cast("int")).over(Window.partitionBy("bucket", "lang", "word"))
+    place = F.dense_rank().over(Window.partitionBy("bucket").orderBy("lang", "word"))
+    frequent = dealt.withColumn("a", occurrences).filter(F.col("a") >= least)
+    return materialize(frequent.withColumn("id", (place.cast("long") - 1) * buckets + F.col("bucket")).drop("bucket"), "frequent")
+
+
+def frequent_blocks(blocks: DataFrame, columns: int, parts: int, least: int) -> DataFrame:
+    """Of blocks (shard, part, block of so many columns: key, size, ...): the phrases with ``least`` occurrences over all shards and
+    their numbers, and for each block what it holds of them: key, size, ..., number."""
+
+    def meet(key: tuple[pa.Scalar], rows: pa.Table) -> pa.Table:
+        shards, part = rows["shard"].to_pylist(), key[0].as_py()
+        tables = [_columns(b, columns) for b in rows["block"]]
+        keys = np.concatenate([t[0] for t in tables])
+        order = np.argsort(keys, kind="stable")
+        new = np.append(True, np.diff(keys[order]) > 0)
+        keys = keys[order][new]
+        sizes = np.concatenate([t[1] if shard > 0 else -t[1] for shard, t in zip(shards, tables, strict=True)])
+        a = np.add.reduceat(sizes[order], np.flatnonzero(new))
+        enough = a >= least
+        ids = np.where(enough, (np.cumsum(enough) - 1) * parts + part, -1)
+        number = np.empty(len(order), dtype=np.int64)
+        number[order] = ids[np.cumsum(new) - 1]
+        back = [(shard, _block(*t[:, n >= 0], n[n >= 0])) for shard, t, n in zip(shards, tables, np.split(number, np.cumsum([t.shape[1] for t in tables])[:-1]), strict=True) if n.max() >= 0]
+        keys, count = keys[enough], int(enough.sum())
+        found = [_batch(_FREQUENT, count, None, None, keys >> 32, keys & 0xFFFFFFFF, a[enough], ids[enough])]
+        found.append(_batch(_FREQUENT, len(back), pa.array([s for s, _ in back], pa.int64()), pa.array([b for _, b in back], pa.binary()), None, None, None, None))
+        hand_back()
+        return pa.Table.from_batches(found)
+
+    return in_batches(blocks).groupBy("part").applyInArrow(meet, _FREQUENT)
+
+
+def count_pairs(shards: DataFrame, held: DataFrame, parts: int) -> DataFrame:
     """Of every shard: its frequent words (``held``: shard, place, id) and their sequence, and the occurrences of every pair of them."""
     known = held.groupBy("shard").agg(F.collect_list(F.struct("place", "id")).alias("known"))
     rows = shards.filter("sequence IS NOT NULL").select("shard", "sequence").join(known, "shard").select("shard", "sequence", "known.place", "known.id")
@@ -201,25 +262,26 @@ def count_pairs(shards: DataFrame, held: DataFrame) -> DataFrame:
                 ids, sequence = ids[order], _closed(symbol[sequence])
                 both = BidirectionalIndex.of(sequence, 2)
                 first, last, _, _, size = both.extend(*both.symbols(np.arange(1, len(ids) + 1)))
-                yield _batch(_PAIRS, 1, shard, pa.array([ids], pa.list_(pa.int64())), _packed(sequence), None, None, None)
-                yield from _rows(_PAIRS, shard, ids[first], ids[last], size)
+                yield _batch(_PAIRS, 1, shard, pa.array([ids], pa.list_(pa.int64())), _packed(sequence), None, None)
+                yield _blocks(_PAIRS, shard, parts, ids[first], ids[last], size)
                 hand_back()
 
     return in_batches(rows).mapInArrow(count, _PAIRS)
 
 
-def index_shards(sequences: DataFrame, held: DataFrame, most: int) -> DataFrame:
-    """The transforms of every shard over its frequent pairs (``held``: shard, first, last, id), and its phrases of three words."""
-    known = held.groupBy("shard").agg(F.collect_list(F.struct("first", "last", "id")).alias("known"))
-    rows = sequences.join(known, "shard").select("shard", "ids", "sequence", "known.first", "known.last", "known.id")
+def index_shards(sequences: DataFrame, held: DataFrame, most: int, parts: int) -> DataFrame:
+    """The transforms of every shard over its frequent pairs (``held``: shard, block), and its phrases of three words."""
+    known = held.groupBy("shard").agg(F.collect_list("block").alias("known"))
+    rows = sequences.join(known, "shard").select("shard", "ids", "sequence", "known")
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 shard, sequence = batch.column(0)[i].as_py(), _unpacked(batch.column(2)[i]).astype(np.int64)
-                ids, left, right, number = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in (1, 3, 4, 5))
+                ids = batch.column(1)[i].values.to_numpy(zero_copy_only=False)
+                pair, _, number = _all_columns(batch.column(3)[i], 3)
                 width = len(ids) + 1
-                key = (np.searchsorted(ids, left) + 1) * width + np.searchsorted(ids, right) + 1
+                key = (np.searchsorted(ids, pair >> 32) + 1) * width + np.searchsorted(ids, pair & 0xFFFFFFFF) + 1
                 order = np.argsort(key)
                 key, number = key[order], number[order]
                 met = sequence[:-1] * width + sequence[1:]
@@ -237,25 +299,25 @@ def index_shards(sequences: DataFrame, held: DataFrame, most: int) -> DataFrame:
                 first, last, low, back, size = both.extend(*both.symbols(np.arange(1, len(words) + 1)))
                 name = number[np.searchsorted(key, words[first] * width + words[last])]
                 first, last, low, back, size = both.extend(low, back, size)
-                yield _batch(_INDEXES, 1, shard, _packed(forward), _packed(reverse), None, None, None, None, None)
-                yield from _rows(_INDEXES, shard, name[first], name[last], low, back, size)
+                yield _batch(_INDEXES, 1, shard, _packed(forward), _packed(reverse), None, None)
+                yield _blocks(_INDEXES, shard, parts, name[first], name[last], size, low, back)
                 hand_back()
 
     return in_batches(rows).mapInArrow(index, _INDEXES)
 
 
-def extend_shards(indexes: DataFrame, held: DataFrame) -> DataFrame:
-    """The phrases of every shard that are one word longer than its frequent ones (``held``: shard, id, low, back, size)."""
-    known = held.groupBy("shard").agg(F.collect_list(F.struct("id", "low", "back", "size")).alias("known"))
-    rows = indexes.join(known, "shard").select("shard", "forward", "reverse", "known.id", "known.low", "known.back", "known.size")
+def extend_shards(indexes: DataFrame, held: DataFrame, parts: int) -> DataFrame:
+    """The phrases of every shard that are one word longer than its frequent ones (``held``: shard, block)."""
+    known = held.groupBy("shard").agg(F.collect_list("block").alias("known"))
+    rows = indexes.join(known, "shard").select("shard", "forward", "reverse", "known")
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 both = BidirectionalIndex(*(_unpacked(batch.column(c)[i]) for c in (1, 2)))
-                ids, low, back, size = (batch.column(c)[i].values.to_numpy(zero_copy_only=False).astype(np.int64) for c in (3, 4, 5, 6))
+                _, size, low, back, ids = _all_columns(batch.column(3)[i], 5)
                 first, last, low, back, size = both.extend(low, back, size)
-                yield from _rows(_GRAMS, batch.column(0)[i].as_py(), ids[first], ids[last], low, back, size)
+                yield _blocks(_GRAMS, batch.column(0)[i].as_py(), parts, ids[first], ids[last], size, low, back)
                 hand_back()
 
     return in_batches(rows).mapInArrow(extend, _GRAMS)
@@ -269,7 +331,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, most: int = MOST_WORDS
     shards = materialize(shard_documents(docs, text, lang, most), "shards")
     words = shards.filter("word IS NOT NULL").select("shard", "lang", "word", "place", "n")
     sizes = materialize(words.groupBy("lang").agg(F.sum(F.col("n") * F.signum("shard").cast("int")).alias("n")), "sizes")
-    held = frequent_rows(words, ["lang", "word"], "n", least)
+    parts = 1 + (sizes.agg(F.sum("n")).first()[0] or 0) // PART_WORDS
+    held = frequent_words(words, parts, least)
     none = F.lit(None).cast("long")
     level = held.groupBy("id").agg(*[F.first(c).alias(c) for c in ("lang", "word", "a")]).select(
         "lang", "id", none.alias("first"), none.alias("last"), F.lit(1).alias("words"), F.col("word").alias("phrase"), F.col("word").alias("last_word"),
@@ -279,19 +342,20 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, most: int = MOST_WORDS
     levels = [level]
     for size in range(2, most + 1):
         if size == 2:
-            stored = materialize(count_pairs(shards, held), "pairs")
+            pairs = stored = materialize(count_pairs(shards, held, parts), "pairs")
             discard(shards, held)
-            sequences, grams = stored.filter("sequence IS NOT NULL").select("shard", "ids", "sequence"), stored.filter("first IS NOT NULL").select("shard", "first", "last", "size")
+            sequences = stored.filter("sequence IS NOT NULL").select("shard", "ids", "sequence")
         elif size == 3:
-            indexed = materialize(index_shards(sequences, held, most), "indexes")
-            discard(stored, held)
-            indexes = indexed.filter("forward IS NOT NULL").select("shard", "forward", "reverse")
-            grams = indexed.filter("first IS NOT NULL").select("shard", "first", "last", "low", "back", "size")
+            stored = materialize(index_shards(sequences, held, most, parts), "indexes")
+            discard(pairs, found)
+            indexes = stored.filter("forward IS NOT NULL").select("shard", "forward", "reverse")
         else:
-            grams = materialize(extend_shards(indexes, held), "grams")
-            discard(held)
-        held = frequent_rows(grams, ["first", "last"], "size", least)
-        summed = held.groupBy("id").agg(*[F.first(c).alias(c) for c in ("first", "last", "a")])
+            stored = materialize(extend_shards(indexes, held, parts), "grams")
+            discard(found)
+        blocks = stored.filter("block IS NOT NULL").select("shard", "part", "block")
+        found = materialize(frequent_blocks(blocks, 2 if size == 2 else 4, parts, least), "frequent")
+        held = found.filter("block IS NOT NULL").select("shard", "block")
+        summed = found.filter("first IS NOT NULL").select("id", "first", "last", "a")
         first = level.select(F.col("id").alias("first"), "lang", F.col("phrase").alias("head"), "heads")
         last = level.select(F.col("id").alias("last"), "last_word", "tails")
         level = summed.join(first, "first").join(last, "last").select(
