@@ -139,3 +139,18 @@ def test_words_are_numbered_small(spark):
     ids = {(r["lang"], r["word"]): r["id"] for r in held}
     assert {r["word"]: r["a"] for r in held} == {f"w{w}": 2 * (1 + w % 3) for w in range(400) if w % 3}
     assert len(held) == 4 * len(ids) and len(set(ids.values())) == len(ids) and max(ids.values()) < 16 * 2 * collocations.BUCKETS
+
+
+def test_rows_of_shards_do_not_follow_their_phrases(spark, monkeypatch):
+    stored, most = collocations.materialize, {}
+
+    def counted(frame, label):
+        made = stored(frame, label)
+        most[label] = max(most.get(label, 0), made.count())
+        return made
+
+    monkeypatch.setattr(collocations, "materialize", counted)
+    frame = spark.createDataFrame(corpus(7, 60, ["en"]), "text string, lang string").repartition(2)
+    assert collocations.frequent_phrases(frame, least=3)[0].filter("words = 3").count() > 20
+    # a row for each of two shards and one for each of their blocks
+    assert max(most["pairs"], most["indexes"], most["grams"]) <= 4
