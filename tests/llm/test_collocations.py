@@ -154,3 +154,62 @@ def test_rows_of_shards_do_not_follow_their_phrases(spark, monkeypatch):
     assert collocations.frequent_phrases(frame, least=3)[0].filter("words = 3").count() > 20
     # a row for each of two shards and one for each of their blocks
     assert max(most["pairs"], most["indexes"], most["grams"]) <= 4
+
+
+@settings(max_examples=60, deadline=None)
+@given(symbols=st.lists(st.integers(0, 3), max_size=60))
+def test_low_in_the_reverse_from_low(symbols):
+    index = BidirectionalIndex.of(np.array([*symbols, 0], dtype=np.int32), 5)
+    state = index.symbols(np.unique([s for s in symbols if s > 0]).astype(np.int64))
+    for size in range(1, 5):
+        low, back, count = state
+        assert index.low_reverse(low, size).tolist() == back.tolist()
+        state = index.extend(*state)[2:]
+
+
+@pytest.mark.parametrize("kind", ["random", "one first", "equal firsts", "falling", "none"])
+def test_blocks_read_back(kind):
+    rng = np.random.default_rng(11)
+    n = 0 if kind == "none" else 500
+    key = np.sort(rng.integers(0, 1 if kind == "one first" else 9 if kind == "equal firsts" else 1 << 31, n) << 32 | rng.integers(0, 1 << 31, n))
+    number, size = np.sort(rng.integers(0, 1 << 31, n)), rng.integers(1, 1 << 40, n)
+    if kind == "falling":
+        number = number[::-1]
+    back = collocations._columns(pa.scalar(collocations._block(key, number, size, rising=2), pa.binary()), 3, 2)
+    assert back.tolist() == [key.tolist(), number.tolist(), size.tolist()]
+
+
+def test_bytes_of_sequences_and_pairs():
+    rng = np.random.default_rng(4)
+    words = np.minimum(rng.zipf(1.3, 400_000), 60_000).astype(np.int32)
+    packed = collocations._packed(words)
+    assert (collocations._unpacked(pa.scalar(packed, pa.binary())) == words).all()
+    assert len(packed) < 1.1 * len(words)  # 1.32 as numbers of four bytes each
+    ids = rng.permutation(60_001)[words].astype(np.int64)
+    pairs, size = np.unique(ids[:-1] << 32 | ids[1:], return_counts=True)
+    blocks = collocations._blocks(collocations._GRAMS, 1, 27, pairs >> 32, pairs & 0xFFFFFFFF, size)
+    assert blocks.nbytes < 2.6 * len(pairs)  # 3 with phrases of a first part dealt at random
+    assert max(b.as_buffer().size for b in blocks["block"]) < blocks.nbytes / 4  # no part has all pairs of a word
+
+
+def test_shards_store_words_packed(spark):
+    rows = corpus(9, 80, ["en", None]) + [("...", "it"), ("", "fr")]
+    shards = collocations.shard_documents(spark.createDataFrame(rows, "text string, lang string").coalesce(1), "text", "lang", 5)
+    assert sorted(r["lang"] for r in shards.collect()) == ["en", "und"]
+    counts = Counter()
+    for r in collocations.shard_words(shards).collect():
+        counts[r["lang"], r["word"]] += r["n"]
+    want = Counter((lang or "und", w) for text, lang in rows for piece in pieces_of(text) for w in piece)
+    assert counts == want
+
+
+def test_blocks_hand_back_what_is_read(spark):
+    frame = spark.createDataFrame([("a b c d e f. " * 9, "en")], "text string, lang string")
+    shards = collocations.shard_documents(frame, "text", "lang", 5).localCheckpoint()
+    held = collocations.frequent_words(collocations.shard_words(shards), 1, 3)
+    pairs = collocations.count_pairs(shards, held, 1).filter("block IS NOT NULL").select("shard", "part", "block")
+    for returned, rising in (([0, 2], 2), ([], 1)):
+        found = collocations.frequent_blocks(pairs, 2, 1, 3, returned, rising).collect()
+        named = {(r["first"] << 32 | r["last"], r["id"]) for r in found if r["block"] is None}
+        back = [collocations._columns(pa.scalar(bytes(r["block"]), pa.binary()), 2, 2) for r in found if r["block"] is not None]
+        assert len(named) == 5 and [set(map(tuple, b.T.tolist())) for b in back] == [named] * bool(returned)

@@ -42,6 +42,8 @@ from tideframe.session import discard, materialize
 SHARD_CHARS = 5_000_000
 #: Words of the corpus for each part of its phrases; a part has at most one phrase of each length for each of them.
 PART_WORDS = 4_000_000
+#: Phrases whose keys are alike but for so many lower bits go to the same part.
+NEAR = 12
 #: Buckets of words for each part; words are numbered within buckets.
 BUCKETS = 64
 MOST_WORDS, LEAST, TOP = 5, 100, 2000
@@ -54,10 +56,11 @@ _BETWEEN[[32, 9]] = True
 _WORD = re.compile(r"[^ \t.,;:!?\n\x0b\x0c\r]+")
 
 #: Numbers of shards that hold overlaps, whose counts are taken off, are negative.
-#: One row per shard with its sequence and one per word of it; one with the numbers of its frequent words and the sequence of
-#: these and one per block of pairs; one with its transforms and one per block of phrases.
-_SHARDS = "shard bigint, lang string, sequence binary, word string, place int, n bigint"
-_PAIRS = "shard bigint, ids array<bigint>, sequence binary, part bigint, block binary"
+#: One row per shard with its sequence, its packed words and their counts, and how many words it has; one per word of it; one with
+#: the numbers of its frequent words and the sequence of these and one per block of pairs; one with its transforms and one per block of phrases.
+_SHARDS = "shard bigint, lang string, sequence binary, words binary, counts binary, n bigint"
+_WORDS = "shard bigint, lang string, word string, place int, n bigint"
+_PAIRS = "shard bigint, ids binary, sequence binary, part bigint, block binary"
 _INDEXES = "shard bigint, forward binary, reverse binary, part bigint, block binary"
 _GRAMS = "shard bigint, part bigint, block binary"
 #: One row per block that goes back to its shard and one per frequent phrase.
@@ -66,8 +69,8 @@ _FREQUENT = "shard bigint, block binary, first bigint, last bigint, a bigint, id
 ROWS = 50_000
 
 
-_ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64())}
-_TYPES = {schema: [(n, _ARROW[t]) for n, t in map(str.split, schema.split(", "))] for schema in (_SHARDS, _PAIRS, _INDEXES, _GRAMS, _FREQUENT)}
+_ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
+_TYPES = {schema: [(n, _ARROW[t]) for n, t in map(str.split, schema.split(", "))] for schema in (_SHARDS, _WORDS, _PAIRS, _INDEXES, _GRAMS, _FREQUENT)}
 
 
 def _batch(schema: str, rows: int, *values) -> pa.RecordBatch:
@@ -81,35 +84,46 @@ def _batch(schema: str, rows: int, *values) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=[n for n, _ in _TYPES[schema]])
 
 
-def _packed(symbols: np.ndarray) -> bytes:
-    data = symbols.astype("<i4").tobytes()
+def _compressed(data: bytes) -> bytes:
     return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
 
 
-def _unpacked(data: pa.Scalar) -> np.ndarray:
+def _expanded(data: pa.Scalar) -> pa.Buffer:
     stored = data.as_buffer()
-    return np.frombuffer(pa.decompress(stored.slice(8), int.from_bytes(stored.slice(0, 8).to_pybytes(), "little"), codec="zstd"), dtype="<i4")
+    return pa.decompress(stored.slice(8), int.from_bytes(stored.slice(0, 8).to_pybytes(), "little"), codec="zstd")
+
+
+def _packed(symbols: np.ndarray) -> bytes:
+    """Symbols byte by byte, compressed."""
+    return _compressed(symbols.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes())
 
 
-def _block(*columns: np.ndarray) -> bytes:
-    """Columns of numbers, the first of them rising: its steps and the others byte by byte, compressed."""
+def _unpacked(data: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(_expanded(data), dtype=np.uint8).reshape(4, -1).T.copy().view("<i4")[:, 0]
+
+
+def _block(*columns: np.ndarray, rising: int = 1) -> bytes:
+    """Columns of numbers, the first of them rising: the steps of these and the others byte by byte, compressed. The lower halves of a
+    rising column, the last parts of keys, begin anew where the upper half changes."""
     table = np.array(columns, dtype="<i8")
-    table[0, 1:] = np.diff(table[0])
-    data = table.view(np.uint8).reshape(len(columns), -1, 8).transpose(0, 2, 1).tobytes()
-    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+    for column in table[:rising]:
+        upper, lower = np.diff(column >> 32, prepend=0), column & 0xFFFFFFFF
+        column[:] = upper << 32 | np.where(upper == 0, np.diff(lower, prepend=0), lower) & 0xFFFFFFFF
+    return _compressed(table.view(np.uint8).reshape(len(columns), -1, 8).transpose(0, 2, 1).tobytes())
 
 
-def _columns(block: pa.Scalar, columns: int) -> np.ndarray:
+def _columns(block: pa.Scalar, columns: int, rising: int = 1) -> np.ndarray:
     """The so many columns of a block."""
-    stored = block.as_buffer()
-    data = pa.decompress(stored.slice(8), int.from_bytes(stored.slice(0, 8).to_pybytes(), "little"), codec="zstd")
-    table = np.frombuffer(data, dtype=np.uint8).reshape(columns, 8, -1).transpose(0, 2, 1).copy().view("<i8")[:, :, 0]
-    table[0] = np.cumsum(table[0])
+    table = np.frombuffer(_expanded(block), dtype=np.uint8).reshape(columns, 8, -1).transpose(0, 2, 1).copy().view("<i8")[:, :, 0]
+    for column in table[:rising]:
+        upper, lower = column >> 32, np.cumsum(column & 0xFFFFFFFF)
+        anew = np.maximum.accumulate(np.where(upper == 0, 0, np.arange(len(column))))
+        column[:] = np.cumsum(upper) << 32 | (lower - np.append(0, lower)[anew]) & 0xFFFFFFFF
     return table
 
 
-def _all_columns(blocks: pa.ListScalar, columns: int) -> np.ndarray:
-    return np.concatenate([_columns(b, columns) for b in blocks.values], axis=1)
+def _all_columns(blocks: pa.ListScalar, columns: int, rising: int = 1) -> np.ndarray:
+    return np.concatenate([_columns(b, columns, rising) for b in blocks.values], axis=1)
 
 
 def _closed(sequence: np.ndarray) -> np.ndarray:
@@ -162,8 +176,18 @@ def number_words(texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return coded.dictionary.cast(pa.string()), np.bincount(number)[1:], sequence
 
 
+def by_count(words: pa.Array, counts: np.ndarray, sequence: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The words by falling count and by bytes where counts are equal, numbered anew: small numbers stand often, and words of a
+    count lie beside words like them, so both pack well."""
+    order = pc.array_sort_indices(words).to_numpy()
+    order = order[np.argsort(-counts[order], kind="stable")]
+    number = np.zeros(len(counts) + 1, dtype=np.int32)
+    number[order + 1] = np.arange(1, len(counts) + 1)
+    return words.take(pa.array(order)), counts[order], number[sequence]
+
+
 def shard_documents(docs: DataFrame, text: str, lang: str, most: int) -> DataFrame:
-    """Of every shard: the sequence of its word numbers (from 1), and every word with its number less one and its count."""
+    """Of every shard: the sequence of its word numbers (from 1), its words by number, and their counts."""
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, chars, made = {}, {}, TaskContext.get().partitionId() << 33
@@ -172,12 +196,10 @@ def shard_documents(docs: DataFrame, text: str, lang: str, most: int) -> DataFra
             nonlocal made
             made += 1
             shard, lang = made * key[1], key[0]
-            words, counts, sequence = number_words(waiting.pop(key))
+            words, counts, sequence = by_count(*number_words(waiting.pop(key)))
             chars.pop(key)
-            yield _batch(_SHARDS, 1, shard, lang, _packed(sequence), None, None, None)
-            for at in range(0, len(words), ROWS):
-                some = words[at : at + ROWS]
-                yield _batch(_SHARDS, len(some), shard, lang, None, some, np.arange(at, at + len(some), dtype=np.int32), counts[at : at + ROWS])
+            if len(words):  # no word holds a line break
+                yield _batch(_SHARDS, 1, shard, lang, _packed(sequence), _compressed("\n".join(words.to_pylist()).encode()), _block(counts), int(counts.sum()))
             hand_back()
 
         for batch in batches:
@@ -197,10 +219,25 @@ def shard_documents(docs: DataFrame, text: str, lang: str, most: int) -> DataFra
     return in_batches(read.filter("text <> ''")).mapInArrow(shard, _SHARDS)
 
 
+def shard_words(shards: DataFrame) -> DataFrame:
+    """One row per word of a shard, with its number less one and its count."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                words, counts = pa.array(_expanded(batch.column(2)[i]).to_pybytes().decode().split("\n"), pa.string()), _columns(batch.column(3)[i], 1)[0]
+                for at in range(0, len(words), ROWS):
+                    some = words[at : at + ROWS]
+                    yield _batch(_WORDS, len(some), batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), some, np.arange(at, at + len(some), dtype=np.int32), counts[at : at + ROWS])
+
+    return in_batches(shards.select("shard", "lang", "words", "counts")).mapInArrow(rows, _WORDS)
+
+
 def _blocks(schema: str, shard: int, parts: int, first: np.ndarray, last: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
     """Phrases of a shard, a block of keys and columns for each part; columns that belong to the shard's one other row are null."""
     key = first << 32 | last
-    part = (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % parts
+    # phrases of a first part whose last parts have numbers in one range meet in one part: their steps are small
+    part = ((key >> NEAR).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % parts
     order = np.lexsort((key, part))
     part, columns = part[order], [c[order] for c in (key, *columns)]
     starts = np.flatnonzero(np.diff(part, prepend=-1))
@@ -219,9 +256,11 @@ def frequent_words(words: DataFrame, parts: int, least: int) -> DataFrame:
     return materialize(frequent.withColumn("id", (place.cast("long") - 1) * buckets + F.col("bucket")).drop("bucket"), "frequent")
 
 
-def frequent_blocks(blocks: DataFrame, columns: int, parts: int, least: int) -> DataFrame:
+def frequent_blocks(blocks: DataFrame, columns: int, parts: int, least: int, returned: list[int] | None = None, rising: int = 1) -> DataFrame:
     """Of blocks (shard, part, block of so many columns: key, size, ...): the phrases with ``least`` occurrences over all shards and
-    their numbers, and for each block what it holds of them: key, size, ..., number."""
+    their numbers, and for each block what it holds of them: the ``returned`` ones of key, size, ..., number (all if not told, the
+    first ``rising`` of them rising as the keys and the numbers do; no rows if there are none)."""
+    wanted = list(range(columns + 1)) if returned is None else returned
 
     def meet(key: tuple[pa.Scalar], rows: pa.Table) -> pa.Table:
         shards, part = rows["shard"].to_pylist(), key[0].as_py()
@@ -236,7 +275,11 @@ def frequent_blocks(blocks: DataFrame, columns: int, parts: int, least: int) ->
         ids = np.where(enough, (np.cumsum(enough) - 1) * parts + part, -1)
         number = np.empty(len(order), dtype=np.int64)
         number[order] = ids[np.cumsum(new) - 1]
-        back = [(shard, _block(*t[:, n >= 0], n[n >= 0])) for shard, t, n in zip(shards, tables, np.split(number, np.cumsum([t.shape[1] for t in tables])[:-1]), strict=True) if n.max() >= 0]
+        back = []
+        for shard, t, n in zip(shards, tables, np.split(number, np.cumsum([t.shape[1] for t in tables])[:-1]), strict=True):
+            if wanted and n.max() >= 0:
+                held = [*t[:, n >= 0], n[n >= 0]]
+                back.append((shard, _block(*[held[c] for c in wanted], rising=rising)))
         keys, count = keys[enough], int(enough.sum())
         found = [_batch(_FREQUENT, count, None, None, keys >> 32, keys & 0xFFFFFFFF, a[enough], ids[enough])]
         found.append(_batch(_FREQUENT, len(back), pa.array([s for s, _ in back], pa.int64()), pa.array([b for _, b in back], pa.binary()), None, None, None, None))
@@ -249,7 +292,7 @@ def frequent_blocks(blocks: DataFrame, columns: int, parts: int, least: int) ->
 def count_pairs(shards: DataFrame, held: DataFrame, parts: int) -> DataFrame:
     """Of every shard: its frequent words (``held``: shard, place, id) and their sequence, and the occurrences of every pair of them."""
     known = held.groupBy("shard").agg(F.collect_list(F.struct("place", "id")).alias("known"))
-    rows = shards.filter("sequence IS NOT NULL").select("shard", "sequence").join(known, "shard").select("shard", "sequence", "known.place", "known.id")
+    rows = shards.select("shard", "sequence").join(known, "shard").select("shard", "sequence", "known.place", "known.id")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -262,7 +305,7 @@ def count_pairs(shards: DataFrame, held: DataFrame, parts: int) -> DataFrame:
                 ids, sequence = ids[order], _closed(symbol[sequence])
                 both = BidirectionalIndex.of(sequence, 2)
                 first, last, _, _, size = both.extend(*both.symbols(np.arange(1, len(ids) + 1)))
-                yield _batch(_PAIRS, 1, shard, pa.array([ids], pa.list_(pa.int64())), _packed(sequence), None, None)
+                yield _batch(_PAIRS, 1, shard, _block(ids), _packed(sequence), None, None)
                 yield _blocks(_PAIRS, shard, parts, ids[first], ids[last], size)
                 hand_back()
 
@@ -278,8 +321,8 @@ def index_shards(sequences: DataFrame, held: DataFrame, most: int, parts: int) -
         for batch in batches:
             for i in range(batch.num_rows):
                 shard, sequence = batch.column(0)[i].as_py(), _unpacked(batch.column(2)[i]).astype(np.int64)
-                ids = batch.column(1)[i].values.to_numpy(zero_copy_only=False)
-                pair, _, number = _all_columns(batch.column(3)[i], 3)
+                ids = _columns(batch.column(1)[i], 1)[0]
+                pair, number = _all_columns(batch.column(3)[i], 2, 2)
                 width = len(ids) + 1
                 key = (np.searchsorted(ids, pair >> 32) + 1) * width + np.searchsorted(ids, pair & 0xFFFFFFFF) + 1
                 order = np.argsort(key)
@@ -298,16 +341,16 @@ def index_shards(sequences: DataFrame, held: DataFrame, most: int, parts: int) -
                 both = BidirectionalIndex(forward, reverse)
                 first, last, low, back, size = both.extend(*both.symbols(np.arange(1, len(words) + 1)))
                 name = number[np.searchsorted(key, words[first] * width + words[last])]
-                first, last, low, back, size = both.extend(low, back, size)
+                first, last, low, _, size = both.extend(low, back, size)
                 yield _batch(_INDEXES, 1, shard, _packed(forward), _packed(reverse), None, None)
-                yield _blocks(_INDEXES, shard, parts, name[first], name[last], size, low, back)
+                yield _blocks(_INDEXES, shard, parts, name[first], name[last], size, low)
                 hand_back()
 
     return in_batches(rows).mapInArrow(index, _INDEXES)
 
 
-def extend_shards(indexes: DataFrame, held: DataFrame, parts: int) -> DataFrame:
-    """The phrases of every shard that are one word longer than its frequent ones (``held``: shard, block)."""
+def extend_shards(indexes: DataFrame, held: DataFrame, words: int, parts: int) -> DataFrame:
+    """The phrases of every shard that are one word longer than its frequent ones of so many words (``held``: shard, block)."""
     known = held.groupBy("shard").agg(F.collect_list("block").alias("known"))
     rows = indexes.join(known, "shard").select("shard", "forward", "reverse", "known")
 
@@ -315,9 +358,9 @@ def extend_shards(indexes: DataFrame, held: DataFrame, parts: int) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 both = BidirectionalIndex(*(_unpacked(batch.column(c)[i]) for c in (1, 2)))
-                _, size, low, back, ids = _all_columns(batch.column(3)[i], 5)
-                first, last, low, back, size = both.extend(low, back, size)
-                yield _blocks(_GRAMS, batch.column(0)[i].as_py(), parts, ids[first], ids[last], size, low, back)
+                ids, size, low = _all_columns(batch.column(3)[i], 3)
+                first, last, low, _, size = both.extend(low, both.low_reverse(low, words), size)
+                yield _blocks(_GRAMS, batch.column(0)[i].as_py(), parts, ids[first], ids[last], size, low)
                 hand_back()
 
     return in_batches(rows).mapInArrow(extend, _GRAMS)
@@ -329,10 +372,9 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, most: int = MOST_WORDS
     phrases: lang, id, first, last (ids of the parts one word shorter, null for words), words, phrase, a, heads, tails (counts of the first and last 1, 2, ... words).
     """
     shards = materialize(shard_documents(docs, text, lang, most), "shards")
-    words = shards.filter("word IS NOT NULL").select("shard", "lang", "word", "place", "n")
-    sizes = materialize(words.groupBy("lang").agg(F.sum(F.col("n") * F.signum("shard").cast("int")).alias("n")), "sizes")
+    sizes = materialize(shards.groupBy("lang").agg(F.sum(F.col("n") * F.signum("shard").cast("int")).alias("n")), "sizes")
     parts = 1 + (sizes.agg(F.sum("n")).first()[0] or 0) // PART_WORDS
-    held = frequent_words(words, parts, least)
+    held = frequent_words(shard_words(shards), parts, least)
     none = F.lit(None).cast("long")
     level = held.groupBy("id").agg(*[F.first(c).alias(c) for c in ("lang", "word", "a")]).select(
         "lang", "id", none.alias("first"), none.alias("last"), F.lit(1).alias("words"), F.col("word").alias("phrase"), F.col("word").alias("last_word"),
@@ -350,10 +392,12 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, most: int = MOST_WORDS
             discard(pairs, found)
             indexes = stored.filter("forward IS NOT NULL").select("shard", "forward", "reverse")
         else:
-            stored = materialize(extend_shards(indexes, held, parts), "grams")
+            stored = materialize(extend_shards(indexes, held, size - 1, parts), "grams")
             discard(found)
         blocks = stored.filter("block IS NOT NULL").select("shard", "part", "block")
-        found = materialize(frequent_blocks(blocks, 2 if size == 2 else 4, parts, least), "frequent")
+        # shards find pairs again by key, longer phrases by their place in the index; the longest are not extended
+        columns, returned, rising = (2, [0, 2], 2) if size == 2 else (3, [3, 1, 2], 1)
+        found = materialize(frequent_blocks(blocks, columns, parts, least, returned if size < most else [], rising), "frequent")
         held = found.filter("block IS NOT NULL").select("shard", "block")
         summed = found.filter("first IS NOT NULL").select("id", "first", "last", "a")
         first = level.select(F.col("id").alias("first"), "lang", F.col("phrase").alias("head"), "heads")

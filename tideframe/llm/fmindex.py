@@ -34,8 +34,8 @@ class Transform:
         self.before = before
         self.first = np.concatenate([[0], np.cumsum(np.bincount(before, minlength=sigma))])
         # rows by symbol: the rows of symbol c are places[first[c]:first[c + 1]], in order
-        places = np.argsort(before, kind="stable")
-        self._keys = before[places].astype(np.int64) * (len(before) + 1) + places
+        self.places = np.argsort(before, kind="stable")
+        self._keys = before[self.places].astype(np.int64) * (len(before) + 1) + self.places
 
     def occurrences(self, symbol: np.ndarray, row: np.ndarray) -> np.ndarray:
         """How often each symbol stands in the rows before ``row``."""
@@ -85,3 +85,16 @@ class BidirectionalIndex:
         first, following = first[j], following[j]
         back = self.reverse.first[following] + self.reverse.occurrences(following, low_reverse[first])
         return first, last[i], left[i], back, count[i]
+
+    def low_reverse(self, low: np.ndarray, length: int) -> np.ndarray:
+        """Low in the reverse of phrases of so many symbols, of which there are fewer than suffixes are ordered by.
+
+        The k-th suffix that starts with a symbol goes on as the k-th row that follows this symbol; both orders agree but for the
+        last symbol, so each step reads one more symbol of the phrase and narrows its interval in the reverse.
+        """
+        row, back = low, np.zeros_like(low)
+        for k in range(length):
+            symbol = np.searchsorted(self.forward.first, row, side="right") - 1
+            back = self.reverse.first[symbol] + (self.reverse.occurrences(symbol, back) if k else 0)
+            row = self.forward.places[row]
+        return back
