@@ -213,3 +213,14 @@ def test_blocks_hand_back_what_is_read(spark):
         named = {(r["first"] << 32 | r["last"], r["id"]) for r in found if r["block"] is None}
         back = [collocations._columns(pa.scalar(bytes(r["block"]), pa.binary()), 2, 2) for r in found if r["block"] is not None]
         assert len(named) == 5 and [set(map(tuple, b.T.tolist())) for b in back] == [named] * bool(returned)
+
+
+def test_word_numbers_reach_shards_as_one_number(spark):
+    """Large places and numbers survive the way, and a frequent word takes eight bytes."""
+    frame = spark.createDataFrame([("a b c d e f. " * 9, "en")], "text string, lang string")
+    shards = collocations.shard_documents(frame, "text", "lang", 5).localCheckpoint()
+    words = collocations.shard_words(shards).selectExpr("shard", "place", "2147480000L + 5 - place AS id")
+    row = collocations.count_pairs(shards, words, 1).filter("sequence IS NOT NULL").first()
+    assert collocations._columns(pa.scalar(bytes(row["ids"]), pa.binary()), 1)[0].tolist() == list(range(2147480000, 2147480006))
+    plan = collocations.count_pairs(shards, words, 1)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" in plan and "struct(" not in plan

@@ -291,14 +291,16 @@ def frequent_blocks(blocks: DataFrame, columns: int, parts: int, least: int, ret
 
 def count_pairs(shards: DataFrame, held: DataFrame, parts: int) -> DataFrame:
     """Of every shard: its frequent words (``held``: shard, place, id) and their sequence, and the occurrences of every pair of them."""
-    known = held.groupBy("shard").agg(F.collect_list(F.struct("place", "id")).alias("known"))
-    rows = shards.select("shard", "sequence").join(known, "shard").select("shard", "sequence", "known.place", "known.id")
+    numbers = F.shiftleft(F.col("place").cast("long"), 32) + F.col("id")  # one number each, not a struct of two
+    known = held.groupBy("shard").agg(F.collect_list(numbers).alias("known"))
+    rows = shards.select("shard", "sequence").join(known, "shard").select("shard", "sequence", "known")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 shard, sequence = batch.column(0)[i].as_py(), _unpacked(batch.column(1)[i])
-                place, ids = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in (2, 3))
+                numbers = batch.column(2)[i].values.to_numpy(zero_copy_only=False)
+                place, ids = numbers >> 32, numbers & 0xFFFFFFFF
                 order = np.argsort(ids)
                 symbol = np.zeros(int(sequence.max()) + 1, dtype=np.int32)
                 symbol[place[order] + 1] = np.arange(1, len(place) + 1)
