@@ -5,6 +5,8 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from helpers import docs_frame
@@ -13,6 +15,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tideframe.llm import alignment
+from tideframe.session import materialize
 
 A, PATTERN, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, public_tokenizers.path("piece_bpe_32k.model")
 
@@ -146,3 +149,24 @@ def test_columns_repeats_and_empty_table(spark, libraries):
     assert sorted((r.n_a, r.count_sum) for r in rows) == sorted((x[0], x[5]) for x in by_hand(["Hello world", "Hello world", "Hello", None], libraries))
     assert {(r["my col"], r["a.b"], r["a:b"], r["t`k"], r.row) for r in rows} == {("x", "y", "z", "w", 1)}
     assert alignment.align_documents(docs.limit(0), A, PATTERN, B).count() == 0
+
+
+def test_stored_slices_stay_small(spark, libraries, monkeypatch):
+    """Texts are stored only if asked for, and then bound a slice; large rows are written in small groups."""
+    stored = []
+    monkeypatch.setattr(alignment, "materialize", lambda frame, *a, **b: stored.append(materialize(frame, *a, **b)) or stored[-1])
+    docs = docs_frame(spark, TEXTS).coalesce(1)
+    bare = alignment.align_documents(docs, A, PATTERN, B, keep_text=False)
+    assert bare.columns == [*[c for c in docs.columns if c != "text"], *alignment.ADDED]
+    assert stored[0].schema["entries"].dataType.elementType["row"].dataType.names == [c for c in docs.columns if c != "text"] and stored[0].count() == 1
+    found = alignment.align_documents(docs, A, PATTERN, B)
+    assert "text" in stored[2].schema["entries"].dataType.elementType["row"].dataType.names
+    assert [rows_of(bare)[i] for i in range(len(TEXTS))] == [rows_of(found)[i] for i in range(len(TEXTS))] == by_hand(TEXTS, libraries)
+    held, nothing = alignment._Slice(), np.empty(0, np.int64)
+    held.add(pa.nulls(1), [], None, nothing, nothing, alignment.SLICE_CHARS - 1)
+    assert not held.full()
+    held.add(pa.nulls(1), [], None, nothing, nothing, 1)
+    assert held.full()
+    large = materialize(spark.range(0, 60, 1, 1).selectExpr("id", "randstr(1000000, 1) AS row"), "large", **alignment.STORED)
+    sizes = [meta.row_group(i).total_byte_size for f in large.inputFiles() for meta in [pq.read_metadata(f.removeprefix("file://"))] for i in range(meta.num_row_groups)]
+    assert len(sizes) > 1 and max(sizes) < 24 << 20

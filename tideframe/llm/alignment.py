@@ -11,7 +11,8 @@ shortest stretches that both write with whole tokens. Every token of A in a grou
 * **Corpus counts.** Documents are gathered into slices of about ``SLICE_LINKS`` id pairs; a slice is one row that holds each of its pairs
   once, with the number of its documents that have it. Pairs are summed across slices, the counts go back to the slices that
   hold the pair, and a document adds up what its links count. So a pair crosses the network once per slice, not once per document;
-  nothing is broadcast but tables that the planner knows to be small.
+  nothing is broadcast but tables that the planner knows to be small. A task holds one slice with its counts at a time, whatever
+  the table and its files measure; texts travel with their documents only if they are asked for.
 
 Defined cases: null and empty texts, and texts that one tokenizer does not write back as it read them, have no tokens: zeros,
 an empty ``groups_sha256``; special tokens are plain text; repeated rows count as documents each; ties for the
@@ -40,6 +41,11 @@ from tideframe.session import materialize
 
 #: Bytes of a lane, characters encoded together, id pairs of a slice, links of a document above which groups are taken by ranges of ids.
 LANE_BYTES, BATCH_CHARS, SLICE_LINKS, MANY_LINKS = 1024, 400_000, 500_000, 1_000_000
+#: Documents of a slice, and characters of texts handed through with them.
+SLICE_ROWS, SLICE_CHARS = 20_000, 8_000_000
+#: A slice is a row of about a megabyte: the writer looks at its buffers after each, not after 100, and a group of rows stays small,
+#: as readers hold it whole.
+STORED = {"parquet.block.size": str(16 << 20), "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1"}
 #: White characters in a row above which the slower of two equal libraries encodes a text.
 LONG_SPACE = 20_000
 _LONG_SPACE = re.compile(rf"\s{{{LONG_SPACE}}}")
@@ -120,6 +126,13 @@ def load(path_a: str, pattern: str, path_b: str) -> tuple[Vocabulary, Vocabulary
     return _LOADED[key]
 
 
+def unload() -> None:
+    """Free the tokenizers of this worker process, which later steps do not need; it is handed the next tasks too."""
+    if _LOADED:
+        _LOADED.clear()
+        hand_back()
+
+
 def lockstep_cuts(ends_a: np.ndarray, ends_b: np.ndarray, lane_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(token of A, token of B) at every place where both end, in order.
 
@@ -266,15 +279,19 @@ class _Slice:
     """Documents of a slice, in parts: a part is a row of the slice with some of the document's pairs."""
 
     def __init__(self):
-        self.rows, self.facts, self.whole, self.pairs, self.links, self.size = [], [], [], [], [], 0
+        self.rows, self.facts, self.whole, self.pairs, self.links, self.size, self.chars = [], [], [], [], [], 0, 0
+
+    def full(self) -> bool:
+        return self.size >= SLICE_LINKS or len(self.rows) >= SLICE_ROWS or self.chars >= SLICE_CHARS
 
-    def add(self, row: pa.Array, facts: list, whole: int | None, pairs: np.ndarray, links: np.ndarray) -> None:
+    def add(self, row: pa.Array, facts: list, whole: int | None, pairs: np.ndarray, links: np.ndarray, chars: int) -> None:
         self.rows.append(row)
         self.facts.append(facts)
         self.whole.append(whole)
         self.pairs.append(pairs)
         self.links.append(links)
         self.size += len(pairs)
+        self.chars += chars
 
     def batch(self, number: int, kind: pa.StructType) -> pa.RecordBatch:
         counts = np.array([len(p) for p in self.pairs], dtype=np.int64)
@@ -295,8 +312,11 @@ class _Slice:
         return pa.RecordBatch.from_arrays(columns, names=["slice", "entries", "steps", "links", "pairs", "docs", "parted"])
 
 
-def slice_documents(packed: DataFrame, vocabularies: tuple[str, str, str]) -> DataFrame:
-    """One row per slice: its documents (or parts of them), the places of their pairs, the slice's pairs and in how many documents each is."""
+def slice_documents(packed: DataFrame, vocabularies: tuple[str, str, str], keep_text: bool = True) -> DataFrame:
+    """One row per slice: its documents (or parts of them), the places of their pairs, the slice's pairs and in how many documents each is.
+
+    ``keep_text``: rows hold their texts.
+    """
     row_type = packed.schema["row"].dataType
     entry = T.StructType(
         [T.StructField("row", row_type), *[T.StructField(n, T.StringType() if t == pa.string() else T.LongType()) for n, t in _FACTS]]
@@ -325,11 +345,12 @@ def slice_documents(packed: DataFrame, vocabularies: tuple[str, str, str]) -> Da
                 for i, parts in enumerate(found):
                     mine, row = [facts[n][i] for n, _ in _FACTS], batch.column(0).slice(at + i, 1)
                     wholes += 1
+                    chars = len(texts[at + i] or "") if keep_text else 0
                     for turn, (pairs, links) in enumerate(parts or [(nothing, nothing)]):
                         if turn:
-                            mine, row = [None] * len(_FACTS), pa.nulls(1, batch.schema.field(0).type)
-                        held.add(row, mine, wholes if len(parts) > 1 else None, pairs, links)
-                        if held.size >= SLICE_LINKS or len(held.rows) >= 20_000:
+                            mine, row, chars = [None] * len(_FACTS), pa.nulls(1, batch.schema.field(0).type), 0
+                        held.add(row, mine, wholes if len(parts) > 1 else None, pairs, links, chars)
+                        if held.full():
                             number += 1
                             yield held.batch(number, kind)
                             held = _Slice()
@@ -349,46 +370,44 @@ def pair_counts(slices: DataFrame, width: int) -> DataFrame:
     return held.select("pair", "count", (F.col("count") == F.max("count").over(same)).alias("best"))
 
 
-def align_documents(docs: DataFrame, path_a: str, pattern: str, path_b: str, text: str = "text") -> DataFrame:
+def align_documents(docs: DataFrame, path_a: str, pattern: str, path_b: str, text: str = "text", keep_text: bool = True) -> DataFrame:
     """Every row of ``docs`` with ``ADDED``: tokens, groups and links of both tokenizers, and what its links count in the corpus.
 
-    ``path_a`` and ``pattern``: byte-level BPE file and how it splits texts; ``path_b``: sentence-piece model.
+    ``path_a`` and ``pattern``: byte-level BPE file and how it splits texts; ``path_b``: sentence-piece model. Without ``keep_text``
+    the texts are not handed on with the other columns (one of which there must be).
     """
-    names = [c for c in docs.columns if c not in ADDED]
+    names = [c for c in docs.columns if c not in ADDED and (keep_text or c != text)]
     packed = docs.select(F.struct(*[docs[_column(c)] for c in names]).alias("row"), docs[_column(text)].alias("text"))
-    slices = materialize(slice_documents(packed, (path_a, pattern, path_b)), "slices")
+    slices = materialize(slice_documents(packed, (path_a, pattern, path_b), keep_text), "slices", **STORED)
     counts = materialize(pair_counts(slices, Pieces(path_b).model.get_piece_size()), "pairs")
-    placed = slices.select("slice", F.posexplode("pairs").alias("place", "pair")).join(counts, "pair")
-    looked = placed.groupBy("slice").agg(F.collect_list(F.struct("place", "count", "best")).alias("found"))
-    # the arrays of a slice's pairs stay behind; a slice without a pair is met by nothing
-    rows = slices.select("slice", "entries", "steps", "links").join(looked, "slice", "left")
-    rows = rows.select("entries", "steps", "links", "found.place", "found.count", "found.best")
+    placed = slices.select("slice", F.posexplode("pairs").alias("place", "pair")).join(counts, "pair").select(F.col("slice").alias("of"), "place", "count", "best")
     entry = slices.schema["entries"].dataType.elementType
     schema = T.StructType([*[f for f in entry.fields if f.name != "n_pairs"], T.StructField("n_best", T.LongType()), T.StructField("count_sum", T.LongType())])
 
-    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                entries = batch.column(0)[i].values
-                sizes = entries.field(entries.type.num_fields - 1).to_numpy(zero_copy_only=False)
-                total = int(sizes.sum())
-                best, sums = np.zeros(len(sizes), dtype=np.int64), np.zeros(len(sizes), dtype=np.int64)
-                if total:
-                    steps, links = (_unpacked(batch.column(c)[i], total, t).astype(np.int64) for c, t in ((1, "<u4"), (2, "<u8")))
-                    place, count, top = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in (3, 4, 5))
-                    count_at, top_at = np.empty(len(place), dtype=np.int64), np.empty(len(place), dtype=np.int64)
-                    count_at[place], top_at[place] = count, top
-                    filled = np.flatnonzero(sizes)
-                    first = (np.cumsum(sizes) - sizes)[filled]
-                    run = np.cumsum(steps)
-                    places = run - np.repeat(run[first] - steps[first], sizes[filled])
-                    sums[filled] = np.add.reduceat(count_at[places] * links, first)
-                    best[filled] = np.add.reduceat(top_at[places] * links, first)
-                columns = [entries.field(k) for k in range(entries.type.num_fields - 1)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(best), pa.array(sums)], names=schema.names)
-            hand_back()
-
-    found = in_batches(rows).mapInArrow(add_up, schema)
+    def add_up(held: pa.Table, looked: pa.Table) -> pa.Table:
+        unload()
+        entries = held["entries"].combine_chunks().values
+        sizes = entries.field(entries.type.num_fields - 1).to_numpy(zero_copy_only=False)
+        total = int(sizes.sum())
+        best, sums = np.zeros(len(sizes), dtype=np.int64), np.zeros(len(sizes), dtype=np.int64)
+        if total:
+            steps, links = (_unpacked(held[c][0], total, t).astype(np.int64) for c, t in (("steps", "<u4"), ("links", "<u8")))
+            place, count, top = (looked[c].to_numpy() for c in ("place", "count", "best"))
+            count_at, top_at = np.empty(len(place), dtype=np.int64), np.empty(len(place), dtype=np.int64)
+            count_at[place], top_at[place] = count, top
+            filled = np.flatnonzero(sizes)
+            first = (np.cumsum(sizes) - sizes)[filled]
+            run = np.cumsum(steps)
+            places = run - np.repeat(run[first] - steps[first], sizes[filled])
+            sums[filled] = np.add.reduceat(count_at[places] * links, first)
+            best[filled] = np.add.reduceat(top_at[places] * links, first)
+        columns = [entries.field(k) for k in range(entries.type.num_fields - 1)]
+        hand_back()
+        return pa.Table.from_arrays([*columns, pa.array(best), pa.array(sums)], names=schema.names)
+
+    # the arrays of a slice's pairs stay behind; a slice without a pair is met by nothing
+    rows = in_batches(slices.select("slice", "entries", "steps", "links"))
+    found = rows.groupBy("slice").cogroup(placed.groupBy("of")).applyInArrow(add_up, schema)
     if not slices.filter("parted").isEmpty():  # documents in parts: their parts are added up
         parts = found.filter("whole IS NOT NULL").groupBy("whole").agg(
             F.first("row", True).alias("row"), *[F.first(n, True).alias(n) for n, _ in _FACTS], F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum")
